@@ -15,18 +15,20 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, **options: str) -> DataFrame:
     """CSV files with a header line. The schema is given, so the files are read once and never sampled.
 
-    A line that does not fit the schema stops the read.
+    A line or header that does not fit the schema stops the read.
     """
-    return spark.read.schema(schema).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
+    return spark.read.schema(schema).options(**options).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def ensure_schema(spark: SparkSession, name: str) -> None:
+def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a catalog schema if it is absent."""
-    spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", args={"name": name})
+    place = "" if location is None else " LOCATION :location"
+    args = {"name": name} if location is None else {"name": name, "location": location}
+    spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)" + place, args=args)
