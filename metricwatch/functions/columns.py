@@ -1,4 +1,7 @@
-"""Column expressions shared by the operators."""
+"""Expressions shared by the operators.
+
+Functions that take or return SQL text are meant to be put together into one expression.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +16,18 @@ SEVERITY_RANKS = {"CRITICAL": 0, "HIGH": 1, "MEDIUM": 2, "LOW": 3}
 OTHER_SEVERITY_RANK = 99
 
 
+def quoted(column: str) -> str:
+    """A top-level column's name in SQL, also when it holds dots or spaces."""
+    return "`" + column.replace("`", "``") + "`"
+
+
 def named(column: str) -> Column:
-    """A top-level column, also when its name holds dots or spaces."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))
+
+
+def literal(text: str) -> str:
+    """Text as a literal in SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def moment(value: datetime | str) -> Column:
@@ -30,45 +42,35 @@ def period_of(column: str, unit: str) -> Column:
     return F.date_trunc(unit, named(column))
 
 
-def is_blank(df: DataFrame, column: str) -> Column:
-    """Null, or text that is empty after trimming. Only text can be blank, so other types are not cast."""
-    value = named(column)
-    kind = df.select(value).schema[0].dataType
-    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
-        return value.isNull() | (F.trim(value.cast("string")) == "")
-    return value.isNull()
-
-
-def percent_change(value: Column, baseline: Column) -> Column:
-    """Percent deviation from the baseline; null when the baseline is null or zero."""
-    return F.try_divide(value - baseline, F.abs(baseline)) * 100.0
+def is_blank(df: DataFrame, column: str) -> str:
+    """SQL: null, or text that is empty after trimming. Only text can be blank, so other types are not cast."""
+    test = f"{quoted(column)} IS NULL"
+    if isinstance(df.schema[column].dataType, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
+        test += f" OR trim(CAST({quoted(column)} AS STRING)) = ''"
+    return test
 
 
-def severity_rank(severity: Column) -> Column:
+def severity_rank(severity: str = "severity") -> Column:
     """Position of a severity for sorting, most urgent first."""
-    rank = F.lit(OTHER_SEVERITY_RANK)
-    for name, position in SEVERITY_RANKS.items():
-        rank = F.when(severity == name, F.lit(position)).otherwise(rank)
-    return rank
+    cases = " ".join(f"WHEN {literal(name)} THEN {rank}" for name, rank in SEVERITY_RANKS.items())
+    return F.expr(f"CASE {severity} {cases} ELSE {OTHER_SEVERITY_RANK} END")
 
 
-def or_dash(value: Column) -> Column:
-    """The value as text, or a dash when there is none."""
-    return F.coalesce(F.nullif(value.cast("string"), F.lit("")), F.lit("-"))
+def or_dash(column: str) -> str:
+    """SQL: the value as text, or a dash when there is none."""
+    return f"coalesce(nullif(CAST({column} AS STRING), ''), '-')"
 
 
-def html_text(value: Column) -> Column:
-    """Text that is safe between HTML tags."""
-    escaped = F.replace(value, F.lit("&"), F.lit("&amp;"))
-    escaped = F.replace(escaped, F.lit("<"), F.lit("&lt;"))
-    return F.replace(escaped, F.lit(">"), F.lit("&gt;"))
+def html_text(text: str) -> str:
+    """SQL: text that is safe between HTML tags."""
+    return f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
-def time_text(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+def time_text(column: str) -> str:
+    return f"date_format({column}, 'yyyy-MM-dd HH:mm:ss')"
 
 
-def digest_of(*parts: Column) -> Column:
-    """A stable id from its parts; a missing part differs from an empty one."""
-    marked = [F.coalesce(part.cast("string"), F.lit("\\N")) for part in parts]
-    return F.sha2(F.concat_ws("|", *marked), 256)
+def digest_of(*parts: str) -> Column:
+    """A stable id from SQL parts; a missing part differs from an empty one."""
+    marked = ", ".join(f"coalesce(CAST({part} AS STRING), '\\\\N')" for part in parts)
+    return F.expr(f"sha2(concat_ws('|', {marked}), 256)")

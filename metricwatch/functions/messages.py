@@ -2,82 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from metricwatch import specs
+from metricwatch.functions.columns import literal
 
-# Message formats per anomaly type. Arguments are filled in order.
+# Message formats per anomaly type, then the SQL that fills them, in order.
 MESSAGES = {
-    specs.SUDDEN_INCREASE: "Sudden increase: %s is %s%% above its trailing %s-period median (threshold %s%%)",
-    specs.SUDDEN_DECREASE: "Sudden decrease: %s is %s%% below its trailing %s-period median (threshold %s%%)",
-    specs.VALUE_ANOMALY: "Value anomaly on %s = %s (%s)",
-    specs.ZERO_ACTIVITY: "No activity detected for period (%s = %s)",
-    specs.STALE_DATA: "Data is stale: last updated %s minutes ago (limit %s min)",
-    specs.DUPLICATE_SPIKE: "Duplicate record spike: %s duplicate row(s) detected",
-    specs.NULL_SPIKE: "Null/data-quality spike on %s: null ratio = %s%%",
+    specs.SUDDEN_INCREASE: (
+        "Sudden increase: %s is %s%% above its trailing %s-period median (threshold %s%%)",
+        ("metric_name", "round(pct_change, 1)", "{window}", "limit_text"),
+    ),
+    specs.SUDDEN_DECREASE: (
+        "Sudden decrease: %s is %s%% below its trailing %s-period median (threshold %s%%)",
+        ("metric_name", "round(pct_change, 1)", "{window}", "limit_text"),
+    ),
+    specs.VALUE_ANOMALY: ("Value anomaly on %s = %s (%s)", ("metric_name", "detected_value", "threshold_used")),
+    specs.ZERO_ACTIVITY: ("No activity detected for period (%s = %s)", ("metric_name", "limit_text")),
+    specs.STALE_DATA: (
+        "Data is stale: last updated %s minutes ago (limit %s min)",
+        ("round(detected_value, 1)", "limit_text"),
+    ),
+    specs.DUPLICATE_SPIKE: ("Duplicate record spike: %s duplicate row(s) detected", ("detected_value",)),
+    specs.NULL_SPIKE: (
+        "Null/data-quality spike on %s: null ratio = %s%%",
+        ("column_name", "round(detected_value * 100, 1)"),
+    ),
 }
 
-# Threshold formats per anomaly type. Arguments are filled in order.
-_TREND = "pct_change_vs_rolling_median %s %%s%%%% (trailing %%s periods, min history %%s)"
-_SPIKE = (
-    "%s >= %%s, and pct_change_vs_rolling_median >= %%s%%%% once %%s+ periods of "
-    "trailing %%s-period history exist"
-)
+# Threshold formats per anomaly type, then the SQL that fills them, in order.
 THRESHOLDS = {
-    specs.SUDDEN_INCREASE: _TREND % ">=",
-    specs.SUDDEN_DECREASE: _TREND % "<=",
-    specs.ZERO_ACTIVITY: "%s == %s",
-    specs.STALE_DATA: "staleness_minutes > %s",
-    specs.DUPLICATE_SPIKE: _SPIKE % "duplicate_count",
-    specs.NULL_SPIKE: _SPIKE % "null_ratio",
+    specs.SUDDEN_INCREASE: (
+        "pct_change_vs_rolling_median >= %s%% (trailing %s periods, min history %s)",
+        ("limit_text", "{window}", "{min_history}"),
+    ),
+    specs.SUDDEN_DECREASE: (
+        "pct_change_vs_rolling_median <= %s%% (trailing %s periods, min history %s)",
+        ("limit_text", "{window}", "{min_history}"),
+    ),
+    specs.ZERO_ACTIVITY: ("%s == %s", ("metric_name", "limit_text")),
+    specs.STALE_DATA: ("staleness_minutes > %s", ("limit_text",)),
+    specs.DUPLICATE_SPIKE: (
+        "duplicate_count >= %s, and pct_change_vs_rolling_median >= %s%% once %s+ periods of "
+        "trailing %s-period history exist",
+        ("floor_text", "limit_text", "{min_history}", "{window}"),
+    ),
+    specs.NULL_SPIKE: (
+        "null_ratio >= %s, and pct_change_vs_rolling_median >= %s%% once %s+ periods of "
+        "trailing %s-period history exist",
+        ("floor_text", "limit_text", "{min_history}", "{window}"),
+    ),
 }
 
 
-def fill(template: str, *parts: Column) -> Column:
-    return F.format_string(template, *(part.cast("string") for part in parts))
-
-
-def by_type(texts: dict[str, Column]) -> Column:
+def text_by_type(texts: Mapping[str, tuple[str, tuple[str, ...]]], **settings: int) -> Column:
     """The text of the row's own anomaly type."""
-    chosen = F.lit(None).cast("string")
-    for anomaly_type, text in texts.items():
-        chosen = F.when(F.col("anomaly_type") == anomaly_type, text).otherwise(chosen)
-    return chosen
-
-
-def one_decimal(value: Column) -> Column:
-    return F.round(value, 1).cast("string")
+    cases = []
+    for anomaly_type, (template, arguments) in texts.items():
+        filled = (f"CAST({argument.format(**settings)} AS STRING)" for argument in arguments)
+        cases.append(f"WHEN {literal(anomaly_type)} THEN format_string({literal(template)}, {', '.join(filled)})")
+    return F.expr(f"CASE anomaly_type {' '.join(cases)} END")
 
 
 def metric_message(window: int) -> Column:
     """Message of a metric anomaly, from the columns of a hit."""
-    metric, limit, detected = F.col("metric_name"), F.col("limit_text"), F.col("detected_value")
-    trend = (metric, one_decimal(F.col("pct_change")), F.lit(window), limit)
-    return by_type(
-        {
-            specs.SUDDEN_INCREASE: fill(MESSAGES[specs.SUDDEN_INCREASE], *trend),
-            specs.SUDDEN_DECREASE: fill(MESSAGES[specs.SUDDEN_DECREASE], *trend),
-            specs.ZERO_ACTIVITY: fill(MESSAGES[specs.ZERO_ACTIVITY], metric, limit),
-            specs.STALE_DATA: fill(MESSAGES[specs.STALE_DATA], one_decimal(detected), limit),
-            specs.DUPLICATE_SPIKE: fill(MESSAGES[specs.DUPLICATE_SPIKE], detected),
-            specs.NULL_SPIKE: fill(MESSAGES[specs.NULL_SPIKE], F.col("column_name"), one_decimal(detected * 100)),
-        }
-    )
+    texts = {kind: text for kind, text in MESSAGES.items() if kind != specs.VALUE_ANOMALY}
+    return text_by_type(texts, window=window)
+
+
+def value_message() -> Column:
+    """Message of a value anomaly, from the columns of a hit."""
+    return text_by_type({specs.VALUE_ANOMALY: MESSAGES[specs.VALUE_ANOMALY]})
 
 
 def metric_threshold(window: int, min_history: int) -> Column:
     """Threshold note of a metric anomaly, from the columns of a hit."""
-    limit, floor = F.col("limit_text"), F.col("floor_text")
-    trend = (limit, F.lit(window), F.lit(min_history))
-    spike = (floor, limit, F.lit(min_history), F.lit(window))
-    return by_type(
-        {
-            specs.SUDDEN_INCREASE: fill(THRESHOLDS[specs.SUDDEN_INCREASE], *trend),
-            specs.SUDDEN_DECREASE: fill(THRESHOLDS[specs.SUDDEN_DECREASE], *trend),
-            specs.ZERO_ACTIVITY: fill(THRESHOLDS[specs.ZERO_ACTIVITY], F.col("metric_name"), limit),
-            specs.STALE_DATA: fill(THRESHOLDS[specs.STALE_DATA], limit),
-            specs.DUPLICATE_SPIKE: fill(THRESHOLDS[specs.DUPLICATE_SPIKE], *spike),
-            specs.NULL_SPIKE: fill(THRESHOLDS[specs.NULL_SPIKE], *spike),
-        }
-    )
+    return text_by_type(THRESHOLDS, window=window, min_history=min_history)

@@ -14,7 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import digest_of, html_text, moment, or_dash, severity_rank, time_text
+from metricwatch.functions.columns import digest_of, html_text, literal, moment, or_dash, severity_rank, time_text
 from metricwatch.operators.anomaly_log import pending_anomalies
 from metricwatch.operators.rules import channels_for
 from metricwatch.operators.upsert import upsert
@@ -93,10 +93,9 @@ def fill_fields(template: str, fields: Mapping[str, Column]) -> Column:
     return filled
 
 
-def field_text(column: str) -> Column:
-    """An anomaly's field as shown to people."""
-    value = F.col(column)
-    return or_dash(time_text(value) if column in ("period_start", "detected_at") else value)
+def field_text(column: str) -> str:
+    """SQL: an anomaly's field as shown to people, safe inside HTML."""
+    return html_text(or_dash(time_text(column) if column in ("period_start", "detected_at") else column))
 
 
 def subject_of(template: str) -> Column:
@@ -106,11 +105,8 @@ def subject_of(template: str) -> Column:
 
 def mail_body() -> Column:
     """An anomaly as a small HTML table."""
-    rows = [
-        F.concat(F.lit(f"<tr><th>{label}</th><td>"), html_text(field_text(column)), F.lit("</td></tr>"))
-        for label, column in MAIL_ROWS.items()
-    ]
-    return F.concat(F.lit("<h3>Anomaly Detected</h3><table>"), *rows, F.lit("</table>"))
+    rows = ", ".join(f"'<tr><th>{label}</th><td>', {field_text(c)}, '</td></tr>'" for label, c in MAIL_ROWS.items())
+    return F.expr(f"concat('<h3>Anomaly Detected</h3><table>', {rows}, '</table>')")
 
 
 def route(anomalies: DataFrame, settings: AlertSettings) -> DataFrame:
@@ -146,7 +142,7 @@ def alert_outbox(log: DataFrame, settings: AlertSettings, run_id: str) -> DataFr
         route(pending_anomalies(log, settings.dedupe), settings)
         .withColumns(
             {
-                "alert_id": digest_of(F.lit(run_id), F.col("anomaly_id"), channel),
+                "alert_id": digest_of(literal(run_id), "anomaly_id", "channel"),
                 "run_id": F.lit(run_id),
                 "status": F.when(on, PENDING).otherwise(SKIPPED),
                 "error_message": F.when(~on, reason),
@@ -169,10 +165,10 @@ def digest_anomalies(log: DataFrame, settings: AlertSettings) -> DataFrame:
 
 def digest_rows(log: DataFrame, settings: AlertSettings) -> DataFrame:
     """The digest's rows, most urgent first."""
-    ranked = digest_anomalies(log, settings).orderBy(severity_rank(F.col("severity")), "severity", "anomaly_id")
+    ranked = digest_anomalies(log, settings).orderBy(severity_rank(), "severity", "anomaly_id")
     dashed = ("column_name", "metric_name")
     return ranked.select(
-        *((or_dash(F.col(c)) if c in dashed else F.col(c)).alias(label) for label, c in DIGEST_COLUMNS.items())
+        *(F.expr(or_dash(c) if c in dashed else c).alias(label) for label, c in DIGEST_COLUMNS.items())
     )
 
 
@@ -181,10 +177,9 @@ def digest_summary(log: DataFrame, settings: AlertSettings, as_of: datetime | st
 
     No row when there is nothing to send.
     """
-    severity = F.col("severity")
     per_severity = digest_anomalies(log, settings).groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
     # One small struct per distinct severity.
-    ranked = F.sort_array(F.collect_list(F.struct(severity_rank(severity).alias("rank"), severity, "n")))
+    ranked = F.sort_array(F.collect_list(F.struct(severity_rank().alias("rank"), "severity", "n")))
     parts = F.transform(ranked, lambda s: F.concat_ws(" ", s["n"].cast("string"), s["severity"]))
     head = per_severity.agg(F.sum("n").alias("anomalies"), F.array_join(parts, ", ").alias("severity_summary"))
     fields = {"count": F.col("anomalies"), "run_date": F.date_format(moment(as_of), "yyyy-MM-dd")}
@@ -195,7 +190,7 @@ def digest_summary(log: DataFrame, settings: AlertSettings, as_of: datetime | st
         # Fixed value: the digest's opening line.
         fill_fields(
             "<h3>Anomaly Digest</h3><p>{n} anomaly(ies) detected in this run ({summary}).</p>",
-            {"n": F.col("anomalies"), "summary": html_text(F.col("severity_summary"))},
+            {"n": F.col("anomalies"), "summary": F.expr(html_text("severity_summary"))},
         ).alias("opening"),
     )
 
@@ -208,7 +203,7 @@ def digest_html(log: DataFrame, settings: AlertSettings, as_of: datetime | str)
     writing as text files.
     """
     heads = "".join(f"<th>{label}</th>" for label in DIGEST_COLUMNS)
-    cells = [F.concat(F.lit("<td>"), html_text(field_text(c)), F.lit("</td>")) for c in DIGEST_COLUMNS.values()]
+    cells = ", ".join(f"'<td>', {field_text(c)}, '</td>'" for c in DIGEST_COLUMNS.values())
 
     def line(section: int, html: Column) -> list[Column]:
         return [F.lit(section).alias("section"), F.lit(0).alias("rank"), F.lit("").alias("line_id"), html.alias("html")]
@@ -216,9 +211,9 @@ def digest_html(log: DataFrame, settings: AlertSettings, as_of: datetime | str)
     summary = digest_summary(log, settings, as_of)
     body = digest_anomalies(log, settings).select(
         F.lit(2).alias("section"),
-        severity_rank(F.col("severity")).alias("rank"),
+        severity_rank().alias("rank"),
         F.col("anomaly_id").alias("line_id"),
-        F.concat(F.lit("<tr>"), *cells, F.lit("</tr>")).alias("html"),
+        F.expr(f"concat('<tr>', {cells}, '</tr>')").alias("html"),
     )
     frame = F.array(
         F.struct(*line(0, F.col("opening"))),

@@ -44,7 +44,7 @@ def alert_totals(log: DataFrame) -> DataFrame:
 
 def anomalies_ordered(log: DataFrame) -> DataFrame:
     """The log, most urgent first, then by time."""
-    return log.orderBy(severity_rank(F.col("severity")), "severity", "detected_at", "period_start", "anomaly_id")
+    return log.orderBy(severity_rank(), "severity", "detected_at", "period_start", "anomaly_id")
 
 
 def metrics_ordered(metrics: DataFrame) -> DataFrame:

@@ -7,16 +7,16 @@ is shuffled and sorted once. A series has at most one row per period: its length
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import percent_change
-
 SERIES = ("table_name", "metric_name")
 
 
-def series_window() -> WindowSpec:
-    return Window.partitionBy(*SERIES).orderBy("period_start")
+def series_window(series: Sequence[str] = SERIES) -> WindowSpec:
+    return Window.partitionBy(*series).orderBy("period_start")
 
 
 def metric_history(metrics: DataFrame, *metric_names: str) -> DataFrame:
@@ -29,42 +29,50 @@ def with_previous(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("previous_value", F.lag("metric_value").over(series_window()))
 
 
-def with_baseline(metrics: DataFrame, window: int = 24) -> DataFrame:
+def with_baseline(metrics: DataFrame, window: int = 24, series: Sequence[str] = SERIES) -> DataFrame:
     """Add what a value is compared with.
 
     ``previous_value``; ``baseline_median``, the lower median of the ``window`` rows before this one;
     ``history_count``, the non-null values among these; ``pct_change`` from the median. The window counts
     rows, so gaps in time do not shrink it, and the row itself is never part of it.
     """
-    trailing = series_window().rowsBetween(-window, -1)
+    ordered = series_window(series)
+    trailing = ordered.rowsBetween(-window, -1)
     return metrics.withColumns(
         {
-            "previous_value": F.lag("metric_value").over(series_window()),
+            "previous_value": F.lag("metric_value").over(ordered),
             "baseline_median": F.percentile_approx("metric_value", 0.5).over(trailing),
             "history_count": F.count("metric_value").over(trailing),
         }
-    ).withColumn("pct_change", percent_change(F.col("metric_value"), F.col("baseline_median")))
+    ).withColumn("pct_change", percent_change())
 
 
-def with_latest(metrics: DataFrame) -> DataFrame:
+def with_latest(metrics: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
     """Add ``highest_so_far`` and ``is_latest``: on a series' last row they give its maximum."""
-    so_far = series_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = series_window(series)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return metrics.withColumns(
         {
             "highest_so_far": F.max("metric_value").over(so_far),
-            "is_latest": F.lead(F.lit(1)).over(series_window()).isNull(),
+            "is_latest": F.lead(F.lit(1)).over(ordered).isNull(),
         }
     )
 
 
-def with_run_length(metrics: DataFrame, value: Column) -> DataFrame:
+def with_run_length(metrics: DataFrame, value: Column, series: Sequence[str] = SERIES) -> DataFrame:
     """Add ``run_length``: how many rows in a row, up to this one, have held exactly ``value``."""
-    so_far = series_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = metrics.withColumn("_row", F.row_number().over(series_window()))
+    ordered = series_window(series)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = metrics.withColumn("_row", F.row_number().over(ordered))
     broken_at = F.max(F.when(F.col("metric_value").eqNullSafe(value), None).otherwise(F.col("_row"))).over(so_far)
     return numbered.withColumn("run_length", F.col("_row") - F.coalesce(broken_at, F.lit(0))).drop("_row")
 
 
+def percent_change() -> Column:
+    """Percent deviation from the baseline; null when the baseline is null or zero."""
+    return F.expr("try_divide(metric_value - baseline_median, abs(baseline_median)) * 100.0D")
+
+
 def has_history(minimum: int) -> Column:
     """Whether enough earlier values exist to trust the baseline."""
     return F.col("history_count") >= minimum

@@ -1,12 +1,12 @@
 """Detectors: metric history and source rows in, anomaly rows out.
 
 Six of the seven anomaly types look at the metric history. They are one plan: the history of the metrics that
-some rule watches is windowed once, joined with the rules on table and metric, and filtered by the condition
+some rule watches is joined with the rules on table and metric, windowed once, and filtered by the condition
 of each rule's type. The seventh looks at single source rows, next to their scan.
 
 Joins with rules carry no hint. Rules given as configuration have a known size, and rules read from a table
-are measured, so Spark broadcasts them when they are small; otherwise the join uses the partitioning by
-table and metric that the windows already made.
+are measured, so Spark broadcasts them when they are small; otherwise the join partitions both sides by
+table and metric, and the windows use that partitioning.
 """
 
 from __future__ import annotations
@@ -23,30 +23,21 @@ from metricwatch.functions import messages
 from metricwatch.functions.columns import digest_of, moment, named, period_of
 from metricwatch.operators.baseline import (
     SERIES,
-    has_history,
     metric_history,
     with_baseline,
     with_latest,
     with_run_length,
-    zero_to_nonzero,
 )
 from metricwatch.operators.rules import enabled_rules, watched_metrics
 from metricwatch.specs import ANOMALY_SCHEMA, GRAINS, Rule, SourceSpec, metric_columns
 
 
-def _finish(hits: DataFrame, run_id: str, as_of: datetime | str, *identity: Column) -> DataFrame:
+def _finish(hits: DataFrame, run_id: str, as_of: datetime | str, *identity: str) -> DataFrame:
     """Bring hits into the anomaly schema. Ids depend only on what was found, so a rerun gives the same ones."""
-    anomaly_id = digest_of(
-        F.col("table_name"),
-        F.col("column_name"),
-        F.col("anomaly_type"),
-        F.unix_micros("period_start"),
-        F.col("metric_name"),
-        *identity,
-    )
+    keys = ("table_name", "column_name", "anomaly_type", "unix_micros(period_start)", "metric_name")
     return hits.withColumns(
         {
-            "anomaly_id": anomaly_id,
+            "anomaly_id": digest_of(*keys, *identity),
             "run_id": F.lit(run_id),
             "detected_at": moment(as_of),
             "alerted": F.lit(False),
@@ -55,30 +46,32 @@ def _finish(hits: DataFrame, run_id: str, as_of: datetime | str, *identity: Colu
 
 
 def rules_on_history(metrics: DataFrame, rules: DataFrame, columns: DataFrame, window: int = 24) -> DataFrame:
-    """History of every watched metric with its baselines, one row per period and rule."""
-    watched = watched_metrics(rules, columns)
-    zero = F.max(F.when(F.col("anomaly_type") == specs.ZERO_ACTIVITY, F.col("limit")))
-    series = watched.groupBy(*SERIES).agg(zero.alias("zero_value"))
-    history = metrics.select(*SERIES, "period_start", "metric_value").join(series, list(SERIES))
-    history = with_latest(with_baseline(history, window))
-    return with_run_length(history, F.col("zero_value")).join(watched, list(SERIES))
-
-
-def _fires(min_history: int, staleness: Column) -> Column:
-    value, limit, change = F.col("metric_value"), F.col("limit"), F.col("pct_change")
-    known = has_history(min_history)
+    """History of every watched metric with its baselines, one row per period and rule.
+
+    Rules come first, so metrics that no rule watches are dropped before the shuffle, and a run of zeros is
+    counted against the value its own rule names. A table has one rule of a type, so with the type a series
+    has one row per period again.
+    """
+    series = (*SERIES, "anomaly_type")
+    history = metrics.select(*SERIES, "period_start", "metric_value")
+    applied = history.join(watched_metrics(rules, columns), list(SERIES))
+    return with_run_length(with_latest(with_baseline(applied, window, series), series), F.col("limit"), series)
+
+
+def _fires(min_history: int) -> Column:
+    """Whether a row of the history breaks its rule."""
     # Too little history, or a clean baseline, leaves the floor as the only test.
-    spike = (value >= F.col("floor")) & (~known | zero_to_nonzero() | (change >= limit))
-    conditions = {
-        specs.SUDDEN_INCREASE: known & (change >= limit),
-        specs.SUDDEN_DECREASE: known & (change <= limit),
-        specs.ZERO_ACTIVITY: (value == limit) & (F.col("run_length") >= F.col("needed_run")),
-        specs.STALE_DATA: F.col("is_latest") & (staleness > limit),
-        specs.DUPLICATE_SPIKE: spike,
-        specs.NULL_SPIKE: spike,
-    }
-    kind = F.col("anomaly_type")
-    return reduce(lambda a, b: a | b, ((kind == name) & condition for name, condition in conditions.items()))
+    spike = f"""metric_value >= floor AND (history_count < {min_history}
+        OR (baseline_median = 0 AND metric_value > 0) OR pct_change >= limit)"""
+    return F.expr(
+        f"""CASE anomaly_type
+        WHEN '{specs.SUDDEN_INCREASE}' THEN history_count >= {min_history} AND pct_change >= limit
+        WHEN '{specs.SUDDEN_DECREASE}' THEN history_count >= {min_history} AND pct_change <= limit
+        WHEN '{specs.ZERO_ACTIVITY}' THEN metric_value = limit AND run_length >= needed_run
+        WHEN '{specs.STALE_DATA}' THEN is_latest AND staleness > limit
+        WHEN '{specs.DUPLICATE_SPIKE}' THEN {spike}
+        WHEN '{specs.NULL_SPIKE}' THEN {spike} END"""
+    )
 
 
 def detect_metric_anomalies(
@@ -94,16 +87,13 @@ def detect_metric_anomalies(
 
     ``columns`` comes from ``metric_columns``; ``as_of`` is the time staleness is measured at.
     """
-    kind = F.col("anomaly_type")
+    history = rules_on_history(metrics, rules, columns, window)
     staleness = (moment(as_of).cast("double") - F.col("highest_so_far")) / 60.0
-    hits = rules_on_history(metrics, rules, columns, window).filter(_fires(min_history, staleness))
-    detected = F.when(kind == specs.STALE_DATA, staleness).otherwise(F.col("metric_value"))
-    baseline = (
-        F.when(kind == specs.STALE_DATA, F.col("limit"))
-        .when(kind == specs.ZERO_ACTIVITY, F.col("previous_value"))
-        .otherwise(F.col("baseline_median"))
-    )
-    described = hits.withColumns({"detected_value": detected, "baseline_value": baseline}).withColumns(
+    hits = history.withColumn("staleness", staleness).filter(_fires(min_history))
+    detected = f"CASE anomaly_type WHEN '{specs.STALE_DATA}' THEN staleness ELSE metric_value END"
+    baseline = f"""CASE anomaly_type WHEN '{specs.STALE_DATA}' THEN limit
+        WHEN '{specs.ZERO_ACTIVITY}' THEN previous_value ELSE baseline_median END"""
+    described = hits.withColumns({"detected_value": F.expr(detected), "baseline_value": F.expr(baseline)}).withColumns(
         {
             "message": messages.metric_message(window),
             "threshold_used": messages.metric_threshold(window, min_history),
@@ -147,17 +137,8 @@ def detect_value_anomalies(
         baseline.cast("double").alias("baseline_value"),
         F.lit(note).alias("threshold_used"),
         F.array(*(named(c).cast("string") for c in identity)).alias("_identity"),
-    )
-    message = messages.fill(
-        messages.MESSAGES[specs.VALUE_ANOMALY], F.col("metric_name"), F.col("detected_value"), F.lit(note)
-    )
-    return _finish(
-        found.withColumn("message", message),
-        run_id,
-        as_of,
-        F.col("detected_value"),
-        *(F.col("_identity")[i] for i in range(len(identity))),
-    )
+    ).withColumn("message", messages.value_message())
+    return _finish(found, run_id, as_of, "detected_value", *(f"_identity[{i}]" for i in range(len(identity))))
 
 
 def missing_periods(metrics: DataFrame, grain: str) -> DataFrame:
@@ -188,7 +169,7 @@ def detect_missing_periods(
     run_id: str,
 ) -> DataFrame:
     """Missing periods as anomalies, for tables with an enabled zero-activity rule."""
-    tables = list(specs_of_tables)
+    tables, kind = list(specs_of_tables), specs.ZERO_ACTIVITY
     spark = metrics.sparkSession
     grains = {spec.grain for spec in tables}
     names = {grain: [spec.table_name for spec in tables if spec.grain == grain] for grain in grains}
@@ -196,21 +177,18 @@ def detect_missing_periods(
         DataFrame.unionByName,
         [missing_periods(metrics.filter(F.col("table_name").isin(*names[grain])), grain) for grain in sorted(grains)],
     )
-    rule = enabled_rules(rules).filter(F.col("anomaly_type") == specs.ZERO_ACTIVITY)
+    rule = enabled_rules(rules).filter(F.col("anomaly_type") == kind)
     columns = metric_columns(spark, tables).filter(F.col("metric_name") == specs.ROW_COUNT)
     hits = (
         missing.join(rule.select("table_name", "anomaly_type", "severity"), "table_name")
         .join(columns.select("table_name", F.col("activity_column").alias("column_name")), "table_name", "left")
-        .withColumn("threshold_used", messages.fill("%s == 0", F.col("metric_name")))
-        .withColumn("message", messages.fill(messages.MESSAGES[specs.ZERO_ACTIVITY], F.col("metric_name"), F.lit(0)))
+        .withColumn("limit_text", F.lit("0"))
+        .withColumn("threshold_used", messages.text_by_type({kind: messages.THRESHOLDS[kind]}))
+        .withColumn("message", messages.text_by_type({kind: messages.MESSAGES[kind]}))
     )
     return _finish(hits, run_id, as_of)
 
 
-def empty_anomalies(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([], ANOMALY_SCHEMA)
-
-
 def detect(
     metrics: DataFrame,
     sources: Iterable[tuple[DataFrame, SourceSpec]],

@@ -10,15 +10,23 @@ A row without an event time belongs to the null period, which is kept like any o
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable, Mapping
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import is_blank, moment, named, period_of
-from metricwatch.specs import DUPLICATE_COUNT, LAST_UPDATED, METRICS_SCHEMA, NULL_RATIO, ROW_COUNT, SourceSpec
+from metricwatch.functions.columns import is_blank, moment, named, period_of, quoted
+from metricwatch.specs import (
+    DUPLICATE_COUNT,
+    LAST_UPDATED,
+    METRICS_SCHEMA,
+    NULL_RATIO,
+    ROW_COUNT,
+    STATISTICS,
+    SourceSpec,
+)
 
 
 def with_period(df: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -29,32 +37,31 @@ def with_period(df: DataFrame, spec: SourceSpec) -> DataFrame:
 def _statistics(column: str) -> list[Column]:
     # The mean is the sum over the count, so that exact sums (integers, decimals) give a mean that does not
     # depend on the order of the rows.
-    value = named(column)
-    total = F.sum(value).cast("double")
-    return [
-        total.alias(f"sum_{column}"),
-        F.try_divide(total, F.count(value).cast("double")).alias(f"avg_{column}"),
-        F.stddev(value).alias(f"stddev_{column}"),
-        F.min(value).cast("double").alias(f"min_{column}"),
-        F.max(value).cast("double").alias(f"max_{column}"),
-    ]
+    value = quoted(column)
+    formulas = {
+        "sum": f"CAST(sum({value}) AS DOUBLE)",
+        "avg": f"try_divide(CAST(sum({value}) AS DOUBLE), CAST(count({value}) AS DOUBLE))",
+        "stddev": f"stddev({value})",
+        "min": f"CAST(min({value}) AS DOUBLE)",
+        "max": f"CAST(max({value}) AS DOUBLE)",
+    }
+    return [F.expr(formulas[name]).alias(f"{name}_{column}") for name in STATISTICS]
 
 
 def null_counts(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Null or blank cells per period, one column per watched column, beside the period's row count."""
-    counts = [F.count_if(is_blank(df, c)).alias(f"null_count_{c}") for c in spec.monitored_null_columns]
+    counts = [F.expr(f"count_if({is_blank(df, c)})").alias(f"null_count_{c}") for c in spec.monitored_null_columns]
     return with_period(df, spec).groupBy("period_start").agg(F.count(F.lit(1)).alias(ROW_COUNT), *counts)
 
 
 def period_metrics(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """All metrics of each period as one wide row, from one pass over the table."""
-    rows = F.count(F.lit(1)).cast("double")
-    columns = [rows.alias(ROW_COUNT)]
+    columns = [F.expr("CAST(count(1) AS DOUBLE)").alias(ROW_COUNT)]
     for column in spec.numeric_metric_columns:
         columns += _statistics(column)
     for column in spec.monitored_null_columns:
-        nulls = F.count_if(is_blank(df, column)).cast("double")
-        columns.append((nulls / rows).alias(f"{NULL_RATIO}_{column}"))
+        ratio = f"CAST(count_if({is_blank(df, column)}) AS DOUBLE) / CAST(count(1) AS DOUBLE)"
+        columns.append(F.expr(ratio).alias(f"{NULL_RATIO}_{column}"))
     if spec.ingestion_timestamp_column:
         latest = F.max(named(spec.ingestion_timestamp_column))
         columns.append(latest.cast("timestamp").cast("double").alias(LAST_UPDATED))
@@ -115,7 +122,7 @@ def since_period(df: DataFrame, spec: SourceSpec, since: datetime | str) -> Data
     The bound is cast to the column's own type and lies on a period's edge, so it reaches the scan and no
     period is cut.
     """
-    kind = df.select(named(spec.timestamp_column)).schema[0].dataType
+    kind = df.schema[spec.timestamp_column].dataType
     return df.filter(named(spec.timestamp_column) >= F.date_trunc(spec.trunc_unit, moment(since)).cast(kind))
 
 
@@ -137,17 +144,21 @@ def compute_metrics(
     run_id: str,
     computed_at: datetime | str,
     since: datetime | str | None = None,
+    only: Collection[str] | None = None,
 ) -> DataFrame:
     """All metrics of one table, one row per period and metric.
 
     With ``since`` only the periods from there on are read and computed, for an upsert into a history that
-    holds the older ones. The duplicate count always covers the whole table.
+    holds the older ones. The duplicate count always covers the whole table. ``only`` names the metrics to
+    compute; columns that none of them needs are not read.
     """
-    recent = df if since is None else since_period(df, spec, since)
-    long = to_long(period_metrics(recent, spec))
-    if spec.duplicate_key_columns:
-        long = long.unionByName(duplicate_count(df, spec))
-    return tag_metrics(long, spec, run_id, computed_at)
+    wide = period_metrics(df if since is None else since_period(df, spec, since), spec)
+    if only is not None:
+        wide = wide.select("period_start", *(named(c) for c in wide.columns if c in only))
+    frames = [to_long(wide)] if len(wide.columns) > 1 else []
+    if spec.duplicate_key_columns and (only is None or DUPLICATE_COUNT in only):
+        frames.append(duplicate_count(df, spec))
+    return tag_metrics(reduce(DataFrame.unionByName, frames), spec, run_id, computed_at)
 
 
 def compute_all(
@@ -155,9 +166,16 @@ def compute_all(
     run_id: str,
     computed_at: datetime | str,
     since: datetime | str | None = None,
+    only: Mapping[str, Collection[str]] | None = None,
 ) -> DataFrame:
-    """Metrics of many tables as one plan, so that Spark runs their stages side by side in one job."""
-    frames = [compute_metrics(df, spec, run_id, computed_at, since) for df, spec in sources]
+    """Metrics of many tables as one plan, so that Spark runs their stages side by side in one job.
+
+    ``only`` maps a table's name to the metrics to compute for it.
+    """
+    frames = [
+        compute_metrics(df, spec, run_id, computed_at, since, None if only is None else only[spec.table_name])
+        for df, spec in sources
+    ]
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricwatch.operators.alerts import AlertSettings
-from metricwatch.operators.metrics import compute_all
+from metricwatch.operators.metrics import compute_all, compute_metrics
 from metricwatch.operators.rules import seed_rules
 from metricwatch.sources.state import StateTables
 from metricwatch.specs import ANOMALY_TYPES, Rule, SourceSpec, rules_frame
@@ -117,34 +118,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def money(column: str):
+def money(column: str, name: str) -> str:
     # Exact sums, whatever order the rows are added in.
-    return F.col(column).cast("decimal(18,2)")
+    return f"CAST({column} AS DECIMAL(18,2)) AS {name}"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.col("ts").alias("event_time"),
+        "ts AS event_time",
         "user_id",
         "event_type",
         "value",
-        money("value").alias("amount"),
-        F.when(kind == "error", 1).otherwise(0).alias("activity_count"),
-        F.when(kind != "error", F.col("user_id")).alias("actor_null"),
-        F.when(kind == "signup", F.lit("  ")).otherwise(F.col("user_id").cast("string")).alias("actor_blank"),
-        (F.col("ts") + F.expr("INTERVAL 10 MINUTES")).alias("ingestion_time"),
+        money("value", "amount"),
+        "CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS activity_count",
+        "CASE WHEN event_type <> 'error' THEN user_id END AS actor_null",
+        "CASE WHEN event_type = 'signup' THEN '  ' ELSE CAST(user_id AS STRING) END AS actor_blank",
+        "ts + INTERVAL 10 MINUTES AS ingestion_time",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").withColumn("price", money("o_totalprice"))
+    return table(spark, sf_dir, "orders").selectExpr("*", money("o_totalprice", "price"))
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").withColumns(
-        {"price": money("l_extendedprice"), "quantity": money("l_quantity")}
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "*", money("l_extendedprice", "price"), money("l_quantity", "quantity")
     )
 
 
@@ -156,13 +156,15 @@ def sources(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, SourceSpe
     ]
 
 
-def event_metrics(spark: SparkSession, sf_dir: str, run_id: str = RUN) -> DataFrame:
-    return compute_all([(events(spark, sf_dir), EVENTS)], run_id, AS_OF)
+def event_metrics(
+    spark: SparkSession, sf_dir: str, run_id: str = RUN, only: Collection[str] | None = None
+) -> DataFrame:
+    return compute_metrics(events(spark, sf_dir), EVENTS, run_id, AS_OF, only=only)
 
 
 def early_event_metrics(spark: SparkSession, sf_dir: str, run_id: str = RUN) -> DataFrame:
     early = events(spark, sf_dir).filter(F.col("event_time") < F.lit(SPLIT.isoformat(sep=" ")).cast("timestamp_ntz"))
-    return compute_all([(early, EVENTS)], run_id, AS_OF)
+    return compute_metrics(early, EVENTS, run_id, AS_OF)
 
 
 def all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

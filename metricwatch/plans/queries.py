@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricwatch import specs
+from metricwatch.functions.columns import quoted
 from metricwatch.operators import alerts, anomaly_log, baseline, detectors, metrics
 from metricwatch.operators import rules as rule_ops
 from metricwatch.operators.upsert import upsert
@@ -44,16 +45,10 @@ def query(run: Query) -> Query:
 def shown(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns as results are compared: rounded doubles and zone-free times."""
     picked = df.select(*columns) if columns else df
-
-    def plain(field: T.StructField):
-        value = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DoubleType):
-            value = F.round(value, 6)
-        elif isinstance(field.dataType, T.TimestampType):
-            value = value.cast("timestamp_ntz")
-        return value.alias(field.name)
-
-    return picked.select(*(plain(field) for field in picked.schema.fields))
+    forms = {T.DoubleType: "round({0}, 6) AS {0}", T.TimestampType: "CAST({0} AS TIMESTAMP_NTZ) AS {0}"}
+    return picked.selectExpr(
+        *(forms.get(type(field.dataType), "{0}").format(quoted(field.name)) for field in picked.schema.fields)
+    )
 
 
 # Metrics
@@ -157,7 +152,8 @@ def unexpected_status(spark, sf_dir):
 
 @query
 def metric_history(spark, sf_dir):
-    return shown(baseline.metric_history(fx.event_metrics(spark, sf_dir), "sum_amount"), *METRIC)
+    history = fx.event_metrics(spark, sf_dir, only=["sum_amount", "row_count"])
+    return shown(baseline.metric_history(history, "sum_amount"), *METRIC)
 
 
 @query
@@ -199,14 +195,15 @@ def zero_to_nonzero(spark, sf_dir):
 # Detectors
 
 
-def _event_hits(spark: SparkSession, sf_dir: str, rules: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    history = fx.event_metrics(spark, sf_dir) if history is None else history
-    columns = specs.metric_columns(spark, [fx.EVENTS])
+def _hits_on(history: DataFrame, spec: specs.SourceSpec, rules: DataFrame) -> DataFrame:
+    columns = specs.metric_columns(history.sparkSession, [spec])
     return detectors.detect_metric_anomalies(history, rules, columns, fx.AS_OF, fx.RUN)
 
 
-def _event_hits_of(spark: SparkSession, sf_dir: str, anomaly_type: str) -> DataFrame:
-    return shown(_event_hits(spark, sf_dir, fx.rules(spark, "events", anomaly_type)), *HIT)
+def _event_hits_of(spark: SparkSession, sf_dir: str, anomaly_type: str, *watched: str) -> DataFrame:
+    """Hits of one type, from a history of just the metrics its rule watches."""
+    history = fx.event_metrics(spark, sf_dir, only=watched)
+    return shown(_hits_on(history, fx.EVENTS, fx.rules(spark, "events", anomaly_type)), *HIT)
 
 
 @query
@@ -218,48 +215,48 @@ def rules_applied(spark, sf_dir):
 
 @query
 def sudden_increase(spark, sf_dir):
-    return _event_hits_of(spark, sf_dir, specs.SUDDEN_INCREASE)
+    return _event_hits_of(spark, sf_dir, specs.SUDDEN_INCREASE, "sum_amount")
 
 
 @query
 def sudden_decrease(spark, sf_dir):
-    return _event_hits_of(spark, sf_dir, specs.SUDDEN_DECREASE)
+    return _event_hits_of(spark, sf_dir, specs.SUDDEN_DECREASE, "sum_amount")
 
 
 @query
 def zero_activity(spark, sf_dir):
-    return _event_hits_of(spark, sf_dir, specs.ZERO_ACTIVITY)
+    return _event_hits_of(spark, sf_dir, specs.ZERO_ACTIVITY, "sum_activity_count")
 
 
 @query
 def zero_activity_consecutive(spark, sf_dir):
-    rules = specs.rules_frame(spark, [fx.CONSECUTIVE_RULE])
-    return shown(_event_hits(spark, sf_dir, rules), *HIT)
+    history = fx.event_metrics(spark, sf_dir, only=["sum_activity_count"])
+    return shown(_hits_on(history, fx.EVENTS, specs.rules_frame(spark, [fx.CONSECUTIVE_RULE])), *HIT)
 
 
 @query
 def missing_periods(spark, sf_dir):
     errors = fx.events(spark, sf_dir).filter(F.col("event_type") == "error")
-    counts = metrics.to_long(metrics.period_metrics(errors, fx.EVENTS).select("period_start", "row_count"))
-    return shown(detectors.missing_periods(metrics.tag_metrics(counts, fx.EVENTS, fx.RUN, fx.AS_OF), "hourly"))
+    counts = metrics.compute_metrics(errors, fx.EVENTS, fx.RUN, fx.AS_OF, only=["row_count"])
+    return shown(detectors.missing_periods(counts, "hourly"))
 
 
 @query
 def stale_data(spark, sf_dir):
-    return _event_hits_of(spark, sf_dir, specs.STALE_DATA)
+    return _event_hits_of(spark, sf_dir, specs.STALE_DATA, specs.LAST_UPDATED)
 
 
 @query
 def duplicate_spike(spark, sf_dir):
     counts = metrics.duplicate_history(fx.events(spark, sf_dir), fx.EVENTS)
     history = metrics.tag_metrics(counts, fx.EVENTS, fx.RUN, fx.AS_OF)
-    rules = fx.rules(spark, "events", specs.DUPLICATE_SPIKE)
-    return shown(_event_hits(spark, sf_dir, rules, history), *HIT)
+    return shown(_hits_on(history, fx.EVENTS, fx.rules(spark, "events", specs.DUPLICATE_SPIKE)), *HIT)
 
 
 @query
 def null_spike(spark, sf_dir):
-    return _event_hits_of(spark, sf_dir, specs.NULL_SPIKE)
+    ratios = [f"{specs.NULL_RATIO}_{c}" for c in fx.EVENTS.monitored_null_columns]
+    return _event_hits_of(spark, sf_dir, specs.NULL_SPIKE, *ratios)
 
 
 @query
@@ -276,9 +273,9 @@ def value_zscore(spark, sf_dir):
 
 
 def _all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return detectors.detect(
-        fx.all_metrics(spark, sf_dir), fx.sources(spark, sf_dir), fx.rules(spark), fx.VALUE_RULES, fx.AS_OF, fx.RUN
-    )
+    tables = fx.sources(spark, sf_dir)
+    history = metrics.compute_all(tables, fx.RUN, fx.AS_OF)
+    return detectors.detect(history, tables, fx.rules(spark), fx.VALUE_RULES, fx.AS_OF, fx.RUN)
 
 
 @query
