@@ -130,7 +130,7 @@ def detect_value_anomalies(
         F.lit(spec.table_name).alias("table_name"),
         F.lit(rule.params["metric"]).alias("column_name"),
         F.lit(specs.VALUE_ANOMALY).alias("anomaly_type"),
-        F.lit(rule.severity).alias("severity"),
+        F.lit(rule.severity).cast("string").alias("severity"),
         period_of(spec.timestamp_column, spec.trunc_unit).alias("period_start"),
         F.lit(rule.params["metric"]).alias("metric_name"),
         value.cast("double").alias("detected_value"),

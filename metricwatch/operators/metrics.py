@@ -77,20 +77,17 @@ def to_long(wide: DataFrame) -> DataFrame:
 def duplicate_count(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Excess rows over one per business key in the whole table, tagged to its latest period.
 
-    Rows whose key is null form one group. The latest period travels with the key counts, so the key
+    Rows whose key is null form one group. The latest event time travels with the key counts, so the key
     columns and event time are read once. An empty table gives no row.
     """
     keys = [named(column) for column in spec.duplicate_key_columns]
-    per_key = with_period(df, spec).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.max("period_start").alias("_latest")
-    )
-    return (
-        per_key.agg(
-            F.max("_latest").alias("period_start"),
-            F.sum(F.col("_rows") - 1).cast("double").alias("metric_value"),
-        )
-        .filter(F.col("metric_value").isNotNull())
-        .select("period_start", F.lit(DUPLICATE_COUNT).alias("metric_name"), "metric_value")
+    latest = F.max(named(spec.timestamp_column)).alias("_latest")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), latest)
+    whole = per_key.agg(F.max("_latest").alias("_latest"), F.sum(F.col("_rows") - 1).alias("_excess"))
+    return whole.filter(F.col("_excess").isNotNull()).select(
+        period_of("_latest", spec.trunc_unit).alias("period_start"),
+        F.lit(DUPLICATE_COUNT).alias("metric_name"),
+        F.col("_excess").cast("double").alias("metric_value"),
     )
 
 
@@ -102,17 +99,18 @@ def duplicate_history(df: DataFrame, spec: SourceSpec) -> DataFrame:
     sum over periods, and never gathers the rows of a key. It equals the count a run at the end of each
     period would have stored when rows arrive in event-time order. Rows without event time are left out.
     """
-    dated = with_period(df, spec).filter(F.col("period_start").isNotNull())
+    time, unit = named(spec.timestamp_column), spec.trunc_unit
+    dated = df.filter(time.isNotNull())
     keys = [named(column) for column in spec.duplicate_key_columns]
-    per_key = dated.groupBy(*keys).agg(F.min("period_start").alias("period_start"))
-    first_seen = per_key.groupBy("period_start").agg(F.count(F.lit(1)).alias("_keys"))
-    rows = dated.groupBy("period_start").agg(F.count(F.lit(1)).alias("_rows"))
-    so_far = Window.partitionBy(F.lit(spec.table_name)).orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
-    excess = F.col("_rows") - F.coalesce("_keys", F.lit(0))
-    return rows.join(first_seen, "period_start", "left").select(
-        "period_start",
-        F.lit(DUPLICATE_COUNT).alias("metric_name"),
-        F.sum(excess).over(so_far).cast("double").alias("metric_value"),
+    per_key = dated.groupBy(*keys).agg(F.min(time).alias("_first"))
+    first_seen = per_key.groupBy(period_of("_first", unit).alias("period_start")).agg(F.count(F.lit(1)).alias("_keys"))
+    rows = with_period(dated, spec).groupBy("period_start").agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = Window.partitionBy("table_name").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
+    excess = F.sum(F.col("_rows") - F.coalesce("_keys", F.lit(0))).over(so_far)
+    return (
+        rows.join(first_seen, "period_start", "left")
+        .withColumn("table_name", F.lit(spec.table_name))
+        .select("period_start", F.lit(DUPLICATE_COUNT).alias("metric_name"), excess.cast("double").alias("metric_value"))
     )
 
 

@@ -114,6 +114,11 @@ def existing_tables(spark: SparkSession, schema: str) -> DataFrame:
     return listed.filter("NOT isTemporary").select(F.concat_ws(".", F.lit(schema), "tableName").alias("table_name"))
 
 
+def missing_tables(rules: DataFrame, existing: DataFrame) -> DataFrame:
+    """Tables that rules name but that no longer exist."""
+    return rules.select("table_name").distinct().join(existing.select("table_name"), "table_name", "left_anti")
+
+
 def retire_rules(rules: DataFrame, existing: DataFrame) -> DataFrame:
     """The rules with those of tables that no longer exist switched off."""
     present = existing.select("table_name").distinct().withColumn("_present", F.lit(True))

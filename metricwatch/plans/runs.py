@@ -18,7 +18,7 @@ from metricwatch.operators.alerts import AlertSettings
 from metricwatch.operators.anomaly_log import new_anomalies, pending_anomalies
 from metricwatch.operators.detectors import detect, detect_missing_periods
 from metricwatch.operators.metrics import compute_all
-from metricwatch.operators.rules import retire_rules, value_rules
+from metricwatch.operators.rules import missing_tables, retire_rules, value_rules
 from metricwatch.sources import state
 from metricwatch.sources.state import StateTables
 from metricwatch.specs import Rule, SourceSpec, rules_frame
@@ -111,8 +111,12 @@ def record_outcomes(
 
 
 def run_retirement(tables: StateTables, existing: DataFrame) -> int:
-    """Switch off the rules of tables that no longer exist; returns the rules kept in the table."""
-    return tables.overwrite(state.RULES, retire_rules(tables.read(state.RULES), existing))
+    """Switch off the rules of tables that no longer exist; returns how many tables that were."""
+    rules = tables.read(state.RULES)
+    missing = missing_tables(rules.filter("enabled"), existing).count()
+    if missing:
+        tables.overwrite(state.RULES, retire_rules(rules, existing))
+    return missing
 
 
 def pending(tables: StateTables, settings: AlertSettings) -> DataFrame:
