@@ -28,6 +28,7 @@ from metricwatch.operators.baseline import (
     with_latest,
     with_run_length,
 )
+from metricwatch.operators.metrics import since_period
 from metricwatch.operators.rules import enabled_rules, watched_metrics
 from metricwatch.specs import ANOMALY_SCHEMA, GRAINS, Rule, SourceSpec, metric_columns
 
@@ -103,19 +104,26 @@ def detect_metric_anomalies(
 
 
 def detect_value_anomalies(
-    df: DataFrame, spec: SourceSpec, rule: Rule, as_of: datetime | str, run_id: str
+    df: DataFrame,
+    spec: SourceSpec,
+    rule: Rule,
+    as_of: datetime | str,
+    run_id: str,
+    since: datetime | str | None = None,
 ) -> DataFrame:
     """Source rows whose value breaks a fixed bound, or lies too many standard deviations from the mean.
 
     Only the value, the event time and the columns that tell rows apart are read, and the bounds reach the
-    scan. Mean and deviation are those of the whole table and enter as a scalar subquery.
+    scan. Mean and deviation are those of the whole table and enter as a scalar subquery. With ``since`` only
+    rows of the periods from there on are judged.
     """
     value = named(rule.params["metric"])
+    judged = df if since is None else since_period(df, spec, since)
     if rule.params.get("use_fixed_threshold", True):
         lower, upper = rule.params["fixed_lower_threshold"], rule.params["fixed_upper_threshold"]
         # Fixed value: the note for fixed bounds.
         note = f"outside [{lower}, {upper}]"
-        hits, baseline = df.filter((value > upper) | (value < lower)), F.lit(None)
+        hits, baseline = judged.filter((value > upper) | (value < lower)), F.lit(None)
     else:
         bound = rule.params["zscore_threshold"]
         # Fixed value: the note for z-scores.
@@ -123,7 +131,7 @@ def detect_value_anomalies(
         numbers = df.agg(F.struct(F.avg(value).alias("mean"), F.stddev(value).alias("deviation"))).scalar()
         mean, deviation = numbers["mean"], numbers["deviation"]
         # A constant column has deviation zero, the score is null and nothing fires.
-        hits, baseline = df.filter(F.abs(F.try_divide(value - mean, deviation)) >= bound), mean
+        hits, baseline = judged.filter(F.abs(F.try_divide(value - mean, deviation)) >= bound), mean
     # Without declared ids, rows are told apart by business key and event time.
     identity = spec.id_columns or (*spec.duplicate_key_columns, spec.timestamp_column)
     found = hits.select(
@@ -198,10 +206,12 @@ def detect(
     run_id: str,
     window: int = 24,
     min_history: int = 5,
+    since: datetime | str | None = None,
 ) -> DataFrame:
     """Every anomaly of the given tables as one plan.
 
-    ``rules`` drives the metric checks; ``values`` maps a table's name to its value rule.
+    ``rules`` drives the metric checks; ``values`` maps a table's name to its value rule. With ``since`` the
+    value rules skip rows of earlier periods; the metric checks always cover the whole history.
     """
     sources = list(sources)
     columns = metric_columns(metrics.sparkSession, [spec for _, spec in sources])
@@ -209,5 +219,5 @@ def detect(
     for df, spec in sources:
         rule = values.get(spec.table_name)
         if rule is not None and rule.enabled:
-            frames.append(detect_value_anomalies(df, spec, rule, as_of, run_id))
+            frames.append(detect_value_anomalies(df, spec, rule, as_of, run_id, since))
     return reduce(DataFrame.unionByName, frames)

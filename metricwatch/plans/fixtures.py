@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metricwatch.operators.alerts import AlertSettings
-from metricwatch.operators.metrics import compute_all, compute_metrics
+from metricwatch.operators.metrics import compute_all, compute_metrics, with_period
 from metricwatch.operators.rules import seed_rules
 from metricwatch.sources.state import StateTables
-from metricwatch.specs import ANOMALY_TYPES, Rule, SourceSpec, rules_frame
+from metricwatch.specs import ANOMALY_TYPES, ROW_COUNT, Rule, SourceSpec, rules_frame
 
 AS_OF = "2024-02-01 00:00:00"
 SPLIT = datetime(2024, 1, 15)
@@ -143,9 +143,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").selectExpr(
-        "*", money("l_extendedprice", "price"), money("l_quantity", "quantity")
-    )
+    return table(spark, sf_dir, "lineitem").selectExpr("*", "l_extendedprice AS price", "l_quantity AS quantity")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, SourceSpec]]:
@@ -180,15 +178,16 @@ def rules(spark: SparkSession, table_name: str | None = None, *types: str) -> Da
 def feed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules of one feed per supplier, so that the rules table grows with the data.
 
-    Some feeds are off, some rules lack a severity or a route, and some are of an unknown type.
+    Feeds of suppliers with a low balance are off, some rules lack a severity or a route, and suppliers with a
+    high balance have a rule of an unknown type.
     """
     severities = F.array(*(F.lit(s).cast("string") for s in ("CRITICAL", "HIGH", "MEDIUM", "LOW", "INFO", None)))
     known = F.array(*map(F.lit, ANOMALY_TYPES))
-    types = F.when(F.col("s_suppkey") % 10 == 0, F.array_append(known, F.lit("schema_drift"))).otherwise(known)
+    types = F.when(F.col("s_acctbal") >= 8000, F.array_append(known, F.lit("schema_drift"))).otherwise(known)
     suppliers = table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("feed_"), "s_suppkey").alias("table_name"),
         F.explode(types).alias("anomaly_type"),
-        (F.col("s_suppkey") % 3 != 0).alias("enabled"),
+        (F.col("s_acctbal") >= 1000).alias("enabled"),
         F.get(severities, (F.col("s_nationkey") % 6).cast("int")).alias("severity"),
         F.lit("sum_price").alias("metric"),
         (F.col("s_nationkey") + 50).alias("threshold_pct"),
@@ -196,6 +195,19 @@ def feed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seed_rules(suppliers, ["metric", "threshold_pct"])
 
 
+def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of one feed per event type, some of which are silent for hours."""
+    counts = with_period(events(spark, sf_dir), EVENTS).groupBy("event_type", "period_start").agg(
+        F.count(F.lit(1)).cast("double").alias("metric_value")
+    )
+    return counts.select(
+        F.concat(F.lit("events_"), "event_type").alias("table_name"),
+        "period_start",
+        F.lit(ROW_COUNT).alias("metric_name"),
+        "metric_value",
+    )
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder in the place the cluster names for written intermediate tables."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="metricwatch-")

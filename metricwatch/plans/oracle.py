@@ -49,7 +49,7 @@ step("ev_recent", f"SELECT * FROM ev WHERE event_time >= {SPLIT}", "ev")
 step("od", "SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders")
 step(
     "li",
-    "SELECT *, CAST(l_extendedprice AS DECIMAL(18,2)) AS price, CAST(l_quantity AS DECIMAL(18,2)) AS quantity FROM lineitem",
+    "SELECT *, l_extendedprice AS price, l_quantity AS quantity FROM lineitem",
 )
 
 
@@ -307,7 +307,7 @@ def identified(body: str) -> str:
 step("ev_found", identified(event_hits("ev", "ev_long")), "ev", "ev_long_base", "ev_long")
 step("early_found", identified(event_hits("ev_early", "early_long")), "ev_early", "early_long_base", "early_long")
 step("found", identified(event_hits("ev", "all_long") + " UNION ALL " + OTHER_HITS), "ev", "od", "all_long_base", "all_long")
-step("logged", "SELECT *, day(period_start) % 2 = 0 AS alerted FROM found", "found")
+step("logged", "SELECT *, anomaly_type = 'sudden_decrease' AS alerted FROM found", "found")
 step("pending", "SELECT * FROM logged WHERE NOT alerted", "logged")
 
 HIT = "table_name, column_name, anomaly_type, severity, period_start, metric_name, detected_value, baseline_value, threshold_used"
@@ -333,12 +333,16 @@ step(
         FROM ev_long_base WHERE metric_name = 'sum_activity_count') WHERE metric_value = 0""",
     "ev_long_base",
 )
-step("error_hours", "SELECT date_trunc('hour', ts) AS period_start, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1")
+step(
+    "feed_hours",
+    """SELECT 'events_' || event_type AS table_name, date_trunc('hour', ts) AS period_start, count(*) AS n
+    FROM events GROUP BY ALL""",
+)
 step(
     "calendar",
-    """SELECT unnest(generate_series((SELECT min(period_start) FROM error_hours),
-    (SELECT max(period_start) FROM error_hours), INTERVAL 1 HOUR)) AS period_start""",
-    "error_hours",
+    """SELECT table_name, unnest(generate_series(min(period_start), max(period_start), INTERVAL 1 HOUR)) AS period_start
+    FROM feed_hours GROUP BY table_name""",
+    "feed_hours",
 )
 
 
@@ -452,13 +456,13 @@ def digest_column(label: str, column: str) -> str:
 
 step(
     "feed_rules",
-    """SELECT 'feed_' || s_suppkey AS table_name, anomaly_type, s_suppkey % 3 <> 0 AS enabled,
+    """SELECT 'feed_' || s_suppkey AS table_name, anomaly_type, s_acctbal >= 1000 AS enabled,
     CASE s_nationkey % 6 WHEN 0 THEN 'CRITICAL' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM' WHEN 3 THEN 'LOW'
         WHEN 4 THEN 'INFO' END AS severity,
     '{"metric":"sum_price","threshold_pct":' || (s_nationkey + 50) || '}' AS rule_json, s_suppkey
     FROM supplier, (VALUES ('sudden_increase'), ('sudden_decrease'), ('value_anomaly'), ('missing_zero_activity'),
         ('stale_data'), ('duplicate_record_anomaly'), ('null_data_quality_spike'), ('schema_drift')) AS t(anomaly_type)
-    WHERE anomaly_type <> 'schema_drift' OR s_suppkey % 10 = 0""",
+    WHERE anomaly_type <> 'schema_drift' OR s_acctbal >= 8000""",
 )
 step(
     "applied",
@@ -569,12 +573,13 @@ ORACLE: dict[str, str] = {
     "zero_activity": one(zero("ev_long_base"), "ev_long_base"),
     "zero_activity_consecutive": one(zero("zero_runs", " AND run >= 2"), "zero_runs"),
     "missing_periods": sql(
-        """SELECT 'events' AS table_name, c.period_start, 'row_count' AS metric_name, 0.0::DOUBLE AS detected_value,
-        (SELECT CAST(arg_max(n, h.period_start) AS DOUBLE) FROM error_hours h WHERE h.period_start < c.period_start)
-            AS baseline_value
-        FROM calendar c LEFT JOIN error_hours e ON e.period_start = c.period_start WHERE e.period_start IS NULL""",
+        """SELECT table_name, c.period_start, 'row_count' AS metric_name, 0.0::DOUBLE AS detected_value,
+        (SELECT CAST(arg_max(n, h.period_start) AS DOUBLE) FROM feed_hours h
+            WHERE h.table_name = c.table_name AND h.period_start < c.period_start) AS baseline_value
+        FROM calendar c WHERE NOT EXISTS (SELECT 1 FROM feed_hours f
+            WHERE f.table_name = c.table_name AND f.period_start = c.period_start)""",
         "calendar",
-        "error_hours",
+        "feed_hours",
     ),
     "stale_data": one(stale("ev_long"), "ev_long"),
     "duplicate_spike": one(duplicates("dup_long_base"), "dup_long_base"),

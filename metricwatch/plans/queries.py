@@ -236,9 +236,7 @@ def zero_activity_consecutive(spark, sf_dir):
 
 @query
 def missing_periods(spark, sf_dir):
-    errors = fx.events(spark, sf_dir).filter(F.col("event_type") == "error")
-    counts = metrics.compute_metrics(errors, fx.EVENTS, fx.RUN, fx.AS_OF, only=["row_count"])
-    return shown(detectors.missing_periods(counts, "hourly"))
+    return shown(detectors.missing_periods(fx.event_type_counts(spark, sf_dir), "hourly"))
 
 
 @query
@@ -325,8 +323,8 @@ def detect_incremental(spark, sf_dir):
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everything detected, with the hits of even days already alerted."""
-    return _all_hits(spark, sf_dir).withColumn("alerted", F.dayofmonth("period_start") % 2 == 0)
+    """Everything detected; the decreases were alerted on by an earlier run."""
+    return _all_hits(spark, sf_dir).withColumn("alerted", F.col("anomaly_type") == specs.SUDDEN_DECREASE)
 
 
 @query

@@ -65,14 +65,18 @@ def run_detection(
     window: int = 24,
     min_history: int = 5,
     find_missing_periods: bool = False,
+    since: datetime | str | None = None,
 ) -> DataFrame:
-    """Log the anomalies that are not logged yet; returns the rows this run added."""
+    """Log the anomalies that are not logged yet; returns the rows this run added.
+
+    With ``since`` the value rules read only the sources' periods from there on.
+    """
     sources, run_id, as_of = list(sources), run_id or new_run_id(), as_of or now()
     tables.create(state.ANOMALIES)
     metrics, rules = tables.read(state.METRICS), tables.read(state.RULES)
     specs = [spec for _, spec in sources]
     values = value_rules(rules, [spec.table_name for spec in specs])
-    hits = detect(metrics, sources, rules, values, as_of, run_id, window, min_history)
+    hits = detect(metrics, sources, rules, values, as_of, run_id, window, min_history, since)
     if find_missing_periods:
         hits = hits.unionByName(detect_missing_periods(metrics, rules, specs, as_of, run_id))
     tables.append(state.ANOMALIES, new_anomalies(hits, tables.read(state.ANOMALIES)))

@@ -183,3 +183,9 @@ def test_rolling_median_matches_sorting(spark, window):
     for n, row in enumerate(rows_):
         trailing = sorted(values[max(0, n - window) : n])
         assert row.baseline_median == (trailing[(len(trailing) - 1) // 2] if trailing else None)
+
+
+def test_value_rules_since_a_period(spark):
+    late = rows(spark, 50).unionByName(rows(spark, 60).withColumn("at", F.lit(hour(3.5))))
+    hits = detect_value_anomalies(late, SPEC, BOUNDS, AS_OF, "run", since=hour(3.75)).collect()
+    assert [r.detected_value for r in hits] == [60.0]
