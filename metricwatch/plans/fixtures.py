@@ -105,6 +105,19 @@ CONSECUTIVE_RULE = Rule(
     True,
     {"metric": "sum_activity_count", "zero_activity_value": 0, "consecutive_periods_before_alert": 2},
 )
+# The metrics that the enabled rules above watch.
+WATCHED = {
+    "events": (
+        "sum_amount",
+        "sum_activity_count",
+        "last_updated_epoch",
+        "duplicate_count",
+        "null_ratio_actor_null",
+        "null_ratio_actor_blank",
+    ),
+    "orders": ("sum_price", "row_count"),
+    "lineitem": ("sum_quantity",),
+}
 VALUE_RULES = {rule.table_name: rule for rule in RULES if rule.anomaly_type == "value_anomaly"}
 
 ROUTING = {"CRITICAL": ["email", "teams"], "HIGH": ["email", "slack"], "MEDIUM": ["email"], "LOW": ["slack", "pager"]}

@@ -272,7 +272,7 @@ def value_zscore(spark, sf_dir):
 
 def _all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fx.sources(spark, sf_dir)
-    history = metrics.compute_all(tables, fx.RUN, fx.AS_OF)
+    history = metrics.compute_all(tables, fx.RUN, fx.AS_OF, only=fx.WATCHED)
     return detectors.detect(history, tables, fx.rules(spark), fx.VALUE_RULES, fx.AS_OF, fx.RUN)
 
 
@@ -316,7 +316,7 @@ def detect_incremental(spark, sf_dir):
     rules = fx.rules(spark, "events")
 
     def run(rows: DataFrame) -> DataFrame:
-        history = metrics.compute_all([(rows, spec)], fx.RUN, fx.AS_OF)
+        history = metrics.compute_metrics(rows, spec, fx.RUN, fx.AS_OF, only=fx.WATCHED["events"])
         return detectors.detect(history, [(rows, spec)], rules, values, fx.AS_OF, fx.RUN)
 
     return shown(anomaly_log.new_anomalies(run(events), run(before)), "anomaly_id", *HIT)

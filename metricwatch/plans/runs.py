@@ -21,7 +21,7 @@ from metricwatch.operators.metrics import compute_all
 from metricwatch.operators.rules import missing_tables, retire_rules, value_rules
 from metricwatch.sources import state
 from metricwatch.sources.state import StateTables
-from metricwatch.specs import Rule, SourceSpec, rules_frame
+from metricwatch.specs import ALERT_SCHEMA, OUTBOX_SCHEMA, Rule, SourceSpec, rules_frame
 
 METRIC_KEYS = ("table_name", "period_start", "metric_name")
 METRIC_UPDATES = ("metric_value", "run_id", "computed_at")
@@ -84,10 +84,12 @@ def run_detection(
 
 
 def run_alerting(tables: StateTables, settings: AlertSettings, run_id: str | None = None) -> DataFrame:
-    """Write the outbox of this run; returns its rows for the sender."""
+    """Write the outbox of this run; returns its rows for the sender. A repeated run adds no alert twice."""
     run_id = run_id or new_run_id()
     tables.create(state.OUTBOX)
-    tables.append(state.OUTBOX, alerts.alert_outbox(tables.read(state.ANOMALIES), settings, run_id))
+    outbox = alerts.alert_outbox(tables.read(state.ANOMALIES), settings, run_id)
+    listed = tables.read(state.OUTBOX).select("alert_id")
+    tables.append(state.OUTBOX, outbox.join(listed, "alert_id", "left_anti").select(*OUTBOX_SCHEMA.names))
     return tables.read(state.OUTBOX).filter(F.col("run_id") == run_id)
 
 
@@ -108,10 +110,13 @@ def record_outcomes(
     tables.create(state.ALERTS)
     outbox = tables.read(state.OUTBOX).filter(F.col("run_id") == run_id)
     logged = alerts.alert_log(outbox, outcomes, digest, sent_at or now())
-    tables.append(state.ALERTS, logged)
+    # An outcome that was recorded before, by a run that then failed, is not recorded again.
+    known = tables.read(state.ALERTS).select("alert_id", "status")
+    fresh = logged.join(known, ["alert_id", "status"], "left_anti").select(*ALERT_SCHEMA.names)
+    tables.append(state.ALERTS, fresh)
     of_run = tables.read(state.ALERTS).join(outbox.select("alert_id").distinct(), "alert_id", "left_semi")
     tables.overwrite(state.ANOMALIES, alerts.mark_alerted(tables.read(state.ANOMALIES), of_run))
-    return of_run
+    return of_run.select(*ALERT_SCHEMA.names)
 
 
 def run_retirement(tables: StateTables, existing: DataFrame) -> int:

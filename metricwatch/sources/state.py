@@ -1,9 +1,9 @@
 """The state tables: metric history, anomaly log, alert log, rules and outbox.
 
-Each is a folder of parquet snapshots. A replacement is written beside the snapshot it was computed from and
-becomes current when Spark marks it complete, so a lost executor or a failed job leaves the old one in
-place, and no plan overwrites files it reads. Appends add files to the current snapshot. One run writes at a
-time.
+A table is a folder of snapshots, and a snapshot a folder of parquet parts. An append writes the next part
+and a replacement the first part of the next snapshot; either counts once Spark marks it complete. So a lost
+executor, a failed job or a driver that dies half-way leaves the table as it was, and no plan overwrites files
+it reads. One run writes at a time.
 """
 
 from __future__ import annotations
@@ -43,40 +43,50 @@ class StateTables:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
-    def _snapshots(self, table: str) -> list[int]:
-        """Numbers of the complete snapshots of a table, oldest first."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{table}/snapshot=*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).globStatus(path)
-        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found or ())
+    def _complete(self, table: str) -> dict[int, list[int]]:
+        """The complete parts of each snapshot of a table, oldest first."""
+        found: dict[int, list[int]] = {}
+        path = self._hadoop_path(f"{self.folder}/{table}/snapshot=*/part=*/_SUCCESS")
+        for status in self._file_system(path).globStatus(path) or ():
+            part = status.getPath().getParent()
+            numbers = [int(folder.getName().split("=")[1]) for folder in (part.getParent(), part)]
+            found.setdefault(numbers[0], []).append(numbers[1])
+        return {snapshot: sorted(found[snapshot]) for snapshot in sorted(found)}
 
-    def _path(self, table: str, snapshot: int) -> str:
-        return f"{self.folder}/{table}/snapshot={snapshot:08d}"
+    def _hadoop_path(self, path: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _file_system(self, path):
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+
+    def _path(self, table: str, snapshot: int, part: int) -> str:
+        return f"{self.folder}/{table}/snapshot={snapshot:08d}/part={part:08d}"
 
     def exists(self, table: str) -> bool:
-        return bool(self._snapshots(table))
+        return bool(self._complete(table))
 
     def create(self, table: str, schema: T.StructType | None = None) -> None:
         """Create an empty table; one that exists is left alone."""
         if not self.exists(table):
-            empty = self.spark.createDataFrame([], schema or SCHEMAS[table])
-            empty.write.mode("overwrite").parquet(self._path(table, 1))
+            self.overwrite(table, self.spark.createDataFrame([], schema or SCHEMAS[table]))
 
     def create_all(self) -> None:
         for table in SCHEMAS:
             self.create(table)
 
     def read(self, table: str) -> DataFrame:
-        """The current snapshot. Columns that some of its files lack read as null."""
-        current = self._path(table, self._snapshots(table)[-1])
-        return self.spark.read.option("mergeSchema", True).parquet(current)
+        """The current snapshot. Columns that some of its parts lack read as null."""
+        snapshot, parts = list(self._complete(table).items())[-1]
+        return self.spark.read.option("mergeSchema", True).parquet(*(self._path(table, snapshot, p) for p in parts))
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows, which may bring new columns, and return how many were written."""
-        return self._write(df, self._path(table, self._snapshots(table)[-1]), "append")
+        snapshot, parts = list(self._complete(table).items())[-1]
+        return self._write(df, self._path(table, snapshot, parts[-1] + 1))
 
     def overwrite(self, table: str, df: DataFrame) -> int:
         """Replace the table, which may be read by ``df`` itself, and return how many rows were written."""
-        return self._write(df, self._path(table, (self._snapshots(table) or [0])[-1] + 1), "overwrite")
+        return self._write(df, self._path(table, max(self._complete(table), default=0) + 1, 1))
 
     def upsert(
         self,
@@ -103,12 +113,13 @@ class StateTables:
 
     def prune(self, table: str, keep: int = 2) -> None:
         """Delete all but the newest ``keep`` snapshots. Plans that read the deleted ones must be done."""
-        for snapshot in self._snapshots(table)[: -max(keep, 1)]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(table, snapshot))
-            path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        for snapshot in list(self._complete(table))[: -max(keep, 1)]:
+            path = self._hadoop_path(f"{self.folder}/{table}/snapshot={snapshot:08d}")
+            self._file_system(path).delete(path, True)
 
     @staticmethod
-    def _write(df: DataFrame, path: str, mode: str) -> int:
+    def _write(df: DataFrame, path: str) -> int:
+        # What an earlier, failed attempt left under this path is replaced.
         written = Observation()
-        df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+        df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         return written.get["rows"]

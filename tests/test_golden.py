@@ -117,6 +117,8 @@ def test_alerts(run, spark):
     assert tables.read(state.ANOMALIES).filter("alerted").count() == 0
 
     runs.run_alerting(tables, SETTINGS, "a2")
+    assert runs.run_alerting(tables, SETTINGS, "a2").count() == 17
+    runs.record_outcomes(tables, "a2", none, ("SENT", None), AS_OF)
     sent = runs.record_outcomes(tables, "a2", none, ("SENT", None), AS_OF)
     assert sent.count() == 17
     assert sent.filter("status = 'SKIPPED'").select("error_message").distinct().collect() == [

@@ -100,7 +100,7 @@ def test_overwrite_may_read_itself_and_keeps_the_old_snapshot(spark, tables):
     assert before.count() == 5 and tables.read("t").count() == 2
     tables.overwrite("t", spark.range(1))
     tables.prune("t")
-    assert tables.read("t").count() == 1 and len(tables._snapshots("t")) == 2
+    assert tables.read("t").count() == 1 and len(tables._complete("t")) == 2
 
 
 def test_a_failed_write_leaves_the_table_as_it_was(spark, tables):
@@ -108,8 +108,24 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, tables):
     broken = spark.range(3).withColumn("id", F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
     with pytest.raises(Exception, match="lost"):
         tables.overwrite("t", broken)
+    with pytest.raises(Exception, match="lost"):
+        tables.append("t", broken)
+    assert tables.read("t").count() == 3
+    assert tables.append("t", spark.range(2)) == 2 and tables.read("t").count() == 5
+    assert tables.overwrite("t", spark.range(4)) == 4 and tables.read("t").count() == 4
+
+
+def test_unfinished_writes_do_not_count(spark, tables, tmp_path):
+    tables.overwrite("t", spark.range(3))
+    # What a driver leaves behind that dies before its job is committed.
+    for path in (tables._path("t", 1, 2), tables._path("t", 2, 1)):
+        spark.range(9).write.parquet(path)
+        (tmp_path / path / "_SUCCESS").unlink()
     assert tables.read("t").count() == 3
-    assert tables.overwrite("t", spark.range(4)) == 4
+    tables.append("t", spark.range(1))
+    assert tables.read("t").count() == 4
+    tables.overwrite("t", spark.range(2))
+    assert tables.read("t").count() == 2
 
 
 def test_create_leaves_existing_tables_alone(spark, tables):
