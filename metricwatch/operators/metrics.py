@@ -1,9 +1,10 @@
 """Per-period metrics of a table, in long form.
 
-Every statistic of a table comes from one aggregation by period, so a table is read once however many
-columns are watched. The duplicate count needs its own grouping by business key and reads the key columns
-only. Both are plain sums, counts and extremes, which Spark pre-aggregates before the shuffle: a hot period
-or a hot key arrives as one small partial row per task.
+All statistics of a table come from one aggregation by period, so it is read once. Only very wide tables are
+split by columns, since an aggregation of hundreds of values runs slower than several narrow ones; each pass
+reads its own columns and the event time. The duplicate count needs its own grouping by business key and reads
+the key columns only. All are plain sums, counts and extremes, which Spark pre-aggregates before the shuffle:
+a hot period or a hot key arrives as one small partial row per task.
 
 A row without an event time belongs to the null period, which is kept like any other.
 """
@@ -11,6 +12,7 @@ A row without an event time belongs to the null period, which is kept like any o
 from __future__ import annotations
 
 from collections.abc import Collection, Iterable, Mapping
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -28,6 +30,12 @@ from metricwatch.specs import (
     SourceSpec,
 )
 
+# Spark compiles a stage to one piece of code while its rows have at most 100 fields (the default of
+# spark.sql.codegen.maxFields). An aggregation past that takes several times as long per column. A numeric
+# column's statistics buffer up to 8 fields; the period, row count and ingestion time take the rest.
+FIELDS_PER_PASS = 92
+FIELDS_PER_NUMERIC = 8
+
 
 def with_period(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Add ``period_start``, the bucket of the event time at the table's grain."""
@@ -68,6 +76,25 @@ def period_metrics(df: DataFrame, spec: SourceSpec) -> DataFrame:
     return with_period(df, spec).groupBy("period_start").agg(*columns)
 
 
+def column_passes(spec: SourceSpec, limit: int = FIELDS_PER_PASS) -> list[SourceSpec]:
+    """The spec cut into passes whose aggregation buffers hold at most ``limit`` fields.
+
+    Only the first pass has the ingestion time.
+    """
+    numeric, nulls = "numeric_metric_columns", "monitored_null_columns"
+    columns = [(numeric, c, FIELDS_PER_NUMERIC) for c in spec.numeric_metric_columns]
+    columns += [(nulls, c, 1) for c in spec.monitored_null_columns]
+    passes, room = [{numeric: (), nulls: ()}], limit
+    for role, column, fields in columns:
+        if room < fields:
+            passes.append({numeric: (), nulls: ()})
+            room = limit
+        passes[-1][role] += (column,)
+        room -= fields
+    first, *others = (replace(spec, **roles) for roles in passes)
+    return [first, *(replace(other, ingestion_timestamp_column=None) for other in others)]
+
+
 def to_long(wide: DataFrame) -> DataFrame:
     """One row per period and metric; metrics without a value keep their row."""
     values = [named(column) for column in wide.columns if column != "period_start"]
@@ -150,10 +177,13 @@ def compute_metrics(
     holds the older ones. The duplicate count always covers the whole table. ``only`` names the metrics to
     compute; columns that none of them needs are not read.
     """
-    wide = period_metrics(df if since is None else since_period(df, spec, since), spec)
-    if only is not None:
-        wide = wide.select("period_start", *(named(c) for c in wide.columns if c in only))
-    frames = [to_long(wide)] if len(wide.columns) > 1 else []
+    recent = df if since is None else since_period(df, spec, since)
+    frames = []
+    for number, part in enumerate(column_passes(spec)):
+        wide = period_metrics(recent, part)
+        wanted = [c for c in wide.columns[1:] if (number == 0 or c != ROW_COUNT) and (only is None or c in only)]
+        if wanted:
+            frames.append(to_long(wide.select("period_start", *map(named, wanted))))
     if spec.duplicate_key_columns and (only is None or DUPLICATE_COUNT in only):
         frames.append(duplicate_count(df, spec))
     return tag_metrics(reduce(DataFrame.unionByName, frames), spec, run_id, computed_at)

@@ -6,6 +6,7 @@ from helpers import SPEC, START, TABLE, hour
 
 from metricwatch import SourceSpec
 from metricwatch.operators.metrics import (
+    column_passes,
     compute_all,
     compute_metrics,
     duplicate_count,
@@ -159,3 +160,19 @@ def test_epoch_does_not_depend_on_zone_free_types(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 5), datetime(2024, 1, 1, 6))], "at timestamp_ntz, loaded timestamp_ntz")
     spec = SourceSpec("t", "at", ingestion_timestamp_column="loaded")
     assert period_metrics(df, spec).first()["last_updated_epoch"] == 1704088800.0
+
+
+def test_wide_tables_are_read_in_passes(spark):
+    names = [f"n{i}" for i in range(30)]
+    row = [START, *range(30)]
+    df = spark.createDataFrame([tuple(row)], "at timestamp, " + ", ".join(f"{n} int" for n in names))
+    spec = SourceSpec("w", "at", ingestion_timestamp_column="at", numeric_metric_columns=tuple(names), monitored_null_columns=("n3",))
+    got = values(compute_metrics(df, spec, "run", START))
+    assert len(got) == 1 + 30 * 5 + 1 + 1
+    assert all(got[START, f"sum_n{i}"] == i for i in range(30))
+    assert len(column_passes(spec)) == 3 and len(column_passes(SPEC)) == 1
+    assert [p.numeric_metric_columns for p in column_passes(SourceSpec("t", "at"))] == [()]
+    many = SourceSpec("t", "at", numeric_metric_columns=tuple(names), monitored_null_columns=tuple(map(str, range(100))))
+    passes = column_passes(many)
+    assert [(len(p.numeric_metric_columns), len(p.monitored_null_columns)) for p in passes] == [(11, 0), (11, 0), (8, 28), (0, 72)]
+    assert sum((p.monitored_null_columns for p in passes), ()) == many.monitored_null_columns
