@@ -7,16 +7,14 @@ is shuffled and sorted once. A series has at most one row per period: its length
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 SERIES = ("table_name", "metric_name")
 
 
-def series_window(series: Sequence[str] = SERIES) -> WindowSpec:
-    return Window.partitionBy(*series).orderBy("period_start")
+def series_window() -> WindowSpec:
+    return Window.partitionBy(*SERIES).orderBy("period_start")
 
 
 def metric_history(metrics: DataFrame, *metric_names: str) -> DataFrame:
@@ -29,14 +27,14 @@ def with_previous(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("previous_value", F.lag("metric_value").over(series_window()))
 
 
-def with_baseline(metrics: DataFrame, window: int = 24, series: Sequence[str] = SERIES) -> DataFrame:
+def with_baseline(metrics: DataFrame, window: int = 24) -> DataFrame:
     """Add what a value is compared with.
 
     ``previous_value``; ``baseline_median``, the lower median of the ``window`` rows before this one;
     ``history_count``, the non-null values among these; ``pct_change`` from the median. The window counts
     rows, so gaps in time do not shrink it, and the row itself is never part of it.
     """
-    ordered = series_window(series)
+    ordered = series_window()
     trailing = ordered.rowsBetween(-window, -1)
     return metrics.withColumns(
         {
@@ -47,9 +45,9 @@ def with_baseline(metrics: DataFrame, window: int = 24, series: Sequence[str] =
     ).withColumn("pct_change", percent_change())
 
 
-def with_latest(metrics: DataFrame, series: Sequence[str] = SERIES) -> DataFrame:
+def with_latest(metrics: DataFrame) -> DataFrame:
     """Add ``highest_so_far`` and ``is_latest``: on a series' last row they give its maximum."""
-    ordered = series_window(series)
+    ordered = series_window()
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return metrics.withColumns(
         {
@@ -59,9 +57,9 @@ def with_latest(metrics: DataFrame, series: Sequence[str] = SERIES) -> DataFrame
     )
 
 
-def with_run_length(metrics: DataFrame, value: Column, series: Sequence[str] = SERIES) -> DataFrame:
+def with_run_length(metrics: DataFrame, value: Column) -> DataFrame:
     """Add ``run_length``: how many rows in a row, up to this one, have held exactly ``value``."""
-    ordered = series_window(series)
+    ordered = series_window()
     so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = metrics.withColumn("_row", F.row_number().over(ordered))
     broken_at = F.max(F.when(F.col("metric_value").eqNullSafe(value), None).otherwise(F.col("_row"))).over(so_far)

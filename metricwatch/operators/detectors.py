@@ -1,7 +1,7 @@
 """Detectors: metric history and source rows in, anomaly rows out.
 
 Six of the seven anomaly types look at the metric history. They are one plan: the history of the metrics that
-some rule watches is joined with the rules on table and metric, windowed once, and filtered by the condition
+some rule watches is windowed once, joined with the rules on table and metric, and filtered by the condition
 of each rule's type. The seventh looks at single source rows, next to their scan.
 
 Joins with rules carry no hint. Rules given as configuration have a known size, and rules read from a table
@@ -49,14 +49,15 @@ def _finish(hits: DataFrame, run_id: str, as_of: datetime | str, *identity: str)
 def rules_on_history(metrics: DataFrame, rules: DataFrame, columns: DataFrame, window: int = 24) -> DataFrame:
     """History of every watched metric with its baselines, one row per period and rule.
 
-    Rules come first, so metrics that no rule watches are dropped before the shuffle, and a run of zeros is
-    counted against the value its own rule names. A table has one rule of a type, so with the type a series
-    has one row per period again.
+    Metrics that no rule watches are dropped before the shuffle, and a metric that several rules watch is
+    windowed once. Runs of zeros are counted against the value that the metric's zero-activity rule names.
     """
-    series = (*SERIES, "anomaly_type")
-    history = metrics.select(*SERIES, "period_start", "metric_value")
-    applied = history.join(watched_metrics(rules, columns), list(SERIES))
-    return with_run_length(with_latest(with_baseline(applied, window, series), series), F.col("limit"), series)
+    watched = watched_metrics(rules, columns)
+    zero = F.max(F.when(F.col("anomaly_type") == specs.ZERO_ACTIVITY, F.col("limit")))
+    series = watched.groupBy(*SERIES).agg(zero.alias("zero_value"))
+    history = metrics.select(*SERIES, "period_start", "metric_value").join(series, list(SERIES))
+    history = with_run_length(with_latest(with_baseline(history, window)), F.col("zero_value"))
+    return history.join(watched, list(SERIES))
 
 
 def _fires(min_history: int) -> Column:

@@ -36,7 +36,13 @@ def now() -> datetime:
 
 
 def set_up(tables: StateTables, rules: Iterable[Rule]) -> int:
-    """Create the state tables and replace the rules; returns the number of rules."""
+    """Create the state tables and replace the rules; returns the number of rules.
+
+    A table has one rule of each type.
+    """
+    rules = list(rules)
+    if len({(rule.table_name, rule.anomaly_type) for rule in rules}) < len(rules):
+        raise ValueError("more than one rule of a type for one table")
     tables.create_all()
     return tables.overwrite(state.RULES, rules_frame(tables.spark, rules))
 

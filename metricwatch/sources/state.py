@@ -74,14 +74,20 @@ class StateTables:
         for table in SCHEMAS:
             self.create(table)
 
+    def _current(self, table: str) -> tuple[int, list[int]]:
+        complete = self._complete(table)
+        if not complete:
+            raise ValueError(f"state table {table!r} does not exist under {self.folder}; create it first")
+        return max(complete), complete[max(complete)]
+
     def read(self, table: str) -> DataFrame:
         """The current snapshot. Columns that some of its parts lack read as null."""
-        snapshot, parts = list(self._complete(table).items())[-1]
+        snapshot, parts = self._current(table)
         return self.spark.read.option("mergeSchema", True).parquet(*(self._path(table, snapshot, p) for p in parts))
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows, which may bring new columns, and return how many were written."""
-        snapshot, parts = list(self._complete(table).items())[-1]
+        snapshot, parts = self._current(table)
         return self._write(df, self._path(table, snapshot, parts[-1] + 1))
 
     def overwrite(self, table: str, df: DataFrame) -> int:

@@ -48,6 +48,7 @@ def _schema(*columns: tuple[str, T.DataType, bool]) -> T.StructType:
 
 _string, _double, _time, _flag = T.StringType(), T.DoubleType(), T.TimestampType(), T.BooleanType()
 
+# The columns of the state tables.
 METRICS_SCHEMA = _schema(
     ("run_id", _string, False),
     ("table_name", _string, False),

@@ -186,3 +186,13 @@ def test_catalog_tables(spark, tmp_path):
     assert table_exists(spark, "watched.sales")
     assert read_table(spark, "watched.sales").count() == 3
     spark.sql("DROP TABLE watched.sales")
+
+
+def test_reading_a_missing_table_says_so(tables):
+    with pytest.raises(ValueError, match="'alert_log' does not exist"):
+        tables.read(state.ALERTS)
+
+
+def test_repeated_rules_are_rejected(tables):
+    with pytest.raises(ValueError, match="more than one rule"):
+        runs.set_up(tables, [Rule(TABLE, "stale_data", "LOW"), Rule(TABLE, "stale_data", "HIGH")])
