@@ -125,7 +125,10 @@ class StateTables:
 
     @staticmethod
     def _write(df: DataFrame, path: str) -> int:
-        # What an earlier, failed attempt left under this path is replaced.
+        # Hits are few rows out of very many tasks, or nearly all rows of a few; either way they are evened out
+        # into files of a sensible size. Rows are counted after that, in the tasks that write them. What an
+        # earlier, failed attempt left under this path is replaced.
         written = Observation()
-        df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        even = df.hint("rebalance").observe(written, F.count(F.lit(1)).alias("rows"))
+        even.write.mode("overwrite").parquet(path)
         return written.get["rows"]

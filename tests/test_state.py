@@ -196,3 +196,9 @@ def test_reading_a_missing_table_says_so(tables):
 def test_repeated_rules_are_rejected(tables):
     with pytest.raises(ValueError, match="more than one rule"):
         runs.set_up(tables, [Rule(TABLE, "stale_data", "LOW"), Rule(TABLE, "stale_data", "HIGH")])
+
+
+def test_sparse_rows_are_written_as_few_files(spark, tables, tmp_path):
+    sparse = spark.range(0, 100_000, 1, 64).filter("id % 1000 = 0")
+    assert tables.overwrite("t", sparse) == 100
+    assert len(list(tmp_path.glob("t/*/*/*.parquet"))) <= 2
