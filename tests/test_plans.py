@@ -157,3 +157,13 @@ def test_results_do_not_depend_on_partitioning(spark):
         long = metrics.compute_metrics(df.repartition(parts), SPEC, "r", START)
         found.append({(r.period_start, r.metric_name): r.metric_value for r in long.filter("metric_name not like 'stddev%'").collect()})
     assert found[0] == found[1]
+
+
+def test_bucketed_tables_need_no_shuffle_by_key(spark):
+    hot_rows(spark, 3_000).write.bucketBy(4, "key").sortBy("key").mode("overwrite").saveAsTable("bucketed_rows")
+    try:
+        counted = metrics.duplicate_count(spark.table("bucketed_rows"), SPEC)
+        assert counted.first()["metric_value"] == 999
+        assert "Exchange hashpartitioning" not in planned(counted)
+    finally:
+        spark.sql("DROP TABLE bucketed_rows")
