@@ -15,8 +15,8 @@ def new_anomalies(hits: DataFrame, log: DataFrame, salts: int = 16) -> DataFrame
     """Hits that are not in the log yet. Keys compare null-safely; hits are not compared with each other.
 
     One hour of one table can hold most hits of a run, when a bound is broken by nearly every row. So hits
-    are spread over ``salts`` parts by their id, and the distinct logged keys, of which there is at most one
-    per table, column, type and period, are repeated for each part.
+    are spread over ``salts`` parts by their id, which is one row's, and the distinct logged keys, of which
+    there is at most one per table, column, type and period, are repeated for each part.
     """
     logged = log.select(*(F.col(key).alias(f"_logged_{key}") for key in LOG_KEYS)).distinct()
     logged = logged.withColumn("_logged_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -34,7 +34,7 @@ from metricwatch.specs import ANOMALY_SCHEMA, GRAINS, Rule, SourceSpec, metric_c
 
 
 def _finish(hits: DataFrame, run_id: str, as_of: datetime | str, *identity: str) -> DataFrame:
-    """Bring hits into the anomaly schema. Ids depend only on what was found, so a rerun gives the same ones."""
+    """Bring hits into the anomaly schema. Ids depend on what was found, not on the run or its time."""
     keys = ("table_name", "column_name", "anomaly_type", "unix_micros(period_start)", "metric_name")
     return hits.withColumns(
         {
@@ -133,8 +133,9 @@ def detect_value_anomalies(
         mean, deviation = numbers["mean"], numbers["deviation"]
         # A constant column has deviation zero, the score is null and nothing fires.
         hits, baseline = judged.filter(F.abs(F.try_divide(value - mean, deviation)) >= bound), mean
-    # Without declared ids, rows are told apart by business key and event time.
-    identity = spec.id_columns or (*spec.duplicate_key_columns, spec.timestamp_column)
+    # Without declared ids, rows are told apart by their place in the scan, so that many copies of one row are
+    # still that many anomalies and never one hot id.
+    identity = [named(c) for c in spec.id_columns] or [F.monotonically_increasing_id()]
     found = hits.select(
         F.lit(spec.table_name).alias("table_name"),
         F.lit(rule.params["metric"]).alias("column_name"),
@@ -145,7 +146,7 @@ def detect_value_anomalies(
         value.cast("double").alias("detected_value"),
         baseline.cast("double").alias("baseline_value"),
         F.lit(note).alias("threshold_used"),
-        F.array(*(named(c).cast("string") for c in identity)).alias("_identity"),
+        F.array(*(part.cast("string") for part in identity)).alias("_identity"),
     ).withColumn("message", messages.value_message())
     return _finish(found, run_id, as_of, "detected_value", *(f"_identity[{i}]" for i in range(len(identity))))
 

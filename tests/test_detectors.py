@@ -189,3 +189,10 @@ def test_value_rules_since_a_period(spark):
     late = rows(spark, 50).unionByName(rows(spark, 60).withColumn("at", F.lit(hour(3.5))))
     hits = detect_value_anomalies(late, SPEC, BOUNDS, AS_OF, "run", since=hour(3.75)).collect()
     assert [r.detected_value for r in hits] == [60.0]
+
+
+def test_copies_without_ids_are_separate_anomalies(spark):
+    bare = SourceSpec(TABLE, "at", numeric_metric_columns=("amount",))
+    copies = spark.range(0, 4, 1, 2).select(F.lit(START).alias("at"), F.lit(99.0).alias("amount"))
+    hits = detect_value_anomalies(copies, bare, BOUNDS, AS_OF, "run").collect()
+    assert len(hits) == 4 and len({r.anomaly_id for r in hits}) == 4
