@@ -28,7 +28,7 @@ from metricwatch.operators.baseline import (
     with_latest,
     with_run_length,
 )
-from metricwatch.operators.metrics import since_period
+from metricwatch.operators.metrics import since_period, source_columns
 from metricwatch.operators.rules import enabled_rules, watched_metrics
 from metricwatch.specs import ANOMALY_SCHEMA, GRAINS, Rule, SourceSpec, metric_columns
 
@@ -119,6 +119,7 @@ def detect_value_anomalies(
     rows of the periods from there on are judged.
     """
     value = named(rule.params["metric"])
+    df = source_columns(df, spec, rule.params["metric"])
     judged = df if since is None else since_period(df, spec, since)
     if rule.params.get("use_fixed_threshold", True):
         lower, upper = rule.params["fixed_lower_threshold"], rule.params["fixed_upper_threshold"]

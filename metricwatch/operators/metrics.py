@@ -37,9 +37,26 @@ FIELDS_PER_PASS = 92
 FIELDS_PER_NUMERIC = 8
 
 
+def source_columns(df: DataFrame, spec: SourceSpec, *others: str) -> DataFrame:
+    """The table with the nested fields that the spec names by path as columns of their own."""
+    used = [
+        spec.timestamp_column,
+        spec.ingestion_timestamp_column,
+        spec.status_column,
+        *spec.id_columns,
+        *spec.duplicate_key_columns,
+        *spec.monitored_null_columns,
+        *spec.numeric_metric_columns,
+        *others,
+    ]
+    nested = {column: F.col(column) for column in used if column and column not in df.columns}
+    return df.withColumns(nested) if nested else df
+
+
 def with_period(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Add ``period_start``, the bucket of the event time at the table's grain."""
-    return df.withColumn("period_start", period_of(spec.timestamp_column, spec.trunc_unit))
+    period = period_of(spec.timestamp_column, spec.trunc_unit)
+    return source_columns(df, spec).withColumn("period_start", period)
 
 
 def _statistics(column: str) -> list[Column]:
@@ -58,22 +75,24 @@ def _statistics(column: str) -> list[Column]:
 
 def null_counts(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Null or blank cells per period, one column per watched column, beside the period's row count."""
-    counts = [F.expr(f"count_if({is_blank(df, c)})").alias(f"null_count_{c}") for c in spec.monitored_null_columns]
-    return with_period(df, spec).groupBy("period_start").agg(F.count(F.lit(1)).alias(ROW_COUNT), *counts)
+    rows = with_period(df, spec)
+    counts = [F.expr(f"count_if({is_blank(rows, c)})").alias(f"null_count_{c}") for c in spec.monitored_null_columns]
+    return rows.groupBy("period_start").agg(F.count(F.lit(1)).alias(ROW_COUNT), *counts)
 
 
 def period_metrics(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """All metrics of each period as one wide row, from one pass over the table."""
+    rows = with_period(df, spec)
     columns = [F.expr("CAST(count(1) AS DOUBLE)").alias(ROW_COUNT)]
     for column in spec.numeric_metric_columns:
         columns += _statistics(column)
     for column in spec.monitored_null_columns:
-        ratio = f"CAST(count_if({is_blank(df, column)}) AS DOUBLE) / CAST(count(1) AS DOUBLE)"
+        ratio = f"CAST(count_if({is_blank(rows, column)}) AS DOUBLE) / CAST(count(1) AS DOUBLE)"
         columns.append(F.expr(ratio).alias(f"{NULL_RATIO}_{column}"))
     if spec.ingestion_timestamp_column:
         latest = F.max(named(spec.ingestion_timestamp_column))
         columns.append(latest.cast("timestamp").cast("double").alias(LAST_UPDATED))
-    return with_period(df, spec).groupBy("period_start").agg(*columns)
+    return rows.groupBy("period_start").agg(*columns)
 
 
 def column_passes(spec: SourceSpec, limit: int = FIELDS_PER_PASS) -> list[SourceSpec]:
@@ -109,7 +128,7 @@ def duplicate_count(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """
     keys = [named(column) for column in spec.duplicate_key_columns]
     latest = F.max(named(spec.timestamp_column)).alias("_latest")
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), latest)
+    per_key = source_columns(df, spec).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), latest)
     whole = per_key.agg(F.max("_latest").alias("_latest"), F.sum(F.col("_rows") - 1).alias("_excess"))
     return whole.filter(F.col("_excess").isNotNull()).select(
         period_of("_latest", spec.trunc_unit).alias("period_start"),
@@ -127,7 +146,7 @@ def duplicate_history(df: DataFrame, spec: SourceSpec) -> DataFrame:
     period would have stored when rows arrive in event-time order. Rows without event time are left out.
     """
     time, unit = named(spec.timestamp_column), spec.trunc_unit
-    dated = df.filter(time.isNotNull())
+    dated = source_columns(df, spec).filter(time.isNotNull())
     keys = [named(column) for column in spec.duplicate_key_columns]
     per_key = dated.groupBy(*keys).agg(F.min(time).alias("_first"))
     first_seen = per_key.groupBy(period_of("_first", unit).alias("period_start")).agg(F.count(F.lit(1)).alias("_keys"))
@@ -147,8 +166,9 @@ def since_period(df: DataFrame, spec: SourceSpec, since: datetime | str) -> Data
     The bound is cast to the column's own type and lies on a period's edge, so it reaches the scan and no
     period is cut.
     """
-    kind = df.schema[spec.timestamp_column].dataType
-    return df.filter(named(spec.timestamp_column) >= F.date_trunc(spec.trunc_unit, moment(since)).cast(kind))
+    rows = source_columns(df, spec)
+    kind = rows.schema[spec.timestamp_column].dataType
+    return rows.filter(named(spec.timestamp_column) >= F.date_trunc(spec.trunc_unit, moment(since)).cast(kind))
 
 
 def tag_metrics(long: DataFrame, spec: SourceSpec, run_id: str, computed_at: datetime | str) -> DataFrame:
@@ -210,7 +230,7 @@ def compute_all(
 def unexpected_status(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Rows per period and status whose status is not an expected one. A missing status is unexpected."""
     status = named(spec.status_column)
-    unexpected = df.filter(status.isNull() | ~status.isin(*spec.expected_status_values))
+    unexpected = source_columns(df, spec).filter(status.isNull() | ~status.isin(*spec.expected_status_values))
     return (
         with_period(unexpected, spec)
         .groupBy("period_start", status.alias("status"))

@@ -643,6 +643,7 @@ ORACLE: dict[str, str] = {
         "logged",
         "digest_box_log",
     ),
+    "scheduled_run": sql(f"SELECT anomaly_id, 'run-1' AS run_id, {HIT}, message FROM found", "found"),
     "rules_table": sql("SELECT table_name, anomaly_type, enabled, severity, rule_json FROM feed_rules", "feed_rules"),
     "rules_enabled": sql("SELECT table_name, anomaly_type, severity FROM feed_rules WHERE enabled", "feed_rules"),
     "rules_violations": sql(

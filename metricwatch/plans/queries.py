@@ -16,6 +16,7 @@ from metricwatch.operators import alerts, anomaly_log, baseline, detectors, metr
 from metricwatch.operators import rules as rule_ops
 from metricwatch.operators.upsert import upsert
 from metricwatch.plans import fixtures as fx
+from metricwatch.plans import runs
 from metricwatch.plans.runs import METRIC_KEYS, METRIC_UPDATES
 from metricwatch.sources import state
 from metricwatch.sources.tables import ensure_schema, read_csv
@@ -428,6 +429,16 @@ def mark_alerted(spark, sf_dir):
     return shown(alerts.mark_alerted(log, logged), "anomaly_id", *HIT, "alerted")
 
 
+@query
+def scheduled_run(spark, sf_dir):
+    tables, sources = fx.state_tables(spark), fx.sources(spark, sf_dir)
+    runs.set_up(tables, fx.RULES)
+    for run_id in ("run-1", "run-2"):
+        runs.run_metrics(tables, sources, run_id, fx.AS_OF)
+        runs.run_detection(tables, sources, run_id, fx.AS_OF)
+    return shown(tables.read(state.ANOMALIES), "anomaly_id", "run_id", *HIT, "message")
+
+
 # Rules
 
 

@@ -4,7 +4,8 @@ from datetime import datetime, timedelta
 import pytest
 from helpers import SPEC, START, TABLE, hour
 
-from metricwatch import SourceSpec
+from metricwatch import Rule, SourceSpec
+from metricwatch.operators.detectors import detect_value_anomalies
 from metricwatch.operators.metrics import (
     column_passes,
     compute_all,
@@ -139,6 +140,24 @@ def test_column_names_with_dots_and_spaces(spark):
     assert got[START, "sum_a.b"] == 2.0 and got[START, "null_ratio_c d"] == 1.0 and got[START, "duplicate_count"] == 0.0
 
 
+def test_nested_fields_are_named_by_path(spark):
+    schema = "sale struct<at: timestamp, amount: int, key: string, note: string>"
+    df = spark.createDataFrame([((START, 7, "a", " "),), ((START, 9, "a", "x"),)], schema)
+    spec = SourceSpec(
+        "t",
+        "sale.at",
+        duplicate_key_columns=("sale.key",),
+        monitored_null_columns=("sale.note",),
+        numeric_metric_columns=("sale.amount",),
+    )
+    got = values(compute_metrics(df, spec, "run", START, since=START))
+    assert got[START, "sum_sale.amount"] == 16.0 and got[START, "null_ratio_sale.note"] == 0.5
+    assert got[START, "duplicate_count"] == 1.0
+    rule = Rule("t", "value_anomaly", "LOW", True, {"metric": "sale.amount", "fixed_lower_threshold": 0, "fixed_upper_threshold": 8})
+    (hit,) = detect_value_anomalies(df, spec, rule, START, "run").collect()
+    assert (hit.metric_name, hit.detected_value, hit.period_start) == ("sale.amount", 9.0, START)
+
+
 def test_unexpected_status_counts_missing_ones(spark):
     df = spark.createDataFrame([(START, s) for s in ("OK", "BAD", "BAD", None)], "at timestamp, status string")
     spec = SourceSpec("t", "at", status_column="status", expected_status_values=("OK",))
