@@ -42,10 +42,17 @@ def period_of(column: str, unit: str) -> Column:
     return F.date_trunc(unit, named(column))
 
 
+def kind_of(df: DataFrame, column: str) -> T.DataType:
+    """A column's type. Names resolve the way Spark resolves them, so case may differ."""
+    if column in df.columns:
+        return df.schema[column].dataType
+    return df.select(named(column)).schema[0].dataType
+
+
 def is_blank(df: DataFrame, column: str) -> str:
     """SQL: null, or text that is empty after trimming. Only text can be blank, so other types are not cast."""
     test = f"{quoted(column)} IS NULL"
-    if isinstance(df.schema[column].dataType, (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
+    if isinstance(kind_of(df, column), (T.StringType, T.CharType, T.VarcharType, T.BinaryType)):
         test += f" OR trim(CAST({quoted(column)} AS STRING)) = ''"
     return test
 

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from metricwatch.functions.columns import is_blank, moment, named, period_of, quoted
+from metricwatch.functions.columns import is_blank, kind_of, moment, named, period_of, quoted
 from metricwatch.specs import (
     DUPLICATE_COUNT,
     LAST_UPDATED,
@@ -49,8 +49,9 @@ def source_columns(df: DataFrame, spec: SourceSpec, *others: str) -> DataFrame:
         *spec.numeric_metric_columns,
         *others,
     ]
-    nested = {column: F.col(column) for column in used if column and column not in df.columns}
-    return df.withColumns(nested) if nested else df
+    present = set(df.columns)
+    paths = [c for c in used if c and c not in present and c.split(".")[0] in present]
+    return df.withColumns({path: F.col(path) for path in paths}) if paths else df
 
 
 def with_period(df: DataFrame, spec: SourceSpec) -> DataFrame:
@@ -167,8 +168,8 @@ def since_period(df: DataFrame, spec: SourceSpec, since: datetime | str) -> Data
     period is cut.
     """
     rows = source_columns(df, spec)
-    kind = rows.schema[spec.timestamp_column].dataType
-    return rows.filter(named(spec.timestamp_column) >= F.date_trunc(spec.trunc_unit, moment(since)).cast(kind))
+    bound = F.date_trunc(spec.trunc_unit, moment(since)).cast(kind_of(rows, spec.timestamp_column))
+    return rows.filter(named(spec.timestamp_column) >= bound)
 
 
 def tag_metrics(long: DataFrame, spec: SourceSpec, run_id: str, computed_at: datetime | str) -> DataFrame:

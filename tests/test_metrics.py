@@ -158,6 +158,12 @@ def test_nested_fields_are_named_by_path(spark):
     assert (hit.metric_name, hit.detected_value, hit.period_start) == ("sale.amount", 9.0, START)
 
 
+def test_names_may_differ_in_case(spark):
+    df = frame(spark, [(0, "a", " ", 4)]).withColumnRenamed("amount", "Amount").withColumnRenamed("note", "NOTE")
+    got = values(compute_metrics(df.withColumnRenamed("at", "At"), SPEC, "run", START, since=START))
+    assert got[START, "sum_amount"] == 4.0 and got[START, "null_ratio_note"] == 1.0
+
+
 def test_unexpected_status_counts_missing_ones(spark):
     df = spark.createDataFrame([(START, s) for s in ("OK", "BAD", "BAD", None)], "at timestamp, status string")
     spec = SourceSpec("t", "at", status_column="status", expected_status_values=("OK",))
