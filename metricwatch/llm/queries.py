@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from metricwatch.llm import packing, token_files
-from metricwatch.llm.shared import table
+from metricwatch.llm import decontamination, near, packing, quality, token_files
+from metricwatch.llm.shared import remainder, table
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, vocabulary
 
 
@@ -16,13 +17,33 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "overlap", "containment")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE)))
 
 
+def op9_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(remainder("doc_id", quality.FOLDS) == 0, F.lit(False))
+    predicted = (F.col("score") >= quality.ACCEPT).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op7_benchmark_containment": op7_benchmark_containment,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_pairwise_quality": op9_pairwise_quality,
+    "op10_near_copies": op10_near_copies,
 }
-#: SQL that gives the same rows, where SQL can express the operator.
-ORACLE: dict[str, str] = {}
+
+
