@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.llm import decontamination, near, packing, quality, token_files
+from metricwatch.llm import chat, decontamination, near, neighbours, packing, private, quality, token_files
 from metricwatch.llm.shared import remainder, table
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, vocabulary
 
@@ -17,6 +17,26 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = private.entity_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in private.KINDS),
+        F.sha2(private.span_text(private.KINDS), 256).alias("base_sha256"),
+        private.span_text((*private.KINDS, "term")).alias("spans"),
+    )
+
+
+def op5_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    path = vocabulary(BYTE_BPE)
+    return chat.digests(chat.assemble(chat.planted(turns), path), path)
+
+
+def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "n_shingles", "overlap", "containment")
@@ -40,6 +60,9 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op4_disclosure": op4_disclosure,
+    "op5_chat_tokens": op5_chat_tokens,
+    "op6_posting_lists": op6_posting_lists,
     "op7_benchmark_containment": op7_benchmark_containment,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pairwise_quality": op9_pairwise_quality,

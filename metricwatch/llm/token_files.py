@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from metricwatch.llm.shared import new_folder, partitions
+from metricwatch.llm.shared import new_folder, partitions, write
 from metricwatch.llm.text import gather
 from metricwatch.llm.tokens import encoder
 
@@ -156,12 +156,13 @@ def write_token_files(
         if held:
             yield segment()
 
-    ranged.select("doc_id", "text").mapInArrow(segments, _SEGMENTS).write.parquet(f"{path}/segments")
+    written = ranged.select("doc_id", "text").mapInArrow(segments, _SEGMENTS)
+    write(written, f"{path}/segments")
     written = spark.read.schema(_SEGMENTS).parquet(f"{path}/segments")
     # One row per shard, of which there are as many as shuffle partitions.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = written.groupBy("shard").agg(F.sum("n_ids").alias("ids"), F.count(F.lit(1)).alias("segments"))
-    shards.withColumn("shard_start", F.coalesce(F.sum("ids").over(before), F.lit(0))).write.parquet(f"{path}/shards")
+    write(shards.withColumn("shard_start", F.coalesce(F.sum("ids").over(before), F.lit(0))), f"{path}/shards")
     return path
 
 
