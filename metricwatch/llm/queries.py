@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.llm import chat, decontamination, near, neighbours, packing, private, quality, token_files
+from metricwatch.llm import chat, counts, decontamination, near, neighbours, packing, private, quality, token_files
 from metricwatch.llm.shared import remainder, table
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, vocabulary
 
@@ -17,6 +17,22 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+def op2_edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of each document: a piece of itself put in, a stretch taken out, and one put in another's place."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def number(salt: int, below: Column) -> Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(salt)), below).cast("int")
+
+    def edit(salt: int, removed: int, inserted: int) -> Column:
+        at = number(salt, F.length("text") + 1)
+        piece = F.substring("text", number(salt + 1, F.length("text") + 1) + 1, number(salt + 2, F.lit(inserted + 1)))
+        return F.struct(at.alias("at"), number(salt + 3, F.lit(removed + 1)).alias("removed"), piece.alias("inserted"))
+
+    edits = F.array(edit(0, 0, 60), edit(10, 60, 0), edit(20, 20, 20))
+    return counts.edited_counts(docs.withColumn("edits", edits), vocabulary(BYTE_BPE))
+
+
 def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private.entity_spans(table(spark, sf_dir, "documents"))
     return found.select(
@@ -60,6 +76,7 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
+    "op2_edited_counts": op2_edited_counts,
     "op4_disclosure": op4_disclosure,
     "op5_chat_tokens": op5_chat_tokens,
     "op6_posting_lists": op6_posting_lists,

@@ -101,9 +101,8 @@ class Encoder:
         self.keys = np.insert(self.keys, place, keys)
         self.ids = np.concatenate([self.ids, flat])
 
-    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, starts = buffers(texts)
-        first, end, owner = self._bounds(data, starts)
+    def _known(self, data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where each piece stands in the cache, in which all are now."""
         hashes = span_hashes(data, first, end, lower=self.by_words)
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, keys)
@@ -117,14 +116,36 @@ class Encoder:
             new = np.flatnonzero(~known)
             self._learn(data, keys[new], first[where[new]], end[where[new]])
             place = np.searchsorted(self.keys, keys)
-        begins, sizes = self.begins[place][back], self.sizes[place][back]
+        return place[back]
+
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        data, starts = buffers(texts)
+        first, end, owner = self._bounds(data, starts)
+        place = self._known(data, first, end)
+        begins, sizes = self.begins[place], self.sizes[place]
         per_text = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
         return self.ids[gather(begins, sizes)], per_text
 
+    def odd(self, texts: pa.Array) -> np.ndarray:
+        """Texts in which the bounds aren't certain."""
+        pattern = "<[|]" if self.by_words else _WIDE_SPACE + "|<[|]"
+        return pc.match_substring_regex(texts, pattern).to_numpy(zero_copy_only=False)
+
+    def counted(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts' bytes, where each text starts, and of every piece: first byte, text number, number of ids."""
+        data, starts = buffers(texts)
+        first, end, owner = self._bounds(data, starts)
+        place = self._known(data, first, end)
+        return data, starts, first, owner, self.sizes[place]
+
+    def count(self, pieces: list[str]) -> list[int]:
+        """Ids of each text, encoded whole by the library."""
+        return [len(x) for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text; null counts as empty."""
         texts = texts.fill_null("") if texts.null_count else texts
-        odd = pc.match_substring_regex(texts, "<[|]" if self.by_words else _WIDE_SPACE + "|<[|]").to_numpy(zero_copy_only=False)
+        odd = self.odd(texts)
         parts, counts = [np.zeros(0, np.uint32)], np.zeros(len(texts), np.int64)
         for at, piece in slices(texts):
             ids, n = self._pieces(piece)
