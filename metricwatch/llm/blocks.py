@@ -7,6 +7,7 @@ keys' hot values matter to: each task sends a key once.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 
 def dealt(bucket: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -23,3 +24,10 @@ def rows_of(column, dtype) -> list[np.ndarray]:
 def joined(column, dtype) -> np.ndarray:
     parts = rows_of(column, dtype)
     return np.concatenate(parts) if parts else np.zeros(0, dtype)
+
+
+def by_bucket(name: str, begins: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """One row per bucket that has entries, with each column's entries as bytes."""
+    full = np.flatnonzero(np.diff(begins))
+    arrays = [pa.array([x[begins[i] : begins[i + 1]].tobytes() for i in full], pa.binary()) for x in columns.values()]
+    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *arrays], [name, *columns])

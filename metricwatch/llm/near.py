@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricwatch.llm.blocks import dealt, joined, rows_of
+from metricwatch.llm.blocks import by_bucket, dealt, joined, rows_of
 from metricwatch.llm.components import components
 from metricwatch.llm.shared import partitions, stored
 from metricwatch.llm.text import gather, mix, shingles, slices
@@ -99,8 +99,8 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
                 runs = np.flatnonzero(edge)
                 lengths = np.diff(np.append(runs, len(owner))).astype("<u4")
                 run_ids = ids[owner[runs]].astype("<i8")
-                sent = _by_bucket("bucket", begins, keys=keys)
-                runs = _by_bucket("bucket", np.searchsorted(runs, begins), ids=run_ids, lengths=lengths)
+                sent = by_bucket("bucket", begins, keys=keys)
+                runs = by_bucket("bucket", np.searchsorted(runs, begins), ids=run_ids, lengths=lengths)
                 yield pa.RecordBatch.from_arrays([*sent.columns, *runs.columns[1:]], ["bucket", "keys", "ids", "lengths"])
 
     def count(group: pa.Table) -> pa.Table:
@@ -116,7 +116,7 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
         some = counts > 0
         ids, counts = ids[some], counts[some].astype("<u4")
         order, begins = dealt((mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int64), n)
-        return pa.Table.from_batches([_by_bucket("home", begins, ids=ids[order], counts=counts[order])])
+        return pa.Table.from_batches([by_bucket("home", begins, ids=ids[order], counts=counts[order])])
 
     def total(group: pa.Table) -> pa.Table:
         ids, back = np.unique(joined(group.column("ids"), "<i8"), return_inverse=True)
@@ -157,7 +157,7 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
             owner = np.repeat(np.arange(len(sizes)), sizes)
             order, begins = dealt((mix(hashes) % np.uint64(n)).astype(np.int64), n)
             hashes, ids = hashes[order], batch.column("doc_id").to_numpy()[owner[order]].astype("<i8")
-            yield _by_bucket("bucket", begins, sizes=sizes[owner[order]].astype("<u4"), keys=hashes, ids=ids)
+            yield by_bucket("bucket", begins, sizes=sizes[owner[order]].astype("<u4"), keys=hashes, ids=ids)
 
     def rarity(group: pa.Table) -> pa.Table:
         keys, ids, sizes = joined(group.column("keys"), "<u8"), joined(group.column("ids"), "<i8"), joined(group.column("sizes"), "<u4")
@@ -166,7 +166,7 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
         some = found > 1
         keys, ids, sizes, found = keys[some], ids[some], sizes[some], found[some].astype("<u4")
         order, begins = dealt((mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int64), n)
-        return pa.Table.from_batches([_by_bucket("home", begins, keys=keys[order], ids=ids[order], sizes=sizes[order], found=found[order])])
+        return pa.Table.from_batches([by_bucket("home", begins, keys=keys[order], ids=ids[order], sizes=sizes[order], found=found[order])])
 
     def gathered(group: pa.Table) -> pa.Table:
         keys, ids = joined(group.column("keys"), "<u8"), joined(group.column("ids"), "<i8")
@@ -185,13 +185,6 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
     return back.groupBy("home").applyInArrow(gathered, "doc_id long, n long, keys binary")
 
 
-def _by_bucket(name: str, begins: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket that has entries, with each column's entries as bytes."""
-    full = np.flatnonzero(np.diff(begins))
-    arrays = [pa.array([x[begins[i] : begins[i + 1]].tobytes() for i in full], pa.binary()) for x in columns.values()]
-    return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *arrays], [name, *columns])
-
-
 def _ties(sets: DataFrame, percent: int) -> DataFrame:
     """a, b: documents that have one of their rarest n - T + 1 shingles in common, each tied to the least of them.
 
@@ -208,7 +201,7 @@ def _ties(sets: DataFrame, percent: int) -> DataFrame:
             hashes = np.concatenate([np.zeros(0, np.uint64), *(k[:m] for k, m in zip(keys, prefix.tolist(), strict=True))])
             ids = np.repeat(batch.column("doc_id").to_numpy(), prefix).astype("<i8")
             order, begins = dealt((mix(hashes) % np.uint64(n)).astype(np.int64), n)
-            yield _by_bucket("bucket", begins, keys=hashes[order], ids=ids[order])
+            yield by_bucket("bucket", begins, keys=hashes[order], ids=ids[order])
 
     def tie(group: pa.Table) -> pa.Table:
         keys, ids = joined(group.column("keys"), "<u8"), joined(group.column("ids"), "<i8")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.llm import chat, counts, decontamination, near, neighbours, packing, private, quality, token_files
+from metricwatch.llm import chat, counts, decontamination, near, neighbours, packing, pitman_yor, private, quality, token_files
 from metricwatch.llm.shared import remainder, table
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, vocabulary
 
@@ -33,6 +33,11 @@ def op2_edited_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.edited_counts(docs.withColumn("edits", edits), vocabulary(BYTE_BPE))
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = pitman_yor.Model(table(spark, sf_dir, "documents")).scores()
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = private.entity_spans(table(spark, sf_dir, "documents"))
     return found.select(
@@ -77,6 +82,7 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_files": op1_token_files,
     "op2_edited_counts": op2_edited_counts,
+    "op3_pitman_yor": op3_pitman_yor,
     "op4_disclosure": op4_disclosure,
     "op5_chat_tokens": op5_chat_tokens,
     "op6_posting_lists": op6_posting_lists,
