@@ -37,7 +37,9 @@ FOLDS, HELD_OUT = 7, 2
 ROUNDS, SWEEPS = 3, 2
 STRENGTH = 1.0
 #: Documents are scored in so many passes, so that the pairs of one pass are on the move at a time.
-PASSES = 4
+PASSES = 3
+#: Buckets of pairs for each bucket of words, which are fewer: the blocks sent between them are their product.
+PAIRS_PER_WORDS = 6
 #: Tokens of a task that are aggregated at once, and documents at most: their numbers take 15 bits.
 CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 30_000
 
@@ -113,10 +115,11 @@ class Model:
     def __init__(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"):
         """Learns from documents whose id isn't held out by remainder(); ids that are null are learnt from."""
         self.buckets = n = partitions(docs.sparkSession)
+        self.roots = max(2, n // PAIRS_PER_WORDS)
         held = F.coalesce(remainder(id_column, FOLDS) == HELD_OUT, F.lit(False))
         text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
         self.docs = docs.select(F.col(id_column).cast("long").alias("doc_id"), held.alias("held"), text.alias("text"))
-        self.words = stored(self.docs.filter("NOT held").mapInArrow(_count_words(n), _BLOCK).groupBy("bucket").applyInArrow(_sum_words, _WORDS))
+        self.words = stored(self.docs.filter("NOT held").mapInArrow(_count_words(self.roots), _BLOCK).groupBy("bucket").applyInArrow(_sum_words, _WORDS))
         sums = self.words.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "ones", "twos"))).first()
         self.tokens, self.types = int(sums[0]), int(sums[1])
         self.root_discount = _discount(sums[2], sums[3])
@@ -125,14 +128,13 @@ class Model:
         often = self.words.mapInArrow(_often(share), "word long, n long").collect() if self.tokens else []
         self.hot = {r["word"] & (2**64 - 1): (r["n"], min(n, -(-r["n"] // share))) for r in often}
         pairs = self.docs.mapInArrow(_count_pairs(n, self.hot), _BLOCK)
-        self.static = stored(pairs.groupBy("bucket").applyInArrow(_sum_pairs(n, self.hot), _BLOCK + ", ones long, twos long"))
+        self.static = stored(pairs.groupBy("bucket").applyInArrow(_sum_pairs(self.roots, self.hot), _BLOCK + ", ones long, twos long"))
         sums = self.static.agg(F.coalesce(F.sum("ones"), F.lit(0)), F.coalesce(F.sum("twos"), F.lit(0))).first()
         self.static = self.static.drop("ones", "twos")
         self.discount = _discount(sums[0], sums[1])
         self._sample()
 
     def _sample(self) -> None:
-        n = self.buckets
         roots = self.words.selectExpr(f"{_ROOT} AS kind", "bucket", "0L AS source", "keys AS a", "counts AS b", *(f"CAST(NULL AS BINARY) AS {x}" for x in "cdefgh"))
         settings = (self.tokens, self.types, self.root_discount, self.discount)
         static = self.static.withColumn("h", F.lit(None).cast("binary"))  # words that only scoring needs
@@ -141,7 +143,7 @@ class Model:
         hot_tables: dict[int, float] = {}
         for number in range(ROUNDS):
             known = static if seats is None else static.unionByName(seats)
-            sent = known.groupBy("bucket").applyInArrow(_send_tables(n), _BLOCK)
+            sent = known.groupBy("bucket").applyInArrow(_send_tables(self.roots), _BLOCK)
             found = sent.unionByName(root).groupBy("bucket").applyInArrow(_seat_root(settings, totals, number), _BLOCK)
             found = stored(found)
             root = found.filter(F.col("kind") == _ROOT)
@@ -161,7 +163,7 @@ class Model:
     def scores(self) -> DataFrame:
         """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document; see op3's contract."""
         n, settings = self.buckets, (self.tokens, self.types, self.root_discount, self.discount)
-        asked = self.static.select("kind", "bucket", "source", "h").mapInArrow(_ask_words(n), _BLOCK)
+        asked = self.static.select("kind", "bucket", "source", "h").mapInArrow(_ask_words(self.roots), _BLOCK)
         replies = stored(asked.unionByName(self.root).groupBy("bucket").applyInArrow(_tell_words(settings, self.totals), _BLOCK))
         known = self.static.unionByName(self.seats).unionByName(replies)
         hot = {u: (self.hot[u][0], *self.hot_tables.get(u, (0, 0))) for u in self.hot}
@@ -284,7 +286,7 @@ def _count_pairs(n: int, hot: dict):
     return rows
 
 
-def _sum_pairs(n: int, hot: dict):
+def _sum_pairs(roots: int, hot: dict):
     """Static block of a bucket: contexts a, their customers b, pairs met once and not kept c; kept pairs by context
     number d, word number e and count f; the words of kept pairs g, and all words h, both by word bucket."""
 
@@ -305,7 +307,7 @@ def _sum_pairs(n: int, hot: dict):
 
         def by_home(values):
             values = np.unique(values)
-            return values[np.argsort((values % np.uint64(n)).astype(np.int64), kind="stable")]
+            return values[np.argsort((values % np.uint64(roots)).astype(np.int64), kind="stable")]
 
         kept, every = by_home(w[keep]), by_home(w)
         sorted_kept = np.argsort(kept)
