@@ -33,8 +33,10 @@ class Tree:
 
     def __init__(self, text: str, chars: np.ndarray, tokens: np.ndarray):
         self.encoded = 0
+        if not len(chars):
+            chars = tokens = np.zeros(1, np.int64)
         ends = np.cumsum(chars).tolist()
-        self.leaves = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] or [""]
+        self.leaves = [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
         self.size = 1 << (len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = self._sums(chars), self._sums(tokens)
 

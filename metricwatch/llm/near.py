@@ -69,9 +69,9 @@ def set_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
 
 def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """doc_id, shared: how many shingles of a document others have too, or more; documents without any are left out.
+    """set_id, shared: how many shingles of a set (named by its fingerprint's first half) others have too, or more.
 
-    Keys are 32 bits within a bucket, so a few more than the truly shared count; copies in a task are sent once.
+    Keys are 32 bits within a bucket, so a few more than the truly shared count; a task sends a set once. Sets without any are left out.
     """
     n = partitions(docs.sparkSession)
 
@@ -80,16 +80,15 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
         for batch in batches:
             for at, texts in slices(batch.column("text")):
                 hashes, starts = shingles(texts)
-                ids = batch.column("doc_id").slice(at, len(texts)).to_numpy(zero_copy_only=False)
                 a, b = _fingerprints(hashes, starts)
-                new = np.zeros(len(ids), bool)
+                new = np.zeros(len(a), bool)
                 for i, key in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
                     if key not in seen:
                         seen.add(key)
                         new[i] = True
                 sizes = np.where(new, np.diff(starts), 0)
                 hashes = hashes[gather(starts[:-1], sizes)]
-                owner = np.repeat(np.arange(len(ids)), sizes)
+                owner = np.repeat(np.arange(len(a)), sizes)
                 bucket = (hashes % np.uint64(n)).astype(np.int64)
                 order, begins = dealt(bucket, n)
                 keys, owner = (hashes[order] >> np.uint64(32)).astype("<u4"), owner[order]
@@ -98,7 +97,7 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
                 edge[begins[:-1][begins[:-1] < len(owner)]] = True
                 runs = np.flatnonzero(edge)
                 lengths = np.diff(np.append(runs, len(owner))).astype("<u4")
-                run_ids = ids[owner[runs]].astype("<i8")
+                run_ids = a[owner[runs]].astype("<i8")
                 sent = by_bucket("bucket", begins, keys=keys)
                 runs = by_bucket("bucket", np.searchsorted(runs, begins), ids=run_ids, lengths=lengths)
                 yield pa.RecordBatch.from_arrays([*sent.columns, *runs.columns[1:]], ["bucket", "keys", "ids", "lengths"])
@@ -121,30 +120,32 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
     def total(group: pa.Table) -> pa.Table:
         ids, back = np.unique(joined(group.column("ids"), "<i8"), return_inverse=True)
         sums = np.bincount(back, weights=joined(group.column("counts"), "<u4"), minlength=len(ids))
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "shared": pa.array(sums.astype(np.int64))})
+        return pa.table({"set_id": pa.array(ids, pa.int64()), "shared": pa.array(sums.astype(np.int64))})
 
     sent = _read(docs, id_column, text_column).filter("doc_id IS NOT NULL").mapInArrow(send, "bucket int, keys binary, ids binary, lengths binary")
     back = sent.groupBy("bucket").applyInArrow(count, "home int, ids binary, counts binary")
-    return back.groupBy("home").applyInArrow(total, "doc_id long, shared long")
+    return back.groupBy("home").applyInArrow(total, "set_id long, shared long")
 
 
 def _candidates(docs: DataFrame, chosen: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """doc_id, n, keys (the sorted 64-bit hashes as bytes) of the documents in `chosen`."""
+    """set_id, n, keys (the sorted 64-bit hashes as bytes) of the sets in `chosen`, each once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(batch.column("text")):
                 hashes, starts = shingles(texts)
                 keys = [hashes[a:b].astype("<u8").tobytes() for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
-                ids = batch.column("doc_id").slice(at, len(texts))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(starts)), pa.array(keys, pa.binary())], ["doc_id", "n", "keys"])
+                sets = pa.array(_fingerprints(hashes, starts)[0])
+                yield pa.RecordBatch.from_arrays([sets, pa.array(np.diff(starts)), pa.array(keys, pa.binary())], ["set_id", "n", "keys"])
 
-    read = _read(docs, id_column, text_column).join(chosen.hint("shuffle_hash"), "doc_id", "left_semi")
-    return read.mapInArrow(rows, "doc_id long, n long, keys binary")
+    wanted = chosen.select(F.col("rep").alias("doc_id")).distinct()
+    read = _read(docs, id_column, text_column).join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
+    found = read.mapInArrow(rows, "set_id long, n long, keys binary").dropDuplicates(["set_id"])
+    return found.join(chosen.select(F.col("a").alias("set_id")), "set_id", "left_semi")
 
 
 def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
-    """doc_id, n, keys: those shingles that another of these documents has too, the rarest first; see _shared_counts().
+    """set_id, n, keys: those shingles that another of these documents has too, the rarest first; see _shared_counts().
 
     Documents that have fewer than T of them are left out.
     """
@@ -156,7 +157,7 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
             hashes = np.frombuffer(b"".join(batch.column("keys").to_pylist()), "<u8")
             owner = np.repeat(np.arange(len(sizes)), sizes)
             order, begins = dealt((mix(hashes) % np.uint64(n)).astype(np.int64), n)
-            hashes, ids = hashes[order], batch.column("doc_id").to_numpy()[owner[order]].astype("<i8")
+            hashes, ids = hashes[order], batch.column("set_id").to_numpy()[owner[order]].astype("<i8")
             yield by_bucket("bucket", begins, sizes=sizes[owner[order]].astype("<u4"), keys=hashes, ids=ids)
 
     def rarity(group: pa.Table) -> pa.Table:
@@ -178,11 +179,11 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
         enough = (ends - starts) >= threshold(sizes[starts], percent)
         starts, ends = starts[enough], ends[enough]
         raw = [keys[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        return pa.table({"doc_id": pa.array(ids[starts], pa.int64()), "n": pa.array(sizes[starts]), "keys": pa.array(raw, pa.binary())})
+        return pa.table({"set_id": pa.array(ids[starts], pa.int64()), "n": pa.array(sizes[starts]), "keys": pa.array(raw, pa.binary())})
 
-    sent = sets.select("doc_id", "n", "keys").mapInArrow(send, "bucket int, sizes binary, keys binary, ids binary")
+    sent = sets.select("set_id", "n", "keys").mapInArrow(send, "bucket int, sizes binary, keys binary, ids binary")
     back = sent.groupBy("bucket").applyInArrow(rarity, "home int, keys binary, ids binary, sizes binary, found binary")
-    return back.groupBy("home").applyInArrow(gathered, "doc_id long, n long, keys binary")
+    return back.groupBy("home").applyInArrow(gathered, "set_id long, n long, keys binary")
 
 
 def _ties(sets: DataFrame, percent: int) -> DataFrame:
@@ -199,7 +200,7 @@ def _ties(sets: DataFrame, percent: int) -> DataFrame:
             held = np.array([len(k) for k in keys], np.int64)
             prefix = held - threshold(sizes, percent) + 1  # the alone ones come first
             hashes = np.concatenate([np.zeros(0, np.uint64), *(k[:m] for k, m in zip(keys, prefix.tolist(), strict=True))])
-            ids = np.repeat(batch.column("doc_id").to_numpy(), prefix).astype("<i8")
+            ids = np.repeat(batch.column("set_id").to_numpy(), prefix).astype("<i8")
             order, begins = dealt((mix(hashes) % np.uint64(n)).astype(np.int64), n)
             yield by_bucket("bucket", begins, keys=hashes[order], ids=ids[order])
 
@@ -290,13 +291,13 @@ def _searched(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
     """a, b: links that tie the documents of each neighbourhood together."""
     n = partitions(sets.sparkSession)
     blocks = homes.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK_DOCS).cast("int").alias("blocks"))
-    placed = sets.join(homes, sets["doc_id"] == homes["node"]).join(blocks, "component").drop("node")
+    placed = sets.join(homes, sets["set_id"] == homes["node"]).join(blocks, "component").drop("node")
     # Small neighbourhoods share a task; the blocks of a large one meet in pairs.
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
     task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("component"), F.lit(4 * n))).otherwise(F.col("component"))
     placed = placed.withColumn("task", task).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select(
-        "doc_id",
+        "set_id",
         "n",
         "keys",
         "block",
@@ -307,7 +308,7 @@ def _searched(sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
     )
 
     def search(key: tuple, group: pa.Table) -> pa.Table:
-        ids, sizes, block = (group.column(c).to_numpy() for c in ("doc_id", "n", "block"))
+        ids, sizes, block = (group.column(c).to_numpy() for c in ("set_id", "n", "block"))
         left, right = key[2].as_py(), key[3].as_py()
         found = links(ids, sizes, rows_of(group.column("keys"), "<u8"), block == left, block == right, percent)
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
@@ -327,16 +328,18 @@ def near_copies(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     classes = stored(known.groupBy("n_shingles", "a", "b").agg(F.min("doc_id").alias("rep")))
     shared = _shared_counts(docs, id_column, text_column)
     enough = F.col("shared") * 100 >= F.col("n_shingles") * percent
-    chosen = stored(classes.join(shared, F.col("rep") == F.col("doc_id")).filter(enough).select("doc_id").distinct())
+    chosen = stored(classes.join(shared, F.col("a") == F.col("set_id")).filter(enough).select("rep", "a"))
     sets = stored(_rare_first(stored(_candidates(docs, chosen, id_column, text_column)), percent))
     homes = components(_ties(sets, percent))
-    member = known.join(classes, ["n_shingles", "a", "b"])
     # Rows with the same id but other texts tie their classes together.
-    twice = member.groupBy("doc_id").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).filter("least <> most")
-    twice = member.join(twice, "doc_id").select(F.col("rep").alias("a"), F.col("least").alias("b")).filter("a <> b").distinct()
-    found = stored(components(_searched(sets, homes, percent).unionByName(twice)))
-    groups = classes.join(found, F.col("rep") == F.col("node"), "left")
-    groups = groups.select("n_shingles", "a", "b", F.coalesce("component", "rep").alias("component_id"))
+    twice = known.groupBy("doc_id").agg(F.min("a").alias("least"), F.max("a").alias("most")).filter("least <> most")
+    twice = known.join(twice, "doc_id").select("a", F.col("least").alias("b")).filter("a <> b").distinct()
+    tied = components(_searched(sets, homes, percent).unionByName(twice))
+    tied = stored(classes.select("a", "rep").join(tied, F.col("a") == F.col("node")).select("a", "rep", "component"))
+    least = tied.groupBy("component").agg(F.min("rep").alias("component_id"))
+    least = tied.join(least, "component").select("a", "component_id")
+    groups = classes.join(least, "a", "left")
+    groups = groups.select("n_shingles", "a", "b", F.coalesce("component_id", "rep").alias("component_id"))
     result = meta.join(groups, ["n_shingles", "a", "b"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
