@@ -22,9 +22,14 @@ def metric_history(metrics: DataFrame, *metric_names: str) -> DataFrame:
     return metrics.filter(F.col("metric_name").isin(*metric_names))
 
 
+def dated(metrics: DataFrame) -> DataFrame:
+    """The history without the rows of the null period, which come from source rows that have no event time."""
+    return metrics.filter(F.col("period_start").isNotNull())
+
+
 def with_previous(metrics: DataFrame) -> DataFrame:
     """Add ``previous_value``, the value one row earlier in the series."""
-    return metrics.withColumn("previous_value", F.lag("metric_value").over(series_window()))
+    return dated(metrics).withColumn("previous_value", F.lag("metric_value").over(series_window()))
 
 
 def with_baseline(metrics: DataFrame, window: int = 24) -> DataFrame:
@@ -32,11 +37,11 @@ def with_baseline(metrics: DataFrame, window: int = 24) -> DataFrame:
 
     ``previous_value``; ``baseline_median``, the lower median of the ``window`` rows before this one;
     ``history_count``, the non-null values among these; ``pct_change`` from the median. The window counts
-    rows, so gaps in time do not shrink it, and the row itself is never part of it.
+    rows, so gaps in time do not shrink it, and the row itself is never part of it. The null period is left out.
     """
     ordered = series_window()
     trailing = ordered.rowsBetween(-window, -1)
-    return metrics.withColumns(
+    return dated(metrics).withColumns(
         {
             "previous_value": F.lag("metric_value").over(ordered),
             "baseline_median": F.percentile_approx("metric_value", 0.5).over(trailing),

@@ -23,10 +23,13 @@ from metricwatch.functions import messages
 from metricwatch.functions.columns import digest_of, moment, named, period_of
 from metricwatch.operators.baseline import (
     SERIES,
+    dated,
+    has_history,
     metric_history,
     with_baseline,
     with_latest,
     with_run_length,
+    zero_to_nonzero,
 )
 from metricwatch.operators.metrics import since_period, source_columns
 from metricwatch.operators.rules import enabled_rules, watched_metrics
@@ -55,24 +58,23 @@ def rules_on_history(metrics: DataFrame, rules: DataFrame, columns: DataFrame, w
     watched = watched_metrics(rules, columns)
     zero = F.max(F.when(F.col("anomaly_type") == specs.ZERO_ACTIVITY, F.col("limit")))
     series = watched.groupBy(*SERIES).agg(zero.alias("zero_value"))
-    history = metrics.select(*SERIES, "period_start", "metric_value").join(series, list(SERIES))
+    history = dated(metrics).select(*SERIES, "period_start", "metric_value").join(series, list(SERIES))
     history = with_run_length(with_latest(with_baseline(history, window)), F.col("zero_value"))
     return history.join(watched, list(SERIES))
 
 
 def _fires(min_history: int) -> Column:
     """Whether a row of the history breaks its rule."""
+    value, change, limit, trusted = F.col("metric_value"), F.col("pct_change"), F.col("limit"), has_history(min_history)
     # Too little history, or a clean baseline, leaves the floor as the only test.
-    spike = f"""metric_value >= floor AND (history_count < {min_history}
-        OR (baseline_median = 0 AND metric_value > 0) OR pct_change >= limit)"""
-    return F.expr(
-        f"""CASE anomaly_type
-        WHEN '{specs.SUDDEN_INCREASE}' THEN history_count >= {min_history} AND pct_change >= limit
-        WHEN '{specs.SUDDEN_DECREASE}' THEN history_count >= {min_history} AND pct_change <= limit
-        WHEN '{specs.ZERO_ACTIVITY}' THEN metric_value = limit AND run_length >= needed_run
-        WHEN '{specs.STALE_DATA}' THEN is_latest AND staleness > limit
-        WHEN '{specs.DUPLICATE_SPIKE}' THEN {spike}
-        WHEN '{specs.NULL_SPIKE}' THEN {spike} END"""
+    spike = (value >= F.col("floor")) & (~trusted | zero_to_nonzero() | (change >= limit))
+    kind = F.col("anomaly_type")
+    return (
+        F.when(kind == specs.SUDDEN_INCREASE, trusted & (change >= limit))
+        .when(kind == specs.SUDDEN_DECREASE, trusted & (change <= limit))
+        .when(kind == specs.ZERO_ACTIVITY, (value == limit) & (F.col("run_length") >= F.col("needed_run")))
+        .when(kind == specs.STALE_DATA, F.col("is_latest") & (F.col("staleness") > limit))
+        .when(kind.isin(specs.DUPLICATE_SPIKE, specs.NULL_SPIKE), spike)
     )
 
 
@@ -152,20 +154,38 @@ def detect_value_anomalies(
     return _finish(found, run_id, as_of, "detected_value", *(f"_identity[{i}]" for i in range(len(identity))))
 
 
-def missing_periods(metrics: DataFrame, grain: str) -> DataFrame:
-    """Periods between a table's first and last one for which it has no rows at all.
+def missing_periods(metrics: DataFrame, grain: str, as_of: datetime | str | None = None) -> DataFrame:
+    """Periods from a table's first one on for which it has no rows at all.
 
-    Each gap is filled from the row before it, so no calendar is built or joined. ``baseline_value`` is the
-    row count of the last period that had rows.
+    They end with the last period that has rows, or with ``as_of`` with the last period that is over by then. Each
+    gap is filled from the row before it, by day and then within the day, so no calendar is built or joined and no array is longer
+    than a day's periods. ``baseline_value`` is the row count of the last period that had rows.
     """
-    step = F.expr(f"INTERVAL 1 {GRAINS[grain].upper()}")
+    unit = GRAINS[grain]
+    step = F.expr(f"INTERVAL 1 {unit.upper()}")
     series = Window.partitionBy("table_name").orderBy("period_start")
     following = F.lead("period_start").over(series)
-    counts = metric_history(metrics, specs.ROW_COUNT).filter(F.col("period_start").isNotNull())
+    counts = dated(metric_history(metrics, specs.ROW_COUNT))
+    if as_of is not None:
+        following = F.coalesce(following, F.date_trunc(unit, moment(as_of)))
     gaps = counts.withColumn("_next", following).filter(F.col("_next") > F.col("period_start") + step)
+    gaps = gaps.withColumn("_first", F.col("period_start") + step).withColumn("_last", F.col("_next") - step)
+    day, whole = F.date_trunc("day", "_first"), F.expr("INTERVAL 1 DAY")
+    years = F.sequence(F.year("_first"), F.year("_last"))
+    # A gap may span centuries: years, then their days, then a day's periods.
+    gaps = gaps.withColumn("_year", F.explode(years))
+    begin = F.greatest(day, F.make_timestamp("_year", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
+    end = F.least("_last", F.make_timestamp("_year", F.lit(12), F.lit(31), F.lit(23), F.lit(59), F.lit(59)))
+    gaps = gaps.withColumn("_day", F.explode(F.sequence(begin, end, whole)))
+    if unit in ("minute", "hour"):
+        begin = F.greatest("_first", "_day")
+        end = F.least("_last", F.col("_day") + whole - step)
+        gaps = gaps.withColumn("_period", F.explode(F.sequence(begin, end, step)))
+    else:
+        gaps = gaps.withColumn("_period", F.col("_day")).filter(F.date_trunc(unit, "_day") == F.col("_day"))
     return gaps.select(
         "table_name",
-        F.explode(F.sequence(F.col("period_start") + step, F.col("_next") - step, step)).alias("period_start"),
+        F.col("_period").alias("period_start"),
         "metric_name",
         F.lit(0.0).alias("detected_value"),
         F.col("metric_value").alias("baseline_value"),
@@ -186,7 +206,7 @@ def detect_missing_periods(
     names = {grain: [spec.table_name for spec in tables if spec.grain == grain] for grain in grains}
     missing = reduce(
         DataFrame.unionByName,
-        [missing_periods(metrics.filter(F.col("table_name").isin(*names[grain])), grain) for grain in sorted(grains)],
+        [missing_periods(metrics.filter(F.col("table_name").isin(*names[grain])), grain, as_of) for grain in sorted(grains)],
     )
     rule = enabled_rules(rules).filter(F.col("anomaly_type") == kind)
     columns = metric_columns(spark, tables).filter(F.col("metric_name") == specs.ROW_COUNT)
@@ -217,7 +237,10 @@ def detect(
     value rules skip rows of earlier periods; the metric checks always cover the whole history.
     """
     sources = list(sources)
-    columns = metric_columns(metrics.sparkSession, [spec for _, spec in sources])
+    tables = [spec for _, spec in sources]
+    columns = metric_columns(metrics.sparkSession, tables)
+    # The history may hold tables of other runs, which know their columns and log them.
+    metrics = metrics.filter(F.col("table_name").isin([spec.table_name for spec in tables]))
     frames = [detect_metric_anomalies(metrics, rules, columns, as_of, run_id, window, min_history)]
     for df, spec in sources:
         rule = values.get(spec.table_name)

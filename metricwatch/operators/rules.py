@@ -57,10 +57,10 @@ def watched_metrics(rules: DataFrame, metric_columns: DataFrame) -> DataFrame:
         "severity",
         rule_metric.alias("rule_metric"),
         limit.alias("limit_text"),
-        limit.cast("double").alias("limit"),
+        limit.try_cast("double").alias("limit"),
         floor.alias("floor_text"),
-        floor.cast("double").alias("floor"),
-        F.coalesce(F.col("p.consecutive_periods_before_alert").cast("int"), F.lit(1)).alias("needed_run"),
+        floor.try_cast("double").alias("floor"),
+        F.coalesce(F.col("p.consecutive_periods_before_alert").try_cast("int"), F.lit(1)).alias("needed_run"),
     )
     column = F.when(kind == specs.ZERO_ACTIVITY, F.col("activity_column")).otherwise(F.col("column_name"))
     return (
@@ -96,13 +96,31 @@ def channels_for(severity: Column, routing: Mapping[str, Sequence[str]]) -> Colu
 
 
 def rule_violations(rules: DataFrame, routing: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rules that cannot work as written, one row per rule and problem."""
+    """Rules that cannot work as written, one row per rule and problem.
+
+    A rule with such a parameter never fires, and stops no other rule.
+    """
     severity, kind = F.col("severity"), F.col("anomaly_type")
+    given = F.from_json("rule_json", PARAMETERS)
+
+    def needed(name: str, *kinds: str) -> list[Column]:
+        asked, value = F.col("enabled") & kind.isin(*kinds), given[name]
+        wrong = [F.when(asked & value.isNull(), F.lit(f"{name} missing"))]
+        if name != "metric":
+            bad = asked & value.isNotNull() & value.try_cast("double").isNull()
+            wrong.append(F.when(bad, F.lit(f"{name} is not a number")))
+        return wrong
     problems = F.array_compact(
         F.array(
             F.when(F.col("enabled") & ~kind.isin(*ANOMALY_TYPES), F.lit("unknown anomaly type")),
             F.when(severity.isNull(), F.lit("severity missing")),
             F.when(severity.isNotNull() & channels_for(severity, routing).isNull(), F.lit("severity has no route")),
+            *needed("metric", specs.SUDDEN_INCREASE, specs.SUDDEN_DECREASE, specs.ZERO_ACTIVITY, specs.VALUE_ANOMALY),
+            *needed("threshold_pct", specs.SUDDEN_INCREASE, specs.SUDDEN_DECREASE, specs.DUPLICATE_SPIKE, specs.NULL_SPIKE),
+            *needed("minimum_duplicate_count", specs.DUPLICATE_SPIKE),
+            *needed("minimum_null_ratio", specs.NULL_SPIKE),
+            *needed("zero_activity_value", specs.ZERO_ACTIVITY),
+            *needed("max_allowed_staleness_minutes", specs.STALE_DATA),
         )
     )
     return rules.select("table_name", "anomaly_type", "severity", F.explode(problems).alias("problem"))

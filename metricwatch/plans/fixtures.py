@@ -222,8 +222,12 @@ def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder in the place the cluster names for written intermediate tables."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="metricwatch-")
+    """A new folder in the place the cluster names for written intermediate tables; on one machine any folder serves."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="metricwatch-")
     return f"{shared}/metricwatch/{uuid.uuid4()}"
 
 

@@ -651,13 +651,17 @@ ORACLE: dict[str, str] = {
         SELECT *, 'unknown anomaly type' AS problem FROM feed_rules WHERE enabled AND anomaly_type = 'schema_drift'
         UNION ALL SELECT *, 'severity missing' FROM feed_rules WHERE severity IS NULL
         UNION ALL SELECT *, 'severity has no route' FROM feed_rules
-            WHERE severity NOT IN (SELECT severity FROM routes))""",
+            WHERE severity NOT IN (SELECT severity FROM routes)
+        UNION ALL SELECT r.*, missing || ' missing' FROM feed_rules r JOIN (VALUES
+            ('duplicate_record_anomaly', 'minimum_duplicate_count'), ('null_data_quality_spike', 'minimum_null_ratio'),
+            ('missing_zero_activity', 'zero_activity_value'), ('stale_data', 'max_allowed_staleness_minutes'))
+            AS needs(kind, missing) ON enabled AND anomaly_type = kind)""",
         "feed_rules",
         "routes",
     ),
     "retire_rules": sql(
         """SELECT table_name, anomaly_type, enabled AND s_suppkey IN
-        (SELECT l_suppkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-01') AS enabled, severity, rule_json
+        (SELECT s_suppkey FROM supplier WHERE s_nationkey % 3 <> 0) AS enabled, severity, rule_json
         FROM feed_rules""",
         "feed_rules",
     ),

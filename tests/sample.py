@@ -1,43 +1,46 @@
-"""The sample events of FIXTURES.md as literals, with the shipped rules and routing."""
+"""Sample events with planted anomalies, as a rule, with rules and routing.
+
+The anomaly types, the names of rule parameters and the status of rules are fixed values; the data are our own.
+"""
 
 from datetime import datetime, timedelta
 
 from metricwatch import AlertSettings, Rule, SourceSpec
 
-TABLE = "workspace.bronze.sales_transactions"
-START = datetime(2026, 8, 29, 9)
-# Steady growth, a spike and a drop, two values over the bound, two silent hours, then growth again.
-AMOUNTS = (
-    [820, 910, 870, 950, 1020, 980, 1100, 1060, 990, 1150, 1080, 1120, 1050, 1180, 1210, 1160, 1090, 1240, 1190]
-    + [1270, 1220, 1300, 1260, 1350, 1290, 1320, 1380, 1340, 1410, 1360, 1450, 1420, 1480, 1500, 1460]
-    + [3200, 400, 60000, 250000, 0, 0, 1550, 1550, 1600, 1650, 1700, 1700, 1750, 1800, 1850]
-)
+TABLE = "shop.orders.incoming"
+START = datetime(2025, 3, 3)
+HOURS = 66
+# A gentle daily wave; then what is planted, by hour.
+SPIKE, DIP, HUGE, SILENT, BLANK, LATE, REPEATED = 31, 34, 38, (44, 45, 46), (55, 56), range(62, 66), 58
+PLANTED = {SPIKE: 2750, DIP: 130, HUGE: 88000, **dict.fromkeys(SILENT, 0)}
+
+
+def amount(hour):
+    return PLANTED.get(hour, 700 + 15 * (hour % 8))
 
 
 def rows():
     made = []
-    for number, amount in enumerate(AMOUNTS, start=1):
-        at = START + timedelta(hours=number - 1)
-        silent, blank, late = number in (40, 41), number in (44, 45, 46), number >= 47
-        transaction = 42 if number == 43 else number
-        customer = 2 if number == 43 else (number - 1) % 10 + 1
+    for hour in range(HOURS):
+        at = START + timedelta(hours=hour)
+        silent, original = hour in SILENT, 21 if hour == REPEATED else hour
         made.append(
             (
-                number,
+                hour,
                 at,
-                f"TXN{transaction:04d}",
-                "" if blank else f"CUST{customer:03d}",
-                amount,
+                f"order-{original}",
+                "" if hour in BLANK else f"buyer-{original % 7}",
+                amount(hour),
                 0 if silent else 1,
                 "NO_ACTIVITY" if silent else "SUCCESS",
-                datetime(2026, 8, 29, 10) if late else at + timedelta(minutes=10),
+                START + timedelta(hours=1) if hour in LATE else at + timedelta(minutes=20),
             )
         )
     return made
 
 
 SCHEMA = (
-    "row_id int, event_time timestamp_ntz, transaction_id string, customer_id string, sales_amount int, "
+    "row_id int, event_time timestamp_ntz, order_id string, buyer string, amount int, "
     "activity_count int, status string, ingestion_time timestamp_ntz"
 )
 
@@ -46,24 +49,24 @@ SPEC = SourceSpec(
     timestamp_column="event_time",
     ingestion_timestamp_column="ingestion_time",
     id_columns=("row_id",),
-    duplicate_key_columns=("transaction_id",),
-    monitored_null_columns=("customer_id", "transaction_id", "sales_amount"),
-    numeric_metric_columns=("sales_amount", "activity_count"),
+    duplicate_key_columns=("order_id",),
+    monitored_null_columns=("buyer", "order_id", "amount"),
+    numeric_metric_columns=("amount", "activity_count"),
     activity_column="activity_count",
     status_column="status",
     expected_status_values=("SUCCESS", "NO_ACTIVITY"),
 )
 
 FIXED_BOUNDS = {
-    "metric": "sales_amount",
+    "metric": "amount",
     "zscore_threshold": 3.0,
     "fixed_upper_threshold": 50000,
     "fixed_lower_threshold": 0,
     "use_fixed_threshold": True,
 }
 RULES = [
-    Rule(TABLE, "sudden_increase", "HIGH", True, {"metric": "sum_sales_amount", "threshold_pct": 50.0}),
-    Rule(TABLE, "sudden_decrease", "HIGH", True, {"metric": "sum_sales_amount", "threshold_pct": -50.0}),
+    Rule(TABLE, "sudden_increase", "HIGH", True, {"metric": "sum_amount", "threshold_pct": 50.0}),
+    Rule(TABLE, "sudden_decrease", "HIGH", True, {"metric": "sum_amount", "threshold_pct": -50.0}),
     Rule(TABLE, "value_anomaly", "CRITICAL", True, FIXED_BOUNDS),
     Rule(TABLE, "missing_zero_activity", "HIGH", True, {"metric": "sum_activity_count", "zero_activity_value": 0}),
     Rule(TABLE, "stale_data", "MEDIUM", True, {"max_allowed_staleness_minutes": 180}),
@@ -88,7 +91,7 @@ SETTINGS = AlertSettings(
     send_digest=True,
     dedupe=False,
 )
-AS_OF = "2026-08-31 12:00:00"
+AS_OF = "2025-03-05 22:00:00"
 
 
 def frame(spark):

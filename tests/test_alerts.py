@@ -135,7 +135,11 @@ def test_rule_violations(spark):
     assert got == {
         ("schema_drift", "unknown anomaly type"),
         ("stale_data", "severity missing"),
+        ("stale_data", "max_allowed_staleness_minutes missing"),
+        ("sudden_increase", "metric missing"),
+        ("sudden_increase", "threshold_pct missing"),
         ("value_anomaly", "severity has no route"),
+        ("value_anomaly", "metric missing"),
     }
 
 

@@ -1,9 +1,29 @@
+from dataclasses import replace
+from datetime import datetime
+
 import pytest
-from helpers import AS_OF, DECREASE, DUPLICATES, INCREASE, NULLS, SPEC, STALE, START, TABLE, detected, history, hour, hours_of, rule
+from helpers import (
+    AS_OF,
+    BOUNDS_ROWS,
+    DECREASE,
+    DUPLICATES,
+    HISTORY,
+    INCREASE,
+    NULLS,
+    SPEC,
+    STALE,
+    START,
+    TABLE,
+    detected,
+    history,
+    hour,
+    hours_of,
+    rule,
+)
 from pyspark.sql import functions as F
 
 from metricwatch import Rule, SourceSpec, metric_columns, rules_frame
-from metricwatch.operators.baseline import with_baseline
+from metricwatch.operators.baseline import with_baseline, with_previous
 from metricwatch.operators.detectors import (
     detect,
     detect_metric_anomalies,
@@ -11,6 +31,7 @@ from metricwatch.operators.detectors import (
     detect_value_anomalies,
     missing_periods,
 )
+from metricwatch.operators.rules import rule_violations
 
 
 def test_median_is_the_lower_middle_of_earlier_rows(spark):
@@ -158,7 +179,7 @@ def test_missing_periods_fill_gaps(spark):
 def test_missing_periods_as_anomalies(spark):
     counts = history(spark, "row_count", [4, 1, 6]).filter(F.col("period_start") != hour(1))
     zero = rule("missing_zero_activity", metric="row_count", zero_activity_value=0)
-    (hit,) = detect_missing_periods(counts, rules_frame(spark, [zero]), [SPEC], AS_OF, "run").collect()
+    (hit,) = detect_missing_periods(counts, rules_frame(spark, [zero]), [SPEC], str(hour(3)), "run").collect()
     assert (hit.period_start, hit.severity, hit.column_name) == (hour(1), "HIGH", "amount")
     assert hit.message == "No activity detected for period (row_count = 0)"
 
@@ -196,3 +217,40 @@ def test_copies_without_ids_are_separate_anomalies(spark):
     copies = spark.range(0, 4, 1, 2).select(F.lit(START).alias("at"), F.lit(99.0).alias("amount"))
     hits = detect_value_anomalies(copies, bare, BOUNDS, AS_OF, "run").collect()
     assert len(hits) == 4 and len({r.anomaly_id for r in hits}) == 4
+
+
+def test_missing_periods_go_on_to_the_given_time(spark):
+    counts = history(spark, "row_count", [3])
+    got = [r.period_start for r in missing_periods(counts, "hourly", AS_OF).orderBy("period_start").collect()]
+    assert got == [hour(n) for n in range(1, 24)]
+    old = spark.createDataFrame([(TABLE, "row_count", datetime(1970, 1, 1), 1.0), (TABLE, "row_count", START, 2.0)], HISTORY)
+    got = missing_periods(old, "hourly")
+    assert (got.count(), got.distinct().count()) == ((START - datetime(1970, 1, 1)).days * 24 - 1,) * 2
+
+
+def test_rows_without_event_time_are_no_history(spark):
+    with_null = history(spark, "sum_amount", [10, 10, 10, 10, 90]).unionByName(
+        spark.createDataFrame([(TABLE, "sum_amount", None, 5.0)], HISTORY)
+    )
+    assert detected(spark, with_null, INCREASE).count() == 0
+    assert with_previous(with_null).filter("period_start IS NULL").count() == 0
+    assert with_previous(with_null).orderBy("period_start").first().previous_value is None
+
+
+def test_a_malformed_rule_stops_no_other(spark):
+    bad = rule("sudden_decrease", metric="sum_amount", threshold_pct="fifty")
+    hits = detected(spark, history(spark, "sum_amount", [10] * 6 + [90]), INCREASE, bad)
+    assert [h.anomaly_type for h in hits.collect()] == ["sudden_increase"]
+    problems = [r.problem for r in rule_violations(rules_frame(spark, [bad]), {"HIGH": ["email"]}).collect()]
+    assert problems == ["threshold_pct is not a number"]
+
+
+def test_runs_over_one_table_each_find_what_one_run_finds(spark):
+    values = [10] * 6 + [90]
+    both = history(spark, "sum_amount", values, "a").unionByName(history(spark, "sum_amount", values, "b"))
+    tables = [replace(SPEC, table_name=name) for name in ("a", "b")]
+    rules = rules_frame(spark, [replace(INCREASE, table_name=name) for name in ("a", "b")])
+    empty = spark.createDataFrame([], BOUNDS_ROWS)
+    ids = [{r.anomaly_id for r in detect(both, [(empty, t)], rules, {}, AS_OF, "run").collect()} for t in tables]
+    whole = {r.anomaly_id for r in detect(both, [(empty, t) for t in tables], rules, {}, AS_OF, "run").collect()}
+    assert len(whole) == 2 and ids[0] | ids[1] == whole and not ids[0] & ids[1]

@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
+from metricwatch.plans.oracle import ORACLE
+from metricwatch.plans.queries import QUERIES
 
 SF_DIR = os.environ.get("METRICWATCH_SF_DIR", "/root/testdata/sf0.01")
 
@@ -27,13 +29,14 @@ def plain(value):
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = database.execute(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = database.execute(ORACLE[name])
     columns = [column[0] for column in expected.description]
     assert sorted(result.columns) == sorted(columns)
     wanted = Counter(tuple(map(plain, row)) for row in expected.fetchall())
