@@ -41,7 +41,7 @@ PASSES = 3
 #: Buckets of pairs for each bucket of words, which are fewer: the blocks sent between them are their product.
 PAIRS_PER_WORDS = 6
 #: Tokens of a task that are aggregated at once, and documents at most: their numbers take 15 bits.
-CHUNK_TOKENS, CHUNK_DOCS = 2_000_000, 30_000
+CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 30_000
 
 _BLOCK = "kind int, bucket int, source long, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary"
 _FIELDS = "abcdefgh"
