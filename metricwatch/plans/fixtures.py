@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -231,8 +232,14 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared}/metricwatch/{uuid.uuid4()}"
 
 
-def state_tables(spark: SparkSession) -> StateTables:
-    return StateTables(spark, scratch(spark))
+@contextmanager
+def state_tables(spark: SparkSession) -> Iterator[StateTables]:
+    """State tables in a schema of their own, which is dropped afterwards; what is to last is stored before."""
+    tables = StateTables(spark, f"metricwatch_{uuid.uuid4().hex}", scratch(spark))
+    try:
+        yield tables
+    finally:
+        spark.sql("DROP SCHEMA IDENTIFIER(:name) CASCADE", args={"name": tables.schema})
 
 
 def stored(spark: SparkSession, df: DataFrame) -> DataFrame:

@@ -643,7 +643,15 @@ ORACLE: dict[str, str] = {
         "logged",
         "digest_box_log",
     ),
-    "scheduled_run": sql(f"SELECT anomaly_id, 'run-1' AS run_id, {HIT}, message FROM found", "found"),
+    "scheduled_run": sql(
+        f"""SELECT anomaly_id, 'run-1' AS run_id, {HIT}, message,
+        coalesce(substr(anomaly_id, 1, 1) < '8' AND severity IN (SELECT severity FROM routes WHERE channel = 'slack'), false)
+            AS alerted,
+        (SELECT count(*) FROM routes r WHERE r.severity = f.severity AND channel IN ('email', 'slack')) AS emitted
+        FROM found f""",
+        "found",
+        "routes",
+    ),
     "rules_table": sql("SELECT table_name, anomaly_type, enabled, severity, rule_json FROM feed_rules", "feed_rules"),
     "rules_enabled": sql("SELECT table_name, anomaly_type, severity FROM feed_rules WHERE enabled", "feed_rules"),
     "rules_violations": sql(
@@ -660,9 +668,9 @@ ORACLE: dict[str, str] = {
         "routes",
     ),
     "retire_rules": sql(
-        """SELECT table_name, anomaly_type, enabled AND s_suppkey IN
-        (SELECT s_suppkey FROM supplier WHERE s_nationkey % 3 <> 0) AS enabled, severity, rule_json
-        FROM feed_rules""",
+        """SELECT 'feed_' || (s_nationkey % 5) AS table_name, anomaly_type,
+        enabled AND s_nationkey % 5 IN (1, 2, 4) AS enabled, severity, rule_json
+        FROM feed_rules JOIN (SELECT s_suppkey, s_nationkey FROM supplier) USING (s_suppkey)""",
         "feed_rules",
     ),
     "csv_source": "SELECT * FROM events",

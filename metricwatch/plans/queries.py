@@ -19,7 +19,7 @@ from metricwatch.plans import fixtures as fx
 from metricwatch.plans import runs
 from metricwatch.plans.runs import METRIC_KEYS, METRIC_UPDATES
 from metricwatch.sources import state
-from metricwatch.sources.tables import ensure_schema, read_csv
+from metricwatch.sources.tables import read_csv, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -431,12 +431,22 @@ def mark_alerted(spark, sf_dir):
 
 @query
 def scheduled_run(spark, sf_dir):
-    tables, sources = fx.state_tables(spark), fx.sources(spark, sf_dir)
-    runs.set_up(tables, fx.RULES)
-    for run_id in ("run-1", "run-2"):
-        runs.run_metrics(tables, sources, run_id, fx.AS_OF)
-        runs.run_detection(tables, sources, run_id, fx.AS_OF)
-    return shown(tables.read(state.ANOMALIES), "anomaly_id", "run_id", *HIT, "message")
+    sources = fx.sources(spark, sf_dir)
+    with fx.state_tables(spark) as tables:
+        runs.set_up(tables, fx.RULES)
+        for run_id in ("run-1", "run-2"):
+            runs.run_metrics(tables, sources, run_id, fx.AS_OF)
+            runs.run_detection(tables, sources, run_id, fx.AS_OF)
+        outbox = runs.run_alerting(tables, fx.DIGEST, "alerts-1")
+        # The alerts of the first run are still open, so this one has none to emit.
+        runs.run_alerting(tables, fx.DIGEST, "alerts-2")
+        runs.record_outcomes(tables, "alerts-1", _outcomes(outbox), (alerts.FAILED, "timeout"), fx.AS_OF)
+        emitted = tables.read(state.OUTBOX).filter("status = 'PENDING'").groupBy("anomaly_id").agg(
+            F.count(F.lit(1)).alias("emitted")
+        )
+        log = tables.read(state.ANOMALIES).join(emitted, "anomaly_id", "left")
+        log = log.withColumn("emitted", F.coalesce("emitted", F.lit(0)).cast("long"))
+        return fx.stored(spark, shown(log, "anomaly_id", "run_id", *HIT, "message", "alerted", "emitted"))
 
 
 # Rules
@@ -444,9 +454,9 @@ def scheduled_run(spark, sf_dir):
 
 @query
 def rules_table(spark, sf_dir):
-    tables = fx.state_tables(spark)
-    tables.overwrite(state.RULES, fx.feed_rules(spark, sf_dir))
-    return tables.read(state.RULES)
+    with fx.state_tables(spark) as tables:
+        tables.overwrite(state.RULES, fx.feed_rules(spark, sf_dir))
+        return fx.stored(spark, tables.read(state.RULES))
 
 
 @query
@@ -461,10 +471,19 @@ def rules_violations(spark, sf_dir):
 
 @query
 def retire_rules(spark, sf_dir):
-    # Feeds of suppliers in every third nation are gone.
-    there = fx.table(spark, sf_dir, "supplier").filter(F.col("s_nationkey") % 3 != 0)
-    existing = there.select(F.concat(F.lit("feed_"), "s_suppkey").alias("table_name"))
-    return rule_ops.retire_rules(fx.feed_rules(spark, sf_dir), existing)
+    # Each supplier's feed lands in one of five tables by its nation; two of these are gone.
+    supplier = fx.table(spark, sf_dir, "supplier")
+    place = F.concat(F.lit("feed_"), F.col("s_nationkey") % 5)
+    places = supplier.select(F.concat(F.lit("feed_"), "s_suppkey").alias("table_name"), place.alias("place"))
+    with fx.state_tables(spark) as tables:
+        for group in (1, 2, 4):
+            tables.create(f"feed_{group}", supplier.schema)
+        name = F.concat(F.lit(f"{tables.schema}."), "place").alias("table_name")
+        rules = fx.feed_rules(spark, sf_dir).join(places, "table_name")
+        tables.overwrite(state.RULES, rules.select(name, "anomaly_type", "enabled", "severity", "rule_json"))
+        runs.run_retirement(tables, rule_ops.existing_tables(spark, tables.schema))
+        kept = tables.read(state.RULES).withColumn("table_name", F.substring_index("table_name", ".", -1))
+        return fx.stored(spark, kept)
 
 
 # State tables
@@ -480,42 +499,41 @@ def csv_source(spark, sf_dir):
 
 @query
 def state_init(spark, sf_dir):
-    tables = fx.state_tables(spark)
-    ensure_schema(spark, "metricwatch_state", f"{tables.folder}/schema")
-    tables.create_all()
-    tables.append(state.METRICS, fx.event_metrics(spark, sf_dir))
-    tables.create_all()
-    return shown(tables.read(state.METRICS), *METRIC)
+    with fx.state_tables(spark) as tables:
+        tables.create_all()
+        tables.append(state.METRICS, fx.event_metrics(spark, sf_dir))
+        tables.create_all()
+        return fx.stored(spark, shown(read_table(spark, tables.name(state.METRICS)), *METRIC))
 
 
 @query
 def state_append(spark, sf_dir):
-    tables = fx.state_tables(spark)
     history = fx.event_metrics(spark, sf_dir).select(*METRIC)
     early = F.col("period_start") < F.lit(fx.SPLIT.isoformat(sep=" ")).cast("timestamp")
-    tables.create("history", history.schema)
-    tables.append("history", history.filter(early))
-    tables.append("history", history.filter(~early).withColumn("grain", F.lit("hourly")))
-    return shown(tables.read("history"))
+    with fx.state_tables(spark) as tables:
+        tables.create("history", history.schema)
+        tables.append("history", history.filter(early))
+        tables.append("history", history.filter(~early).withColumn("grain", F.lit("hourly")))
+        return fx.stored(spark, shown(tables.read("history")))
 
 
 @query
 def state_overwrite(spark, sf_dir):
-    tables = fx.state_tables(spark)
-    tables.overwrite(state.METRICS, fx.event_metrics(spark, sf_dir))
-    tables.overwrite(state.METRICS, baseline.metric_history(tables.read(state.METRICS), "row_count"))
-    return shown(tables.read(state.METRICS), *METRIC)
+    with fx.state_tables(spark) as tables:
+        tables.overwrite(state.METRICS, fx.event_metrics(spark, sf_dir))
+        tables.overwrite(state.METRICS, baseline.metric_history(tables.read(state.METRICS), "row_count"))
+        return fx.stored(spark, shown(tables.read(state.METRICS), *METRIC))
 
 
 @query
 def state_reset(spark, sf_dir):
-    tables = fx.state_tables(spark)
-    tables.create_all()
-    tables.append(state.METRICS, fx.event_metrics(spark, sf_dir))
-    tables.append(state.RULES, fx.feed_rules(spark, sf_dir))
-    tables.reset(state.RESET_WORD)
-    counts = [tables.read(t).agg(F.lit(t).alias("state_table"), F.count(F.lit(1)).alias("rows")) for t in state.SCHEMAS]
-    return reduce(DataFrame.unionByName, counts)
+    with fx.state_tables(spark) as tables:
+        tables.create_all()
+        tables.append(state.METRICS, fx.event_metrics(spark, sf_dir))
+        tables.append(state.RULES, fx.feed_rules(spark, sf_dir))
+        tables.reset(state.RESET_WORD)
+        counts = [tables.read(t).agg(F.lit(t).alias("state_table"), F.count(F.lit(1)).alias("rows")) for t in state.SCHEMAS]
+        return fx.stored(spark, reduce(DataFrame.unionByName, counts))
 
 
 @query
@@ -532,7 +550,7 @@ def upsert_update_only(spark, sf_dir):
 
 @query
 def upsert_into_empty(spark, sf_dir):
-    tables = fx.state_tables(spark)
-    tables.create(state.METRICS)
-    tables.upsert(state.METRICS, fx.event_metrics(spark, sf_dir, "run-2"), METRIC_KEYS, METRIC_UPDATES)
-    return shown(tables.read(state.METRICS), "run_id", *METRIC)
+    with fx.state_tables(spark) as tables:
+        tables.create(state.METRICS)
+        tables.upsert(state.METRICS, fx.event_metrics(spark, sf_dir, "run-2"), METRIC_KEYS, METRIC_UPDATES)
+        return fx.stored(spark, shown(tables.read(state.METRICS), "run_id", *METRIC))

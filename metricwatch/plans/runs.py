@@ -89,11 +89,22 @@ def run_detection(
     return tables.read(state.ANOMALIES).filter(F.col("run_id") == run_id)
 
 
-def run_alerting(tables: StateTables, settings: AlertSettings, run_id: str | None = None) -> DataFrame:
-    """Write the outbox of this run; returns its rows for the sender. A repeated run adds no alert twice."""
+def run_alerting(
+    tables: StateTables, settings: AlertSettings, run_id: str | None = None, retry_open: bool = False
+) -> DataFrame:
+    """Write the outbox of this run; returns its rows for the sender. A repeated run adds no alert twice.
+
+    Anomalies with an alert of an earlier run whose outcome isn't recorded yet are left out, unless ``retry_open``.
+    """
     run_id = run_id or new_run_id()
     tables.create(state.OUTBOX)
-    outbox = alerts.alert_outbox(tables.read(state.ANOMALIES), settings, run_id)
+    tables.create(state.ALERTS)
+    log = tables.read(state.ANOMALIES)
+    if not retry_open:
+        earlier = tables.read(state.OUTBOX).filter((F.col("status") == alerts.PENDING) & (F.col("run_id") != run_id))
+        still_open = earlier.join(tables.read(state.ALERTS).select("alert_id"), "alert_id", "left_anti")
+        log = log.join(still_open.select("anomaly_id"), "anomaly_id", "left_anti")
+    outbox = alerts.alert_outbox(log, settings, run_id)
     listed = tables.read(state.OUTBOX).select("alert_id")
     tables.append(state.OUTBOX, outbox.join(listed, "alert_id", "left_anti").select(*OUTBOX_SCHEMA.names))
     return tables.read(state.OUTBOX).filter(F.col("run_id") == run_id)
@@ -121,7 +132,7 @@ def record_outcomes(
     fresh = logged.join(known, ["alert_id", "status"], "left_anti").select(*ALERT_SCHEMA.names)
     tables.append(state.ALERTS, fresh)
     of_run = tables.read(state.ALERTS).join(outbox.select("alert_id").distinct(), "alert_id", "left_semi")
-    tables.overwrite(state.ANOMALIES, alerts.mark_alerted(tables.read(state.ANOMALIES), of_run))
+    tables.upsert(state.ANOMALIES, alerts.alerted_flags(of_run), ["anomaly_id"], ["alerted"], insert=False)
     return of_run.select(*ALERT_SCHEMA.names)
 
 

@@ -1,20 +1,23 @@
-"""The state tables: metric history, anomaly log, alert log, rules and outbox.
+"""The state tables: metric history, anomaly log, alert log, rules and outbox, as tables of one catalog schema.
 
-A table is a folder of snapshots, and a snapshot a folder of parquet parts. An append writes the next part
-and a replacement the first part of the next snapshot; either counts once Spark marks it complete. So a lost
-executor, a failed job or a driver that dies half-way leaves the table as it was, and no plan overwrites files
-it reads. One run writes at a time.
+History and logs are partitioned, and an upsert rewrites only the partitions that its rows lie in. What a write is made
+of is computed in full before files of the table are replaced, so a lost executor or a failed plan leaves the table as
+it was. An append without rows adds no file. One run writes at a time; a frame read earlier is to be read again after
+an upsert or a replacement.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metricwatch.functions.columns import quoted
 from metricwatch.operators.upsert import upsert
+from metricwatch.sources.tables import ensure_schema, table_exists
 from metricwatch.specs import ALERT_SCHEMA, ANOMALY_SCHEMA, METRICS_SCHEMA, OUTBOX_SCHEMA, RULES_SCHEMA
 
 # Names of the state tables.
@@ -31,68 +34,67 @@ SCHEMAS = {
     RULES: RULES_SCHEMA,
     OUTBOX: OUTBOX_SCHEMA,
 }
+#: Partition columns, each with the column it is made of and the form of its time; one without a form is that column.
+PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
+    METRICS: {"table_name": ("table_name", None), "period_month": ("period_start", "yyyy-MM")},
+    ANOMALIES: {"detected_date": ("detected_at", "yyyy-MM-dd")},
+    ALERTS: {"channel": ("channel", None)},
+    OUTBOX: {"channel": ("channel", None)},
+}
+NO_TIME = "none"
 # The tables a reset empties; rules and sources stay.
 HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX)
 RESET_WORD = "RESET"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class StateTables:
-    """The state tables under one folder that all executors can reach."""
+    """The state tables of one catalog schema, which is created if absent, in the given location if any."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(self, spark: SparkSession, schema: str, location: str | None = None) -> None:
         self.spark = spark
-        self.folder = folder.rstrip("/")
-
-    def _complete(self, table: str) -> dict[int, list[int]]:
-        """The complete parts of each snapshot of a table, oldest first."""
-        found: dict[int, list[int]] = {}
-        path = self._hadoop_path(f"{self.folder}/{table}/snapshot=*/part=*/_SUCCESS")
-        for status in self._file_system(path).globStatus(path) or ():
-            part = status.getPath().getParent()
-            numbers = [int(folder.getName().split("=")[1]) for folder in (part.getParent(), part)]
-            found.setdefault(numbers[0], []).append(numbers[1])
-        return {snapshot: sorted(found[snapshot]) for snapshot in sorted(found)}
-
-    def _hadoop_path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _file_system(self, path):
-        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        self.schema = schema
+        ensure_schema(spark, schema, location)
 
-    def _path(self, table: str, snapshot: int, part: int) -> str:
-        return f"{self.folder}/{table}/snapshot={snapshot:08d}/part={part:08d}"
+    def name(self, table: str) -> str:
+        return f"{self.schema}.{table}"
 
     def exists(self, table: str) -> bool:
-        return bool(self._complete(table))
+        return table_exists(self.spark, self.name(table))
 
     def create(self, table: str, schema: T.StructType | None = None) -> None:
         """Create an empty table; one that exists is left alone."""
         if not self.exists(table):
-            self.overwrite(table, self.spark.createDataFrame([], schema or SCHEMAS[table]))
+            empty = _partitioned(table, self.spark.createDataFrame([], schema or SCHEMAS[table]))
+            empty.write.format("parquet").partitionBy(*PARTITIONS.get(table, ())).saveAsTable(self.name(table))
 
     def create_all(self) -> None:
         for table in SCHEMAS:
             self.create(table)
 
-    def _current(self, table: str) -> tuple[int, list[int]]:
-        complete = self._complete(table)
-        if not complete:
-            raise ValueError(f"state table {table!r} does not exist under {self.folder}; create it first")
-        return max(complete), complete[max(complete)]
+    def _stored(self, table: str) -> DataFrame:
+        if not self.exists(table):
+            raise ValueError(f"state table {table!r} does not exist in {self.schema}; create it first")
+        return self.spark.table(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        """The current snapshot. Columns that some of its parts lack read as null."""
-        snapshot, parts = self._current(table)
-        return self.spark.read.option("mergeSchema", True).parquet(*(self._path(table, snapshot, p) for p in parts))
+        """The rows as they are now. Columns that came later read as null in earlier rows."""
+        stored = self._stored(table)
+        own = SCHEMAS[table].names if table in SCHEMAS else []
+        later = [c for c in stored.columns if c not in own and c not in PARTITIONS.get(table, ())]
+        return stored.select(*map(quoted, [*own, *later]))
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows, which may bring new columns, and return how many were written."""
-        snapshot, parts = self._current(table)
-        return self._write(df, self._path(table, snapshot, parts[-1] + 1))
+        self._widen(table, df)
+        return self._write(table, df)
 
     def overwrite(self, table: str, df: DataFrame) -> int:
         """Replace the table, which may be read by ``df`` itself, and return how many rows were written."""
-        return self._write(df, self._path(table, max(self._complete(table), default=0) + 1, 1))
+        self.create(table, SCHEMAS.get(table, df.schema))
+        with self._staged(table, df) as rows:
+            self._widen(table, rows)
+            return self._write(table, rows, "static")
 
     def upsert(
         self,
@@ -102,8 +104,24 @@ class StateTables:
         update_columns: Sequence[str] | None = None,
         insert: bool = True,
     ) -> int:
-        """Update rows by key, add new ones, and return how many rows the table then has."""
-        return self.overwrite(table, upsert(self.read(table), df, keys, update_columns, insert))
+        """Update rows by key, add new ones, and return how many rows the table then has.
+
+        Only partitions that the rows lie in are read and rewritten. Rows that lack what a table is partitioned by
+        can update only; their partitions are those of the keys.
+        """
+        parts = PARTITIONS.get(table, {})
+        if not parts:
+            return self.overwrite(table, upsert(self.read(table), df, keys, update_columns, insert))
+        made_of = {column for column, _ in parts.values()}
+        if made_of & set(update_columns if update_columns is not None else set(df.columns) - set(keys)):
+            raise ValueError(f"an upsert cannot move rows of {table!r} to other partitions")
+        with self._staged(table, df) as rows:
+            placed, stored = made_of <= set(keys), self._stored(table)
+            found = _partitioned(table, rows) if placed else stored.join(rows.select(*keys), list(keys), "left_semi")
+            # Joined by partition columns, so that Spark prunes the partitions of the others.
+            touched = stored.join(found.select(*parts).distinct(), list(parts), "left_semi")
+            self._write(table, upsert(touched.select(*self.read(table).columns), rows, keys, update_columns, insert), "dynamic")
+        return self.read(table).count()
 
     def reset(self, confirm: str) -> None:
         """Empty the history tables. Rules are kept."""
@@ -111,24 +129,54 @@ class StateTables:
             raise ValueError(f"nothing was reset; pass confirm={RESET_WORD!r}")
         for table in HISTORY_TABLES:
             if self.exists(table):
-                self.overwrite(table, self.read(table).limit(0))
+                self.spark.sql("TRUNCATE TABLE IDENTIFIER(:name)", args={"name": self.name(table)})
 
     def compact(self, table: str) -> int:
         """Rewrite a table that has gathered many small appends."""
         return self.overwrite(table, self.read(table))
 
-    def prune(self, table: str, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` snapshots. Plans that read the deleted ones must be done."""
-        for snapshot in list(self._complete(table))[: -max(keep, 1)]:
-            path = self._hadoop_path(f"{self.folder}/{table}/snapshot={snapshot:08d}")
-            self._file_system(path).delete(path, True)
-
-    @staticmethod
-    def _write(df: DataFrame, path: str) -> int:
+    def _widen(self, table: str, df: DataFrame) -> None:
+        """Add the columns that ``df`` brings."""
+        known = {c.lower() for c in self._stored(table).columns}
+        new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema if f.name.lower() not in known]
+        if new:
+            self.spark.sql(f"ALTER TABLE IDENTIFIER(:name) ADD COLUMNS ({', '.join(new)})", args={"name": self.name(table)})
+
+    @contextmanager
+    def _staged(self, table: str, df: DataFrame) -> Iterator[DataFrame]:
+        """The rows written to a table of their own for the time being."""
+        name = self.name(f"{table}__staged")
+        df.write.format("parquet").mode("overwrite").saveAsTable(name)
+        try:
+            yield self.spark.table(name)
+        finally:
+            self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+
+    def _write(self, table: str, df: DataFrame, replaced: str | None = None) -> int:
+        """Append rows, or replace all partitions (static) or those that the rows lie in (dynamic)."""
         # Hits are few rows out of very many tasks, or nearly all rows of a few; either way they are evened out
-        # into files of a sensible size. Rows are counted after that, in the tasks that write them. What an
-        # earlier, failed attempt left under this path is replaced.
-        written = Observation()
-        even = df.hint("rebalance").observe(written, F.count(F.lit(1)).alias("rows"))
-        even.write.mode("overwrite").parquet(path)
+        # into files of a sensible size. Rows are counted after that, in the tasks that write them.
+        written, parts = Observation(), PARTITIONS.get(table, {})
+        held = {c.lower() for c in df.columns}
+        target = self._stored(table).schema
+        lacking = {f.name: F.lit(None).cast(f.dataType) for f in target if f.name.lower() not in held and f.name not in parts}
+        full = _partitioned(table, df.withColumns(lacking) if lacking else df)
+        even = full.select(*map(quoted, target.names)).hint("rebalance", *parts)
+        even = even.observe(written, F.count(F.lit(1)).alias("rows"))
+        before = self.spark.conf.get(OVERWRITE_MODE)
+        self.spark.conf.set(OVERWRITE_MODE, replaced or before)
+        try:
+            even.write.insertInto(self.name(table), overwrite=replaced is not None)
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, before)
         return written.get["rows"]
+
+
+def _partitioned(table: str, df: DataFrame) -> DataFrame:
+    """The rows with the partition columns that are made of others."""
+    made = {
+        part: F.coalesce(F.date_format(column, form), F.lit(NO_TIME))
+        for part, (column, form) in PARTITIONS.get(table, {}).items()
+        if form
+    }
+    return df.withColumns(made) if made else df

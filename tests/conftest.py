@@ -1,4 +1,5 @@
 import sys
+import uuid
 from pathlib import Path
 
 import pytest
@@ -24,3 +25,12 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture()
+def tables(spark, tmp_path):
+    from metricwatch.sources.state import StateTables
+
+    made = StateTables(spark, f"state_{uuid.uuid4().hex}", str(tmp_path / "state"))
+    yield made
+    spark.sql(f"DROP SCHEMA {made.schema} CASCADE")

@@ -9,7 +9,6 @@ from metricwatch.operators import alerts
 from metricwatch.operators import rules as rule_ops
 from metricwatch.plans import runs
 from metricwatch.sources import state
-from metricwatch.sources.state import StateTables
 from metricwatch.sources.tables import ensure_schema
 from metricwatch.specs import ANOMALY_SCHEMA, RULES_SCHEMA, rules_from_config
 
@@ -151,11 +150,6 @@ def test_rules_keep_their_payload(spark):
     assert Rule.from_row(frame.first().asDict()) == rule
 
 
-@pytest.fixture()
-def tables(spark, tmp_path):
-    return StateTables(spark, str(tmp_path))
-
-
 def test_retiring_switches_detection_off(spark, tables, tmp_path):
     ensure_schema(spark, "live", str(tmp_path / "live"))
     spark.range(1).write.mode("overwrite").saveAsTable("live.sales")

@@ -26,7 +26,7 @@ def hour(number):
 
 @pytest.fixture(scope="module")
 def run(spark, tmp_path_factory):
-    tables = StateTables(spark, str(tmp_path_factory.mktemp("state")))
+    tables = StateTables(spark, "golden_state", str(tmp_path_factory.mktemp("state")))
     assert runs.set_up(tables, RULES) == 7
     sources = [(frame(spark).cache(), SPEC)]
     assert runs.run_metrics(tables, sources, "m1", AS_OF) == METRIC_ROWS

@@ -9,7 +9,6 @@ from metricwatch.operators.anomaly_log import alert_totals, anomalies_ordered, a
 from metricwatch.operators.upsert import upsert
 from metricwatch.plans import runs
 from metricwatch.sources import state
-from metricwatch.sources.state import StateTables
 from metricwatch.sources.tables import ensure_schema, read_csv, read_table, table_exists
 
 KEYED = "k int, v string, w int"
@@ -19,11 +18,6 @@ def as_set(df):
     return {tuple(r) for r in df.collect()}
 
 
-@pytest.fixture()
-def tables(spark, tmp_path):
-    return StateTables(spark, str(tmp_path))
-
-
 def test_upsert_updates_inserts_and_keeps(spark):
     target = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (None, "n", 0)], KEYED)
     source = spark.createDataFrame([(2, "B", 99), (3, "C", 30), (None, "N", 5)], KEYED)
@@ -93,14 +87,11 @@ def test_append_brings_new_columns(spark, tables):
     assert tables.compact("t") == 2 and tables.read("t").count() == 2
 
 
-def test_overwrite_may_read_itself_and_keeps_the_old_snapshot(spark, tables):
+def test_overwrite_may_read_itself(spark, tables):
     tables.overwrite("t", spark.range(5))
-    before = tables.read("t")
     assert tables.overwrite("t", tables.read("t").filter("id > 2")) == 2
-    assert before.count() == 5 and tables.read("t").count() == 2
-    tables.overwrite("t", spark.range(1))
-    tables.prune("t")
-    assert tables.read("t").count() == 1 and len(tables._complete("t")) == 2
+    assert as_set(tables.read("t")) == {(3,), (4,)}
+    assert spark.catalog.tableExists(tables.name("t")) and len(spark.catalog.listTables(tables.schema)) == 1
 
 
 def test_a_failed_write_leaves_the_table_as_it_was(spark, tables):
@@ -115,17 +106,63 @@ def test_a_failed_write_leaves_the_table_as_it_was(spark, tables):
     assert tables.overwrite("t", spark.range(4)) == 4 and tables.read("t").count() == 4
 
 
-def test_unfinished_writes_do_not_count(spark, tables, tmp_path):
-    tables.overwrite("t", spark.range(3))
-    # What a driver leaves behind that dies before its job is committed.
-    for path in (tables._path("t", 1, 2), tables._path("t", 2, 1)):
-        spark.range(9).write.parquet(path)
-        (tmp_path / path / "_SUCCESS").unlink()
-    assert tables.read("t").count() == 3
-    tables.append("t", spark.range(1))
-    assert tables.read("t").count() == 4
-    tables.overwrite("t", spark.range(2))
-    assert tables.read("t").count() == 2
+def metric_rows(spark, run_id, *rows):
+    names = "table_name string, period_start timestamp, metric_name string, metric_value double"
+    made = spark.createDataFrame([(name, at, "row_count", float(value)) for name, at, value in rows], names)
+    return made.withColumns({"run_id": F.lit(run_id), "computed_at": F.lit(START)})
+
+
+def files(tables, table):
+    return set(tables.spark.table(tables.name(table)).inputFiles())
+
+
+def test_an_upsert_leaves_other_partitions_alone(spark, tables):
+    later = datetime(2024, 2, 5)
+    tables.create_all()
+    first = metric_rows(spark, "r1", ("a", START, 1), ("a", later, 2), ("b", START, 3), ("b", None, 4))
+    assert tables.upsert(state.METRICS, first, runs.METRIC_KEYS, runs.METRIC_UPDATES) == 4
+    before = files(tables, state.METRICS)
+    second = metric_rows(spark, "r2", ("a", later, 20), ("b", None, 40), ("c", later, 50))
+    assert tables.upsert(state.METRICS, second, runs.METRIC_KEYS, runs.METRIC_UPDATES) == 5
+    got = as_set(tables.read(state.METRICS).select("table_name", "period_start", "metric_value", "run_id"))
+    assert got == {
+        ("a", START, 1.0, "r1"), ("a", later, 20.0, "r2"), ("b", START, 3.0, "r1"), ("b", None, 40.0, "r2"), ("c", later, 50.0, "r2")
+    }
+    kept = before & files(tables, state.METRICS)
+    assert len(kept) == 2 and all("period_month=2024-01" in path for path in kept)
+
+
+def anomaly_rows(spark, *rows):
+    empty = spark.createDataFrame([], state.SCHEMAS[state.ANOMALIES])
+    given = spark.createDataFrame(rows, "anomaly_id string, detected_at timestamp").withColumn("alerted", F.lit(False))
+    return empty.unionByName(given, allowMissingColumns=True)
+
+
+def test_marking_alerts_leaves_other_days_alone(spark, tables):
+    from metricwatch.operators.alerts import alerted_flags
+
+    tables.create_all()
+    tables.append(state.ANOMALIES, anomaly_rows(spark, ("1", START), ("2", START), ("3", datetime(2024, 1, 2))))
+    before = files(tables, state.ANOMALIES)
+    log = spark.createDataFrame([("1", "SENT"), ("1", "FAILED"), ("3", "FAILED")], "anomaly_id string, status string")
+    assert tables.upsert(state.ANOMALIES, alerted_flags(log), ["anomaly_id"], ["alerted"], insert=False) == 3
+    assert as_set(tables.read(state.ANOMALIES).select("anomaly_id", "alerted")) == {("1", True), ("2", False), ("3", False)}
+    assert any("detected_date=2024-01-02" in path for path in before & files(tables, state.ANOMALIES))
+
+
+def test_an_empty_run_writes_nothing(spark, tables):
+    tables.create_all()
+    tables.append(state.ANOMALIES, anomaly_rows(spark, ("1", START)))
+    for table in state.HISTORY_TABLES:
+        before = files(tables, table)
+        assert tables.append(table, tables.read(table).limit(0)) == 0
+        assert files(tables, table) == before
+
+
+def test_an_upsert_cannot_move_rows(spark, tables):
+    tables.create_all()
+    with pytest.raises(ValueError, match="other partitions"):
+        tables.upsert(state.ANOMALIES, anomaly_rows(spark, ("1", START)), ["anomaly_id"], ["detected_at"], insert=False)
 
 
 def test_create_leaves_existing_tables_alone(spark, tables):
@@ -201,4 +238,4 @@ def test_repeated_rules_are_rejected(tables):
 def test_sparse_rows_are_written_as_few_files(spark, tables, tmp_path):
     sparse = spark.range(0, 100_000, 1, 64).filter("id % 1000 = 0")
     assert tables.overwrite("t", sparse) == 100
-    assert len(list(tmp_path.glob("t/*/*/*.parquet"))) <= 2
+    assert len(list(tmp_path.glob("state/t/*.parquet"))) <= 2
