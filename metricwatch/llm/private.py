@@ -130,9 +130,9 @@ def disclosing_terms(mentions: DataFrame, docs: DataFrame, generalise: float = G
     close = mentions.select("key", "entity", "context", F.explode("terms").alias("term"))
     pairs = close.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("key").alias("n_both"))
     pairs = stored(pairs.filter(F.col("contexts") >= support))
-    sought = stored(pairs.select("term").distinct())  # small tables are sent to the words, large ones meet them in a shuffle
     words = docs.select("key", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
-    with_term = words.join(sought, "term").groupBy("term").agg(F.count_distinct("key").alias("n_term"))
+    # Counted before the join: the more text, the more of all words are sought, so a join of single words outgrows the text.
+    with_term = words.groupBy("term").agg(F.count_distinct("key").alias("n_term"))
     with_entity = mentions.groupBy("entity").agg(F.count_distinct("key").alias("n_entity"))
     known = pairs.join(with_term, "term").join(with_entity, "entity")
     shared = F.log2(F.col("n_both") * F.lit(float(texts)) / (F.col("n_entity") * F.col("n_term")))
