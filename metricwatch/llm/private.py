@@ -1,15 +1,22 @@
 """Personal data: entities found by pattern, and the terms that would give them away.
 
 An entity is an e-mail address, IP address, card number or phone number. From the whole corpus it is counted in how many
-documents an entity, a term, and both close together occur. The pointwise mutual information of the two, as a share
-of the entity's own information, is how much of the entity the term discloses: 1 if it occurs nowhere else. In documents with
-the entity, terms that disclose GENERALISE of it or more are replaced by their kind, from REMOVE on they are removed.
+different texts an entity, a term, and both occur, wherever in the text; what lies within entities is no term. The pointwise
+mutual information of the two, as a share of the entity's own information, is how much of the entity the term discloses: 1 if it
+occurs nowhere else. In documents with the entity, terms that disclose GENERALISE of it or more are replaced by their
+kind, from REMOVE on they are removed.
+
+Rare words meet rare entities by chance, so a pair must be significant too. If a term's n_term texts were drawn from all
+`texts` at random, it would share n_both texts with the entity with a probability of at most the expected number of groups of
+n_both texts that hold both: C(n_entity, n_both) * C(n_term, n_both) / C(texts, n_both). This times the number of different terms, all of
+which were tried, must not exceed CHANCE. What is met in one text only can't pass unless the corpus has far fewer terms than texts.
 
 All work is done by Spark's own expressions. Matches are placed by the pieces of text between them, in code points.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import partial
 
@@ -21,10 +28,8 @@ from metricwatch.llm.shared import stored
 KINDS = ("email", "ip", "card", "phone")
 #: Disclosed share of an entity's information from which a term is generalised, or removed.
 GENERALISE, REMOVE = 0.9, 0.98
-#: Different surroundings in which an entity and a term must have met, so that the counts mean something.
-SUPPORT = 3
-#: Terms on each side of an entity that count as close, and the characters they are sought in.
-NEAR_TERMS, NEAR_CHARS = 5, 100
+#: Terms that an entity may be expected to meet as often by chance, at most.
+CHANCE = 0.01
 
 # The patterns given for base entities, written so that Java neither backtracks over a run nor begins within one.
 _PATTERNS = {
@@ -102,43 +107,94 @@ def _each(kind: str, make: Callable[[Column, str], Column]) -> Column:
     return F.transform(kind, lambda span: make(span, kind))
 
 
+def _merged(spans: Column) -> Column:
+    """The spans in order, those that overlap as one."""
+    none = F.array().cast(_SPANS)
+
+    def step(done: Column, s: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        merged = F.array_append(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), longer)
+        return F.when(F.coalesce(s["start"] < last["end"], F.lit(False)), merged).otherwise(F.array_append(done, s))
+
+    return F.aggregate(F.array_sort(spans), none, step)
+
+
+def _with_words(found: DataFrame, text: str) -> DataFrame:
+    """Adds `words`, the distinct terms in lower case that a text has outside its entities."""
+    found = found.withColumn("covered", F.when(_some(), _merged(F.concat(*KINDS))))
+
+    def between(i: Column) -> Column:
+        start = F.coalesce(F.get("covered", i - 1)["end"], F.lit(0))
+        return F.substring(F.col(text), start + 1, F.coalesce(F.get("covered", i)["start"], F.length(text)) - start)
+
+    gaps = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.size("covered")), between))
+    found = found.withColumn("outside", F.when(F.col("covered").isNotNull(), gaps).otherwise(F.col(text)))
+    terms = F.transform(F.regexp_extract_all("outside", F.lit(_TERM), F.lit(0)), F.lower)
+    return found.withColumn("words", F.array_distinct(terms)).drop("covered", "outside")
+
+
+def _some() -> Column:
+    return F.greatest(*(F.size(k) for k in KINDS)) > 0
+
+
 def _mentions(found: DataFrame, text: str, key: str) -> DataFrame:
-    """key, entity, context, terms: each entity in a text, a hash of what surrounds it, and the terms close to it."""
-    every = F.concat(*(_each(k, lambda s, k: F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS))
-    rows = found.filter(F.greatest(*(F.size(k) for k in KINDS)) > 0).select(key, text, F.explode(every).alias("s"))
-    body, start, end = F.col(text), F.col("s")["start"], F.col("s")["end"]
-    first = F.greatest(start - NEAR_CHARS, F.lit(0))
-    left = F.substring(body, first + 1, start - first)
-    right = F.substring(body, end + 1, F.lit(NEAR_CHARS))
-    rows = rows.select(
-        key,
-        F.xxhash64(F.col("s")["kind"], F.lower(F.substring(body, start + 1, end - start))).alias("entity"),
-        F.regexp_extract_all(F.lower(left), F.lit(_TERM), F.lit(0)).alias("l"),
-        F.regexp_extract_all(F.lower(right), F.lit(_TERM), F.lit(0)).alias("r"),
-    )
-    near = F.concat(F.slice("l", F.greatest(F.size("l") - NEAR_TERMS + 1, F.lit(1)), NEAR_TERMS), F.slice("r", 1, NEAR_TERMS))
-    terms = F.filter(F.array_distinct(near), lambda t: ~t.rlike("^[0-9]+$"))
-    return rows.select(key, "entity", F.xxhash64(near).alias("context"), terms.alias("terms"))
+    """key, entities, words: of each different text with entities, hashes of them and its terms."""
+
+    def name(span: Column, kind: str) -> Column:
+        return F.xxhash64(F.lit(kind), F.lower(F.substring(F.col(text), span["start"] + 1, span["end"] - span["start"])))
+
+    # Texts without entities go last: a filter on the spans would be pushed below them, and search each text again.
+    rows = _with_words(found.withColumn(text, F.when(_some(), F.col(text))), text)
+    rows = rows.select(key, F.array_distinct(F.concat(*(_each(k, name) for k in KINDS))).alias("entities"), "words")
+    rows = rows.groupBy(key).agg(F.first(F.struct("entities", "words")).alias("v"))  # equal texts have equal ones
+    return rows.select(key, "v.*").filter(F.size("entities") > 0)
+
+
+def _ln_choose(n: Column, k: Column) -> Column:
+    """ln C(n, k) by Stirling's series, to about 0.001."""
+
+    def ln_factorial(x: Column) -> Column:
+        y = F.greatest(x, F.lit(1)).cast("double")
+        return F.when(x < 2, F.lit(0.0)).otherwise(y * F.ln(y) - y + F.ln(y * 2 * math.pi) / 2 + 1 / (12 * y))
+
+    return ln_factorial(n) - ln_factorial(k) - ln_factorial(n - k)
 
 
-def disclosing_terms(mentions: DataFrame, docs: DataFrame, generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
-    """entity, term, disclosed: pairs at or above the threshold. Counts are of different texts, so copies weigh once.
+def disclosing_terms(mentions: DataFrame, found: DataFrame, generalise: float = GENERALISE, chance: float = CHANCE) -> DataFrame:
+    """key, term, disclosed: of each text, its terms at or above the threshold for an entity in it, and the most of these shares.
 
-    `docs` has all documents' `key` (a hash of the text) and `text`; `mentions` is from _mentions() over them.
+    `found` has all documents' `key` (a hash of the text), `text` and spans; `mentions` is from _mentions() over them. Counts are of
+    different texts, so copies weigh once.
     """
-    texts = docs.select("key").distinct().count()
-    close = mentions.select("key", "entity", "context", F.explode("terms").alias("term"))
-    pairs = close.groupBy("entity", "term").agg(F.count_distinct("context").alias("contexts"), F.count_distinct("key").alias("n_both"))
-    pairs = stored(pairs.filter(F.col("contexts") >= support))
-    words = docs.select("key", F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))).alias("term"))
+    texts = found.select("key").distinct().count()
+    # A plain explode makes Spark filter on the array below, and so search each text again.
+    words = _with_words(found, "text").select("key", F.explode_outer("words").alias("term")).filter("term IS NOT NULL")
     # Counted before the join: the more text, the more of all words are sought, so a join of single words outgrows the text.
-    with_term = words.groupBy("term").agg(F.count_distinct("key").alias("n_term"))
-    with_entity = mentions.groupBy("entity").agg(F.count_distinct("key").alias("n_entity"))
+    with_term = stored(words.groupBy("term").agg(F.count_distinct("key").alias("n_term")))
+    terms = with_term.count()
+    if not terms:
+        return found.sparkSession.createDataFrame([], "key long, term string, disclosed double")
+
+    def expected(n_both: Column, *choices: Column) -> Column:
+        return F.lit(math.log(terms)) + sum(choices, F.lit(0.0)) - _ln_choose(F.lit(texts).cast("long"), n_both)
+
+    unlikely = F.lit(math.log(chance))
+    held = mentions.select("key", F.explode("entities").alias("entity"))
+    with_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    # No pair has more texts in common than its entity has texts: those below can't pass, whatever their terms are.
+    with_entity = stored(with_entity.withColumn("least", F.least("n_entity", F.lit(texts // 2))).filter(expected(F.col("least"), F.lit(0.0)) <= unlikely).drop("least"))
+    close = held.join(with_entity.select("entity"), "entity").join(mentions.select("key", "words"), "key")
+    close = close.select("key", "entity", F.explode("words").alias("term"))
+    pairs = close.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     known = pairs.join(with_term, "term").join(with_entity, "entity")
     shared = F.log2(F.col("n_both") * F.lit(float(texts)) / (F.col("n_entity") * F.col("n_term")))
     own = F.log2(F.lit(float(texts)) / F.col("n_entity"))
     known = known.withColumn("disclosed", F.when(own > 0, shared / own).otherwise(F.lit(0.0)))
-    return known.filter(F.col("disclosed") >= generalise).select("entity", "term", "disclosed")
+    n = F.col("n_both")
+    significant = expected(n, _ln_choose(F.col("n_entity"), n), _ln_choose(F.col("n_term"), n)) <= unlikely
+    bad = stored(known.filter((F.col("disclosed") >= generalise) & significant).select("entity", "term", "disclosed"))
+    return close.join(bad, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosed").alias("disclosed"))
 
 
 def _read(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -146,14 +202,12 @@ def _read(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
 
 
-def _found(docs: DataFrame, id_column: str, text_column: str, generalise: float, support: int) -> tuple[DataFrame, DataFrame]:
+def _found(docs: DataFrame, id_column: str, text_column: str, generalise: float, chance: float) -> tuple[DataFrame, DataFrame]:
     """All rows' base spans, without texts; and the terms to be sanitised in each text: key, terms, removed."""
     read = _read(docs, id_column, text_column)
     with_entities = _with_entities(read, "text")
-    mentions = stored(_mentions(with_entities, "text", "key").distinct())
-    bad = disclosing_terms(mentions, read, generalise, support)
-    held = mentions.select("key", "entity").distinct().join(bad, "entity")
-    held = held.groupBy("key", "term").agg(F.max("disclosed").alias("disclosed"))
+    mentions = stored(_mentions(with_entities, "text", "key"))
+    held = disclosing_terms(mentions, with_entities, generalise, chance)
     # The terms of one text; no more than it has.
     terms = held.groupBy("key").agg(
         F.collect_list("term").alias("terms"),
@@ -163,15 +217,14 @@ def _found(docs: DataFrame, id_column: str, text_column: str, generalise: float,
 
 
 def entity_spans(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", generalise: float = GENERALISE, support: int = SUPPORT
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", generalise: float = GENERALISE, chance: float = CHANCE
 ) -> DataFrame:
     """Of every row: doc_id, an array of (start, end) for each of KINDS, and one for `term`, in code points, end exclusive.
 
     Null texts count as empty; empty texts have no spans. Rows with equal ids or texts are each returned. A term
-    is a run of two or more letters and digits that isn't all digits; it is marked wherever it stands in a text that holds the
-    entity it discloses.
+    is a run of two or more letters and digits; it is marked wherever it stands in a text that holds the entity it discloses.
     """
-    base, terms = _found(docs, id_column, text_column, generalise, support)
+    base, terms = _found(docs, id_column, text_column, generalise, chance)
     base = base.select("doc_id", "key", *KINDS)
     marked = _with_terms(_read(docs, id_column, text_column).select("key", "text").join(terms, "key"))
     marked = stored(marked.groupBy("key").agg(F.first("term").alias("term")))  # equal texts have equal spans
@@ -191,7 +244,7 @@ def span_text(kinds: tuple[str, ...]) -> Column:
 
 
 def sanitised(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", generalise: float = GENERALISE, support: int = SUPPORT
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", generalise: float = GENERALISE, chance: float = CHANCE
 ) -> DataFrame:
     """The documents with each entity replaced by its kind in brackets, and terms that disclose one generalised or removed.
 
@@ -199,7 +252,7 @@ def sanitised(
     first counts, of those the longest. Null texts stay null.
     """
     spoken = {name: f"in {i}" for i, name in enumerate(docs.columns)}
-    base, terms = _found(docs, id_column, text_column, generalise, support)
+    base, terms = _found(docs, id_column, text_column, generalise, chance)
     body = docs.toDF(*spoken.values())
     text = F.coalesce(F.col(spoken[text_column]).cast("string"), F.lit(""))
     body = body.withColumn("text", text).withColumn("key", F.xxhash64("text")).join(terms, "key", "left")

@@ -203,6 +203,49 @@ def test_terms_that_disclose_an_entity(spark):
     assert nothing.count() == 0 and nothing.columns == frame.columns
 
 
+def test_terms_far_from_an_entity_in_fixed_or_few_surroundings(spark):
+    rng = random.Random(12)
+    filler = [" ".join(f"w{rng.randrange(300)}" for _ in range(20)) for _ in range(2000)]
+    signed = [f"{filler[i]} yours Jane Quibble of the seventh floor to the right jane@x.org staff no 90210417 end {filler[-i - 1]}" for i in range(10)]
+    pair = [f"{filler[40 + i]} {'Zorblax' if i < 2 else ''} {filler[70 + i]} {filler[90 + i]} zo@example.org" for i in range(2)]
+    single = [f"{filler[110]} Anna anna@example.org"]
+    given = [*filler, *signed, *pair, *single]
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    found = {r.doc_id: {given[r.doc_id][s.start : s.end] for s in r.term} for r in private.entity_spans(frame).collect()}
+    want = {"yours", "Jane", "Quibble", "seventh", "floor", "right", "staff", "90210417"}
+    assert all(want <= found[i] for i in range(2000, 2010))
+    assert found[2010] == found[2011] == {"Zorblax"}
+    assert not found[2012] and not any(found[i] for i in range(2000))
+    assert "90210417" not in private.sanitised(frame).filter("doc_id = 2003").head().text
+
+
+def test_disclosing_terms_are_those_of_plain_counting(spark):
+    rng = random.Random(21)
+    known = [f"p{i}@m.org" for i in range(12)]
+    given = []
+    for i in range(1500):
+        parts = [f"t{rng.randrange(400)}" for _ in range(12)]
+        if rng.random() < 0.1:
+            n = rng.randrange(12)
+            parts += [known[n], f"name{n}" if rng.random() < 0.97 else "other", f"{7000 + n}", f"P{n}"]
+            rng.shuffle(parts)
+        given.append(" ".join(parts))
+    holds = [{m for m in known if re.search(rf"(?<!\S){m}(?!\S)", t)} for t in given]
+    words = [set(re.findall(r"[^\W_]{2,}", re.sub(r"\S+@\S+", " ", t.lower()))) for t in given]
+    n, n_term, n_entity = len(set(given)), Counter(w for ws in words for w in ws), Counter(e for es in holds for e in es)
+    both = Counter((e, w) for es, ws in zip(holds, words) for e in es for w in ws)
+    bad = set()
+    for (e, w), k in both.items():
+        chance = len(n_term) * math.comb(n_entity[e], k) * math.comb(n_term[w], k) / math.comb(n, k)
+        if chance <= private.CHANCE and math.log(k * n / n_entity[e] / n_term[w]) >= private.GENERALISE * math.log(n / n_entity[e]):
+            bad.add((e, w))
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    assert n == len(given) and len({w for _, w in bad}) > 20
+    for r in private.entity_spans(frame).collect():
+        got = {given[r.doc_id][s.start : s.end].lower() for s in r.term if not any(e.start <= s.start < e.end for e in r.email)}
+        assert got == {w for e, w in bad if e in holds[r.doc_id] and w in words[r.doc_id]}, given[r.doc_id]
+
+
 def test_conversations_come_back(spark):
     rng = random.Random(5)
     marks = [*chat.CONTROL, chat.ESCAPE, "text", " ", "\n", "é", "日本"]
