@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -411,6 +412,22 @@ def test_quality(spark):
     assert quality.with_score(frame.limit(0), quality.fit(frame, labels.limit(0))).count() == 0
 
 
+def test_pairs_are_fitted_in_blocks():
+    rng = np.random.default_rng(5)
+    z = rng.normal(size=(3000, 50))
+    order = np.argsort(z[:, :5].sum(1) + rng.normal(size=3000))
+    better, worse = rng.choice(order[1500:], quality.PAIRS), rng.choice(order[:1500], quality.PAIRS)
+    assert quality.PAIRS == 200_000
+    tracemalloc.start()
+    w = quality._logistic(z, better, worse)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6  # all gaps together take 80 MB
+    gap = z[better] - z[worse]
+    slope = -gap.T @ (1 / (1 + np.exp(gap @ w))) / len(gap) + 1e-3 * w
+    assert np.abs(slope).max() < 1e-8
+
+
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_queries_give_what_their_sql_gives(spark, name):
     sf_dir = "/root/testdata/sf0.001"
