@@ -248,8 +248,9 @@ def sanitised(
 ) -> DataFrame:
     """The documents with each entity replaced by its kind in brackets, and terms that disclose one generalised or removed.
 
-    All other columns are kept; a column n_chars is set to the new length. Where spans overlap the one that begins
-    first counts, of those the longest. Null texts stay null.
+    All other columns are kept; a column n_chars is set to the new length. Where spans overlap they are
+    replaced as one, by the tag of the one that begins first, of those the longest, and the tags of those that reach beyond what
+    is replaced before them. Null texts stay null.
     """
     spoken = {name: f"in {i}" for i, name in enumerate(docs.columns)}
     base, terms = _found(docs, id_column, text_column, generalise, chance)
@@ -274,8 +275,9 @@ def sanitised(
 
     def step(state: Column, s: Column) -> Column:
         piece = F.concat(F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), s["tag"])
+        piece = F.when(s["start"] >= state["at"], piece).otherwise(s["tag"])
         after = F.struct((-s["back"]).alias("at"), F.array_append(state["parts"], piece).alias("parts"))
-        return F.when(s["start"] >= state["at"], after).otherwise(state)
+        return F.when(-s["back"] > state["at"], after).otherwise(state)
 
     done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step)
     body = body.withColumn("done", F.when(F.size("spans") > 0, done))

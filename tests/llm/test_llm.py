@@ -247,6 +247,13 @@ def test_disclosing_terms_are_those_of_plain_counting(spark):
         assert got == {w for e, w in bad if e in holds[r.doc_id] and w in words[r.doc_id]}, given[r.doc_id]
 
 
+def test_overlapping_spans_are_replaced_whole(spark):
+    given = ["a +1 (545) 555-9193.jo@x.com b", "+1 906 555 10.0.0.1 c", "x 4111111111111111@y.org z", "jo@x.com"]
+    frame = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in private.sanitised(frame).collect()}
+    assert got == {0: "a [PHONE][EMAIL] b", 1: "[PHONE] c", 2: "x [EMAIL] z", 3: "[EMAIL]"}
+
+
 def test_conversations_come_back(spark):
     rng = random.Random(5)
     marks = [*chat.CONTROL, chat.ESCAPE, "text", " ", "\n", "é", "日本"]
