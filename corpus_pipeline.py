@@ -19,8 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays."""
-    return near.one_of_each(docs)
+    """Of each group of near copies the document with the least id stays; rows without an id are compared too."""
+    return near.one_of_each(docs, unnamed=True)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

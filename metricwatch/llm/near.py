@@ -345,16 +345,20 @@ def near_copies(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_i
     return result.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The document with the least id of each group of near copies, with all its columns; of rows with that id one.
+def one_of_each(docs: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text", unnamed: bool = False) -> DataFrame:
+    """The document with the least id of each group of near copies, with all its columns.
 
-    Documents without words are groups of their own, as are rows without an id.
+    Each row is searched by its own text: rows with the same id and text count as one, other texts of that id as documents of their
+    own. Documents without words are groups of their own. Rows without an id all stay; if `unnamed`, they are compared like the
+    others, and only those without words all stay.
     """
-    from pyspark.sql import Window
-
-    groups = near_copies(docs, percent, id_column, text_column)
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("staying id")).distinct()
-    kept = docs.join(stay, F.col(id_column).cast("long") == F.col("staying id"), "left_semi")
-    first = Window.partitionBy(id_column).orderBy(F.xxhash64(text_column), text_column)
-    kept = kept.withColumn("staying row", F.row_number().over(first)).filter(F.col("staying row") == 1).drop("staying row")
-    return kept.unionByName(docs.filter(F.col(id_column).isNull()))
+    doc_id, text = F.col(id_column).cast("long"), F.col(text_column).cast("string")
+    apart = doc_id.isNull() & ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]") & F.lit(unnamed), F.lit(False))
+    key = F.xxhash64(doc_id, doc_id.isNull(), text, text.isNull())
+    keyed = docs.filter(~apart).withColumn("row key", key)
+    groups = near_copies(keyed, percent, "row key", text_column).select(F.col("doc_id").alias("row key"), "component_id").distinct()
+    rows = keyed.select("row key", doc_id.alias("own id")).distinct().join(groups, "row key")
+    first = F.min(F.struct(F.col("own id").isNull(), "own id", "row key"))
+    stay = rows.groupBy("component_id").agg(first.alias("first")).select("first.row key")
+    kept = keyed.join(stay, "row key", "left_semi").dropDuplicates(["row key"]).drop("row key")
+    return kept.unionByName(docs.filter(apart))

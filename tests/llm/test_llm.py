@@ -419,6 +419,15 @@ def test_quality(spark):
     assert quality.with_score(frame.limit(0), quality.fit(frame, labels.limit(0))).count() == 0
 
 
+def test_near_copies_of_rows_that_share_or_lack_an_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, b + " more"), (None, c), (None, c), (None, c + " more"), (4, b), (None, a), (None, ""), (None, None), (5, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in near.one_of_each(frame, unnamed=True).collect())
+    assert got.pop((None, c), 0) + got.pop((None, c + " more"), 0) == 1
+    assert got == Counter([(1, a), (1, b), (None, ""), (None, None), (5, "")])
+
+
 def test_pairs_are_fitted_in_blocks():
     rng = np.random.default_rng(5)
     z = rng.normal(size=(3000, 50))
