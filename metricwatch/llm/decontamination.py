@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricwatch.llm.shared import stored
-from metricwatch.llm.text import SHINGLE_WORDS, shingles, slices
+from metricwatch.llm.text import SHINGLE_WORDS, shingles, slices, words
 
 #: The share of an item's shingles that a document must hold, in percent.
 PERCENT = 75
@@ -28,8 +28,20 @@ PERCENT = 75
 BITMAP_BITS, PART_BITS = 26, 16
 
 
+def _grams(texts: pa.Array, widths: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """shingles(), and with them all word sequences of the widths, which are hashed as a whole text of so many words is."""
+    found = [shingles(texts), *(shingles(texts, width) for width in widths)]
+    hashes = np.concatenate([h for h, _ in found])
+    owner = np.concatenate([np.repeat(np.arange(len(texts)), np.diff(starts)) for _, starts in found])
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    keep = np.ones(len(hashes), bool)
+    keep[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[keep], np.concatenate([[0], np.cumsum(np.bincount(owner[keep], minlength=len(texts)))])
+
+
 def item_shingles(items: DataFrame, percent: int = PERCENT, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """Each item's distinct shingles: item_id, item_text (a hash of it), n, need, size_class, hash, sketched."""
+    """Each item's distinct shingles: item_id, item_text (a hash of it), width (words in one), n, need, size_class, hash, sketched."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -37,6 +49,7 @@ def item_shingles(items: DataFrame, percent: int = PERCENT, id_column: str = "it
                 hashes, starts = shingles(texts)
                 n = np.diff(starts)
                 owner = np.repeat(np.arange(len(n)), n)
+                width = np.minimum(np.diff(words(texts)[1]), SHINGLE_WORDS)
                 need = -(-n * percent // 100)
                 size_class = np.floor(np.log2(np.maximum(n, 1))).astype(np.int64)
                 # What the largest item of the class can lack, and one more.
@@ -47,18 +60,19 @@ def item_shingles(items: DataFrame, percent: int = PERCENT, id_column: str = "it
                     [
                         batch.column("item_id").slice(at, len(texts)).take(pa.array(owner)),
                         batch.column("item_text").slice(at, len(texts)).take(pa.array(owner)),
+                        pa.array(width[owner]),
                         pa.array(n[owner]),
                         pa.array(need[owner]),
                         pa.array(size_class[owner]),
                         pa.array(hashes.view(np.int64)),
                         pa.array(place < sketch[owner]),
                     ],
-                    ["item_id", "item_text", "n", "need", "size_class", "hash", "sketched"],
+                    ["item_id", "item_text", "width", "n", "need", "size_class", "hash", "sketched"],
                 )
 
     text = F.col(text_column).cast("string")
     read = items.select(F.col(id_column).cast("long").alias("item_id"), F.xxhash64(text).alias("item_text"), text.alias("text"))
-    schema = "item_id long, item_text long, n long, need long, size_class long, hash long, sketched boolean"
+    schema = "item_id long, item_text long, width long, n long, need long, size_class long, hash long, sketched boolean"
     return read.filter("item_id IS NOT NULL").mapInArrow(rows, schema)
 
 
@@ -92,23 +106,27 @@ def contained(
     percent: int = PERCENT,
     id_column: str = "doc_id",
     text_column: str = "text",
+    inside: bool = False,
 ) -> DataFrame:
     """Pairs of a document and an item of whose distinct shingles it holds at least `percent` percent.
 
     Returns doc_id, text_hash (xxhash64 of the text, which tells rows of the same id apart), item_id, n_shingles (the
     item's), overlap, containment; each pair of different rows once, repeated rows as one. Shingles are SHINGLE_WORDS words in lower
-    case; a shorter item is one shingle, which only an equally short text holds. Null texts count as empty; empty
+    case; a shorter item is one shingle, which only an equally short text holds, or if `inside` any text with its words in sequence. Null texts count as empty; empty
     items and documents are in no pair, nor are items without an id. Items with the same id but other texts are items of their own.
     """
     spark = docs.sparkSession
     wanted = stored(item_shingles(items, percent).distinct())
+    # At most SHINGLE_WORDS - 1 numbers.
+    short = wanted.filter(F.col("width") < SHINGLE_WORDS).select("width").distinct().collect() if inside else []
+    widths = [r["width"] for r in short]
     sketch = spark.sparkContext.broadcast(_bitmap(wanted.filter("sketched")))
     every = spark.sparkContext.broadcast(_bitmap(wanted))
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, texts in slices(batch.column("text")):
-                hashes, starts = shingles(texts)
+                hashes, starts = _grams(texts, widths) if widths else shingles(texts)
                 owner = np.repeat(np.arange(len(texts)), np.diff(starts))
                 found = _in_bitmap(sketch.value, hashes)
                 docs_hit = np.unique(owner[found])
@@ -144,8 +162,8 @@ def contained(
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that hold no item, with all their columns; of rows with the same id each is judged by its own text."""
-    leaks = contained(docs, items, percent, id_column, text_column)
+    """The documents that hold no item, however short, with all their columns; of rows with the same id each is judged by its own text."""
+    leaks = contained(docs, items, percent, id_column, text_column, inside=True)
     leaks = leaks.select(F.col("doc_id").alias("leaking id"), F.col("text_hash").alias("leaking text")).distinct()
     same = F.col(id_column).cast("long").eqNullSafe(F.col("leaking id"))
     same &= F.xxhash64(F.col(text_column).cast("string")) == F.col("leaking text")

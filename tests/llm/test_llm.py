@@ -328,6 +328,18 @@ def test_benchmark_items_in_documents(spark, docs, texts):
     assert decontamination.contained(docs, frame.limit(0)).count() == 0
 
 
+def test_short_benchmark_items_inside_documents(spark):
+    items = [(n, " ".join(f"Item{n}{x}" for x in range(n))) for n in range(1, 7)]
+    given = [f"some words before {t.upper()} and some more" for _, t in items] + [t for _, t in items]
+    given += ["item30 item31 x item32", "some words that are no item at all", "item40 item41 item42", "", None]
+    docs = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    held = {(i, n) for i, t in enumerate(given) for n, item in items if f" {item.lower()} " in f" {(t or '').lower()} "}
+    got = decontamination.contained(docs, frame, inside=True).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == held and len(got) == len(held) == 12
+    assert {r.doc_id for r in decontamination.decontaminated(docs, frame).collect()} == set(range(12, 17))
+
+
 def test_near_copies(spark):
     rng = random.Random(12)
     words = [f"v{i}" for i in range(4000)]
