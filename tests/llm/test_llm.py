@@ -480,3 +480,42 @@ def test_pipeline(spark):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
     assert corpus_pipeline.run(spark, sf_dir).count() == packed.count()
+
+
+def grams(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def plainly_sanitised(text):
+    """Without terms: on the smallest table no entity is in two different texts."""
+    spans = [(m.start(), -m.end(), kind) for kind, p in PATTERNS.items() for m in re.finditer(p, text) if holds(kind, m[0])]
+    out, at = "", 0
+    for start, back, kind in sorted(spans):
+        if -back > at:
+            out += text[at : max(at, start)] + f"[{kind.upper()}]"
+            at = -back
+    return out + text[at:]
+
+
+def test_pipeline_stages_against_brute_force(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    stages = [stage for _, stage in corpus_pipeline.STAGES]
+    kept = [spark.read.parquet(f"{sf_dir}/documents.parquet")]
+    for stage in stages[:4]:
+        kept.append(corpus_pipeline.stored(stage(spark, kept[-1], sf_dir)))
+    rows = [{r.doc_id: r.text for r in k.collect()} for k in kept]
+    assert all(len(r) == k.count() for r, k in zip(rows, kept))
+    sets = {i: grams(t) for i, t in rows[1].items()}
+    group = {i: i for i in sets}
+    for x in sorted(sets):
+        for y in sets:
+            both, either = len(sets[x] & sets[y]), len(sets[x] | sets[y])
+            if x < y and both and 100 * both >= near.PERCENT * either:
+                old, new = max(group[x], group[y]), min(group[x], group[y])
+                group = {i: new if g == old else g for i, g in group.items()}
+    assert set(rows[2]) == {i for i, g in group.items() if i == g}
+    items = [grams(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    leaking = {i for i in rows[2] if any(s and 100 * len(s & sets[i]) >= decontamination.PERCENT * len(s) for s in items)}
+    assert set(rows[3]) == set(rows[2]) - leaking
+    assert rows[4] == {i: plainly_sanitised(t) for i, t in rows[3].items()} != rows[3]
