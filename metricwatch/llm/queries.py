@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.llm import alignment, chat, counts, decontamination, near, neighbours, packing, pitman_yor, private, quality, token_files
+from metricwatch.llm import alignment, chat, counts, decontamination, near, neighbours, packing, pitman_yor, private, quality, spelling, token_files
 from metricwatch.llm.shared import remainder, table
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, vocabulary
 
@@ -79,6 +79,10 @@ def op10_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.corpus_words(table(spark, sf_dir, "documents")))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_counts(table(spark, sf_dir, "documents"))
 
@@ -94,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_near_copies": op10_near_copies,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_token_alignment": op13_token_alignment,
 }
