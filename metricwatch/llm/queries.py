@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricwatch.llm import alignment, chat, counts, decontamination, near, neighbours, packing, pitman_yor, private, quality, spelling, token_files
+from metricwatch.llm import alignment, chat, collisions, counts, decontamination, near, neighbours, packing, pitman_yor, private, quality, spelling, token_files
 from metricwatch.llm.shared import remainder, table
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, vocabulary
 
@@ -83,6 +83,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(spelling.corpus_words(table(spark, sf_dir, "documents")))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_counts(table(spark, sf_dir, "documents"))
 
@@ -99,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pairwise_quality": op9_pairwise_quality,
     "op10_near_copies": op10_near_copies,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_embedding_near_dedup": op12_embedding_near_dedup,
     "op13_token_alignment": op13_token_alignment,
 }
