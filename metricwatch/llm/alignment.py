@@ -9,9 +9,10 @@ A text has no tokens if it is null or empty, or if the bytes of either side's to
 Strings of special tokens are plain text. Rows with a null id and repeated rows are texts of their own and count as such;
 other columns of the documents, whatever their names, are left out. An empty table gives empty results.
 
-Pairs are counted per task, then merged in buckets of B's ids, so a pair that every text holds is one entry per task. The
-number of different pairs is bounded by the vocabularies. The counts go back to the documents by a shuffle in which each
-bucket is repeated for its salts; no side is broadcast and no bucket's documents meet in one task.
+Texts are worked on in slices of bounded size, where equal groups (told apart by 64-bit hashes) are worked out once. Pairs
+are counted per slice and task, then merged in buckets of B's ids, so a pair that every text holds is one entry per task. The
+number of different pairs is bounded by the vocabularies. A slice asks the buckets for the counts of its different pairs, by
+a shuffle in which each bucket is repeated for its salts; no side is broadcast and no bucket is asked by all in one task.
 """
 
 from __future__ import annotations
@@ -36,12 +37,14 @@ PIECE_BPE = "piece_bpe_32k.model"
 BUCKETS = 16
 #: Bytes of a text whose ends stand in dictionaries at a time.
 WINDOW = 1 << 20
-#: Texts of a slice at most, so that their numbers take two bytes.
-SLICE_TEXTS = 1 << 16
+#: Bytes of a slice of texts, and texts of it at most, so that their numbers take two bytes.
+SLICE_BYTES, SLICE_TEXTS = 2 << 20, 1 << 16
 #: Pairs merged at a time, and pairs of a row of the counts at most.
 HELD_PAIRS = 4_000_000
 
 _SPACE_MARK = "▁"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _loaded: dict[tuple[str, str], Plain | Pieces] = {}
 
 
@@ -167,30 +170,79 @@ def group_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
     return cuts_a, cuts_b
 
 
-def links(left: Side, right: Side) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the linked tokens of A and of B, all texts of a slice in a row.
+def _hashes(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of ids, which end at `ends`."""
+    sums = np.zeros(len(ids) + 1, np.uint64)
+    powers = np.cumprod(np.full(len(ids) + 1, _STEP))
+    np.cumsum(mix(ids.astype(np.uint64) + np.uint64(1)) * powers[1:], out=sums[1:])
+    begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    inverse = np.cumprod(np.full(len(ids) + 1, _BACK))
+    return mix((sums[ends] - sums[begins]) * inverse[begins] + (ends - begins).astype(np.uint64))
 
-    Texts end at a common end, so all slices of all texts are expanded at once: each step of the merged ends is a link.
+
+@dataclass(frozen=True)
+class Groups:
+    """The groups of a slice of texts. Equal groups are worked out once, as a kind."""
+
+    starts: np.ndarray  # first group of each text, with the end of the last
+    kind: np.ndarray  # of each group
+    ends_a: np.ndarray  # of each group, ids of A up to its end, all texts in a row
+    ends_b: np.ndarray
+    example: np.ndarray  # a group of each kind
+
+
+def grouped(left: Side, right: Side) -> Groups:
+    cuts_a, cuts_b, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+    for i in range(len(left.starts) - 1):
+        a, b = slice(left.starts[i], left.starts[i + 1]), slice(right.starts[i], right.starts[i + 1])
+        to_a, to_b = group_cuts(np.cumsum(left.sizes[a]), np.cumsum(right.sizes[b]))
+        cuts_a.append(np.array(to_a, np.int64) + a.start)
+        cuts_b.append(np.array(to_b, np.int64) + b.start)
+        counts.append(len(to_a))
+    ends_a, ends_b = np.concatenate(cuts_a), np.concatenate(cuts_b)
+    both = mix(_hashes(left.ids, ends_a) * np.uint64(3) + _hashes(right.ids, ends_b))
+    _, example, kind = np.unique(both, return_index=True, return_inverse=True)
+    return Groups(np.concatenate([[0], np.cumsum(counts)]).astype(np.int64), kind, ends_a, ends_b, example)
+
+
+def _only_kinds(side: Side, ends: np.ndarray, example: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids and bytes of one group of each kind in a row, and how many ids each has."""
+    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)[example] if len(example) else example
+    lengths = ends[example] - begins
+    at = gather(begins, lengths)
+    return side.ids[at], side.sizes[at], lengths
+
+
+def links(left: Side, right: Side, groups: Groups) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the kinds of groups in a row, the linked ids of A and of B, and how many links each kind has.
+
+    Within a group no inner end is shared, so each step of its merged ends is a link of the two tokens that it lies in.
     """
-    ends_a, ends_b = np.cumsum(left.sizes), np.cumsum(right.sizes)
+    ids_a, sizes_a, n_a = _only_kinds(left, groups.ends_a, groups.example)
+    ids_b, sizes_b, n_b = _only_kinds(right, groups.ends_b, groups.example)
+    ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
     steps = np.union1d(ends_a, ends_b)
-    return np.searchsorted(ends_a, steps), np.searchsorted(ends_b, steps)
+    return ids_a[np.searchsorted(ends_a, steps)], ids_b[np.searchsorted(ends_b, steps)], n_a + n_b - 1
+
+
+def _spelt(left: Side, right: Side, groups: Groups) -> list[str]:
+    """Each kind of group as `a1,a2|b1`."""
+    ids_a, _, n_a = _only_kinds(left, groups.ends_a, groups.example)
+    ids_b, _, n_b = _only_kinds(right, groups.ends_b, groups.example)
+    spelt_a, spelt_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
+    out, from_a, from_b = [], 0, 0
+    for more_a, more_b in zip(n_a.tolist(), n_b.tolist(), strict=True):
+        out.append(",".join(spelt_a[from_a : from_a + more_a]) + "|" + ",".join(spelt_b[from_b : from_b + more_b]))
+        from_a, from_b = from_a + more_a, from_b + more_b
+    return out
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Array]]:
-    for at, texts in slices(batch.column("text")):
+    for at, texts in slices(batch.column("text"), SLICE_BYTES):
         for more in range(0, len(texts), SLICE_TEXTS):
             yield at + more, texts.slice(more, SLICE_TEXTS)
 
 
-def _each(left: Side, right: Side) -> Iterator[tuple[np.ndarray, np.ndarray, list[int], list[int]]]:
-    """Of each text: the ids of A and of B, and the ends of its groups in both."""
-    for i in range(len(left.starts) - 1):
-        a, b = slice(left.starts[i], left.starts[i + 1]), slice(right.starts[i], right.starts[i + 1])
-        cuts = group_cuts(np.cumsum(left.sizes[a]), np.cumsum(right.sizes[b]))
-        yield left.ids[a], right.ids[b], *cuts
-
-
 def aligned(docs: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE) -> DataFrame:
     """doc_id, a_ids, b_ids, a_ends, b_ends: both id lists of each text and, of each group, the ids up to its end.
 
@@ -200,8 +252,11 @@ def aligned(docs: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE) -> DataFrame
     def align(batches):
         for batch in batches:
             for at, texts in _slices(batch):
-                rows = list(_each(*_both(texts, a, b)))
-                columns = [pa.array([row[k] for row in rows], pa.list_(pa.int32())) for k in range(4)]
+                left, right = _both(texts, a, b)
+                groups = grouped(left, right)
+                ends = [cuts - np.repeat(side.starts[:-1], np.diff(groups.starts)) for side, cuts in ((left, groups.ends_a), (right, groups.ends_b))]
+                lists = ((left.starts, left.ids), (right.starts, right.ids), (groups.starts, ends[0]), (groups.starts, ends[1]))
+                columns = [pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(flat.astype(np.int32))) for starts, flat in lists]
                 ids = batch.column("doc_id").slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"])
 
@@ -209,14 +264,6 @@ def aligned(docs: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE) -> DataFrame
     return docs.select("doc_id", "text").mapInArrow(align, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {lists}")
 
 
-def _text_of(ids_a: list[str], ids_b: list[str], cuts_a: list[int], cuts_b: list[int]) -> str:
-    groups, from_a, from_b = [], 0, 0
-    for to_a, to_b in zip(cuts_a, cuts_b, strict=True):
-        groups.append(",".join(ids_a[from_a:to_a]) + "|" + ",".join(ids_b[from_b:to_b]))
-        from_a, from_b = to_a, to_b
-    return ";".join(groups)
-
-
 _ROW = {
     "doc_id": pa.int64(),
     "slice": pa.int64(),
@@ -228,10 +275,15 @@ _ROW = {
     "groups_sha256": pa.string(),
     "bucket": pa.int32(),
     "pairs": pa.binary(),
-    "texts_per_pair": pa.binary(),
+    "counts": pa.binary(),
+    "links": pa.binary(),
+    "links_per_kind": pa.binary(),
+    "texts_per_kind": pa.binary(),
     "places": pa.binary(),
     "times": pa.binary(),
 }
+_TYPES = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
+_MATRIX = ("links", "links_per_kind", "texts_per_kind", "places", "times")
 
 
 def _batch(**columns) -> pa.RecordBatch:
@@ -240,47 +292,52 @@ def _batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(made, list(_ROW))
 
 
-def _pair_rows(left: Side, right: Side, number: int) -> pa.RecordBatch:
-    """One row per bucket: the slice's pairs in order, in how many texts each is, and of each such text place and links."""
-    token_a, token_b = links(left, right)
-    place = np.searchsorted(left.starts, token_a, "right") - 1
-    key = right.ids[token_b].astype(np.uint64) << np.uint64(32) | left.ids[token_a].astype(np.uint64)
-    pairs, rank = np.unique(key, return_inverse=True)
-    held, times = np.unique(rank * SLICE_TEXTS + place, return_counts=True)
-    rank, place = held // SLICE_TEXTS, held % SLICE_TEXTS
-    bucket = (mix(pairs >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int32)
-    rows: dict[str, list] = {"slice": [], "bucket": [], "pairs": [], "texts_per_pair": [], "places": [], "times": []}
+def _slice_rows(left: Side, right: Side, groups: Groups, number: int) -> pa.RecordBatch:
+    """One row per bucket, with the slice's pairs in order and the links of each, and one with what its texts hold.
+
+    That is, for each kind of group, its links as numbers of pairs, and the texts it is in with how often.
+    """
+    ids_a, ids_b, per_kind = links(left, right, groups)
+    key = ids_b.astype(np.uint64) << np.uint64(32) | ids_a.astype(np.uint64)
+    pairs, number_of = np.unique(key, return_inverse=True)
+    place = np.repeat(np.arange(len(groups.starts) - 1), np.diff(groups.starts))
+    held, times = np.unique(groups.kind * SLICE_TEXTS + place, return_counts=True)
+    kind, place = held // SLICE_TEXTS, held % SLICE_TEXTS
+    counts = np.zeros(len(pairs), np.int64)
+    np.add.at(counts, number_of, np.repeat(np.bincount(groups.kind, minlength=len(per_kind)), per_kind))
+    bucket = _bucket(pairs)
+    rows: dict[str, list] = {name: [] for name in ("slice", "bucket", "pairs", "counts", *_MATRIX)}
     for k in np.unique(bucket).tolist():
         chosen = bucket == k
-        entry = chosen[rank]
-        rows["slice"].append(number)
-        rows["bucket"].append(k)
-        rows["pairs"].append(pairs[chosen].tobytes())
-        rows["texts_per_pair"].append(np.bincount(rank, minlength=len(pairs))[chosen].astype(np.uint32).tobytes())
-        rows["places"].append(place[entry].astype(np.uint16).tobytes())
-        rows["times"].append(times[entry].astype(np.uint32).tobytes())
+        for name, value in (("slice", number), ("bucket", k), ("pairs", pairs[chosen].tobytes()), ("counts", counts[chosen].tobytes())):
+            rows[name].append(value)
+        for name in _MATRIX:
+            rows[name].append(None)
+    texts_per_kind = np.bincount(kind, minlength=len(per_kind))
+    arrays = (number_of.astype(np.uint32), per_kind.astype(np.uint32), texts_per_kind.astype(np.uint32), place.astype(np.uint16), times.astype(np.uint32))
+    for name, value in (("slice", number), ("bucket", -1), ("pairs", pairs.tobytes()), ("counts", None), *zip(_MATRIX, (x.tobytes() for x in arrays), strict=True)):
+        rows[name].append(value)
     return _batch(**rows)
 
 
+def _bucket(pairs: np.ndarray) -> np.ndarray:
+    return (mix(pairs >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int32)
+
+
 def _aligned_slices(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """One row per text, and one per slice of texts and bucket of pairs, which has the column bucket."""
+    """A row per text, without a bucket, per slice of texts and bucket of pairs, and per slice, with bucket -1."""
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
-        names_a = names_b = None
         for batch in batches:
             for at, texts in _slices(batch):
                 left, right = _both(texts, a, b)
-                if names_a is None:
-                    names_a = [str(i) for i in range(len(_encoder(Plain, a).names[2]))]
-                    names_b = [str(i) for i in range(len(_encoder(Pieces, b).names[2]))]
-                n_groups, shas = [], []
-                for ids_a, ids_b, cuts_a, cuts_b in _each(left, right):
-                    spelt_a, spelt_b = [names_a[i] for i in ids_a.tolist()], [names_b[i] for i in ids_b.tolist()]
-                    text = _text_of(spelt_a, spelt_b, cuts_a, cuts_b)
-                    n_groups.append(len(cuts_a))
+                groups = grouped(left, right)
+                spelt, shas = _spelt(left, right, groups), []
+                for begin, end in zip(groups.starts[:-1].tolist(), groups.starts[1:].tolist(), strict=True):
+                    text = ";".join(map(spelt.__getitem__, groups.kind[begin:end].tolist()))
                     shas.append(hashlib.sha256(text.encode()).hexdigest() if text else "")
-                n_a, n_b = np.diff(left.starts), np.diff(right.starts)
+                n_a, n_b, n_groups = np.diff(left.starts), np.diff(right.starts), np.diff(groups.starts)
                 yield _batch(
                     doc_id=batch.column("doc_id").slice(at, len(texts)),
                     slice=[number] * len(texts),
@@ -288,16 +345,15 @@ def _aligned_slices(docs: DataFrame, a: str, b: str) -> DataFrame:
                     n_a=n_a,
                     n_b=n_b,
                     n_groups=n_groups,
-                    n_links=n_a + n_b - np.array(n_groups, np.int64),
+                    n_links=n_a + n_b - n_groups,
                     groups_sha256=shas,
                 )
                 if len(left.ids):
-                    yield _pair_rows(left, right, number)
+                    yield _slice_rows(left, right, groups, number)
                 number += 1
 
-    types = {pa.int64(): "long", pa.int32(): "int", pa.string(): "string", pa.binary(): "binary"}
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return given.mapInArrow(run, ", ".join(f"`{k}` {types[t]}" for k, t in _ROW.items()))
+    return given.mapInArrow(run, ", ".join(f"`{k}` {_TYPES[t]}" for k, t in _ROW.items()))
 
 
 def _summed(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +376,7 @@ def _merge(batches) -> Iterator[pa.RecordBatch]:
                 flat, weights = _summed(pairs, counts)
                 pairs, counts, held, kept = [flat], [weights], 0, len(flat)
     flat, weights = _summed(pairs, counts)
-    bucket = (mix(flat >> np.uint64(32)) % np.uint64(BUCKETS)).astype(np.int32)
+    bucket = _bucket(flat)
     for k in np.unique(bucket).tolist():
         chosen = np.flatnonzero(bucket == k)
         for at in range(0, len(chosen), HELD_PAIRS):
@@ -329,25 +385,13 @@ def _merge(batches) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, ["bucket", "pairs", "counts"])
 
 
-def _counted(batches) -> Iterator[pa.RecordBatch]:
-    """Per slice and bucket, the links of each pair."""
-    for batch in batches:
-        counts = []
-        for row in range(batch.num_rows):
-            per_pair = np.frombuffer(batch.column("texts_per_pair")[row].as_buffer(), np.uint32).astype(np.int64)
-            times = np.frombuffer(batch.column("times")[row].as_buffer(), np.uint32).astype(np.int64)
-            counts.append(np.add.reduceat(times, np.cumsum(per_pair) - per_pair).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("pairs"), pa.array(counts, pa.binary())], ["bucket", "pairs", "counts"])
-
-
 def pair_counts(found: DataFrame) -> DataFrame:
     """bucket, pairs, counts: the corpus-wide links of every pair of ids, as packed arrays of B's id << 32 | A's id.
 
     Pairs are summed in each task, then by bucket and salt, then by bucket.
     """
     schema, salts = "bucket int, pairs binary, counts binary", _salts(found)
-    rows = found.filter("bucket IS NOT NULL").select("bucket", "pairs", "texts_per_pair", "times")
-    each = rows.mapInArrow(_counted, schema).mapInArrow(_merge, schema)
+    each = found.filter("bucket >= 0").select("bucket", "pairs", "counts").mapInArrow(_merge, schema)
     if salts > 1:
         salted = each.repartition(salts * BUCKETS, "bucket", F.pmod(F.xxhash64("pairs"), F.lit(salts)))
         each = salted.mapInArrow(_merge, schema)
@@ -358,38 +402,66 @@ def _salts(df: DataFrame) -> int:
     return max(1, -(-partitions(df.sparkSession) // BUCKETS))
 
 
-def _scored(batches) -> Iterator[pa.RecordBatch]:
-    """Per text and bucket: links whose count is the highest of their B id, and the sum of all links' counts.
+def _best(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether a pair's count is the highest of its B id; pairs are in order and have all of their B ids."""
+    of_b = pairs >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate([[True], of_b[1:] != of_b[:-1]]))
+    return counts == np.repeat(np.maximum.reduceat(counts, first), np.diff(np.append(first, len(of_b))))
+
 
-    Of each bucket and salt, the rows of counts come first.
+def _answered(batches) -> Iterator[pa.RecordBatch]:
+    """Per slice and bucket, of each of its pairs the corpus-wide count and whether that is the highest of its B id.
+
+    Of each bucket and salt, the rows of counts, which have no slice, come first.
     """
-    now, pairs, counts, best = None, [], [], None
+    now, pairs, counts, ready = None, [], [], False
     for batch in batches:
-        for row in batch.to_pylist():
-            where = (row["bucket"], row["salt"])
+        for row in range(batch.num_rows):
+            where = (batch.column("bucket")[row].as_py(), batch.column("salt")[row].as_py())
+            own, number = np.frombuffer(batch.column("pairs")[row].as_buffer(), np.uint64), batch.column("slice")[row].as_py()
             if where != now:
-                now, pairs, counts, best = where, [], [], None
-            own = np.frombuffer(row["pairs"], np.uint64)
-            if row["slice"] is None:
+                now, pairs, counts, ready = where, [], [], False
+            if number is None:
                 pairs.append(own)
-                counts.append(np.frombuffer(row["counts"], np.int64))
+                counts.append(np.frombuffer(batch.column("counts")[row].as_buffer(), np.int64))
                 continue
-            if best is None:
+            if not ready:
                 all_pairs, all_counts = _summed(pairs, counts)
-                pairs = counts = []
-                of_b = all_pairs >> np.uint64(32)
-                first = np.flatnonzero(np.concatenate([[True], of_b[1:] != of_b[:-1]]))
-                top = np.repeat(np.maximum.reduceat(all_counts, first), np.diff(np.append(first, len(of_b))))
-                best = all_counts == top
+                best, ready, pairs, counts = _best(all_pairs, all_counts), True, [], []
             at = np.searchsorted(all_pairs, own)
-            per_pair = np.frombuffer(row["texts_per_pair"], np.uint32).astype(np.int64)
-            places = np.frombuffer(row["places"], np.uint16)
-            times = np.frombuffer(row["times"], np.uint32).astype(np.int64)
-            sums, bests = np.zeros(int(places.max()) + 1, np.int64), np.zeros(int(places.max()) + 1, np.int64)
-            np.add.at(sums, places, times * np.repeat(all_counts[at], per_pair))
-            np.add.at(bests, places, times * np.repeat(best[at], per_pair))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number]), pa.array([own.tobytes()]), pa.array([all_counts[at].tobytes()]), pa.array([best[at].tobytes()])],
+                ["slice", "pairs", "counts", "best"],
+            )
+
+
+def _scored(batches) -> Iterator[pa.RecordBatch]:
+    """Per text: links whose count is the highest of their B id, and the sum of all links' counts.
+
+    The answers to a slice's pairs come before the row with what its texts hold.
+    """
+    answers: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        for row in range(batch.num_rows):
+
+            def array(name: str, dtype) -> np.ndarray:
+                return np.frombuffer(batch.column(name)[row].as_buffer(), dtype)  # noqa: B023
+
+            if not batch.column("links")[row].is_valid:
+                answers.append((array("pairs", np.uint64), array("counts", np.int64), array("best", bool)))
+                continue
+            pairs, counts, best = (np.concatenate(x) for x in zip(*answers, strict=True))
+            order, answers = np.argsort(pairs), []
+            link, per_kind, texts = order[array("links", np.uint32)], array("links_per_kind", np.uint32), array("texts_per_kind", np.uint32)
+            first, places, times = np.cumsum(per_kind.astype(np.int64)) - per_kind, array("places", np.uint16), array("times", np.uint32).astype(np.int64)
+            of_texts = []
+            for value in (best.astype(np.int64), counts):
+                per_group = np.repeat(np.add.reduceat(value[link], first.astype(np.int64)), texts)
+                of_texts.append(np.zeros(int(places.max()) + 1, np.int64))
+                np.add.at(of_texts[-1], places, times * per_group)
             full = np.unique(places)
-            columns = [np.full(len(full), row["slice"]), full.astype(np.int32), bests[full], sums[full]]
+            number = np.full(len(full), batch.column("slice")[row].as_py())
+            columns = [number, full.astype(np.int32), *(x[full] for x in of_texts)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["slice", "place", "n_best", "count_sum"])
 
 
@@ -402,17 +474,17 @@ def alignment_counts(docs: DataFrame, a: str = BYTE_BPE, b: str = PIECE_BPE) ->
     spark, salts = docs.sparkSession, _salts(docs)
     found = stored(_aligned_slices(docs, a, b))
     counts = stored(pair_counts(found))
-    asked = found.filter("bucket IS NOT NULL").select(
-        "bucket", F.pmod(F.xxhash64("slice"), F.lit(salts)).cast("int").alias("salt"), "slice", "pairs", "texts_per_pair", "places", "times"
-    )
+    asked = found.filter("bucket >= 0").select("bucket", F.pmod(F.xxhash64("slice"), F.lit(salts)).cast("int").alias("salt"), "slice", "pairs")
     repeated = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     dealt = asked.unionByName(repeated, allowMissingColumns=True).repartition(salts * BUCKETS, "bucket", "salt")
-    scores = dealt.sortWithinPartitions("bucket", "salt", F.col("slice").asc_nulls_first()).mapInArrow(
-        _scored, "slice long, place int, n_best long, count_sum long"
+    answers = dealt.sortWithinPartitions("bucket", "salt", F.col("slice").asc_nulls_first()).mapInArrow(
+        _answered, "slice long, pairs binary, counts binary, best binary"
     )
-    sums = scores.groupBy("slice", "place").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    held = found.filter("bucket = -1").select("slice", *_MATRIX)
+    met = answers.unionByName(held, allowMissingColumns=True).repartition(partitions(spark), "slice")
+    scores = met.sortWithinPartitions("slice", F.col("links").isNotNull()).mapInArrow(_scored, "slice long, place int, n_best long, count_sum long")
     texts = found.filter("bucket IS NULL").select("doc_id", "slice", "place", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-    return texts.join(sums, ["slice", "place"], "left").select(
+    return texts.join(scores, ["slice", "place"], "left").select(
         "doc_id",
         "n_a",
         "n_b",

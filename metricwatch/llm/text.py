@@ -58,12 +58,12 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
-def slices(texts: pa.Array):
-    """The column in pieces of about SLICE_BYTES, each of one whole text at least, with the number of the first."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES):
+    """The column in pieces of about `size` bytes, each of one whole text at least, with the number of the first."""
     _, starts = buffers(texts)
     at = 0
     while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE_BYTES, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(starts, starts[at] + size, "right")) - 1)
         yield at, texts.slice(at, end - at)
         at = end
 
