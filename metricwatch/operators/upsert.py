@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricwatch.functions.columns import quoted
+
 
 def upsert(
     target: DataFrame,
@@ -21,8 +25,7 @@ def upsert(
     match each other. Two source rows of one key are an error, raised when the plan runs. Target rows are
     never merged with each other.
 
-    Both sides are matched on the keys packed as one struct: it compares null-safely, and the grouping that
-    finds repeated source keys leaves the source partitioned and sorted the way the join wants it.
+    The join is on the key columns themselves, null-safely, so filters on them reach the target's scan.
     """
     updates = list(update_columns) if update_columns is not None else [c for c in source.columns if c not in keys]
     carried = target.columns if insert else [*keys, *updates]
@@ -31,27 +34,25 @@ def upsert(
         raise ValueError(f"source lacks columns {sorted(lacking)}")
 
     # A cast on the way in keeps the target's types whatever the source's are.
-    def as_target(columns):
-        kinds = {field.name: field.dataType for field in target.schema.fields}
-        return F.struct(*(F.col(c).cast(kinds[c]).alias(c) for c in columns))
-
-    repeated = F.raise_error(F.concat(F.lit("more than one source row for key "), F.to_json("_key")))
+    kinds = {field.name: field.dataType for field in target.schema.fields}
+    typed = {name: F.col(quoted(name)).cast(kinds[name]) for name in carried}
+    held = {name: f"_key_{number}" for number, name in enumerate(keys)}
+    repeated = F.raise_error(F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*held.values()))))
     unique = (
-        source.select(as_target(keys).alias("_key"), as_target(carried).alias("_new"))
-        .groupBy("_key")
+        source.select(*(typed[k].alias(held[k]) for k in keys), F.struct(*(typed[c].alias(c) for c in carried)).alias("_new"))
+        .groupBy(*held.values())
         .agg(F.count(F.lit(1)).alias("_rows"), F.first("_new").alias("_new"))
-        .select("_key", F.when(F.col("_rows") == 1, F.col("_new")).otherwise(repeated).alias("_new"))
+        .withColumn("_new", F.when(F.col("_rows") == 1, F.col("_new")).otherwise(repeated))
     )
-    existing = target.select(F.struct(*keys).alias("_key"), F.struct("*").alias("_old"))
-    joined = existing.join(unique, "_key", "full_outer" if insert else "left")
+    same = reduce(and_, (F.col(quoted(key)).eqNullSafe(F.col(held[key])) for key in keys))
+    joined = target.withColumn("_old", F.lit(True)).join(unique, same, "full_outer" if insert else "left")
 
     def column(name: str):
-        old, new = F.col("_old")[name], F.col("_new")[name]
+        old = F.col(quoted(name))
         if name in updates:
-            old = F.when(F.col("_new").isNotNull(), new).otherwise(old)
+            old = F.when(F.col("_new").isNotNull(), F.col("_new")[name]).otherwise(old)
         elif insert:
-            old = F.when(F.col("_old").isNotNull(), old).otherwise(new)
+            old = F.when(F.col("_old"), old).otherwise(F.col("_new")[name])
         return old.alias(name)
 
     return joined.select(*(column(name) for name in target.columns))
-

@@ -13,6 +13,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metricwatch.functions.columns import moment
 from metricwatch.operators import alerts
 from metricwatch.operators.alerts import AlertSettings
 from metricwatch.operators.anomaly_log import new_anomalies, pending_anomalies
@@ -54,7 +55,7 @@ def run_metrics(
     as_of: datetime | str | None = None,
     since: datetime | str | None = None,
 ) -> int:
-    """Compute metrics of all sources into the history; returns the rows the history then has.
+    """Compute metrics of all sources into the history; returns how many rows were computed.
 
     With ``since`` only the periods from there on are read from the sources.
     """
@@ -90,29 +91,46 @@ def run_detection(
 
 
 def run_alerting(
-    tables: StateTables, settings: AlertSettings, run_id: str | None = None, retry_open: bool = False
+    tables: StateTables,
+    settings: AlertSettings,
+    run_id: str | None = None,
+    retry_open: bool = False,
+    as_of: datetime | str | None = None,
+    look_back_days: int | None = None,
 ) -> DataFrame:
     """Write the outbox of this run; returns its rows for the sender. A repeated run adds no alert twice.
 
     Anomalies with an alert of an earlier run whose outcome isn't recorded yet are left out, unless ``retry_open``.
+    With ``look_back_days`` only the partitions of so many days before ``as_of`` are read, of anomalies and of earlier
+    alerts; what is still pending from before that is no longer alerted.
     """
-    run_id = run_id or new_run_id()
-    tables.create(state.OUTBOX)
-    tables.create(state.ALERTS)
-    log = tables.read(state.ANOMALIES)
+    run_id, as_of = run_id or new_run_id(), moment(as_of or now())
+    for table in (state.OUTBOX, state.ALERTS, state.MARKS):
+        tables.create(table)
+    emitted = F.date_format(as_of, "yyyy-MM-dd")
+    log, others = tables.read(state.ANOMALIES), F.col("run_id") != run_id
+    if look_back_days is not None:
+        first = F.date_format(F.date_sub(as_of.cast("date"), look_back_days), "yyyy-MM-dd")
+        recent = tables.read_partitions(state.ANOMALIES, F.col("detected_date") >= first)
+        marked = tables.read(state.MARKS)
+        log = recent.filter("NOT alerted").join(marked, "anomaly_id", "left_anti") if settings.dedupe else recent
+        others = others & (F.col("emitted_date") >= first)
     if not retry_open:
-        earlier = tables.read(state.OUTBOX).filter((F.col("status") == alerts.PENDING) & (F.col("run_id") != run_id))
-        still_open = earlier.join(tables.read(state.ALERTS).select("alert_id"), "alert_id", "left_anti")
+        earlier = tables.read_partitions(state.OUTBOX, others).filter(F.col("status") == alerts.PENDING)
+        recorded = tables.read_partitions(state.ALERTS, others).select("alert_id")
+        still_open = earlier.join(recorded, "alert_id", "left_anti")
         log = log.join(still_open.select("anomaly_id"), "anomaly_id", "left_anti")
     outbox = alerts.alert_outbox(log, settings, run_id)
-    listed = tables.read(state.OUTBOX).select("alert_id")
-    tables.append(state.OUTBOX, outbox.join(listed, "alert_id", "left_anti").select(*OUTBOX_SCHEMA.names))
-    return tables.read(state.OUTBOX).filter(F.col("run_id") == run_id)
+    of_run = F.col("run_id") == run_id
+    listed = tables.read_partitions(state.OUTBOX, of_run).select("alert_id")
+    fresh = outbox.join(listed, "alert_id", "left_anti").select(*OUTBOX_SCHEMA.names)
+    tables.append(state.OUTBOX, fresh.withColumn("emitted_date", emitted))
+    return tables.read_partitions(state.OUTBOX, of_run)
 
 
 def digest_of_run(tables: StateTables, run_id: str) -> DataFrame:
     """The anomalies that an alerting run put in its digest."""
-    listed = tables.read(state.OUTBOX).filter((F.col("run_id") == run_id) & F.col("in_digest"))
+    listed = tables.read_partitions(state.OUTBOX, F.col("run_id") == run_id).filter("in_digest")
     return tables.read(state.ANOMALIES).join(listed.select("anomaly_id").distinct(), "anomaly_id", "left_semi")
 
 
@@ -122,18 +140,29 @@ def record_outcomes(
     outcomes: DataFrame,
     digest: tuple[str, str | None] | None = None,
     sent_at: datetime | str | None = None,
+    fold_at: int = 1_000_000,
 ) -> DataFrame:
-    """Log what became of a run's alerts and mark the anomalies that got through; returns the logged rows."""
+    """Log what became of a run's alerts and mark the anomalies that got through; returns the logged rows.
+
+    Only the run's own partitions of outbox and alert log are read, and what is written is the run's own outcomes and marks.
+    Marks are folded into the anomaly log once there are ``fold_at`` of them.
+    """
     tables.create(state.ALERTS)
-    outbox = tables.read(state.OUTBOX).filter(F.col("run_id") == run_id)
-    logged = alerts.alert_log(outbox, outcomes, digest, sent_at or now())
+    tables.create(state.MARKS)
+    of_run, sent_at = F.col("run_id") == run_id, sent_at or now()
+    day = F.date_format(moment(sent_at), "yyyy-MM-dd")
+    outbox = tables.read_partitions(state.OUTBOX, of_run)
+    logged = alerts.alert_log(outbox, outcomes, digest, sent_at)
     # An outcome that was recorded before, by a run that then failed, is not recorded again.
-    known = tables.read(state.ALERTS).select("alert_id", "status")
+    known = tables.read_partitions(state.ALERTS, of_run).select("alert_id", "status")
     fresh = logged.join(known, ["alert_id", "status"], "left_anti").select(*ALERT_SCHEMA.names)
-    tables.append(state.ALERTS, fresh)
-    of_run = tables.read(state.ALERTS).join(outbox.select("alert_id").distinct(), "alert_id", "left_semi")
-    tables.upsert(state.ANOMALIES, alerts.alerted_flags(of_run), ["anomaly_id"], ["alerted"], insert=False)
-    return of_run.select(*ALERT_SCHEMA.names)
+    tables.append(state.ALERTS, fresh.withColumns({"emitted_date": day, "run_id": F.lit(run_id)}))
+    recorded = tables.read_partitions(state.ALERTS, of_run)
+    marks = alerts.alerted_flags(recorded).select("anomaly_id")
+    new = marks.join(tables.read(state.MARKS), "anomaly_id", "left_anti")
+    tables.append(state.MARKS, new.withColumn("marked_date", day))
+    tables.fold_marks(fold_at)
+    return recorded
 
 
 def run_retirement(tables: StateTables, existing: DataFrame) -> int:

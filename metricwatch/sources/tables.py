@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -32,3 +35,30 @@ def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -
     place = "" if location is None else " LOCATION :location"
     args = {"name": name} if location is None else {"name": name, "location": location}
     spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)" + place, args=args)
+
+
+def schema_folder(spark: SparkSession, name: str) -> str:
+    """Where the tables of a catalog schema lie."""
+    return spark.catalog.getDatabase(name).locationUri
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of any store that Spark reads; one that isn't there is no error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_unused(spark: SparkSession, folder: str, used: Collection[str], older_than_hours: float) -> int:
+    """Delete the files below a folder that are not used and have not changed for so long; returns how many."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        return 0
+    kept = {hadoop.Path(spark._jvm.java.net.URI(name)).toUri().getPath() for name in used}
+    bound, files, removed = (time.time() - older_than_hours * 3600) * 1000, store.listFiles(path, True), 0
+    while files.hasNext():
+        found = files.next()
+        if found.getPath().toUri().getPath() not in kept and found.getModificationTime() <= bound:
+            removed += store.delete(found.getPath(), False)
+    return removed

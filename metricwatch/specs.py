@@ -99,6 +99,7 @@ OUTBOX_SCHEMA = _schema(
     ("subject", _string, True),
     ("body", _string, True),
 )
+MARKS_SCHEMA = _schema(("anomaly_id", _string, False))
 
 
 @dataclass(frozen=True)
