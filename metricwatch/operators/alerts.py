@@ -7,7 +7,7 @@ reports outcomes as rows.
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
@@ -64,6 +64,9 @@ class AlertSettings:
     # The default subject formats.
     subject_template: str = "[{severity}] Anomaly Alert - {anomaly_type} detected in {table_name}"
     digest_subject_template: str = "[Anomaly Digest] {count} anomalies detected - {run_date}"
+    recipients: Sequence[str] = ()
+    cc: Sequence[str] = ()
+    chat_targets: Mapping[str, str] = field(default_factory=dict)  # the room of each chat channel
 
     @property
     def digests_mail(self) -> bool:
@@ -81,6 +84,9 @@ class AlertSettings:
             enabled_channels=frozenset(channels),
             send_digest=bool(mail.get("send_digest")),
             dedupe=alerting.get("dedupe_alerts", True),
+            recipients=tuple(mail.get("recipients", ())),
+            cc=tuple(mail.get("cc", ())),
+            chat_targets={name: s["channel"] for name, s in alerting.items() if isinstance(s, Mapping) and s.get("channel")},
             **texts,
         )
 
@@ -155,6 +161,24 @@ def alert_outbox(log: DataFrame, settings: AlertSettings, run_id: str) -> DataFr
     )
 
 
+def addressed(outbox: DataFrame, settings: AlertSettings) -> DataFrame:
+    """The outbox with who gets each alert: ``recipients`` and ``cc`` of mails, and the room, ``target``, of chats."""
+
+    def listed(names: Sequence[str]) -> Column:
+        return F.array(*map(F.lit, names)).cast("array<string>")
+
+    channel, target = F.col("channel"), F.lit(None).cast("string")
+    for name, room in settings.chat_targets.items():
+        target = F.when(channel == name, room).otherwise(target)
+    return outbox.withColumns(
+        {
+            "recipients": F.when(channel == EMAIL, listed(settings.recipients)),
+            "cc": F.when(channel == EMAIL, listed(settings.cc)),
+            "target": target,
+        }
+    )
+
+
 def digest_anomalies(log: DataFrame, settings: AlertSettings) -> DataFrame:
     """Pending anomalies that go out in the mail digest."""
     if not settings.digests_mail:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,20 +14,20 @@ from metricwatch.functions.columns import severity_rank
 LOG_KEYS = ("table_name", "column_name", "anomaly_type", "period_start")
 
 
-def new_anomalies(hits: DataFrame, log: DataFrame, salts: int = 16) -> DataFrame:
+def new_anomalies(hits: DataFrame, log: DataFrame, salts: int = 1) -> DataFrame:
     """Hits that are not in the log yet. Keys compare null-safely; hits are not compared with each other.
 
-    One hour of one table can hold most hits of a run, when a bound is broken by nearly every row. So hits
-    are spread over ``salts`` parts by their id, which is one row's, and the distinct logged keys, of which
-    there is at most one per table, column, type and period, are repeated for each part.
+    The logged side is one row per table, column, type and period. One hour of one table can hold most hits of a run, when a
+    bound is broken by nearly every row: Spark then splits that key's hits and gives each part the logged row, as
+    its size shows at run time. Where adaptive execution is off, ``salts`` deals hits out by their id, which is one row's, and
+    repeats the logged keys for each part.
     """
     logged = log.select(*(F.col(key).alias(f"_logged_{key}") for key in LOG_KEYS)).distinct()
-    logged = logged.withColumn("_logged_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = hits.withColumn("_salt", F.pmod(F.xxhash64("anomaly_id"), F.lit(salts)).cast("int"))
-    same = F.col("_salt") == F.col("_logged_salt")
-    for key in LOG_KEYS:
-        same = same & F.col(key).eqNullSafe(F.col(f"_logged_{key}"))
-    return salted.join(logged, same, "left_anti").select(*hits.columns)
+    same = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_logged_{key}")) for key in LOG_KEYS))
+    if salts > 1:
+        logged = logged.withColumn("_logged_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        same &= F.pmod(F.xxhash64("anomaly_id"), F.lit(salts)).cast("int") == F.col("_logged_salt")
+    return hits.join(logged, same, "left_anti")
 
 
 def pending_anomalies(log: DataFrame, dedupe: bool = True) -> DataFrame:

@@ -99,6 +99,12 @@ RULES = [
 ZSCORE_RULE = Rule(
     "events", "value_anomaly", "CRITICAL", True, {"metric": "value", "use_fixed_threshold": False, "zscore_threshold": 3.0}
 )
+# Three value rules of one table, two of them on one column.
+SEVERAL_VALUE_RULES = [
+    Rule("events", "value_anomaly", "CRITICAL", True, {"metric": "value", "fixed_lower_threshold": 0, "fixed_upper_threshold": 200}),
+    Rule("events", "value_anomaly", "LOW", True, {"metric": "value", "fixed_lower_threshold": 1, "fixed_upper_threshold": 150}),
+    Rule("events", "value_anomaly", "MEDIUM", True, {"metric": "user_id", "fixed_lower_threshold": 3, "fixed_upper_threshold": 1000000}),
+]
 CONSECUTIVE_RULE = Rule(
     "events",
     "missing_zero_activity",
@@ -222,6 +228,33 @@ def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Feeds that should have hourly rows from before the first event on; the last one never has any.
+FEEDS = [
+    SourceSpec(f"events_{kind}", "event_time", activity_column="activity_count")
+    for kind in ("click", "error", "purchase", "signup", "view", "refund")
+]
+EXPECTED_FROM = "2023-12-31 20:00:00"
+
+
+def feed_activity_rules(spark: SparkSession) -> DataFrame:
+    params = {"metric": ROW_COUNT, "zero_activity_value": 0}
+    return rules_frame(
+        spark,
+        [Rule(f.table_name, "missing_zero_activity", "HIGH", True, {**params, "expected_from": EXPECTED_FROM}) for f in FEEDS],
+    )
+
+
+def feed_schema(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The metrics and the columns of some of the feeds, as ``metric_columns`` and ``source_fields`` would list them."""
+    feeds = table(spark, sf_dir, "supplier").withColumn("table_name", F.concat(F.lit("feed_"), "s_suppkey"))
+    nation = F.col("s_nationkey")
+    metric = F.when(nation % 3 == 0, "sum_price").otherwise(ROW_COUNT)
+    columns = feeds.filter(nation % 3 != 2).select("table_name", metric.alias("rule_metric"), metric.alias("metric_name"))
+    field = F.when((nation % 4).isin(0, 1), "sum_price").otherwise("price")
+    fields = feeds.filter(nation % 4 != 3).select("table_name", field.alias("field"), (nation % 4 == 0).alias("numeric"))
+    return columns, fields
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder in the place the cluster names for written intermediate tables; on one machine any folder serves."""
     shared = spark.conf.get("spark.checkpoint.dir", None)

@@ -116,6 +116,8 @@ EVENT_KEYS = "user_id, event_type"
 metric_steps("ev", "ev", "events", "hour", "event_time", EVENT_METRICS, EVENT_KEYS)
 metric_steps("early", "ev_early", "events", "hour", "event_time", EVENT_METRICS, EVENT_KEYS)
 metric_steps("recent", "ev_recent", "events", "hour", "event_time", EVENT_METRICS, None)
+step("ev_timed", "SELECT * FROM ev WHERE event_type <> 'error'", "ev")
+metric_steps("timed", "ev_timed", "events", "hour", "event_time", {**ROWS, **numbers("amount")}, None)
 metric_steps("od", "od", "orders", "day", "o_orderdate", ORDER_METRICS, "o_custkey, o_orderdate")
 metric_steps("li", "li", "lineitem", "day", "l_shipdate", LINE_METRICS, "l_orderkey, l_linenumber")
 step(
@@ -160,7 +162,7 @@ def baseline(history: str) -> str:
     )
 
 
-for name in ("ev_long", "early_long", "all_long", "dup_long"):
+for name in ("ev_long", "early_long", "all_long", "dup_long", "timed_long"):
     baseline(name)
 
 
@@ -346,6 +348,14 @@ step(
 )
 
 
+step(
+    "expected_hours",
+    f"""SELECT 'events_' || kind AS table_name, period_start
+    FROM (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('refund')) AS k(kind),
+    (SELECT unnest(generate_series(TIMESTAMP '2023-12-31 20:00:00', {AS_OF} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS period_start)""",
+)
+
+
 # Alerts
 
 
@@ -427,13 +437,15 @@ for name, in_digest in (("digest_box", "channel = 'email'"), ("single_box", "fal
         name,
     )
 step("digested", "SELECT * FROM pending WHERE severity IN ('CRITICAL', 'HIGH', 'MEDIUM')", "pending")
-step(
-    "digest_head",
-    f"""SELECT CAST(sum(n) AS BIGINT) AS anomalies,
-    string_agg(n || ' ' || severity, ', ' ORDER BY {RANK}, severity) AS severity_summary
-    FROM (SELECT severity, count(*) AS n FROM digested GROUP BY severity) HAVING count(*) > 0""",
-    "digested",
-)
+step("run_digested", "SELECT * FROM found WHERE severity IN ('CRITICAL', 'HIGH', 'MEDIUM')", "found")
+for head, rows in (("digest_head", "digested"), ("run_head", "run_digested")):
+    step(
+        head,
+        f"""SELECT CAST(sum(n) AS BIGINT) AS anomalies,
+        string_agg(n || ' ' || severity, ', ' ORDER BY {RANK}, severity) AS severity_summary
+        FROM (SELECT severity, count(*) AS n FROM {rows} GROUP BY severity) HAVING count(*) > 0""",
+        rows,
+    )
 OPENING = (
     "'<h3>Anomaly Digest</h3><p>' || anomalies || ' anomaly(ies) detected in this run ('"
     " || severity_summary || ').</p>'"
@@ -464,6 +476,12 @@ step(
         ('stale_data'), ('duplicate_record_anomaly'), ('null_data_quality_spike'), ('schema_drift')) AS t(anomaly_type)
     WHERE anomaly_type <> 'schema_drift' OR s_acctbal >= 8000""",
 )
+step(
+    "feed_twice",
+    """SELECT r.*, s_nationkey AS nation, again FROM feed_rules r JOIN (SELECT s_suppkey, s_nationkey FROM supplier) USING (s_suppkey),
+    (VALUES (false), (true)) AS t(again) WHERE NOT again OR s_nationkey % 5 = 0""",
+    "feed_rules",
+)
 step(
     "applied",
     """SELECT * FROM (VALUES
@@ -581,11 +599,36 @@ ORACLE: dict[str, str] = {
         "calendar",
         "feed_hours",
     ),
+    "detect_missing_periods": sql(
+        f"""SELECT anomaly_id, {HIT} FROM ({identified("""SELECT table_name, 'activity_count' AS column_name, 'missing_zero_activity' AS anomaly_type,
+            'HIGH' AS severity, period_start, 'row_count' AS metric_name, 0.0::DOUBLE AS detected_value,
+            (SELECT CAST(arg_max(n, h.period_start) AS DOUBLE) FROM feed_hours h
+                WHERE h.table_name = c.table_name AND h.period_start < c.period_start) AS baseline_value,
+            'row_count == 0' AS threshold_used, CAST(NULL AS VARCHAR) AS row_id
+            FROM expected_hours c WHERE NOT EXISTS (SELECT 1 FROM feed_hours f
+                WHERE f.table_name = c.table_name AND f.period_start = c.period_start)""")})""",
+        "expected_hours",
+        "feed_hours",
+    ),
+    "baseline_without_event_time": sql(
+        f"""SELECT {METRIC}, round(previous_value, 6) AS previous_value, round(baseline_median, 6) AS baseline_median, history_count
+        FROM timed_long_base WHERE metric_name IN ('row_count', 'sum_amount')""",
+        "timed_long_base",
+    ),
     "stale_data": one(stale("ev_long"), "ev_long"),
     "duplicate_spike": one(duplicates("dup_long_base"), "dup_long_base"),
     "null_spike": one(null_spikes("ev_long_base"), "ev_long_base"),
     "value_fixed_threshold": sql(f"SELECT anomaly_id, {HIT} FROM ({identified(event_values('ev'))})", "ev"),
     "value_zscore": sql(z_hits(), "ev"),
+    "value_several_bounds": sql(
+        f"""SELECT {HIT}, message FROM ({event_values('ev')} UNION ALL
+        {value('ev', 'events', 'LOW', 'value', 'hour', 'event_time', 'event_id', 'value > 150 OR value < 1', 'outside [1, 150]')} UNION ALL
+        SELECT 'events', 'user_id', 'value_anomaly', 'MEDIUM', date_trunc('hour', event_time), 'user_id', CAST(user_id AS DOUBLE), NULL,
+            'outside [3, 1000000]', 'Value anomaly on user_id = ' || CAST(CAST(user_id AS DOUBLE) AS VARCHAR) || ' (outside [3, 1000000])', NULL
+            FROM ev WHERE user_id < 3 OR user_id > 1000000)""",
+        "ev",
+    ),
+    "detect_by_table": sql(f"SELECT anomaly_id, {HIT}, {AS_OF} AS detected_at, false AS alerted FROM found", "found"),
     "detect_all": sql(f"SELECT anomaly_id, {HIT}, {AS_OF} AS detected_at, false AS alerted FROM found", "found"),
     "anomaly_messages": sql("SELECT anomaly_id, message, threshold_used FROM found", "found"),
     "new_anomalies": sql(f"SELECT anomaly_id, {HIT} FROM found WHERE period_start >= {SPLIT}", "found"),
@@ -615,6 +658,11 @@ ORACLE: dict[str, str] = {
         f"SELECT anomaly_id, {HIT} FROM logged WHERE severity NOT IN (SELECT severity FROM routes)", "logged", "routes"
     ),
     "alert_outbox": sql("SELECT * FROM digest_box", "digest_box"),
+    "alert_addresses": sql(
+        """SELECT alert_id, channel, CASE channel WHEN 'email' THEN 'ops@x.com, data@x.com' END AS recipients,
+        CASE channel WHEN 'email' THEN 'lead@x.com' END AS cc, CASE channel WHEN 'slack' THEN '#watch' END AS target FROM digest_box""",
+        "digest_box",
+    ),
     "alert_subjects": sql("SELECT alert_id, channel, subject FROM single_box WHERE status = 'PENDING'", "single_box"),
     "alert_bodies": sql("SELECT alert_id, channel, body FROM single_box WHERE status = 'PENDING'", "single_box"),
     "digest_rows": sql(
@@ -652,6 +700,14 @@ ORACLE: dict[str, str] = {
         "found",
         "routes",
     ),
+    "scheduled_digest": sql(
+        f"""SELECT 'alerts-1' AS run_id, 0 AS section, 0 AS rank, '' AS line_id, {OPENING} AS html FROM run_head
+        UNION ALL SELECT 'alerts-1', 1, 0, '', '<table><thead><tr>{DIGEST_HEADS}</tr></thead><tbody>' FROM run_head
+        UNION ALL SELECT 'alerts-1', 2, {RANK}, anomaly_id, {DIGEST_LINE} FROM run_digested
+        UNION ALL SELECT 'alerts-1', 3, 0, '', '</tbody></table>' FROM run_head""",
+        "run_head",
+        "run_digested",
+    ),
     "rules_table": sql("SELECT table_name, anomaly_type, enabled, severity, rule_json FROM feed_rules", "feed_rules"),
     "rules_enabled": sql("SELECT table_name, anomaly_type, severity FROM feed_rules WHERE enabled", "feed_rules"),
     "rules_violations": sql(
@@ -662,11 +718,33 @@ ORACLE: dict[str, str] = {
             WHERE severity NOT IN (SELECT severity FROM routes)
         UNION ALL SELECT r.*, missing || ' missing' FROM feed_rules r JOIN (VALUES
             ('duplicate_record_anomaly', 'minimum_duplicate_count'), ('null_data_quality_spike', 'minimum_null_ratio'),
-            ('missing_zero_activity', 'zero_activity_value'), ('stale_data', 'max_allowed_staleness_minutes'))
+            ('missing_zero_activity', 'zero_activity_value'), ('stale_data', 'max_allowed_staleness_minutes'),
+            ('value_anomaly', 'fixed_lower_threshold'), ('value_anomaly', 'fixed_upper_threshold'))
             AS needs(kind, missing) ON enabled AND anomaly_type = kind)""",
         "feed_rules",
         "routes",
     ),
+    "rules_against_schema": sql(
+        """SELECT table_name, anomaly_type, severity, problem FROM (
+        SELECT *, 'unknown anomaly type' AS problem FROM feed_twice WHERE enabled AND anomaly_type = 'schema_drift'
+        UNION ALL SELECT *, 'severity missing' FROM feed_twice WHERE severity IS NULL
+        UNION ALL SELECT *, 'severity has no route' FROM feed_twice
+            WHERE severity NOT IN (SELECT severity FROM routes)
+        UNION ALL SELECT r.*, missing || ' missing' FROM feed_twice r JOIN (VALUES
+            ('duplicate_record_anomaly', 'minimum_duplicate_count'), ('null_data_quality_spike', 'minimum_null_ratio'),
+            ('missing_zero_activity', 'zero_activity_value'), ('stale_data', 'max_allowed_staleness_minutes'),
+            ('value_anomaly', 'fixed_lower_threshold'), ('value_anomaly', 'fixed_upper_threshold'))
+            AS needs(kind, missing) ON enabled AND anomaly_type = kind
+        UNION ALL SELECT *, 'repeated rule' FROM feed_twice WHERE enabled AND again
+        UNION ALL SELECT *, 'unknown metric' FROM feed_twice WHERE enabled AND nation % 3 <> 2
+            AND anomaly_type NOT IN ('value_anomaly', 'schema_drift')
+            AND NOT (nation % 3 = 0 AND anomaly_type IN ('sudden_increase', 'sudden_decrease', 'missing_zero_activity'))
+        UNION ALL SELECT *, 'unknown column' FROM feed_twice WHERE enabled AND anomaly_type = 'value_anomaly' AND nation % 4 = 2
+        UNION ALL SELECT *, 'column is not a number' FROM feed_twice
+            WHERE enabled AND anomaly_type = 'value_anomaly' AND nation % 4 = 1)""",
+        "feed_twice",
+        "routes",
+    ),
     "retire_rules": sql(
         """SELECT 'feed_' || (s_nationkey % 5) AS table_name, anomaly_type,
         enabled AND s_nationkey % 5 IN (1, 2, 4) AS enabled, severity, rule_json

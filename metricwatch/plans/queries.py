@@ -240,6 +240,21 @@ def missing_periods(spark, sf_dir):
     return shown(detectors.missing_periods(fx.event_type_counts(spark, sf_dir), "hourly"))
 
 
+@query
+def detect_missing_periods(spark, sf_dir):
+    history = fx.event_type_counts(spark, sf_dir)
+    return shown(detectors.detect_missing_periods(history, fx.feed_activity_rules(spark), fx.FEEDS, fx.AS_OF, fx.RUN), "anomaly_id", *HIT)
+
+
+@query
+def baseline_without_event_time(spark, sf_dir):
+    # Errors lose their event time: their rows are the null period, which no baseline counts.
+    time = F.when(F.col("event_type") != "error", F.col("event_time"))
+    some = fx.events(spark, sf_dir).withColumn("event_time", time)
+    history = metrics.compute_metrics(some, fx.EVENTS, fx.RUN, fx.AS_OF, only=["row_count", "sum_amount"])
+    return shown(baseline.with_baseline(history), *METRIC, "previous_value", "baseline_median", "history_count")
+
+
 @query
 def stale_data(spark, sf_dir):
     return _event_hits_of(spark, sf_dir, specs.STALE_DATA, specs.LAST_UPDATED)
@@ -271,6 +286,12 @@ def value_zscore(spark, sf_dir):
     return shown(hits, *HIT)
 
 
+@query
+def value_several_bounds(spark, sf_dir):
+    hits = detectors.detect_value_anomalies(fx.events(spark, sf_dir), fx.EVENTS, fx.SEVERAL_VALUE_RULES, fx.AS_OF, fx.RUN)
+    return shown(hits, *HIT, "message")
+
+
 def _all_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = fx.sources(spark, sf_dir)
     history = metrics.compute_all(tables, fx.RUN, fx.AS_OF, only=fx.WATCHED)
@@ -282,6 +303,14 @@ def detect_all(spark, sf_dir):
     return shown(_all_hits(spark, sf_dir), "anomaly_id", *HIT, "detected_at", "alerted")
 
 
+@query
+def detect_by_table(spark, sf_dir):
+    tables, rules = fx.sources(spark, sf_dir), fx.rules(spark)
+    history = fx.stored(spark, metrics.compute_all(tables, fx.RUN, fx.AS_OF, only=fx.WATCHED))
+    runs_ = [detectors.detect(history, [source], rules, fx.VALUE_RULES, fx.AS_OF, fx.RUN) for source in tables]
+    return shown(reduce(DataFrame.unionByName, runs_), "anomaly_id", *HIT, "detected_at", "alerted")
+
+
 @query
 def anomaly_messages(spark, sf_dir):
     return shown(_all_hits(spark, sf_dir), "anomaly_id", "message", "threshold_used")
@@ -372,6 +401,15 @@ def alert_outbox(spark, sf_dir):
     return alerts.alert_outbox(_log(spark, sf_dir), fx.DIGEST, "alerts-1")
 
 
+@query
+def alert_addresses(spark, sf_dir):
+    outbox = alerts.alert_outbox(_log(spark, sf_dir), fx.DIGEST, "alerts-1")
+    to = replace(fx.DIGEST, recipients=("ops@x.com", "data@x.com"), cc=("lead@x.com",), chat_targets={"slack": "#watch"})
+    named = alerts.addressed(outbox, to)
+    joined = {c: F.array_join(c, ", ") for c in ("recipients", "cc")}
+    return named.withColumns(joined).select("alert_id", "channel", "recipients", "cc", "target")
+
+
 @query
 def alert_subjects(spark, sf_dir):
     outbox = alerts.alert_outbox(_log(spark, sf_dir), fx.SINGLE, "alerts-1")
@@ -449,6 +487,20 @@ def scheduled_run(spark, sf_dir):
         return fx.stored(spark, shown(log, "anomaly_id", "run_id", *HIT, "message", "alerted", "emitted"))
 
 
+@query
+def scheduled_digest(spark, sf_dir):
+    sources = fx.sources(spark, sf_dir)
+    with fx.state_tables(spark) as tables:
+        runs.set_up(tables, fx.RULES)
+        runs.run_metrics(tables, sources, "run-1", fx.AS_OF)
+        runs.run_detection(tables, sources, "run-1", fx.AS_OF)
+        outbox = runs.run_alerting(tables, fx.DIGEST, "alerts-1", as_of=fx.AS_OF)
+        runs.store_digest(tables, fx.DIGEST, "alerts-1", fx.AS_OF)
+        runs.record_outcomes(tables, "alerts-1", _outcomes(outbox), (alerts.SENT, None), fx.AS_OF)
+        # Again, after it was sent: the same lines, once.
+        return fx.stored(spark, runs.store_digest(tables, fx.DIGEST, "alerts-1", fx.AS_OF))
+
+
 # Rules
 
 
@@ -469,6 +521,14 @@ def rules_violations(spark, sf_dir):
     return rule_ops.rule_violations(fx.feed_rules(spark, sf_dir), fx.ROUTING)
 
 
+@query
+def rules_against_schema(spark, sf_dir):
+    feeds = fx.feed_rules(spark, sf_dir)
+    fifth = fx.table(spark, sf_dir, "supplier").filter("s_nationkey % 5 = 0").select(F.concat(F.lit("feed_"), "s_suppkey").alias("table_name"))
+    twice = feeds.unionByName(feeds.join(fifth, "table_name"))
+    return rule_ops.rule_violations(twice, fx.ROUTING, *fx.feed_schema(spark, sf_dir))
+
+
 @query
 def retire_rules(spark, sf_dir):
     # Each supplier's feed lands in one of five tables by its nation; two of these are gone.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -19,10 +20,10 @@ from metricwatch.operators.alerts import AlertSettings
 from metricwatch.operators.anomaly_log import new_anomalies, pending_anomalies
 from metricwatch.operators.detectors import detect, detect_missing_periods
 from metricwatch.operators.metrics import compute_all
-from metricwatch.operators.rules import missing_tables, retire_rules, value_rules
+from metricwatch.operators.rules import missing_tables, retire_rules, sound_rules, value_rules
 from metricwatch.sources import state
 from metricwatch.sources.state import StateTables
-from metricwatch.specs import ALERT_SCHEMA, OUTBOX_SCHEMA, Rule, SourceSpec, rules_frame
+from metricwatch.specs import ALERT_SCHEMA, OUTBOX_SCHEMA, VALUE_ANOMALY, Rule, SourceSpec, metric_columns, rules_frame, source_fields
 
 METRIC_KEYS = ("table_name", "period_start", "metric_name")
 METRIC_UPDATES = ("metric_value", "run_id", "computed_at")
@@ -39,11 +40,12 @@ def now() -> datetime:
 def set_up(tables: StateTables, rules: Iterable[Rule]) -> int:
     """Create the state tables and replace the rules; returns the number of rules.
 
-    A table has one rule of each type.
+    A table has one rule of each type and metric, and any number of value rules; ``rule_violations`` checks what they say.
     """
     rules = list(rules)
-    if len({(rule.table_name, rule.anomaly_type) for rule in rules}) < len(rules):
-        raise ValueError("more than one rule of a type for one table")
+    told_apart = [(r.table_name, r.anomaly_type, r.params.get("metric")) for r in rules if r.anomaly_type != VALUE_ANOMALY]
+    if len(set(told_apart)) < len(told_apart):
+        raise ValueError("more than one rule of a type for one table and metric")
     tables.create_all()
     return tables.overwrite(state.RULES, rules_frame(tables.spark, rules))
 
@@ -76,12 +78,13 @@ def run_detection(
 ) -> DataFrame:
     """Log the anomalies that are not logged yet; returns the rows this run added.
 
-    With ``since`` the value rules read only the sources' periods from there on.
+    Rules that cannot work on these tables are left out; ``rule_violations`` lists them. With ``since`` the value rules read only the sources' periods from there on.
     """
     sources, run_id, as_of = list(sources), run_id or new_run_id(), as_of or now()
     tables.create(state.ANOMALIES)
-    metrics, rules = tables.read(state.METRICS), tables.read(state.RULES)
-    specs = [spec for _, spec in sources]
+    metrics, specs = tables.read(state.METRICS), [spec for _, spec in sources]
+    known = metric_columns(tables.spark, specs), source_fields(tables.spark, sources)
+    rules = sound_rules(tables.read(state.RULES), *known)
     values = value_rules(rules, [spec.table_name for spec in specs])
     hits = detect(metrics, sources, rules, values, as_of, run_id, window, min_history, since)
     if find_missing_periods:
@@ -134,6 +137,18 @@ def digest_of_run(tables: StateTables, run_id: str) -> DataFrame:
     return tables.read(state.ANOMALIES).join(listed.select("anomaly_id").distinct(), "anomaly_id", "left_semi")
 
 
+def store_digest(tables: StateTables, settings: AlertSettings, run_id: str, as_of: datetime | str | None = None) -> DataFrame:
+    """Keep the digest of an alerting run as lines of HTML, for its sender and for later; returns them.
+
+    A repeated run has its digest once. Lines of other runs are neither read nor written.
+    """
+    tables.create(state.DIGESTS)
+    # What the run put in its digest stays in it, also once it was sent.
+    lines = alerts.digest_html(digest_of_run(tables, run_id), replace(settings, dedupe=False), as_of or now())
+    tables.upsert(state.DIGESTS, lines.withColumn("run_id", F.lit(run_id)), ("run_id", "section", "rank", "line_id"), ("html",))
+    return tables.read_partitions(state.DIGESTS, F.col("run_id") == run_id)
+
+
 def record_outcomes(
     tables: StateTables,
     run_id: str,

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from metricwatch.functions.columns import literal, quoted
 from metricwatch.operators.upsert import upsert
 from metricwatch.sources.tables import ensure_schema, remove_folder, remove_unused, schema_folder, table_exists
-from metricwatch.specs import ALERT_SCHEMA, ANOMALY_SCHEMA, MARKS_SCHEMA, METRICS_SCHEMA, OUTBOX_SCHEMA, RULES_SCHEMA
+from metricwatch.specs import ALERT_SCHEMA, ANOMALY_SCHEMA, DIGESTS_SCHEMA, MARKS_SCHEMA, METRICS_SCHEMA, OUTBOX_SCHEMA, RULES_SCHEMA
 
 # Names of the state tables.
 METRICS = "metrics_baseline"
@@ -37,6 +37,8 @@ RULES = "anomaly_rules_config"
 OUTBOX = "alert_outbox"
 #: Ids of anomalies that got through to a channel and are not flagged in the log's files yet.
 MARKS = "anomaly_alerted"
+#: The digests of alerting runs, as lines.
+DIGESTS = "alert_digest"
 
 SCHEMAS = {
     METRICS: METRICS_SCHEMA,
@@ -44,8 +46,8 @@ SCHEMAS = {
     ALERTS: ALERT_SCHEMA,
     RULES: RULES_SCHEMA,
     OUTBOX: OUTBOX_SCHEMA,
-    MARKS: MARKS_SCHEMA,
 }
+_ALL = SCHEMAS | {MARKS: MARKS_SCHEMA, DIGESTS: DIGESTS_SCHEMA}
 #: Partition columns, each with the column it is made of and the form of its time; one without a form is that column.
 #: Rows may also bring the partition column itself.
 PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
@@ -54,10 +56,11 @@ PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
     ALERTS: {"emitted_date": ("emitted_at", "yyyy-MM-dd"), "run_id": ("run_id", None)},
     OUTBOX: {"emitted_date": ("emitted_at", "yyyy-MM-dd"), "run_id": ("run_id", None)},
     MARKS: {"marked_date": ("marked_at", "yyyy-MM-dd")},
+    DIGESTS: {"run_id": ("run_id", None)},
 }
 NO_TIME = "none"
 # The tables a reset empties; rules and sources stay.
-HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX, MARKS)
+HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX, MARKS, DIGESTS)
 RESET_WORD = "RESET"
 #: Partitions named one by one in a filter; more are looked up by their columns' values, which may cover some others.
 NAMED_PARTITIONS = 500
@@ -82,7 +85,7 @@ class StateTables:
     def create(self, table: str, schema: T.StructType | None = None) -> None:
         """Create an empty table; one that exists is left alone."""
         if not self.exists(table):
-            empty = _partitioned(table, self.spark.createDataFrame([], schema or SCHEMAS[table]))
+            empty = _partitioned(table, self.spark.createDataFrame([], schema or _ALL[table]))
             writer = empty.write.format("parquet").partitionBy(*PARTITIONS.get(table, ())).mode("ignore")
             try:
                 writer.option("path", self._new_folder(table)).saveAsTable(self.name(table))
@@ -91,7 +94,7 @@ class StateTables:
                     raise
 
     def create_all(self) -> None:
-        for table in SCHEMAS:
+        for table in _ALL:
             self.create(table)
 
     def _new_folder(self, table: str) -> str:
@@ -117,7 +120,7 @@ class StateTables:
         return self._shown(table, self._stored(table).filter(where))
 
     def _shown(self, table: str, stored: DataFrame) -> DataFrame:
-        own = SCHEMAS[table].names if table in SCHEMAS else []
+        own = _ALL[table].names if table in _ALL else []
         later = [c for c in stored.columns if c not in own and c not in PARTITIONS.get(table, ())]
         return stored.select(*map(quoted, [*own, *later]))
 
@@ -130,7 +133,7 @@ class StateTables:
 
     def overwrite(self, table: str, df: DataFrame) -> int:
         """Replace the table, which may be read by ``df`` itself, and return how many rows were written."""
-        self.create(table, SCHEMAS.get(table, df.schema))
+        self.create(table, _ALL.get(table, df.schema))
         folder, rows = self._save(table, df)
         self._widen(table, df)
         if PARTITIONS.get(table):

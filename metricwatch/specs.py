@@ -99,6 +99,13 @@ OUTBOX_SCHEMA = _schema(
     ("subject", _string, True),
     ("body", _string, True),
 )
+DIGESTS_SCHEMA = _schema(
+    ("run_id", _string, False),
+    ("section", T.IntegerType(), False),
+    ("rank", T.IntegerType(), False),
+    ("line_id", _string, False),
+    ("html", _string, True),
+)
 MARKS_SCHEMA = _schema(("anomaly_id", _string, False))
 
 
@@ -226,3 +233,22 @@ def metric_columns(spark: SparkSession, specs: Iterable[SourceSpec]) -> DataFram
             dict(zip(METRIC_COLUMNS_SCHEMA.names, (spec.table_name, *name, spec.activity_column))) for name in named
         ]
     return local_frame(spark, rows, METRIC_COLUMNS_SCHEMA)
+
+
+SOURCE_FIELDS_SCHEMA = _schema(("table_name", _string, False), ("field", _string, False), ("numeric", _flag, False))
+
+
+def source_fields(spark: SparkSession, sources: Iterable[tuple[DataFrame, SourceSpec]]) -> DataFrame:
+    """The columns of each table, and nested fields by path, in lower case, with whether they are numbers."""
+    rows = []
+
+    def listed(name: str, fields: T.StructType, before: str) -> None:
+        for field in fields:
+            path = f"{before}{field.name}".lower()
+            rows.append({"table_name": name, "field": path, "numeric": isinstance(field.dataType, T.NumericType)})
+            if isinstance(field.dataType, T.StructType):
+                listed(name, field.dataType, f"{path}.")
+
+    for df, spec in sources:
+        listed(spec.table_name, df.schema, "")
+    return local_frame(spark, rows, SOURCE_FIELDS_SCHEMA)

@@ -1,3 +1,4 @@
+from collections import Counter
 from dataclasses import replace
 from datetime import datetime
 
@@ -31,7 +32,9 @@ from metricwatch.operators.detectors import (
     detect_value_anomalies,
     missing_periods,
 )
-from metricwatch.operators.rules import rule_violations
+from metricwatch.operators.rules import rule_violations, sound_rules
+from metricwatch.plans import runs
+from metricwatch.specs import RULES_SCHEMA, source_fields
 
 
 def test_median_is_the_lower_middle_of_earlier_rows(spark):
@@ -254,3 +257,110 @@ def test_runs_over_one_table_each_find_what_one_run_finds(spark):
     ids = [{r.anomaly_id for r in detect(both, [(empty, t)], rules, {}, AS_OF, "run").collect()} for t in tables]
     whole = {r.anomaly_id for r in detect(both, [(empty, t) for t in tables], rules, {}, AS_OF, "run").collect()}
     assert len(whole) == 2 and ids[0] | ids[1] == whole and not ids[0] & ids[1]
+
+
+def problems_of(spark, rules, **known):
+    found = rule_violations(rules_frame(spark, rules), {"HIGH": ["email"]}, **known).collect()
+    return sorted(r.problem for r in found)
+
+
+def test_every_rule_that_cannot_work_is_listed(spark):
+    known = {
+        "columns": metric_columns(spark, [SPEC]),
+        "fields": source_fields(spark, [(spark.createDataFrame([], BOUNDS_ROWS + ", sale struct<price: double>"), SPEC)]),
+    }
+    bounds = {"fixed_lower_threshold": 0, "fixed_upper_threshold": "10"}
+    zero = {"metric": "sum_amount", "zero_activity_value": 0}
+    cases = {
+        "metric missing": rule("value_anomaly", **bounds),
+        "fixed_lower_threshold missing": rule("value_anomaly", metric="amount", fixed_upper_threshold=1),
+        "fixed_upper_threshold is not a number": rule("value_anomaly", metric="amount", fixed_lower_threshold=1, fixed_upper_threshold="x"),
+        "zscore_threshold missing": rule("value_anomaly", metric="amount", use_fixed_threshold=False),
+        "use_fixed_threshold is not true or false": rule("value_anomaly", metric="amount", use_fixed_threshold="maybe", **bounds),
+        "unknown column": rule("value_anomaly", metric="nowhere", **bounds),
+        "column is not a number": rule("value_anomaly", metric="note", **bounds),
+        "unknown metric": rule("sudden_increase", metric="sum_amuont", threshold_pct=5),
+        "consecutive_periods_before_alert is not a whole number from 1 on": rule(
+            "missing_zero_activity", consecutive_periods_before_alert="three", **zero
+        ),
+        "expected_from is not a time": rule("missing_zero_activity", expected_from="soon", **zero),
+        "unknown anomaly type": rule("schema_drift"),
+    }
+    for problem, bad in cases.items():
+        assert problems_of(spark, [bad], **known) == [problem], problem
+    for run in (0, -1, 1.5, "", "2x"):
+        (found,) = problems_of(spark, [rule("missing_zero_activity", consecutive_periods_before_alert=run, **zero)], **known)
+        assert found.startswith("consecutive")
+    fine = [
+        rule("value_anomaly", metric="Sale.Price", **bounds),
+        rule("value_anomaly", metric="amount", **bounds),
+        rule("value_anomaly", metric="amount", use_fixed_threshold=False, zscore_threshold=3),
+        rule("sudden_increase", metric="null_ratio_note", threshold_pct=5),
+        rule("missing_zero_activity", consecutive_periods_before_alert="2", expected_from="2024-01-01", **zero),
+        replace(INCREASE, table_name="unwatched", params={"metric": "anything", "threshold_pct": 1}),
+        replace(cases["unknown column"], enabled=False),
+    ]
+    assert problems_of(spark, fine, **known) == []
+    twice = [*fine, fine[3], rule("sudden_increase", metric="null_ratio_note", threshold_pct=6)]
+    assert problems_of(spark, twice, **known) == ["repeated rule"] * 2
+    frame = rules_frame(spark, [*cases.values(), *fine, fine[0]])
+    assert sound_rules(frame, *known.values()).count() == len(fine)
+    assert rule_violations(rules_frame(spark, []), {}, **known).count() == 0
+
+
+def test_bad_rules_stop_no_run(spark, tables):
+    """All kinds of bad rules beside two good ones: a run logs what the good ones find."""
+    bounds = {"fixed_lower_threshold": 0, "fixed_upper_threshold": 10}
+    bad = [
+        rule("value_anomaly", metric="amount"),
+        rule("value_anomaly", metric="nowhere", **bounds),
+        rule("sudden_decrease", metric="sum_nothing", threshold_pct=-1),
+        rule("missing_zero_activity", metric="sum_amount", zero_activity_value=50, consecutive_periods_before_alert="three"),
+    ]
+    good = [rule("value_anomaly", metric="amount", **bounds), rule("missing_zero_activity", metric="row_count", zero_activity_value=1)]
+    runs.set_up(tables, [*bad, *good])
+    given = [(n, START, "k", "x", amount, START) for n, amount in enumerate((5, 50))]
+    sources = [(spark.createDataFrame(given, BOUNDS_ROWS), SPEC)]
+    runs.run_metrics(tables, sources, "r", AS_OF)
+    found = runs.run_detection(tables, sources, "r", AS_OF).collect()
+    assert [(r.anomaly_type, r.detected_value) for r in found] == [("value_anomaly", 50.0)]
+    broken = spark.createDataFrame([(TABLE, "value_anomaly", True, "HIGH", "{not json")], RULES_SCHEMA)
+    tables.append("anomaly_rules_config", broken)
+    assert runs.run_detection(tables, sources, "r2", AS_OF).count() == 0  # all logged by then
+
+
+def test_several_value_rules_are_judged_in_one_scan(spark, tmp_path):
+    wide = rule("value_anomaly", metric="amount", fixed_lower_threshold=0, fixed_upper_threshold=100)
+    narrow = Rule(TABLE, "value_anomaly", "LOW", True, {"metric": "amount", "fixed_lower_threshold": 10, "fixed_upper_threshold": 20})
+    other = rule("value_anomaly", metric="id", fixed_lower_threshold=1, fixed_upper_threshold="2")
+    rows(spark, 15, 30, 150, None).write.parquet(str(tmp_path / "t"))
+    given = spark.read.parquet(str(tmp_path / "t"))
+    hits = detect_value_anomalies(given, SPEC, [wide, narrow, other], AS_OF, "run")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PushedFilters: [Or(" in plan
+    found = hits.collect()
+    one_by_one = [r for x in (wide, narrow, other) for r in detect_value_anomalies(given, SPEC, x, AS_OF, "run").collect()]
+    parts = ("column_name", "severity", "detected_value", "threshold_used", "message", "period_start")
+    assert Counter(tuple(r[p] for p in parts) for r in found) == Counter(tuple(r[p] for p in parts) for r in one_by_one)
+    assert len(found) == 5 and len({r.anomaly_id for r in found}) == 5
+    scores = rule("value_anomaly", metric="amount", use_fixed_threshold=False, zscore_threshold="1.0")
+    assert {r.threshold_used for r in detect_value_anomalies(given, SPEC, [scores, narrow], AS_OF, "run").collect()} == {
+        "|zscore| >= 1.0", "outside [10, 20]"
+    }
+
+
+def test_data_that_never_arrived(spark):
+    late, never = replace(SPEC, table_name="late"), replace(SPEC, table_name="never")
+    zero = {"metric": "row_count", "zero_activity_value": 0, "expected_from": str(hour(1.5))}
+    rules = rules_frame(spark, [Rule(t, "missing_zero_activity", "HIGH", True, zero) for t in (TABLE, "late", "never")])
+    counts = history(spark, "row_count", [4, 1, 6]).filter(F.col("period_start") != hour(1))
+    counts = counts.unionByName(history(spark, "row_count", [None] * 4 + [2.0], "late").filter(F.col("period_start") == hour(4)))
+    hits = detect_missing_periods(counts, rules, [SPEC, late, never], str(hour(6.5)), "run").collect()
+    found = {(r.table_name, (r.period_start - START).total_seconds() / 3600, r.baseline_value) for r in hits}
+    # The period that was under way is not expected; a table's own earlier rows go on counting.
+    assert found == {(TABLE, 1, 4.0), (TABLE, 3, 6.0), (TABLE, 4, 6.0), (TABLE, 5, 6.0)} | {
+        ("late", 2, None), ("late", 3, None), ("late", 5, 2.0)
+    } | {("never", n, None) for n in (2, 3, 4, 5)}
+    assert len(hits) == len({r.anomaly_id for r in hits}) == 11
+    nothing = detect_missing_periods(counts.limit(0), rules, [never], str(hour(3)), "run")
+    assert [r.period_start for r in nothing.collect()] == [hour(2)]

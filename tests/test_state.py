@@ -206,7 +206,7 @@ def test_value_rules_come_from_the_rules_table(spark, tables):
         Rule(TABLE, "stale_data", "LOW", True, {}),
     ]
     runs.set_up(tables, rules)
-    assert value_rules(tables.read(state.RULES), [TABLE, "off"]) == {TABLE: rules[0]}
+    assert value_rules(tables.read(state.RULES), [TABLE, "off"]) == {TABLE: [rules[0]]}
 
 
 def test_csv_with_header(spark, tmp_path):
