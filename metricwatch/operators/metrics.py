@@ -191,11 +191,13 @@ def compute_metrics(
     computed_at: datetime | str,
     since: datetime | str | None = None,
     only: Collection[str] | None = None,
+    duplicates: DataFrame | None = None,
 ) -> DataFrame:
     """All metrics of one table, one row per period and metric.
 
     With ``since`` only the periods from there on are read and computed, for an upsert into a history that
-    holds the older ones. The duplicate count always covers the whole table. ``only`` names the metrics to
+    holds the older ones. The duplicate count always covers the whole table: it reads the key columns of all rows, unless
+    ``duplicates`` has it, kept up to date by ``runs.duplicate_counts``. ``only`` names the metrics to
     compute; columns that none of them needs are not read.
     """
     recent = df if since is None else since_period(df, spec, since)
@@ -206,7 +208,7 @@ def compute_metrics(
         if wanted:
             frames.append(to_long(wide.select("period_start", *map(named, wanted))))
     if spec.duplicate_key_columns and (only is None or DUPLICATE_COUNT in only):
-        frames.append(duplicate_count(df, spec))
+        frames.append(duplicate_count(df, spec) if duplicates is None else duplicates)
     return tag_metrics(reduce(DataFrame.unionByName, frames), spec, run_id, computed_at)
 
 
@@ -216,13 +218,17 @@ def compute_all(
     computed_at: datetime | str,
     since: datetime | str | None = None,
     only: Mapping[str, Collection[str]] | None = None,
+    duplicates: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Metrics of many tables as one plan, so that Spark runs their stages side by side in one job.
 
-    ``only`` maps a table's name to the metrics to compute for it.
+    ``only`` maps a table's name to the metrics to compute for it, ``duplicates`` to its duplicate count if that is known.
     """
+    known = duplicates or {}
     frames = [
-        compute_metrics(df, spec, run_id, computed_at, since, None if only is None else only[spec.table_name])
+        compute_metrics(
+            df, spec, run_id, computed_at, since, None if only is None else only[spec.table_name], known.get(spec.table_name)
+        )
         for df, spec in sources
     ]
     return reduce(DataFrame.unionByName, frames)

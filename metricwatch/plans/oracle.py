@@ -599,6 +599,15 @@ ORACLE: dict[str, str] = {
         "calendar",
         "feed_hours",
     ),
+    "duplicate_count_since": sql(
+        """SELECT run_id, 'events' AS table_name, max(date_trunc('hour', latest)) AS period_start, 'duplicate_count' AS metric_name,
+        CAST(sum(n - 1) AS DOUBLE) AS metric_value
+        FROM (SELECT run_id, user_id, event_type, count(*) AS n, max(event_time) AS latest
+            FROM ev JOIN (VALUES ('since 2024-01-08', TIMESTAMP '2024-01-12'), ('since 2024-01-12', TIMESTAMP '2024-01-20'),
+                ('since 2024-01-20', TIMESTAMP '2999-01-01')) AS r(run_id, until) ON event_time < until GROUP BY ALL)
+        GROUP BY run_id""",
+        "ev",
+    ),
     "detect_missing_periods": sql(
         f"""SELECT anomaly_id, {HIT} FROM ({identified("""SELECT table_name, 'activity_count' AS column_name, 'missing_zero_activity' AS anomaly_type,
             'HIGH' AS severity, period_start, 'row_count' AS metric_name, 0.0::DOUBLE AS detected_value,

@@ -131,6 +131,18 @@ def metrics_since(spark, sf_dir):
     return shown(recent, *METRIC)
 
 
+@query
+def duplicate_count_since(spark, sf_dir):
+    """Four runs over the growing table; after the first each reads only the rows that the one before left open."""
+    events = fx.events(spark, sf_dir)
+    with fx.state_tables(spark) as tables:
+        for until, since in (("2024-01-12", "2024-01-08"), ("2024-01-20", "2024-01-12"), ("2024-01-20", "2024-01-12"), (None, "2024-01-20")):
+            rows = events if until is None else events.filter(F.col("event_time") < F.lit(until).cast("timestamp_ntz"))
+            runs.run_metrics(tables, [(rows, fx.EVENTS)], f"since {since}", fx.AS_OF, since=since)
+        history = baseline.metric_history(tables.read(state.METRICS), specs.DUPLICATE_COUNT)
+        return fx.stored(spark, shown(history, "run_id", *METRIC))
+
+
 @query
 def metrics_ordered(spark, sf_dir):
     return anomaly_log.metrics_ordered(shown(fx.event_metrics(spark, sf_dir), *METRIC))

@@ -11,11 +11,12 @@ from collections.abc import Iterable
 from dataclasses import replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metricwatch.functions.columns import moment
 from metricwatch.operators import alerts
+from metricwatch.operators import duplicates as dup
 from metricwatch.operators.alerts import AlertSettings
 from metricwatch.operators.anomaly_log import new_anomalies, pending_anomalies
 from metricwatch.operators.detectors import detect, detect_missing_periods
@@ -59,13 +60,67 @@ def run_metrics(
 ) -> int:
     """Compute metrics of all sources into the history; returns how many rows were computed.
 
-    With ``since`` only the periods from there on are read from the sources.
+    With ``since`` only the periods from there on are read from the sources, also for the duplicate count, whose older keys
+    are kept; see ``duplicate_counts``. A run without it reads everything and starts that state over.
     """
+    sources = list(sources)
     tables.create(state.METRICS)
-    metrics = compute_all(sources, run_id or new_run_id(), as_of or now(), since)
+    counts = duplicate_counts(tables, sources, since)
+    metrics = compute_all(sources, run_id or new_run_id(), as_of or now(), since, duplicates=counts)
     return tables.upsert(state.METRICS, metrics, METRIC_KEYS, METRIC_UPDATES)
 
 
+def duplicate_counts(
+    tables: StateTables, sources: Iterable[tuple[DataFrame, SourceSpec]], since: datetime | str | None
+) -> dict[str, DataFrame]:
+    """The duplicate count of each table with business keys, from the keys seen before ``since`` and the rows from there on.
+
+    The first run, and one whose ``since`` lies before the kept cut, reads the older rows once; later ones read only those
+    between the kept cut and ``since``, and the rows from ``since`` on. Keys are appended before the totals that vouch for
+    them, and only vouched keys count as seen, so a run cut short in between is repeated without harm. Without
+    ``since`` the state is forgotten and nothing is returned.
+    """
+    tables.create(state.SEEN_KEYS)
+    tables.create(state.KEY_TOTALS)
+    found = {}
+    for df, spec in sources:
+        if not spec.duplicate_key_columns:
+            continue
+        own = F.col("table_name") == spec.table_name
+        if since is None:
+            tables.drop_partitions(state.KEY_TOTALS, own)
+            tables.drop_partitions(state.SEEN_KEYS, own)
+            continue
+        cut = dup.cut_at(spec, since)
+        # One row: the totals of the latest cut that isn't past this one.
+        kept = tables.read_partitions(state.KEY_TOTALS, own).filter(F.col("until") <= cut)
+        kept = kept.orderBy(F.desc("until"), F.desc("recorded_at")).withColumn("behind", F.col("until") < cut).first()
+        if kept is None:
+            tables.drop_partitions(state.KEY_TOTALS, own)
+            tables.drop_partitions(state.SEEN_KEYS, own)
+        generation = kept.generation if kept else uuid.uuid4().hex
+        begin = F.lit(kept.until) if kept else None
+        of_generation = own & (F.col("generation") == generation)
+
+        def seen(until: Column | None) -> DataFrame:
+            rows = tables.read_partitions(state.SEEN_KEYS, of_generation)  # noqa: B023
+            return rows.filter(F.lit(False) if until is None else F.col("until") <= until)
+
+        totals = (kept.rows, kept.keys, kept.latest) if kept else (0, 0, None)
+        if kept is None or kept.behind:
+            between = dup.per_key(dup.rows_between(df, spec, begin, cut), spec)
+            fresh = between.join(seen(begin).select(*dup.KEY), list(dup.KEY), "left_anti")
+            named = {"table_name": F.lit(spec.table_name), "generation": F.lit(generation), "until": cut}
+            tables.append(state.SEEN_KEYS, fresh.select(*dup.KEY).withColumns(named))
+            moved = dup.totals_with(between, seen(begin), *totals).withColumns({**named, "recorded_at": moment(now())})
+            tables.append(state.KEY_TOTALS, moved)
+            kept = tables.read_partitions(state.KEY_TOTALS, own).filter(F.col("until") == cut).orderBy(F.desc("recorded_at")).first()
+            totals = (kept.rows, kept.keys, kept.latest)
+        latest = dup.per_key(dup.rows_between(df, spec, cut, None), spec)
+        found[spec.table_name] = dup.as_metric(dup.totals_with(latest, seen(cut), *totals), spec)
+    return found
+
+
 def run_detection(
     tables: StateTables,
     sources: Iterable[tuple[DataFrame, SourceSpec]],

@@ -27,7 +27,17 @@ from pyspark.sql import types as T
 from metricwatch.functions.columns import literal, quoted
 from metricwatch.operators.upsert import upsert
 from metricwatch.sources.tables import ensure_schema, remove_folder, remove_unused, schema_folder, table_exists
-from metricwatch.specs import ALERT_SCHEMA, ANOMALY_SCHEMA, DIGESTS_SCHEMA, MARKS_SCHEMA, METRICS_SCHEMA, OUTBOX_SCHEMA, RULES_SCHEMA
+from metricwatch.specs import (
+    ALERT_SCHEMA,
+    ANOMALY_SCHEMA,
+    DIGESTS_SCHEMA,
+    KEY_TOTALS_SCHEMA,
+    MARKS_SCHEMA,
+    METRICS_SCHEMA,
+    OUTBOX_SCHEMA,
+    RULES_SCHEMA,
+    SEEN_KEYS_SCHEMA,
+)
 
 # Names of the state tables.
 METRICS = "metrics_baseline"
@@ -39,6 +49,8 @@ OUTBOX = "alert_outbox"
 MARKS = "anomaly_alerted"
 #: The digests of alerting runs, as lines.
 DIGESTS = "alert_digest"
+#: Business keys seen before a cut in event time, and what they add up to.
+SEEN_KEYS, KEY_TOTALS = "duplicate_keys", "duplicate_totals"
 
 SCHEMAS = {
     METRICS: METRICS_SCHEMA,
@@ -47,7 +59,7 @@ SCHEMAS = {
     RULES: RULES_SCHEMA,
     OUTBOX: OUTBOX_SCHEMA,
 }
-_ALL = SCHEMAS | {MARKS: MARKS_SCHEMA, DIGESTS: DIGESTS_SCHEMA}
+_ALL = SCHEMAS | {MARKS: MARKS_SCHEMA, DIGESTS: DIGESTS_SCHEMA, SEEN_KEYS: SEEN_KEYS_SCHEMA, KEY_TOTALS: KEY_TOTALS_SCHEMA}
 #: Partition columns, each with the column it is made of and the form of its time; one without a form is that column.
 #: Rows may also bring the partition column itself.
 PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
@@ -57,10 +69,12 @@ PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
     OUTBOX: {"emitted_date": ("emitted_at", "yyyy-MM-dd"), "run_id": ("run_id", None)},
     MARKS: {"marked_date": ("marked_at", "yyyy-MM-dd")},
     DIGESTS: {"run_id": ("run_id", None)},
+    SEEN_KEYS: {"table_name": ("table_name", None), "generation": ("generation", None)},
+    KEY_TOTALS: {"table_name": ("table_name", None)},
 }
 NO_TIME = "none"
 # The tables a reset empties; rules and sources stay.
-HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX, MARKS, DIGESTS)
+HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX, MARKS, DIGESTS, SEEN_KEYS, KEY_TOTALS)
 RESET_WORD = "RESET"
 #: Partitions named one by one in a filter; more are looked up by their columns' values, which may cover some others.
 NAMED_PARTITIONS = 500
@@ -287,9 +301,17 @@ class StateTables:
             listed = self.spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": self.name(table)}).collect()
             kept = {_path("", value) for value in values}
             gone = [place for (place,) in listed if f"/{place}" not in kept]
-            if gone:
-                specs = (_spec(dict(_unescaped(step.split("=", 1)) for step in place.split("/"))) for place in gone)
-                self._alter(table, "DROP IF EXISTS " + ", ".join(f"PARTITION ({spec})" for spec in specs))
+            self._drop(table, [dict(_unescaped(step.split("=", 1)) for step in place.split("/")) for place in gone])
+
+    def _drop(self, table: str, places: Sequence[dict[str, str]]) -> None:
+        if places:
+            self._alter(table, "DROP IF EXISTS " + ", ".join(f"PARTITION ({_spec(place)})" for place in places))
+
+    def drop_partitions(self, table: str, where: Column) -> int:
+        """Take the partitions that a condition on partition columns names out of the table; returns how many."""
+        places = self._stored(table).filter(where).select(*PARTITIONS[table]).distinct().collect()
+        self._drop(table, [{part: str(place[part]) for part in PARTITIONS[table]} for place in places])
+        return len(places)
 
 
 def _partitioned(table: str, df: DataFrame) -> DataFrame:

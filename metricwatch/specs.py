@@ -106,6 +106,22 @@ DIGESTS_SCHEMA = _schema(
     ("line_id", _string, False),
     ("html", _string, True),
 )
+SEEN_KEYS_SCHEMA = _schema(
+    ("table_name", _string, False),
+    ("generation", _string, False),
+    ("until", _time, False),
+    ("key_high", T.LongType(), False),
+    ("key_low", T.LongType(), False),
+)
+KEY_TOTALS_SCHEMA = _schema(
+    ("table_name", _string, False),
+    ("generation", _string, False),
+    ("until", _time, True),
+    ("rows", T.LongType(), False),
+    ("keys", T.LongType(), False),
+    ("latest", _time, True),
+    ("recorded_at", _time, False),
+)
 MARKS_SCHEMA = _schema(("anomaly_id", _string, False))
 
 

@@ -1,10 +1,13 @@
+import random
 from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
-from helpers import SPEC, START, TABLE, hour
+from helpers import BOUNDS_ROWS, SPEC, START, TABLE, hour
+from pyspark.sql import functions as F
 
 from metricwatch import Rule, SourceSpec
+from metricwatch.operators import duplicates
 from metricwatch.operators.detectors import detect_value_anomalies
 from metricwatch.operators.metrics import (
     column_passes,
@@ -15,6 +18,8 @@ from metricwatch.operators.metrics import (
     period_metrics,
     unexpected_status,
 )
+from metricwatch.plans import runs
+from metricwatch.sources import state
 
 SCHEMA = "id int, at timestamp, key string, note string, amount int, loaded timestamp"
 
@@ -201,3 +206,60 @@ def test_wide_tables_are_read_in_passes(spark):
     passes = column_passes(many)
     assert [(len(p.numeric_metric_columns), len(p.monitored_null_columns)) for p in passes] == [(11, 0), (11, 0), (8, 28), (0, 72)]
     assert sum((p.monitored_null_columns for p in passes), ()) == many.monitored_null_columns
+
+
+def dup_rows(spark, *keyed):
+    rows = [(n, None if at is None else hour(at), key, "x", 1, None) for n, (at, key) in enumerate(keyed)]
+    return spark.createDataFrame(rows, BOUNDS_ROWS)
+
+
+def counted(tables, df, since):
+    """The duplicate count and its period as a run keeps them."""
+    (found,) = runs.duplicate_counts(tables, [(df, SPEC)], since).values()
+    return [(r.period_start, r.metric_value) for r in found.collect()]
+
+
+def full_count(df):
+    return [(r.period_start, r.metric_value) for r in duplicate_count(df, SPEC).collect()]
+
+
+def test_kept_duplicate_counts_are_those_of_the_whole_table(spark, tables):
+    rng = random.Random(3)
+    given = sorted((rng.uniform(0, 20), rng.choice(["a", "b", None, *map(str, range(30))])) for _ in range(300))
+    given += [(None, "a"), (None, "never dated"), (None, "never dated")]
+    for until, since in ((5, 3), (9, 5), (9, 5), (12, 12.5), (20, 11), (20, 19.5), (20, 20)):
+        rows = dup_rows(spark, *((at, key) for at, key in given if at is None or at <= until))
+        # A cut that lies before the kept one starts over with the older rows.
+        assert counted(tables, rows, hour(since)) == full_count(rows), (until, since)
+
+
+def test_kept_duplicate_counts_do_not_read_old_rows(spark, tables, tmp_path):
+    old, new = [(n / 10, str(n % 7)) for n in range(60)], [(6 + n / 10, str(n % 9)) for n in range(20)]
+    assert counted(tables, dup_rows(spark, *old), hour(6)) == full_count(dup_rows(spark, *old))
+    # Only the new rows are there, and the count is that of both.
+    assert counted(tables, dup_rows(spark, *new), hour(6)) == full_count(dup_rows(spark, *old, *new))
+    dup_rows(spark, *old, *new).write.parquet(str(tmp_path / "t"))
+    rows = duplicates.rows_between(spark.read.parquet(str(tmp_path / "t")), SPEC, F.lit(hour(6)), None)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in plan and "GreaterThanOrEqual(at" in plan
+
+
+def test_a_run_that_was_cut_short_does_no_harm(spark, tables, monkeypatch):
+    rows = dup_rows(spark, (1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "c"), (6, "a"))
+    counted(tables, rows, hour(2))
+    append = tables.append
+    monkeypatch.setattr(tables, "append", lambda t, df: append(t, df) if t == state.SEEN_KEYS else (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        counted(tables, rows, hour(5))
+    monkeypatch.undo()
+    for since in (2, 4, 5, 6):
+        assert counted(tables, rows, hour(since)) == full_count(rows)
+    assert runs.duplicate_counts(tables, [(rows, SPEC)], None) == {}
+    assert tables.read(state.SEEN_KEYS).count() == 0 and tables.read(state.KEY_TOTALS).count() == 0
+    assert counted(tables, rows.limit(0), hour(2)) == []
+
+
+def test_keys_with_nulls_are_told_apart(spark):
+    spec = replace(SPEC, duplicate_key_columns=("key", "note"))
+    rows = spark.createDataFrame([(1, START, a, b, 1, None) for a, b in ((None, "x"), ("x", None), (None, None), (None, None), ("", "x"))], BOUNDS_ROWS)
+    assert duplicates.per_key(rows, spec).count() == 4
