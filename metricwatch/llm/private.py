@@ -30,6 +30,8 @@ KINDS = ("email", "ip", "card", "phone")
 GENERALISE, REMOVE = 0.9, 0.98
 #: Terms that an entity may be expected to meet as often by chance, at most.
 CHANCE = 0.01
+#: Places of a block of a running fold, and code points of a piece of text.
+PLACES, PIECE = 64, 4096
 
 # The patterns given for base entities, written so that Java neither backtracks over a run nor begins within one.
 _PATTERNS = {
@@ -76,21 +78,56 @@ def _holds(kind: str, match: Column) -> Column:
 def _placed(df: DataFrame, name: str, pattern: str, text: str, sought: Column, keep: Callable[[Column], Column]) -> DataFrame:
     """Adds array column `name` of (start, end), code points, of those matches that `keep` holds for."""
     matches, gaps = f"{name} matches", f"{name} gaps"
+    lengths, before = f"{name} lengths", f"{name} before"
     df = df.withColumn(matches, F.when(sought, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     some = F.coalesce(F.size(matches) > 0, F.lit(False))
     df = df.withColumn(gaps, F.when(some, F.split(F.col(text), pattern, -1)))
-    none = F.lit(None).cast(_SPANS)
+    df = df.withColumn(lengths, F.transform(F.when(some, F.col(matches)), lambda m, i: F.length(F.get(gaps, i)) + F.length(m)))
+    df = df.withColumn(before, _before(lengths, lambda total, x: total + x))
 
-    def step(state: Column, i: Column) -> Column:
-        match = F.get(matches, i)
-        start = state["at"] + F.length(F.get(gaps, i))
-        end = start + F.length(match)
-        grown = F.array_append(state["spans"], F.struct(start.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(keep(match), grown).otherwise(state["spans"]).alias("spans"))
+    def span(match: Column, i: Column) -> Column:
+        start, end = F.get(before, i) + F.length(F.get(gaps, i)), F.get(before, i) + F.get(lengths, i)
+        return F.when(keep(match), F.struct(start.alias("start"), end.alias("end")))
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
-    found = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), begin, step)["spans"]
-    return df.withColumn(name, F.coalesce(F.when(some, found).otherwise(none), F.array().cast(_SPANS))).drop(matches, gaps)
+    found = F.array_compact(F.transform(F.when(some, F.col(matches)), span))
+    return df.withColumn(name, F.coalesce(found, F.array().cast(_SPANS))).drop(matches, gaps, lengths, before)
+
+
+def _larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _before(values: str, fold: Callable[[Column, Column], Column]) -> Column:
+    """Of each place of an int column's array, the values before it folded, from 0 on.
+
+    An array that grows is copied with each step, so it is done in blocks, and then for the blocks: no array grows past PLACES
+    in one and past the number of blocks in the other.
+    """
+    n, ints = F.size(values), F.array().cast("array<int>")
+    numbers = F.sequence(F.lit(0), F.floor((n - 1) / PLACES).cast("int"))
+    blocks = F.transform(numbers, lambda b: F.slice(values, b * PLACES + 1, PLACES))
+
+    def run(items: Column, start: Column) -> Column:
+        def step(state: Column, x: Column) -> Column:
+            return F.struct(fold(state["at"], x).alias("at"), F.array_append(state["done"], state["at"]).alias("done"))
+
+        return F.aggregate(items, F.struct(start.alias("at"), ints.alias("done")), step)["done"]
+
+    starts = run(F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), fold)), F.lit(0))
+    return F.when(n > 0, F.flatten(F.zip_with(blocks, starts, run))).when(n == 0, ints)
+
+
+def _pieces(text: str, wanted: Column) -> Column:
+    """A text in pieces of PIECE code points, where wanted: finding a place from its beginning takes as long as it is far."""
+    return F.when(wanted, F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
+
+
+def _cut(pieces: str, begin: Column, end: Column) -> Column:
+    """The code points from begin to end of a text in pieces."""
+    first, last = F.floor(begin / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    joined = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    # The column is named twice, lest Spark put what makes it into a lambda, which would cut the text for each place anew.
+    return F.when((end > begin) & (F.size(pieces) > 0), F.substring(joined, begin - first * PIECE + 1, end - begin)).otherwise("")
 
 
 def _with_entities(df: DataFrame, text: str) -> DataFrame:
@@ -107,31 +144,34 @@ def _each(kind: str, make: Callable[[Column, str], Column]) -> Column:
     return F.transform(kind, lambda span: make(span, kind))
 
 
-def _merged(spans: Column) -> Column:
-    """The spans in order, those that overlap as one."""
-    none = F.array().cast(_SPANS)
+def _with_merged(df: DataFrame, name: str, spans: Column) -> DataFrame:
+    """Adds the spans in order, those that overlap as one; null where `spans` is."""
+    order, ends, reach, firsts = (f"{name} {part}" for part in ("order", "ends", "reach", "firsts"))
+    df = df.withColumn(order, F.array_sort(spans)).withColumn(ends, F.transform(order, lambda s: s["end"]))
+    df = df.withColumn(reach, _before(ends, _larger))
+    some = F.when(F.size(order) > 0, F.sequence(F.lit(0), F.size(order) - 1)).when(F.size(order) == 0, F.array().cast("array<int>"))
+    df = df.withColumn(firsts, F.filter(some, lambda i: F.get(order, i)["start"] >= F.get(reach, i)))
 
-    def step(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        merged = F.array_append(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), longer)
-        return F.when(F.coalesce(s["start"] < last["end"], F.lit(False)), merged).otherwise(F.array_append(done, s))
+    def merged(i: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(reach, F.get(firsts, k + 1)), F.array_max(ends))
+        return F.struct(F.get(order, i)["start"].alias("start"), end.alias("end"))
 
-    return F.aggregate(F.array_sort(spans), none, step)
+    return df.withColumn(name, F.transform(firsts, merged)).drop(order, ends, reach, firsts)
 
 
 def _with_words(found: DataFrame, text: str) -> DataFrame:
     """Adds `words`, the distinct terms in lower case that a text has outside its entities."""
-    found = found.withColumn("covered", F.when(_some(), _merged(F.concat(*KINDS))))
+    found = _with_merged(found, "covered", F.when(_some(), F.concat(*KINDS)))
+    found = found.withColumn("pieces", _pieces(text, F.col("covered").isNotNull()))
 
     def between(i: Column) -> Column:
         start = F.coalesce(F.get("covered", i - 1)["end"], F.lit(0))
-        return F.substring(F.col(text), start + 1, F.coalesce(F.get("covered", i)["start"], F.length(text)) - start)
+        return _cut("pieces", start, F.coalesce(F.get("covered", i)["start"], F.length(text)))
 
     gaps = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.size("covered")), between))
     found = found.withColumn("outside", F.when(F.col("covered").isNotNull(), gaps).otherwise(F.col(text)))
     terms = F.transform(F.regexp_extract_all("outside", F.lit(_TERM), F.lit(0)), F.lower)
-    return found.withColumn("words", F.array_distinct(terms)).drop("covered", "outside")
+    return found.withColumn("words", F.array_distinct(terms)).drop("covered", "outside", "pieces")
 
 
 def _some() -> Column:
@@ -142,10 +182,10 @@ def _mentions(found: DataFrame, text: str, key: str) -> DataFrame:
     """key, entities, words: of each different text with entities, hashes of them and its terms."""
 
     def name(span: Column, kind: str) -> Column:
-        return F.xxhash64(F.lit(kind), F.lower(F.substring(F.col(text), span["start"] + 1, span["end"] - span["start"])))
+        return F.xxhash64(F.lit(kind), F.lower(_cut("cuts", span["start"], span["end"])))
 
     # Texts without entities go last: a filter on the spans would be pushed below them, and search each text again.
-    rows = _with_words(found.withColumn(text, F.when(_some(), F.col(text))), text)
+    rows = _with_words(found.withColumn(text, F.when(_some(), F.col(text))), text).withColumn("cuts", _pieces(text, _some()))
     rows = rows.select(key, F.array_distinct(F.concat(*(_each(k, name) for k in KINDS))).alias("entities"), "words")
     rows = rows.groupBy(key).agg(F.first(F.struct("entities", "words")).alias("v"))  # equal texts have equal ones
     return rows.select(key, "v.*").filter(F.size("entities") > 0)
@@ -168,33 +208,49 @@ def disclosing_terms(mentions: DataFrame, found: DataFrame, generalise: float =
     different texts, so copies weigh once.
     """
     texts = found.select("key").distinct().count()
+    # One row of each text goes on, so that its terms are counted plainly, in the tasks that have them.
+    words = _with_words(found, "text").groupBy("key").agg(F.first("words").alias("words"))
     # A plain explode makes Spark filter on the array below, and so search each text again.
-    words = _with_words(found, "text").select("key", F.explode_outer("words").alias("term")).filter("term IS NOT NULL")
-    # Counted before the join: the more text, the more of all words are sought, so a join of single words outgrows the text.
-    with_term = stored(words.groupBy("term").agg(F.count_distinct("key").alias("n_term")))
+    each = words.select("key", F.explode_outer("words").alias("term")).filter("term IS NOT NULL")
+    sign = F.bit_xor(F.xxhash64("key"))
+    with_term = stored(each.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"), sign.alias("t_sign")))
     terms = with_term.count()
+    nothing = found.sparkSession.createDataFrame([], "key long, term string, disclosed double")
     if not terms:
-        return found.sparkSession.createDataFrame([], "key long, term string, disclosed double")
+        return nothing
 
     def expected(n_both: Column, *choices: Column) -> Column:
         return F.lit(math.log(terms)) + sum(choices, F.lit(0.0)) - _ln_choose(F.lit(texts).cast("long"), n_both)
 
+    def share(n_both: Column) -> Column:
+        """How much of the entity a term with so many texts in common discloses."""
+        shared = F.log2(n_both * F.lit(float(texts)) / (F.col("n_entity") * F.col("n_term")))
+        own = F.log2(F.lit(float(texts)) / F.col("n_entity"))
+        return F.when(own > 0, shared / own).otherwise(F.lit(0.0))
+
     unlikely = F.lit(math.log(chance))
     held = mentions.select("key", F.explode("entities").alias("entity"))
-    with_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    with_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), sign.alias("e_sign"))
     # No pair has more texts in common than its entity has texts: those below can't pass, whatever their terms are.
     with_entity = stored(with_entity.withColumn("least", F.least("n_entity", F.lit(texts // 2))).filter(expected(F.col("least"), F.lit(0.0)) <= unlikely).drop("least"))
-    close = held.join(with_entity.select("entity"), "entity").join(mentions.select("key", "words"), "key")
-    close = close.select("key", "entity", F.explode("words").alias("term"))
-    pairs = close.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    known = pairs.join(with_term, "term").join(with_entity, "entity")
-    shared = F.log2(F.col("n_both") * F.lit(float(texts)) / (F.col("n_entity") * F.col("n_term")))
-    own = F.log2(F.lit(float(texts)) / F.col("n_entity"))
-    known = known.withColumn("disclosed", F.when(own > 0, shared / own).otherwise(F.lit(0.0)))
+    # Nor has it more than its term has, so a term in more texts than this discloses too little of any entity.
+    room = F.col("n_entity") * F.pow(F.lit(float(texts)) / F.col("n_entity"), F.lit(1 - generalise))
+    most = with_entity.agg(F.max(room)).first()[0]
+    if most is None:
+        return nothing
+    # Entities of the same texts, and terms of the same texts, are worked out as one, so that a text with very many of both is
+    # no product of them. What is compared is the 64-bit hashes of the texts, combined, and their number.
+    e_class, t_class = ["n_entity", "e_sign"], ["n_term", "t_sign"]
+    entities = stored(held.join(with_entity, "entity").select("key", *e_class).distinct())
+    wanted = mentions.join(entities.select("key").distinct(), "key", "left_semi").select("key", F.explode("words").alias("term"))
+    near = stored(wanted.join(with_term.filter(F.col("n_term") <= most * (1 + 1e-9)), "term").select("key", "term", *t_class))
+    close = entities.join(near.select("key", *t_class).distinct(), "key").filter(share(F.least("n_entity", "n_term")) >= generalise - 1e-9)
+    known = close.groupBy(*e_class, *t_class).agg(F.count(F.lit(1)).alias("n_both")).withColumn("disclosed", share(F.col("n_both")))
     n = F.col("n_both")
     significant = expected(n, _ln_choose(F.col("n_entity"), n), _ln_choose(F.col("n_term"), n)) <= unlikely
-    bad = stored(known.filter((F.col("disclosed") >= generalise) & significant).select("entity", "term", "disclosed"))
-    return close.join(bad, ["entity", "term"]).groupBy("key", "term").agg(F.max("disclosed").alias("disclosed"))
+    bad = stored(known.filter((F.col("disclosed") >= generalise) & significant).select(*e_class, *t_class, "disclosed"))
+    in_texts = entities.join(bad, e_class).groupBy("key", *t_class).agg(F.max("disclosed").alias("disclosed"))
+    return near.join(in_texts, ["key", *t_class]).groupBy("key", "term").agg(F.max("disclosed").alias("disclosed"))
 
 
 def _read(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -258,29 +314,31 @@ def sanitised(
     text = F.coalesce(F.col(spoken[text_column]).cast("string"), F.lit(""))
     body = body.withColumn("text", text).withColumn("key", F.xxhash64("text")).join(terms, "key", "left")
     body = _with_terms(_with_entities(body, "text"))
+    body = body.withColumn("pieces", _pieces("text", _some() | (F.size("term") > 0)))
     tags = [_each(k, lambda s, k: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), F.lit(f"[{k.upper()}]").alias("tag"))) for k in KINDS]
     word = F.transform(
         "term",
         lambda s: F.struct(
             s["start"].alias("start"),
             (-s["end"]).alias("back"),
-            F.when(F.array_contains("removed", F.lower(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]))), F.lit(""))
-            .when(F.substring(F.col("text"), s["start"] + 1, F.lit(1)).rlike("[0-9]"), F.lit("[NUMBER]"))
-            .when(F.substring(F.col("text"), s["start"] + 1, F.lit(1)).rlike(r"\p{Lu}"), F.lit("[NAME]"))
+            F.when(F.array_contains("removed", F.lower(_cut("pieces", s["start"], s["end"]))), F.lit(""))
+            .when(_cut("pieces", s["start"], s["start"] + 1).rlike("[0-9]"), F.lit("[NUMBER]"))
+            .when(_cut("pieces", s["start"], s["start"] + 1).rlike(r"\p{Lu}"), F.lit("[NAME]"))
             .otherwise(F.lit("[WORD]"))
             .alias("tag"),
         ),
     )
     body = body.withColumn("spans", F.array_sort(F.concat(*tags, word)))
+    body = body.withColumn("ends", F.transform("spans", lambda s: -s["back"])).withColumn("reach", _before("ends", _larger))
 
-    def step(state: Column, s: Column) -> Column:
-        piece = F.concat(F.substring(F.col("text"), state["at"] + 1, s["start"] - state["at"]), s["tag"])
-        piece = F.when(s["start"] >= state["at"], piece).otherwise(s["tag"])
-        after = F.struct((-s["back"]).alias("at"), F.array_append(state["parts"], piece).alias("parts"))
-        return F.when(-s["back"] > state["at"], after).otherwise(state)
+    def piece(s: Column, i: Column) -> Column:
+        """What stands for a span and the text before it; null for one that is replaced already."""
+        at = F.get("reach", i)
+        told = F.when(s["start"] >= at, F.concat(_cut("pieces", at, s["start"]), s["tag"])).otherwise(s["tag"])
+        return F.when(F.get("ends", i) > at, told)
 
-    done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")), step)
-    body = body.withColumn("done", F.when(F.size("spans") > 0, done))
+    parts, at = F.transform("spans", piece), F.array_max("ends")
+    body = body.withColumn("done", F.when(F.size("spans") > 0, F.struct(at.alias("at"), parts.alias("parts"))))
     rest = F.substring(F.col("text"), F.col("done")["at"] + 1, F.length("text"))
     clean = F.when(F.col("done").isNotNull(), F.concat(F.concat_ws("", F.col("done")["parts"]), rest)).otherwise(F.col(spoken[text_column]))
     body = body.withColumn("clean", clean)

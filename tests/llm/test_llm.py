@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -519,3 +520,38 @@ def test_pipeline_stages_against_brute_force(spark):
     leaking = {i for i in rows[2] if any(s and 100 * len(s & sets[i]) >= decontamination.PERCENT * len(s) for s in items)}
     assert set(rows[3]) == set(rows[2]) - leaking
     assert rows[4] == {i: plainly_sanitised(t) for i, t in rows[3].items()} != rows[3]
+
+
+def test_a_text_of_very_many_entities_takes_no_longer_than_its_share(spark):
+    given = [" ".join(f"user{i}@host{i % 97}.example.org" for i in range(n)) for n in (2000, 32000)]
+    frame = spark.createDataFrame(list(enumerate([*given, "é" * 5000 + " a@b.cd " + "日" * 9000 + " x@y.zz "])), "doc_id long, text string")
+    private.sanitised(frame.filter("doc_id = 0")).collect()
+    began = time.monotonic()
+    found = {r.doc_id: r for r in private._with_entities(frame, "text").select("doc_id", "email").collect()}
+    assert len(found[1].email) == 32000 and (found[1].email[-1].end, found[1].email[0].start) == (len(given[1]), 0)
+    assert time.monotonic() - began < 5
+    began = time.monotonic()
+    clean = {r.doc_id: r.text for r in private.sanitised(frame).collect()}
+    assert clean[1] == " ".join(["[EMAIL]"] * 32000) and clean[2] == "é" * 5000 + " [EMAIL] " + "日" * 9000 + " [EMAIL] "
+    assert time.monotonic() - began < 30
+
+
+def test_running_folds(spark):
+    rng = random.Random(2)
+    rows = [(i, [rng.randint(0, 99) for _ in range(n)]) for i, n in enumerate((0, 1, 63, 64, 65, 128, 1000))] + [(9, None)]
+    frame = spark.createDataFrame(rows, "i int, x array<int>")
+    got = frame.select("i", private._before("x", lambda a, b: a + b).alias("sums"), private._before("x", private._larger).alias("tops"))
+    for r in got.collect():
+        values = dict(rows)[r.i]
+        assert r.sums == (None if values is None else [sum(values[:k]) for k in range(len(values))])
+        assert r.tops == (None if values is None else [max([0, *values[:k]]) for k in range(len(values))])
+
+
+def test_entities_and_words_of_the_same_texts_are_no_product(spark):
+    names, mails = [f"Word{i}" for i in range(1500)], [f"m{i}@x.org" for i in range(1500)]
+    rng = random.Random(6)
+    filler = [" ".join(f"w{rng.randrange(300)}" for _ in range(20)) for _ in range(600)]
+    lists = [f"{filler[i]} {' '.join(names)} {' '.join(mails)}" for i in range(5)]
+    frame = spark.createDataFrame(list(enumerate([*filler, *lists])), "doc_id long, text string")
+    found = {r.doc_id: len(r.term) for r in private.entity_spans(frame).collect()}
+    assert all(found[i] == 1500 for i in range(600, 605)) and not any(found[i] for i in range(600))
