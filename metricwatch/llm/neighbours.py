@@ -11,7 +11,7 @@ pieces of work. A block pair yields each query's best, and those are merged.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +27,12 @@ LIST_SIZE, SAMPLE_PER_LIST = 256, 16
 #: Edges of a centroid in the graph, and nearest centroids that a search walks on from at least.
 EDGES, VIEW = 24, 16
 #: A vector is also filed under centroids up to so many times as far as the nearest, REPLICAS in all.
-BOUNDARY, REPLICAS = 1.03, 4
-#: A query reads the lists of centroids up to so many times as far as the nearest.
-PRUNE = 1.12
-#: Rows of a block of vectors or of queries.
-BLOCK_ROWS = 512
+BOUNDARY, REPLICAS = 1.1, 4
+#: A query reads the lists of centroids up to so many times as far as the nearest that this share of the nearest neighbours of
+#: the sample's own queries, ASKED at most, is found among the sample.
+RECALL, ASKED = 0.94, 400
+#: Rows of a block of vectors or of queries, and results that a task holds before it drops all but each query's best.
+BLOCK_ROWS, HELD = 512, 1_000_000
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,7 @@ class Centroids:
     points: np.ndarray  # (lists, dimensions + 1)
     graph: np.ndarray  # (lists, edges)
     radius: float  # of the ball that all vectors lie in
+    prune: float = 1.0  # how much farther than the nearest centroid a query's lists may lie
 
     def lifted(self, x: np.ndarray) -> np.ndarray:
         """Vectors with the component that brings all to the same length."""
@@ -70,20 +72,36 @@ class Centroids:
         return gaps
 
     def filed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row and list of every entry: the nearest list, and further ones for vectors near a boundary."""
-        gaps = self.walk(x, BOUNDARY)
+        """Row and list of every entry: the nearest list, and further ones for vectors near a boundary.
+
+        A further list counts only if its centroid is nearer to the vector than to the centroids that the vector is filed
+        under: between those it adds a way to the vector, and else the same queries read both lists.
+        """
+        return self._kept(self.walk(x, BOUNDARY))
+
+    def _kept(self, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(gaps, 1, kind="stable")[:, :REPLICAS]
         near = np.take_along_axis(gaps, order, 1)
-        row, at = np.nonzero(near <= BOUNDARY * near[:, :1])
+        kept = near <= BOUNDARY * near[:, :1]
+        centres = self.points[order]
+        for j in range(1, order.shape[1]):
+            apart = np.sqrt(((centres[:, j, None] - centres[:, :j]) ** 2).sum(2))
+            kept[:, j] &= ((near[:, j, None] < apart) | ~kept[:, :j]).all(1)
+        row, at = np.nonzero(kept)
         return row, order[row, at]
 
+    def gaps(self, x: np.ndarray) -> np.ndarray:
+        """Distances of points to all centroids."""
+        squares = (x**2).sum(1)[:, None] + (self.points**2).sum(1) - 2 * x @ self.points.T
+        return np.sqrt(np.maximum(squares, 0))
+
     def read(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and list of every list that a query reads."""
-        gaps = self.walk(x, PRUNE)
-        return np.nonzero(gaps <= PRUNE * gaps.min(1, keepdims=True)) if len(x) else (np.zeros(0, int), np.zeros(0, int))
+        gaps = self.walk(x, self.prune)
+        return np.nonzero(gaps <= self.prune * gaps.min(1, keepdims=True)) if len(x) else (np.zeros(0, int), np.zeros(0, int))
 
 
-def learn(x: np.ndarray, lists: int, radius: float, seed: int = 5) -> Centroids:
+def learn(x: np.ndarray, lists: int, radius: float, k: int = 20, seed: int = 5) -> Centroids:
     """Centroids of `lists` parts of the sample, equal in size but for one vector or so."""
     empty = Centroids(np.zeros((1, x.shape[1] + 1)), np.zeros((1, 1), np.int64), radius)
     if not len(x):
@@ -107,7 +125,28 @@ def learn(x: np.ndarray, lists: int, radius: float, seed: int = 5) -> Centroids:
         cut = max(1, min(len(rows) - 1, len(rows) * left // share))
         todo += [(rows[order[:cut]], left), (rows[order[cut:]], share - left)]
     means = np.stack([points[p].mean(0) for p in parts])
-    return Centroids(means, _graph(means, rng), radius)
+    return _calibrated(Centroids(means, _graph(means, rng), radius), x, k)
+
+
+def _calibrated(centroids: Centroids, x: np.ndarray, k: int) -> Centroids:
+    """The centroids with the least `prune` by which queries of the sample find RECALL of their k nearest in the sample."""
+    rows = np.unique(np.linspace(0, len(x) - 1, min(ASKED, len(x))).astype(np.int64))
+    asked = np.hstack([_scaled(x[rows], centroids.radius), np.zeros((len(rows), 1))]) if len(rows) else np.zeros((0, 1))
+    lists = np.full((len(x), REPLICAS), -1)
+    for at in range(0, len(x), 1024):
+        row, found = centroids._kept(centroids.gaps(centroids.lifted(x[at : at + 1024])))
+        lists[at + row, np.arange(len(row)) - np.searchsorted(row, row)] = found
+    needed = [np.ones(1)]
+    for at in range(0, len(rows), 64):
+        some = rows[at : at + 64]
+        scores = x[some] @ x.T
+        scores[np.arange(len(some)), some] = -np.inf
+        best = np.argpartition(-scores, min(k, scores.shape[1]) - 1, axis=1)[:, :k] if len(x) > 1 else np.zeros((0, 0), np.int64)
+        gaps = centroids.gaps(asked[at : at + 64])
+        gaps = np.hstack([gaps / gaps.min(1, keepdims=True), np.full((len(some), 1), np.inf)])  # the last stands for no list
+        for q in range(len(best)):
+            needed.append(gaps[q][lists[best[q]]].min(axis=1))
+    return replace(centroids, prune=float(np.quantile(np.concatenate(needed), RECALL, method="higher")))
 
 
 def _graph(points: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -165,7 +204,7 @@ def nearest_vectors(
     x = _matrix(sample.column("v").combine_chunks()) if len(sample) else np.zeros((0, size))
     lists = max(1, min(n // LIST_SIZE, len(x) // SAMPLE_PER_LIST))
     # As large as the sample allows: SAMPLE / SAMPLE_PER_LIST points.
-    centroids = spark.sparkContext.broadcast(learn(x, lists, float(reach)))
+    centroids = spark.sparkContext.broadcast(learn(x, lists, float(reach), k))
 
     def file(kind: str):
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,21 +240,23 @@ def nearest_vectors(
     asked = stored(asked.mapInArrow(file("ask"), "list int, ask_ids binary, ask_points binary"))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query's k best of all that the task meets."""
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        count = limit = 0
         for batch in batches:
             for row in batch.to_pylist():
                 ids, ask = np.frombuffer(row["base_ids"], "<i8"), np.frombuffer(row["ask_ids"], "<i8")
                 points = np.frombuffer(row["base_points"], np.float64).reshape(len(ids), size)
                 asks = np.frombuffer(row["ask_points"], np.float64).reshape(len(ask), size)
-                order = np.argsort(ids, kind="stable")  # so that ties go to the smaller id
-                ids, points = ids[order], points[order]
-                # Not by matrix product, which may round the same pair of vectors in several ways.
-                scores = np.einsum("qd,nd->qn", asks, points)
-                scores[ask[:, None] == ids[None, :]] = -np.inf
-                top = np.argsort(-scores, 1, kind="stable")[:, :k]
-                q, top = np.repeat(np.arange(len(ask)), top.shape[1]), top.ravel()
-                real = np.isfinite(scores[q, top])
-                q, top = q[real], top[real]
-                yield pa.RecordBatch.from_arrays([pa.array(ask[q]), pa.array(ids[top]), pa.array(scores[q, top])], ["query_id", "vec_id", "score"])
+                held.append(_best_of(ask, asks, ids, points, k))
+                count += len(held[-1][0])
+                if count > limit + HELD:
+                    held = [_best(*map(np.concatenate, zip(*held, strict=True)), k)]
+                    count = limit = len(held[0][0])
+        query, vec, score = _best(*map(np.concatenate, zip(*held, strict=True)), k)
+        for at in range(0, len(query), 100_000):
+            some = slice(at, at + 100_000)
+            yield pa.RecordBatch.from_arrays([pa.array(query[some]), pa.array(vec[some]), pa.array(score[some])], ["query_id", "vec_id", "score"])
 
     met = base.join(asked, "list").drop("list").mapInArrow(best, "query_id long, vec_id long, score double")
     pairs = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # lists overlap
@@ -223,6 +264,32 @@ def nearest_vectors(
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _best_of(ask: np.ndarray, asks: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, vector and score of those pairs of a block pair that may be among a query's k best."""
+    # A matrix product may round the same pair of vectors in several ways, so it only says which pairs are worked out.
+    rough = asks @ points.T
+    rough[ask[:, None] == ids[None, :]] = -np.inf
+    slack = 1e-12 * np.sqrt((asks**2).sum(1) * (points**2).sum(1).max(initial=0)) * max(points.shape[1], 1)
+    least = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(ask), -np.inf)
+    q, v = np.nonzero((rough >= (least - slack)[:, None]) & np.isfinite(rough))
+    scores = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", asks[q[a : a + 50_000]], points[v[a : a + 50_000]]) for a in range(0, len(q), 50_000))])
+    return _best(ask[q], ids[v], scores, k)
+
+
+def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k best, ties to the smaller id; of a vector that was met several times, its best."""
+    order = np.lexsort((-score, vec, query))
+    query, vec, score = query[order], vec[order], score[order]
+    new = np.ones(len(query), bool)
+    new[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
+    query, vec, score = query[new], vec[new], score[new]
+    order = np.lexsort((vec, -score, query))
+    query, vec, score = query[order], vec[order], score[order]
+    first = np.searchsorted(query, query)
+    kept = np.arange(len(query)) - first < k
+    return query[kept], vec[kept], score[kept]
+
+
 def _scaled(x: np.ndarray, radius: float) -> np.ndarray:
     """Queries brought to the vectors' length, which changes no ranking but lets distances be compared."""
     return x * (radius / np.sqrt((x**2).sum(1)))[:, None]
