@@ -7,10 +7,18 @@ is shuffled and sorted once. A series has at most one row per period: its length
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SERIES = ("table_name", "metric_name")
+#: Spark evaluates a moving median's whole window anew for each row. From so many rows on, the window is kept in order instead.
+WIDE_WINDOW = 100
 
 
 def series_window() -> WindowSpec:
@@ -41,13 +49,50 @@ def with_baseline(metrics: DataFrame, window: int = 24) -> DataFrame:
     """
     ordered = series_window()
     trailing = ordered.rowsBetween(-window, -1)
-    return dated(metrics).withColumns(
-        {
-            "previous_value": F.lag("metric_value").over(ordered),
-            "baseline_median": F.percentile_approx("metric_value", 0.5).over(trailing),
-            "history_count": F.count("metric_value").over(trailing),
-        }
-    ).withColumn("pct_change", percent_change())
+    if window >= WIDE_WINDOW:
+        added = _with_kept_window(dated(metrics), window)
+    else:
+        added = dated(metrics).withColumns(
+            {
+                "baseline_median": F.percentile_approx("metric_value", 0.5).over(trailing),
+                "history_count": F.count("metric_value").over(trailing),
+            }
+        )
+    previous = F.lag("metric_value").over(ordered)
+    return added.withColumn("previous_value", previous).select(
+        *metrics.columns, "previous_value", "baseline_median", "history_count", percent_change().alias("pct_change")
+    )
+
+
+def _with_kept_window(metrics: DataFrame, window: int) -> DataFrame:
+    """Add ``baseline_median`` and ``history_count`` from a window kept in order, which each row changes by two values.
+
+    A task reads its series one after another in the order of time and holds one window. NaN ranks above all numbers.
+    """
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        series, rows, ranked = None, deque(), []
+        for batch in batches:
+            medians, counts = [], []
+            names = zip(batch.column(SERIES[0]).to_pylist(), batch.column(SERIES[1]).to_pylist(), strict=True)
+            for name, value in zip(names, batch.column("metric_value").to_pylist(), strict=True):
+                if name != series:
+                    series, rows, ranked = name, deque(), []
+                medians.append(ranked[(len(ranked) - 1) // 2][1] if ranked else None)
+                counts.append(len(ranked))
+                key = None if value is None else (value != value, value if value == value else 0.0), value
+                rows.append(key)
+                if key[0] is not None:
+                    insort(ranked, key, key=lambda held: held[0])
+                if len(rows) > window:
+                    gone = rows.popleft()
+                    if gone[0] is not None:
+                        del ranked[bisect_left(ranked, gone[0], key=lambda held: held[0])]
+            added = [pa.array(medians, pa.float64()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "baseline_median", "history_count"])
+
+    schema = T.StructType([*metrics.schema, T.StructField("baseline_median", T.DoubleType()), T.StructField("history_count", T.LongType())])
+    return metrics.repartition(*SERIES).sortWithinPartitions(*SERIES, "period_start").mapInArrow(walk, schema)
 
 
 def with_latest(metrics: DataFrame) -> DataFrame:

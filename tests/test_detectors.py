@@ -1,6 +1,8 @@
+import random
 from collections import Counter
 from dataclasses import replace
 from datetime import datetime
+from functools import reduce
 
 import pytest
 from helpers import (
@@ -21,9 +23,11 @@ from helpers import (
     hours_of,
     rule,
 )
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metricwatch import Rule, SourceSpec, metric_columns, rules_frame
+from metricwatch.operators import baseline
 from metricwatch.operators.baseline import with_baseline, with_previous
 from metricwatch.operators.detectors import (
     detect,
@@ -209,6 +213,18 @@ def test_rolling_median_matches_sorting(spark, window):
         assert row.baseline_median == (trailing[(len(trailing) - 1) // 2] if trailing else None)
 
 
+def test_wide_windows_are_kept_in_order(spark, monkeypatch):
+    rng = random.Random(4)
+    series = [("a", [None if rng.random() < 0.1 else float(rng.randrange(9)) for _ in range(300)]), ("b", [None, 1.0, None, 2.0] * 30), ("c", [1.0])]
+    whole = reduce(DataFrame.unionByName, (history(spark, name, values) for name, values in series)).withColumn("metric_value_2", F.lit(1))
+    columns = ["metric_name", "period_start", "previous_value", "baseline_median", "history_count", "pct_change", "metric_value_2"]
+    plain = with_baseline(whole, 30)
+    monkeypatch.setattr(baseline, "WIDE_WINDOW", 30)
+    kept = with_baseline(whole, 30)
+    assert kept.columns == plain.columns
+    assert sorted(map(str, kept.select(*columns).collect())) == sorted(map(str, plain.select(*columns).collect()))
+
+
 def test_value_rules_since_a_period(spark):
     late = rows(spark, 50).unionByName(rows(spark, 60).withColumn("at", F.lit(hour(3.5))))
     hits = detect_value_anomalies(late, SPEC, BOUNDS, AS_OF, "run", since=hour(3.75)).collect()
