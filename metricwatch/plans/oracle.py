@@ -608,6 +608,7 @@ ORACLE: dict[str, str] = {
         GROUP BY run_id""",
         "ev",
     ),
+    "metrics_by_batches": sql(f"SELECT {METRIC} FROM ev_long WHERE metric_name <> 'duplicate_count'", "ev_long"),
     "detect_missing_periods": sql(
         f"""SELECT anomaly_id, {HIT} FROM ({identified("""SELECT table_name, 'activity_count' AS column_name, 'missing_zero_activity' AS anomaly_type,
             'HIGH' AS severity, period_start, 'row_count' AS metric_name, 0.0::DOUBLE AS detected_value,

@@ -143,6 +143,17 @@ def duplicate_count_since(spark, sf_dir):
         return fx.stored(spark, shown(history, "run_id", *METRIC))
 
 
+@query
+def metrics_by_batches(spark, sf_dir):
+    """Three batches, each with rows of nearly every period; the second one twice."""
+    events = fx.events(spark, sf_dir)
+    with fx.state_tables(spark) as tables:
+        for number in (0, 1, 1, 2):
+            batch = events.filter(F.pmod("event_id", F.lit(3)) == number)
+            runs.run_batch(tables, [(batch, fx.EVENTS)], f"batch {number}", fx.RUN, fx.AS_OF)
+        return fx.stored(spark, shown(tables.read(state.METRICS), *METRIC))
+
+
 @query
 def metrics_ordered(spark, sf_dir):
     return anomaly_log.metrics_ordered(shown(fx.event_metrics(spark, sf_dir), *METRIC))

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterable
 from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +21,23 @@ from metricwatch.operators import duplicates as dup
 from metricwatch.operators.alerts import AlertSettings
 from metricwatch.operators.anomaly_log import new_anomalies, pending_anomalies
 from metricwatch.operators.detectors import detect, detect_missing_periods
-from metricwatch.operators.metrics import compute_all
+from metricwatch.operators.metrics import compute_all, with_period
+from metricwatch.operators.partials import PART_KEYS, batch_parts, merged_metrics
 from metricwatch.operators.rules import missing_tables, retire_rules, sound_rules, value_rules
 from metricwatch.sources import state
 from metricwatch.sources.state import StateTables
-from metricwatch.specs import ALERT_SCHEMA, OUTBOX_SCHEMA, VALUE_ANOMALY, Rule, SourceSpec, metric_columns, rules_frame, source_fields
+from metricwatch.specs import (
+    ALERT_SCHEMA,
+    METRICS_SCHEMA,
+    OUTBOX_SCHEMA,
+    PARTS_SCHEMA,
+    VALUE_ANOMALY,
+    Rule,
+    SourceSpec,
+    metric_columns,
+    rules_frame,
+    source_fields,
+)
 
 METRIC_KEYS = ("table_name", "period_start", "metric_name")
 METRIC_UPDATES = ("metric_value", "run_id", "computed_at")
@@ -70,6 +83,37 @@ def run_metrics(
     return tables.upsert(state.METRICS, metrics, METRIC_KEYS, METRIC_UPDATES)
 
 
+def run_batch(
+    tables: StateTables,
+    sources: Iterable[tuple[DataFrame, SourceSpec]],
+    batch_id: str,
+    run_id: str | None = None,
+    as_of: datetime | str | None = None,
+) -> int:
+    """Add a batch of rows, late ones too, to the metrics of their periods; returns how many metrics changed.
+
+    ``sources`` hold the rows of the batch only; earlier rows are not read again, as what each batch adds up to per period is
+    kept. A batch that is repeated replaces itself. The duplicate count is that of whole tables: see ``run_metrics``.
+    """
+    sources = list(sources)
+    tables.create(state.PARTS)
+    tables.create(state.METRICS)
+    parts = reduce(DataFrame.unionByName, [batch_parts(df, spec, batch_id) for df, spec in sources])
+    tables.upsert(state.PARTS, parts.select(*PARTS_SCHEMA.names), PART_KEYS)
+    periods = reduce(DataFrame.unionByName, [_periods(df, spec) for df, spec in sources])
+    near = tables.read_near(state.PARTS, periods)
+    of_batch = near.filter(F.col("batch_id") == batch_id).select("table_name", "period_start").distinct()
+    of_batch = of_batch.select(F.col("table_name").alias("_table"), F.col("period_start").alias("_period"))
+    same = (F.col("table_name") == F.col("_table")) & F.col("period_start").eqNullSafe(F.col("_period"))
+    merged = merged_metrics(near.join(of_batch, same, "left_semi"))
+    tagged = merged.withColumns({"run_id": F.lit(run_id or new_run_id()), "computed_at": moment(as_of or now())})
+    return tables.upsert(state.METRICS, tagged.select(*METRICS_SCHEMA.names), METRIC_KEYS, METRIC_UPDATES)
+
+
+def _periods(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    return with_period(df, spec).select(F.lit(spec.table_name).alias("table_name"), "period_start").distinct()
+
+
 def duplicate_counts(
     tables: StateTables, sources: Iterable[tuple[DataFrame, SourceSpec]], since: datetime | str | None
 ) -> dict[str, DataFrame]:

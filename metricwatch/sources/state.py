@@ -35,6 +35,7 @@ from metricwatch.specs import (
     MARKS_SCHEMA,
     METRICS_SCHEMA,
     OUTBOX_SCHEMA,
+    PARTS_SCHEMA,
     RULES_SCHEMA,
     SEEN_KEYS_SCHEMA,
 )
@@ -51,6 +52,8 @@ MARKS = "anomaly_alerted"
 DIGESTS = "alert_digest"
 #: Business keys seen before a cut in event time, and what they add up to.
 SEEN_KEYS, KEY_TOTALS = "duplicate_keys", "duplicate_totals"
+#: What the batches of each period add up to.
+PARTS = "metric_parts"
 
 SCHEMAS = {
     METRICS: METRICS_SCHEMA,
@@ -59,7 +62,7 @@ SCHEMAS = {
     RULES: RULES_SCHEMA,
     OUTBOX: OUTBOX_SCHEMA,
 }
-_ALL = SCHEMAS | {MARKS: MARKS_SCHEMA, DIGESTS: DIGESTS_SCHEMA, SEEN_KEYS: SEEN_KEYS_SCHEMA, KEY_TOTALS: KEY_TOTALS_SCHEMA}
+_ALL = SCHEMAS | {MARKS: MARKS_SCHEMA, DIGESTS: DIGESTS_SCHEMA, SEEN_KEYS: SEEN_KEYS_SCHEMA, KEY_TOTALS: KEY_TOTALS_SCHEMA, PARTS: PARTS_SCHEMA}
 #: Partition columns, each with the column it is made of and the form of its time; one without a form is that column.
 #: Rows may also bring the partition column itself.
 PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
@@ -71,10 +74,11 @@ PARTITIONS: dict[str, dict[str, tuple[str, str | None]]] = {
     DIGESTS: {"run_id": ("run_id", None)},
     SEEN_KEYS: {"table_name": ("table_name", None), "generation": ("generation", None)},
     KEY_TOTALS: {"table_name": ("table_name", None)},
+    PARTS: {"table_name": ("table_name", None), "period_month": ("period_start", "yyyy-MM")},
 }
 NO_TIME = "none"
 # The tables a reset empties; rules and sources stay.
-HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX, MARKS, DIGESTS, SEEN_KEYS, KEY_TOTALS)
+HISTORY_TABLES = (METRICS, ANOMALIES, ALERTS, OUTBOX, MARKS, DIGESTS, SEEN_KEYS, KEY_TOTALS, PARTS)
 RESET_WORD = "RESET"
 #: Partitions named one by one in a filter; more are looked up by their columns' values, which may cover some others.
 NAMED_PARTITIONS = 500
@@ -133,6 +137,11 @@ class StateTables:
         """The rows of the partitions that a condition on partition columns names; no others are read."""
         return self._shown(table, self._stored(table).filter(where))
 
+    def read_near(self, table: str, df: DataFrame) -> DataFrame:
+        """The rows of the partitions that the rows of ``df``, which have what those are made of, lie in."""
+        places = _partitioned(table, df).select(*PARTITIONS[table]).distinct().collect()
+        return self.read_partitions(table, _within(places, list(PARTITIONS[table])) if places else F.lit(False))
+
     def _shown(self, table: str, stored: DataFrame) -> DataFrame:
         own = _ALL[table].names if table in _ALL else []
         later = [c for c in stored.columns if c not in own and c not in PARTITIONS.get(table, ())]

@@ -122,6 +122,19 @@ KEY_TOTALS_SCHEMA = _schema(
     ("latest", _time, True),
     ("recorded_at", _time, False),
 )
+PARTS_SCHEMA = _schema(
+    ("table_name", _string, False),
+    ("period_start", _time, True),
+    ("kind", _string, False),
+    ("column_name", _string, True),
+    ("batch_id", _string, False),
+    ("n", T.LongType(), False),
+    ("total_exact", T.DecimalType(38, 18), True),
+    ("total", _double, True),
+    ("deviation", _double, True),
+    ("low", _double, True),
+    ("high", _double, True),
+)
 MARKS_SCHEMA = _schema(("anomaly_id", _string, False))
 
 

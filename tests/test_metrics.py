@@ -1,6 +1,7 @@
 import random
 from dataclasses import replace
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from helpers import BOUNDS_ROWS, SPEC, START, TABLE, hour
@@ -263,3 +264,48 @@ def test_keys_with_nulls_are_told_apart(spark):
     spec = replace(SPEC, duplicate_key_columns=("key", "note"))
     rows = spark.createDataFrame([(1, START, a, b, 1, None) for a, b in ((None, "x"), ("x", None), (None, None), (None, None), ("", "x"))], BOUNDS_ROWS)
     assert duplicates.per_key(rows, spec).count() == 4
+
+
+def test_batches_add_up_to_the_metrics_of_all_rows(spark, tables):
+    rng = random.Random(8)
+    schema = "at timestamp, exact decimal(18,2), number double, whole bigint, note string, loaded timestamp"
+    spec = SourceSpec(
+        TABLE, "at", ingestion_timestamp_column="loaded", monitored_null_columns=("note",), numeric_metric_columns=("exact", "number", "whole")
+    )
+
+    def row():
+        at = rng.choice([None, *(hour(n / 4) for n in range(20))])
+        cents = None if rng.random() < 0.2 else Decimal(rng.randrange(-(10**9), 10**9)) / 100
+        return at, cents, rng.choice([None, rng.gauss(1e6, 1)]), rng.choice([None, 2**52 + 1, -3]), rng.choice([None, " ", "x"]), rng.choice([None, at])
+
+    batches = [[row() for _ in range(size)] for size in (60, 1, 25, 40)] + [[(hour(9), None, None, None, "x", None)]]
+    every = []
+    for number, batch in enumerate(batches):
+        every += batch
+        given = [(spark.createDataFrame(batch, schema), spec)]
+        changed = runs.run_batch(tables, given, f"b{number}", "r", START)
+        if number == 2:
+            assert runs.run_batch(tables, given, f"b{number}", "r", START) == changed
+        wanted = values(compute_metrics(spark.createDataFrame(every, schema), spec, "r", START))
+        found = values(tables.read(state.METRICS))
+        assert found.keys() == wanted.keys()
+        for key, value in wanted.items():
+            exact = key[1].startswith(("sum_exact", "sum_whole", "avg_exact", "row", "min", "max", "null", "last"))
+            assert found[key] == (value if exact or value is None else pytest.approx(value, rel=1e-9, abs=1e-9)), key
+    assert runs.run_batch(tables, [(spark.createDataFrame([], schema), spec)], "none", "r", START) == 0
+
+
+def test_a_batch_reads_and_writes_only_its_months(spark, tables):
+    months = [datetime(2024, n, 3) for n in (1, 2, 3)]
+
+    def batch(name, *times):
+        rows = spark.createDataFrame([(1, at, "a", "x", 1, None) for at in times], BOUNDS_ROWS)
+        return runs.run_batch(tables, [(rows, SPEC)], name, name, START)
+
+    batch("first", *months)
+    before = set(spark.table(tables.name(state.METRICS)).inputFiles())
+    batch("late", months[1])
+    kept = before & set(spark.table(tables.name(state.METRICS)).inputFiles())
+    assert len({path.split("period_month=")[1][:7] for path in kept}) == 2 and not any("2024-02" in path for path in kept)
+    counts = {(r.period_start, r.run_id): r.metric_value for r in tables.read(state.METRICS).filter("metric_name = 'row_count'").collect()}
+    assert counts == {(months[0], "first"): 1.0, (months[1], "late"): 2.0, (months[2], "first"): 1.0}
