@@ -139,6 +139,8 @@ def test_rule_violations(spark):
         ("sudden_increase", "threshold_pct missing"),
         ("value_anomaly", "severity has no route"),
         ("value_anomaly", "metric missing"),
+        ("value_anomaly", "fixed_lower_threshold missing"),
+        ("value_anomaly", "fixed_upper_threshold missing"),
     }
 
 
