@@ -27,12 +27,12 @@ LIST_SIZE, SAMPLE_PER_LIST = 256, 16
 #: Edges of a centroid in the graph, and nearest centroids that a search walks on from at least.
 EDGES, VIEW = 24, 16
 #: A vector is also filed under centroids up to so many times as far as the nearest, REPLICAS in all.
-BOUNDARY, REPLICAS = 1.1, 4
+BOUNDARY, REPLICAS = 1.03, 4
 #: A query reads the lists of centroids up to so many times as far as the nearest that this share of the nearest neighbours of
 #: the sample's own queries, ASKED at most, is found among the sample.
 RECALL, ASKED = 0.94, 400
 #: Rows of a block of vectors or of queries, and results that a task holds before it drops all but each query's best.
-BLOCK_ROWS, HELD = 512, 1_000_000
+BLOCK_ROWS, HELD = 512, 200_000
 
 
 @dataclass(frozen=True)
@@ -240,19 +240,24 @@ def nearest_vectors(
     asked = stored(asked.mapInArrow(file("ask"), "list int, ask_ids binary, ask_points binary"))
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each query's k best of all that the task meets."""
+        """Each query's k best of all that the task meets; what is not above the k-th best found so far is no result."""
         held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        queries, least = np.zeros(0, np.int64), np.zeros(0)
         count = limit = 0
         for batch in batches:
             for row in batch.to_pylist():
                 ids, ask = np.frombuffer(row["base_ids"], "<i8"), np.frombuffer(row["ask_ids"], "<i8")
                 points = np.frombuffer(row["base_points"], np.float64).reshape(len(ids), size)
                 asks = np.frombuffer(row["ask_points"], np.float64).reshape(len(ask), size)
-                held.append(_best_of(ask, asks, ids, points, k))
+                at = np.minimum(np.searchsorted(queries, ask), max(len(queries) - 1, 0))
+                known = np.where(queries[at] == ask, least[at], -np.inf) if len(queries) else np.full(len(ask), -np.inf)
+                held.append(_best_of(ask, asks, ids, points, known, k))
                 count += len(held[-1][0])
                 if count > limit + HELD:
                     held = [_best(*map(np.concatenate, zip(*held, strict=True)), k)]
                     count = limit = len(held[0][0])
+                    queries, first, found = np.unique(held[0][0], return_index=True, return_counts=True)
+                    least = np.where(found == k, held[0][2][first + found - 1], -np.inf)
         query, vec, score = _best(*map(np.concatenate, zip(*held, strict=True)), k)
         for at in range(0, len(query), 100_000):
             some = slice(at, at + 100_000)
@@ -264,16 +269,22 @@ def nearest_vectors(
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _best_of(ask: np.ndarray, asks: np.ndarray, ids: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query, vector and score of those pairs of a block pair that may be among a query's k best."""
-    # A matrix product may round the same pair of vectors in several ways, so it only says which pairs are worked out.
-    rough = asks @ points.T
-    rough[ask[:, None] == ids[None, :]] = -np.inf
-    slack = 1e-12 * np.sqrt((asks**2).sum(1) * (points**2).sum(1).max(initial=0)) * max(points.shape[1], 1)
-    least = np.partition(rough, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(ask), -np.inf)
-    q, v = np.nonzero((rough >= (least - slack)[:, None]) & np.isfinite(rough))
-    scores = np.concatenate([np.zeros(0), *(np.einsum("ij,ij->i", asks[q[a : a + 50_000]], points[v[a : a + 50_000]]) for a in range(0, len(q), 50_000))])
-    return _best(ask[q], ids[v], scores, k)
+def _best_of(
+    ask: np.ndarray, asks: np.ndarray, ids: np.ndarray, points: np.ndarray, known: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query, vector and score of those pairs of a block pair that may be among a query's k best.
+
+    `known` is the k-th best score that each query has already, or minus infinity.
+    """
+    # Not by matrix product, which may round the same pair of vectors in several ways.
+    scores = np.einsum("qd,nd->qn", asks, points)
+    scores[ask[:, None] == ids[None, :]] = -np.inf
+    new = np.isneginf(known)
+    if len(ids) > k and new.any() and len(np.unique(ids)) == len(ids):  # rows with one id count once
+        known = known.copy()
+        known[new] = np.partition(scores[new], -k, axis=1)[:, -k]
+    q, v = np.nonzero((scores >= known[:, None]) & np.isfinite(scores))
+    return ask[q], ids[v], scores[q, v]
 
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
