@@ -555,3 +555,21 @@ def test_entities_and_words_of_the_same_texts_are_no_product(spark):
     frame = spark.createDataFrame(list(enumerate([*filler, *lists])), "doc_id long, text string")
     found = {r.doc_id: len(r.term) for r in private.entity_spans(frame).collect()}
     assert all(found[i] == 1500 for i in range(600, 605)) and not any(found[i] for i in range(600))
+
+
+def test_empty_tables_give_empty_results(spark):
+    path, docs = vocabulary(BYTE_BPE), spark.createDataFrame([], DOCS)
+    assert pitman_yor.Model(docs).scores().count() == 0
+    edits = F.lit(None).cast("array<struct<at:int,removed:int,inserted:string>>")
+    assert counts.edited_counts(docs.select("doc_id", "text").withColumn("edits", edits), path).count() == 0
+    turns = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
+    assert chat.digests(chat.assemble(turns, path), path).count() == 0
+
+
+def test_conversations_with_columns_of_other_names(spark):
+    path = vocabulary(BYTE_BPE)
+    rows = [(c, t, role, f"text {t} </s>", 5, "x", 1, "y") for c in (1, 2) for t, role in enumerate(("user", "assistant"))]
+    given = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, start int, ids string, position int, loss string")
+    plain = given.select("conv_id", "turn", "role", "text")
+    told = [sorted(map(str, chat.digests(chat.assemble(x, path), path).collect())) for x in (given, plain)]
+    assert told[0] == told[1] and len(told[0]) == 2
