@@ -14,14 +14,21 @@ from metricwatch.functions.columns import severity_rank
 LOG_KEYS = ("table_name", "column_name", "anomaly_type", "period_start")
 
 
-def new_anomalies(hits: DataFrame, log: DataFrame, salts: int = 1) -> DataFrame:
+#: Into how many parts hits are dealt where Spark doesn't split hot keys itself.
+FIXED_SALTS = 16
+
+
+def new_anomalies(hits: DataFrame, log: DataFrame, salts: int | None = None) -> DataFrame:
     """Hits that are not in the log yet. Keys compare null-safely; hits are not compared with each other.
 
     The logged side is one row per table, column, type and period. One hour of one table can hold most hits of a run, when a
     bound is broken by nearly every row: Spark then splits that key's hits and gives each part the logged row, as
-    its size shows at run time. Where adaptive execution is off, ``salts`` deals hits out by their id, which is one row's, and
-    repeats the logged keys for each part.
+    its size shows at run time. Where adaptive execution is off, hits are dealt out by their id, which is one row's, to
+    FIXED_SALTS parts, and the logged keys are repeated for each; ``salts`` sets another number.
     """
+    if salts is None:
+        adaptive = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+        salts = 1 if all(hits.sparkSession.conf.get(name) == "true" for name in adaptive) else FIXED_SALTS
     logged = log.select(*(F.col(key).alias(f"_logged_{key}") for key in LOG_KEYS)).distinct()
     same = reduce(and_, (F.col(key).eqNullSafe(F.col(f"_logged_{key}")) for key in LOG_KEYS))
     if salts > 1:
