@@ -61,7 +61,7 @@ def watched_metrics(rules: DataFrame, metric_columns: DataFrame) -> DataFrame:
         floor.alias("floor_text"),
         floor.try_cast("double").alias("floor"),
         _needed_run(F.col("p")).alias("needed_run"),
-    ).distinct()  # a rule written twice logs once
+    )
     column = F.when(kind == specs.ZERO_ACTIVITY, F.col("activity_column")).otherwise(F.col("column_name"))
     return (
         flat.join(metric_columns, ["table_name", "rule_metric"], "left")
