@@ -42,6 +42,8 @@ PASSES = 3
 PAIRS_PER_WORDS = 6
 #: Tokens of a task that are aggregated at once, and documents at most: their numbers take 15 bits.
 CHUNK_TOKENS, CHUNK_DOCS = 1_000_000, 30_000
+#: Text hashed at a time: numpy's arrays of so many bytes stay in the processor's cache.
+HASHED_BYTES = 512 << 10
 
 _BLOCK = "kind int, bucket int, source long, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary"
 _FIELDS = "abcdefgh"
@@ -74,7 +76,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.nd
         return pa.concat_arrays(ids), np.concatenate(held), np.concatenate([[END], w[:-1]]).astype(np.uint64), w, np.concatenate(owners)
 
     for batch in batches:
-        for at, texts in slices(batch.column("text")):
+        for at, texts in slices(batch.column("text"), HASHED_BYTES):
             hashes, starts = words(texts)
             n = np.diff(starts) + 1
             w = np.full(int(n.sum()), END, np.uint64)
@@ -257,10 +259,11 @@ def _distinct_pairs(u: np.ndarray, w: np.ndarray, n: int, hot: dict):
     _, where, back = np.unique(_pair(u, w), return_index=True, return_inverse=True)
     u, w = u[where], w[where]
     bucket = _home(u, w, n, hot)
-    order = np.lexsort((u, bucket))
+    order = np.argsort(u, kind="stable")
+    later, begins = dealt(bucket[order], n)
+    order = order[later]
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    begins = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=n))])
     return u[order], w[order], begins, place[back]
 
 
