@@ -298,20 +298,34 @@ class StateTables:
         return self.spark.read.schema(schema).parquet(folder).select(*parts).distinct().collect()
 
     def _switch(self, table: str, places: Sequence[Row], folder: str, others: bool = True) -> None:
-        """Let the partitions be what a folder holds of them; without ``others`` the table has no other partitions."""
+        """Let the partitions be what a folder holds of them; without ``others`` the table has no other partitions.
+
+        New ones come in one statement; only those that were there before are switched one by one.
+        """
         parts = list(PARTITIONS[table])
         values = [{part: str(place[part]) for part in parts} for place in places]
         if values:
-            added = " ".join(f"PARTITION ({_spec(v)}) LOCATION {literal(_path(folder, v))}" for v in values)
-            self._alter(table, f"ADD IF NOT EXISTS {added}")
-            for value in values:
+            listed = set(self._listed(table))
+            there = [value for value in values if _path("", value)[1:] in listed]
+            new = [value for value in values if _path("", value)[1:] not in listed]
+            if new:
+                added = " ".join(f"PARTITION ({_spec(v)}) LOCATION {literal(_path(folder, v))}" for v in new)
+                try:
+                    self._alter(table, f"ADD {added}")
+                except AnalysisException:  # another writer added some of them meanwhile
+                    self._alter(table, f"ADD IF NOT EXISTS {added}")
+                    there = values
+            for value in there:
                 self._alter(table, f"PARTITION ({_spec(value)}) SET LOCATION {literal(_path(folder, value))}")
         if not others:
-            listed = self.spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": self.name(table)}).collect()
-            kept = {_path("", value) for value in values}
-            gone = [place for (place,) in listed if f"/{place}" not in kept]
+            kept = {_path("", value)[1:] for value in values}
+            gone = [place for place in self._listed(table) if place not in kept]
             self._drop(table, [dict(_unescaped(step.split("=", 1)) for step in place.split("/")) for place in gone])
 
+    def _listed(self, table: str) -> list[str]:
+        """The names of the table's partitions, as in the paths of their folders."""
+        return [place for (place,) in self.spark.sql("SHOW PARTITIONS IDENTIFIER(:name)", args={"name": self.name(table)}).collect()]
+
     def _drop(self, table: str, places: Sequence[dict[str, str]]) -> None:
         if places:
             self._alter(table, "DROP IF EXISTS " + ", ".join(f"PARTITION ({_spec(place)})" for place in places))
