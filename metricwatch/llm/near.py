@@ -32,6 +32,8 @@ from metricwatch.llm.text import gather, mix, shingles, slices
 PERCENT = 75
 #: Documents of one neighbourhood that a task searches at once; more are searched as pairs of such blocks.
 BLOCK_DOCS = 2_000
+#: Keys of a bucket, and sets of a batch, that are looked up or dealt out at a time.
+KEYS_AT_ONCE, SETS_AT_ONCE = 1 << 18, 1_000
 #: Weight of a binary probe against a step of the merge in DivideSkip's choice of how many lists count as long.
 PROBE_COST = 0.01
 
@@ -68,6 +70,25 @@ def set_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     return _read(docs, id_column, text_column).mapInArrow(rows, "doc_id long, n_shingles long, a long, b long")
 
 
+def _repeated(keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """How many keys of each run occur more than once among all; no run is empty."""
+    ordered = np.sort(keys)
+    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered
+    hit = np.zeros(len(keys), bool)
+    for at in range(0, len(keys) if len(shared) else 0, KEYS_AT_ONCE):
+        part = keys[at : at + KEYS_AT_ONCE]
+        hit[at : at + KEYS_AT_ONCE] = shared[np.minimum(np.searchsorted(shared, part), len(shared) - 1)] == part
+    return np.add.reduceat(hit, np.cumsum(lengths) - lengths, dtype=np.int64)
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most SETS_AT_ONCE rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SETS_AT_ONCE):
+            yield batch.slice(at, SETS_AT_ONCE)
+
+
 def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """set_id, shared: how many shingles of a set (named by its fingerprint's first half) others have too, or more.
 
@@ -104,14 +125,7 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
 
     def count(group: pa.Table) -> pa.Table:
         keys, ids, lengths = joined(group.column("keys"), "<u4"), joined(group.column("ids"), "<i8"), joined(group.column("lengths"), "<u4")
-        ordered = np.sort(keys)
-        same = ordered[1:] == ordered[:-1]
-        shared = np.unique(ordered[1:][same])
-        at = np.minimum(np.searchsorted(shared, keys), max(0, len(shared) - 1))
-        hit = shared[at] == keys if len(shared) else np.zeros(len(keys), bool)
-        sums = np.concatenate([[0], np.cumsum(hit)])
-        ends = np.cumsum(lengths.astype(np.int64))
-        counts = sums[ends] - sums[ends - lengths]
+        counts = _repeated(keys, lengths.astype(np.int64))
         some = counts > 0
         ids, counts = ids[some], counts[some].astype("<u4")
         order, begins = dealt((mix(ids.view(np.uint64)) % np.uint64(n)).astype(np.int64), n)
@@ -152,7 +166,7 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
     n = partitions(sets.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             sizes = batch.column("n").to_numpy()
             hashes = np.frombuffer(b"".join(batch.column("keys").to_pylist()), "<u8")
             owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -194,7 +208,7 @@ def _ties(sets: DataFrame, percent: int) -> DataFrame:
     n = partitions(sets.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             sizes = batch.column("n").to_numpy()
             keys = [np.frombuffer(x.as_buffer(), "<u8") for x in batch.column("keys")]
             held = np.array([len(k) for k in keys], np.int64)

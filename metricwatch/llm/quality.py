@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metricwatch.llm.shared import remainder, stored
-from metricwatch.llm.text import buffers, gather, is_space, mix, shingles, slices, span_hashes, word_bounds
+from metricwatch.llm.text import PIECE_BYTES, buffers, gather, is_space, mix, shingles, slices, span_hashes, word_bounds
 
 #: A document with a score of so much or more is accepted.
 ACCEPT = 0.3
@@ -120,7 +120,7 @@ def _features(texts: pa.Array) -> np.ndarray:
 
 def features(texts: pa.Array) -> np.ndarray:
     """Shape, marks and repetition of whole texts, one row each; null counts as empty."""
-    parts = [_features(piece) for _, piece in slices(texts)]
+    parts = [_features(piece) for _, piece in slices(texts, PIECE_BYTES)]
     return np.concatenate(parts) if parts else _features(texts)
 
 

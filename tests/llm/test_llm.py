@@ -377,6 +377,24 @@ def test_near_copies(spark):
     assert near.near_copies(frame.limit(0)).count() == 0
 
 
+def test_keys_of_a_bucket_are_looked_up_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    keys, lengths = rng.integers(0, 40, 60).astype("<u4"), np.array([1, 20, 2, 30, 7])
+    times = Counter(keys.tolist())
+    wanted = [sum(times[k] > 1 for k in part.tolist()) for part in np.split(keys, np.cumsum(lengths)[:-1])]
+    monkeypatch.setattr(near, "KEYS_AT_ONCE", 7)
+    assert near._repeated(keys, lengths).tolist() == wanted and 0 < sum(wanted) < 60
+    assert near._repeated(np.arange(9, dtype="<u4"), np.array([4, 5])).tolist() == [0, 0]
+    monkeypatch.undo()
+    keys = rng.integers(0, 1 << 20, 1_000_000).astype("<u4")
+    tracemalloc.start()
+    try:
+        near._repeated(keys, np.full(1000, 1000))
+        assert tracemalloc.get_traced_memory()[1] < 4 * keys.nbytes  # 31 MB before
+    finally:
+        tracemalloc.stop()
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(5, 5), (None, 3)]

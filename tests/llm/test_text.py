@@ -1,9 +1,11 @@
 """Word hashes against their definition, worked out with whole numbers."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
-from metricwatch.llm import text
+from metricwatch.llm import quality, text
 
 
 def plain_hash(word: bytes) -> int:
@@ -23,3 +25,23 @@ def test_powers_are_not_worked_out_for_every_byte(monkeypatch):
     monkeypatch.setattr(text, "_powers", lambda base, n: made.append(n) or plain(base, n))
     hashes, _ = text.words(pa.array(["word " * 100_000]))
     assert len(hashes) == 100_000 and len(set(hashes.tolist())) == 1 and sum(made) < 20_000
+
+
+def test_shingles_and_features_of_a_slice_are_made_in_little_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    given = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 600)) for _ in range(1100)]
+    texts = pa.array([*given, None, "", " ", "one two", given[0]])
+    pieced = text.shingles(texts), quality.features(texts)
+    tracemalloc.start()
+    try:
+        for work in (text.shingles, quality.features):
+            tracemalloc.reset_peak()
+            work(texts)
+            assert tracemalloc.get_traced_memory()[1] < 40e6  # 98 and 143 MB before
+    finally:
+        tracemalloc.stop()
+    monkeypatch.setattr(text, "PIECE_BYTES", 1 << 30)
+    monkeypatch.setattr(quality, "PIECE_BYTES", 1 << 30)
+    (hashes, starts), whole = text.shingles(texts), quality.features(texts)
+    assert np.array_equal(pieced[0][0], hashes) and np.array_equal(pieced[0][1], starts) and np.array_equal(pieced[1], whole)
+    assert [len(x) for x in text.shingles(pa.array([], pa.string()))] == [0, 1]
