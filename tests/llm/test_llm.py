@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from metricwatch.llm import chat, counts, decontamination, near, neighbours, oracle, packing, pitman_yor, private, quality, token_files
-from metricwatch.llm.components import components
+from metricwatch.llm.components import _large_star, _small_star, components
 from metricwatch.llm.queries import QUERIES
 from metricwatch.llm.tokens import BYTE_BPE, WORD_BPE, encoder, vocabulary
 
@@ -407,6 +407,13 @@ def test_components(spark):
     assert got == reach
 
 
+def test_components_take_one_shuffle_a_step(spark):
+    now = spark.createDataFrame([(2, 1), (3, 2), (3, 1), (3, 1)], "u long, v long")
+    step = _small_star(_large_star(now))
+    assert step._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    assert {tuple(r) for r in step.collect()} == {(2, 1), (3, 1)}
+
+
 def test_packing(spark, docs):
     rows = [(r.doc_id, r.text or "") for r in docs.collect()]
     got = packing.best_fit(packing.token_pieces(docs, vocabulary(BYTE_BPE), keep_ids=True)).collect()
