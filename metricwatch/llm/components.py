@@ -27,7 +27,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 def _stars(edges: DataFrame) -> bool:
     """Whether every edge leads to the smallest node of its component: no node leads to two, or to one that leads on."""
-    ends = edges.select(F.col("u").alias("node"), "v").unionByName(edges.select(F.col("v").alias("node"), F.lit(None).cast("long").alias("v")))
+    ends = edges.select(F.col("u").alias("node"), "v").unionByName(edges.select(F.col("v").alias("node"), F.lit(None).alias("v")))
     least, most, leads = F.min("v"), F.max("v"), F.count("v")
     nodes = ends.groupBy("node").agg((leads > 0).alias("leads"), ((least < most) | (F.count(F.lit(1)) > leads)).alias("more"))
     return nodes.filter("leads AND more").count() == 0

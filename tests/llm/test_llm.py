@@ -407,6 +407,14 @@ def test_components(spark):
     assert got == reach
 
 
+def test_components_of_named_nodes(spark):
+    """Nodes that are text, some like numbers, of components that take several rounds."""
+    edges = [(f"{(i * 37) % 64:02X}F", f"{((i + 1) * 37) % 64:02X}F") for i in range(40)] + [("9", "10"), ("10", "10"), (None, "9"), ("9A", "")]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "key string, `to` string"), "key", "to").collect()}
+    path = [f"{(i * 37) % 64:02X}F" for i in range(41)]
+    assert got == {x: min(path) for x in path} | {"9": "10", "10": "10", "9A": "", "": ""}
+
+
 def test_components_take_one_shuffle_a_step(spark):
     now = spark.createDataFrame([(2, 1), (3, 2), (3, 1), (3, 1)], "u long, v long")
     step = _small_star(_large_star(now))
