@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metricwatch.llm.shared import stored
+from metricwatch.llm.shared import frugal, stored
 from metricwatch.llm.text import SHINGLE_WORDS, shingles, slices, words
 
 #: The share of an item's shingles that a document must hold, in percent.
@@ -73,7 +73,7 @@ def item_shingles(items: DataFrame, percent: int = PERCENT, id_column: str = "it
     text = F.col(text_column).cast("string")
     read = items.select(F.col(id_column).cast("long").alias("item_id"), F.xxhash64(text).alias("item_text"), text.alias("text"))
     schema = "item_id long, item_text long, width long, n long, need long, size_class long, hash long, sketched boolean"
-    return read.filter("item_id IS NOT NULL").mapInArrow(rows, schema)
+    return read.filter("item_id IS NOT NULL").mapInArrow(frugal(rows), schema)
 
 
 def _bitmap(hashes: DataFrame) -> np.ndarray:
@@ -143,7 +143,7 @@ def contained(
 
     text = F.col(text_column).cast("string")
     read = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    found = read.mapInArrow(hits, "doc_id long, text_hash long, hashes array<long>")
+    found = read.mapInArrow(frugal(hits), "doc_id long, text_hash long, hashes array<long>")
     found = stored(found.withColumn("row", F.monotonically_increasing_id()))
     held = found.select("row", F.explode("hashes").alias("hash"))
     item = ["item_id", "item_text", "n", "need"]

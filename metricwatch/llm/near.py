@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from metricwatch.llm.blocks import by_bucket, dealt, joined, rows_of
 from metricwatch.llm.components import components
-from metricwatch.llm.shared import partitions, stored
+from metricwatch.llm.shared import frugal, frugal_group, partitions, stored
 from metricwatch.llm.text import gather, mix, shingles, slices
 
 PERCENT = 75
@@ -67,7 +67,7 @@ def set_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
                 ids = batch.column("doc_id").slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.diff(starts)), pa.array(a), pa.array(b)], ["doc_id", "n_shingles", "a", "b"])
 
-    return _read(docs, id_column, text_column).mapInArrow(rows, "doc_id long, n_shingles long, a long, b long")
+    return _read(docs, id_column, text_column).mapInArrow(frugal(rows), "doc_id long, n_shingles long, a long, b long")
 
 
 def _repeated(keys: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -136,9 +136,9 @@ def _shared_counts(docs: DataFrame, id_column: str, text_column: str) -> DataFra
         sums = np.bincount(back, weights=joined(group.column("counts"), "<u4"), minlength=len(ids))
         return pa.table({"set_id": pa.array(ids, pa.int64()), "shared": pa.array(sums.astype(np.int64))})
 
-    sent = _read(docs, id_column, text_column).filter("doc_id IS NOT NULL").mapInArrow(send, "bucket int, keys binary, ids binary, lengths binary")
-    back = sent.groupBy("bucket").applyInArrow(count, "home int, ids binary, counts binary")
-    return back.groupBy("home").applyInArrow(total, "set_id long, shared long")
+    sent = _read(docs, id_column, text_column).filter("doc_id IS NOT NULL").mapInArrow(frugal(send), "bucket int, keys binary, ids binary, lengths binary")
+    back = sent.groupBy("bucket").applyInArrow(frugal_group(count), "home int, ids binary, counts binary")
+    return back.groupBy("home").applyInArrow(frugal_group(total), "set_id long, shared long")
 
 
 def _candidates(docs: DataFrame, chosen: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -154,7 +154,7 @@ def _candidates(docs: DataFrame, chosen: DataFrame, id_column: str, text_column:
 
     wanted = chosen.select(F.col("rep").alias("doc_id")).distinct()
     read = _read(docs, id_column, text_column).join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
-    found = read.mapInArrow(rows, "set_id long, n long, keys binary").dropDuplicates(["set_id"])
+    found = read.mapInArrow(frugal(rows), "set_id long, n long, keys binary").dropDuplicates(["set_id"])
     return found.join(chosen.select(F.col("a").alias("set_id")), "set_id", "left_semi")
 
 
@@ -195,9 +195,9 @@ def _rare_first(sets: DataFrame, percent: int) -> DataFrame:
         raw = [keys[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         return pa.table({"set_id": pa.array(ids[starts], pa.int64()), "n": pa.array(sizes[starts]), "keys": pa.array(raw, pa.binary())})
 
-    sent = sets.select("set_id", "n", "keys").mapInArrow(send, "bucket int, sizes binary, keys binary, ids binary")
-    back = sent.groupBy("bucket").applyInArrow(rarity, "home int, keys binary, ids binary, sizes binary, found binary")
-    return back.groupBy("home").applyInArrow(gathered, "set_id long, n long, keys binary")
+    sent = sets.select("set_id", "n", "keys").mapInArrow(frugal(send), "bucket int, sizes binary, keys binary, ids binary")
+    back = sent.groupBy("bucket").applyInArrow(frugal_group(rarity), "home int, keys binary, ids binary, sizes binary, found binary")
+    return back.groupBy("home").applyInArrow(frugal_group(gathered), "set_id long, n long, keys binary")
 
 
 def _ties(sets: DataFrame, percent: int) -> DataFrame:
@@ -228,8 +228,8 @@ def _ties(sets: DataFrame, percent: int) -> DataFrame:
         pairs = np.unique(np.stack([ids, hub], axis=1)[ids != hub], axis=0)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
-    sent = sets.mapInArrow(send, "bucket int, keys binary, ids binary")
-    return sent.groupBy("bucket").applyInArrow(tie, "a long, b long")
+    sent = sets.mapInArrow(frugal(send), "bucket int, keys binary, ids binary")
+    return sent.groupBy("bucket").applyInArrow(frugal_group(tie), "a long, b long")
 
 
 def links(ids: np.ndarray, sizes: np.ndarray, keys: list[np.ndarray], indexed: np.ndarray, asked: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricwatch.llm.shared import stored
+from metricwatch.llm.shared import frugal, stored
 from metricwatch.llm.text import gather
 from metricwatch.llm.tokens import encoder
 
@@ -107,7 +107,7 @@ def token_pieces(
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
     read = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    return read.mapInArrow(pieces, schema)
+    return read.mapInArrow(frugal(pieces), schema)
 
 
 def best_fit(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, task_pieces: int = TASK_PIECES) -> DataFrame:
@@ -133,7 +133,7 @@ def best_fit(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_
             columns = [*batch.columns, pa.array([first + x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "sequence_id", "offset"])
 
-    return mixed.mapInArrow(placed, schema) if pieces.columns else spark.createDataFrame([], schema)
+    return mixed.mapInArrow(frugal(placed), schema) if pieces.columns else spark.createDataFrame([], schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

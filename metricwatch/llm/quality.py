@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricwatch.llm.shared import remainder, stored
+from metricwatch.llm.shared import frugal, frugal_group, remainder, stored
 from metricwatch.llm.text import PIECE_BYTES, buffers, gather, is_space, mix, shingles, slices, span_hashes, word_bounds
 
 #: A document with a score of so much or more is accepted.
@@ -161,7 +161,7 @@ def _featured(read: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("id"), _listed(features(batch.column("text")))], ["id", "x"])
 
-    return read.mapInArrow(rows, "id long, x array<double>")
+    return read.mapInArrow(frugal(rows), "id long, x array<double>")
 
 
 def _learnt(featured: DataFrame, labels: DataFrame, id_column: str, label_column: str) -> Model:
@@ -255,7 +255,7 @@ def _fitted(dealt: DataFrame, mean: np.ndarray, spread: np.ndarray, start: np.nd
                 total += _matrix(batch.column("sums")).sum(0) if batch.num_rows else 0
             yield pa.RecordBatch.from_arrays([_listed(total[None])], ["sums"])
 
-        found = dealt.groupBy("block").applyInArrow(block, "sums array<double>").mapInArrow(task, "sums array<double>")
+        found = dealt.groupBy("block").applyInArrow(frugal_group(block), "sums array<double>").mapInArrow(task, "sums array<double>")
         total = _matrix(found.toArrow()["sums"]).sum(0)
         return total[1], total[2 : n + 2], total[n + 2 :].reshape(n, n), int(total[0])
 
@@ -375,7 +375,7 @@ def with_score(docs: DataFrame, model: Model, score_column: str = "score", text_
             scores = pa.array(model.score(features(batch.column(text_column).cast(pa.string()))))
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), scores], [*keep, score_column])
 
-    return docs.mapInArrow(scored, schema)
+    return docs.mapInArrow(frugal(scored), schema)
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from metricwatch.llm.text import buffers, gather, is_space, slices, span_hashes
+from metricwatch.llm.text import PIECE_BYTES, buffers, gather, is_space, slices, span_hashes
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 CACHED_PIECES = 2_000_000
+#: Pieces that the library encodes at a time; what it returns is many times larger than the ids.
+PIECES_AT_ONCE = 10_000
 
 #: White space other than ASCII's, next to which the bounds of the byte-level vocabulary aren't certain; so are they in
 #: strings of special tokens, which begin with <|.
@@ -93,17 +95,33 @@ class Encoder:
 
     def _learn(self, data: np.ndarray, keys: np.ndarray, first: np.ndarray, end: np.ndarray) -> None:
         """Adds pieces that aren't known yet; keys are in order."""
-        raw = data.tobytes()
-        flat, lengths = self._library([raw[a:b].decode() for a, b in zip(first.tolist(), end.tolist(), strict=True)])
+        raw, parts = memoryview(data), []
+        for at in range(0, len(keys), PIECES_AT_ONCE):
+            spans = zip(first[at : at + PIECES_AT_ONCE].tolist(), end[at : at + PIECES_AT_ONCE].tolist(), strict=True)
+            parts.append(self._library([str(raw[a:b], "utf-8") for a, b in spans]))
+        flat, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
         place = np.searchsorted(self.keys, keys)
         self.begins = np.insert(self.begins, place, len(self.ids) + np.cumsum(lengths) - lengths)
         self.sizes = np.insert(self.sizes, place, lengths)
         self.keys = np.insert(self.keys, place, keys)
         self.ids = np.concatenate([self.ids, flat])
 
-    def _known(self, data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
+        """The texts' bytes, where each text starts, and of every piece: first byte, text number, place in the cache."""
+        data, starts = buffers(texts)
+        found = []
+        for at, part in slices(texts, PIECE_BYTES):  # the arrays that have an entry for each byte are for a part only
+            own, own_starts = buffers(part)
+            first, end, owner = self._bounds(own, own_starts)
+            found.append((first + starts[at], end + starts[at], owner + at, span_hashes(own, first, end, lower=self.by_words)))
+        if not found:
+            none = np.zeros(0, np.int64)
+            return data, starts, none, none, none
+        first, end, owner, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
+        return data, starts, first, owner, self._known(data, first, end, hashes)
+
+    def _known(self, data: np.ndarray, first: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """Where each piece stands in the cache, in which all are now."""
-        hashes = span_hashes(data, first, end, lower=self.by_words)
         keys, where, back = np.unique(hashes, return_index=True, return_inverse=True)
         place = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
@@ -119,9 +137,7 @@ class Encoder:
         return place[back]
 
     def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, starts = buffers(texts)
-        first, end, owner = self._bounds(data, starts)
-        place = self._known(data, first, end)
+        _, _, _, owner, place = self._cut(texts)
         begins, sizes = self.begins[place], self.sizes[place]
         per_text = np.bincount(owner, weights=sizes, minlength=len(texts)).astype(np.int64)
         return self.ids[gather(begins, sizes)], per_text
@@ -133,9 +149,7 @@ class Encoder:
 
     def counted(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The texts' bytes, where each text starts, and of every piece: first byte, text number, number of ids."""
-        data, starts = buffers(texts)
-        first, end, owner = self._bounds(data, starts)
-        place = self._known(data, first, end)
+        data, starts, first, owner, place = self._cut(texts)
         return data, starts, first, owner, self.sizes[place]
 
     def count(self, pieces: list[str]) -> list[int]:

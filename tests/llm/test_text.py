@@ -1,11 +1,17 @@
 """Word hashes against their definition, worked out with whole numbers."""
 
+import ctypes
+import re
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from metricwatch.llm import quality, text
+from metricwatch.llm.shared import frugal
+from metricwatch.llm.tokens import BYTE_BPE, Encoder, vocabulary
 
 
 def plain_hash(word: bytes) -> int:
@@ -45,3 +51,37 @@ def test_shingles_and_features_of_a_slice_are_made_in_little_memory(monkeypatch)
     (hashes, starts), whole = text.shingles(texts), quality.features(texts)
     assert np.array_equal(pieced[0][0], hashes) and np.array_equal(pieced[0][1], starts) and np.array_equal(pieced[1], whole)
     assert [len(x) for x in text.shingles(pa.array([], pa.string()))] == [0, 1]
+
+
+def test_encoding_takes_little_memory_at_a_time():
+    rng = np.random.default_rng(1)
+    texts = pa.array([" ".join(map(str, rng.integers(0, 10**9, 400))) for _ in range(1000)])  # 4 MB, almost all pieces new
+    encode = Encoder(vocabulary(BYTE_BPE))
+    tracemalloc.start()
+    try:
+        ids, n = encode(texts)
+        assert tracemalloc.get_traced_memory()[1] < 30 * texts.nbytes  # 281 MB before
+    finally:
+        tracemalloc.stop()
+    again, n_again = encode(texts)  # all pieces known
+    assert np.array_equal(again, ids) and np.array_equal(n_again, n)
+
+
+@pytest.mark.skipif(not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="only glibc hands memory back when asked")
+def test_a_task_s_end_hands_memory_back():
+    kept = []
+
+    def own() -> float:
+        return sum(map(int, re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+    def rows(batches):
+        for batch in batches:
+            held = [np.ones(1 << 12) for _ in range(6400)]  # 200 MB in arrays that the allocator doesn't return one by one
+            kept.append(np.ones(1 << 12))  # lies behind them
+            del held
+            yield batch
+
+    before, batch = own(), pa.RecordBatch.from_pydict({"x": [1]})
+    work = frugal(rows)([batch])
+    assert next(work) is batch and own() > before + 150
+    assert not list(work) and own() < before + 50
