@@ -4,19 +4,22 @@ The vectors get one more component so that the largest inner product is the leas
 into equal halves again and again; the means of the parts are the lists' centroids, which a small graph ties together.
 Every vector goes to the list of its nearest centroid, and near a boundary to further ones. A query searches the graph and reads the lists whose centroid is not much farther than the nearest.
 
-Lists and queries are dealt out in blocks, so a list of any length and a vector that many rows share are many even
-pieces of work. A block pair yields each query's best, and those are merged.
+Lists are dealt to slots of bounded size, several short ones or a piece of a long one each, so a list of any length and a
+vector that many rows share are many even pieces of work. A query goes once to each slot in which it reads, with the lists
+that it reads there. Each slot yields its queries' best, and those are merged.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from metricwatch.llm.shared import stored
 
@@ -31,8 +34,12 @@ BOUNDARY, REPLICAS = 1.03, 4
 #: A query reads the lists of centroids up to so many times as far as the nearest that this share of the nearest neighbours of
 #: the sample's own queries, ASKED at most, is found among the sample.
 RECALL, ASKED = 0.94, 400
+#: Bytes of the vectors of a slot, and of the queries that are compared with a slot at a time.
+SLOT_BYTES, ASK_BYTES = 16 << 20, 8 << 20
 #: Rows of a block of vectors or of queries, and results that a task holds before it drops all but each query's best.
 BLOCK_ROWS, HELD = 512, 200_000
+#: Pairs of a vector and a centroid that a walk looks at together, and pairs whose vectors are laid side by side.
+CELLS, PAIRS = 1 << 18, 8192
 
 
 @dataclass(frozen=True)
@@ -60,24 +67,36 @@ class Centroids:
         new = (np.repeat(np.arange(len(x)), len(entry)) * n + np.tile(entry, len(x))) if len(x) else np.zeros(0, np.int64)
         while len(new):
             q, c = new // n, new % n
-            squares = own[q] + norms[c] - 2 * np.einsum("ij,ij->i", x[q], self.points[c])
+            squares = own[q] + norms[c] - 2 * _products(x, q, self.points, c)
             gaps.ravel()[new] = np.sqrt(np.maximum(squares, 0))
             bound = ratio * gaps.min(1)
             if n > VIEW:
                 bound = np.maximum(bound, np.partition(gaps, VIEW, axis=1)[:, VIEW])
             q, c = np.nonzero(~walked & np.isfinite(gaps) & (gaps <= bound[:, None]))
             walked[q, c] = True
-            new = np.unique((q[:, None] * n + self.graph[c]).ravel())
-            new = new[np.isinf(gaps.ravel()[new])]
+            reached = np.zeros(gaps.size, bool)
+            for at in range(0, len(q), PAIRS):
+                reached[q[at : at + PAIRS, None] * n + self.graph[c[at : at + PAIRS]]] = True
+            new = np.flatnonzero(reached & np.isinf(gaps.ravel()))
         return gaps
 
+    def pieces(self, x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """The points in pieces that a walk has memory for, each with the number of its first."""
+        step = max(1, CELLS // len(self.points))
+        for at in range(0, len(x), step):
+            yield at, x[at : at + step]
+
     def filed(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and list of every entry: the nearest list, and further ones for vectors near a boundary.
 
         A further list counts only if its centroid is nearer to the vector than to the centroids that the vector is filed
         under: between those it adds a way to the vector, and else the same queries read both lists.
         """
-        return self._kept(self.walk(x, BOUNDARY))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for at, part in self.pieces(x):
+            row, lists = self._kept(self.walk(part, BOUNDARY))
+            found.append((at + row, lists))
+        return tuple(map(np.concatenate, zip(*found, strict=True)))
 
     def _kept(self, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(gaps, 1, kind="stable")[:, :REPLICAS]
@@ -95,10 +114,13 @@ class Centroids:
         squares = (x**2).sum(1)[:, None] + (self.points**2).sum(1) - 2 * x @ self.points.T
         return np.sqrt(np.maximum(squares, 0))
 
-    def read(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row and list of every list that a query reads."""
-        gaps = self.walk(x, self.prune)
-        return np.nonzero(gaps <= self.prune * gaps.min(1, keepdims=True)) if len(x) else (np.zeros(0, int), np.zeros(0, int))
+    def read(self, x: np.ndarray) -> np.ndarray:
+        """Whether a query reads a list, as (queries, lists)."""
+        out = np.zeros((len(x), len(self.points)), bool)
+        for at, part in self.pieces(x):
+            gaps = self.walk(part, self.prune)
+            out[at : at + len(part)] = gaps <= self.prune * gaps.min(1, keepdims=True)
+        return out
 
 
 def learn(x: np.ndarray, lists: int, radius: float, k: int = 20, seed: int = 5) -> Centroids:
@@ -173,10 +195,36 @@ def _usable(vector: Column) -> Column:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    values = column.flatten().to_numpy(zero_copy_only=False)
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
 
 
+def _column(points: np.ndarray) -> pa.Array:
+    offsets = np.arange(len(points) + 1, dtype=np.int32) * np.int32(points.shape[1])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(points.ravel()))
+
+
+def _products(x: np.ndarray, q: np.ndarray, y: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of the rows x[q] and y[v], pair by pair, in slices."""
+    out = np.empty(len(q))
+    for at in range(0, len(q), PAIRS):
+        some = slice(at, at + PAIRS)
+        out[some] = np.einsum("ij,ij->i", x[q[some]], y[v[some]])
+    return out
+
+
+def _slots(counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each list's first slot and how many it has: lists in sequence share one of at most `most` entries, a longer list has several."""
+    first, parts = np.zeros(len(counts), np.int64), np.maximum(-(-counts // most), 1)
+    slot, filled = -1, most
+    for i, n in enumerate(counts):
+        if slot < 0 or filled + n > most:
+            slot, filled = slot + 1, 0
+        first[i] = slot
+        slot, filled = slot + parts[i] - 1, filled + n
+    return first, parts
+
+
 def nearest_vectors(
     vectors: DataFrame,
     every: int = 20,
@@ -195,80 +243,105 @@ def nearest_vectors(
         F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v")
     ).filter(F.col("vec_id").isNotNull() & _usable(F.col("v")))
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    n, size, reach = usable.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(F.sqrt(square))).first()
+    is_asked = F.col("vec_id") % every == 0
+    n, n_asked, size, reach = usable.agg(F.count(F.lit(1)), F.count_if(is_asked), F.max(F.size("v")), F.max(F.sqrt(square))).first()
     schema = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], schema)
     usable = usable.filter(F.size("v") == size)
-    sample = usable.orderBy(F.xxhash64("vec_id"), "vec_id", F.xxhash64("v")).limit(SAMPLE).select("v").toArrow()
+    # Hashes are even, so a bound on them leaves enough rows, but for ids that many rows share.
+    hashed = F.xxhash64("vec_id")
+    bound = int(min(1.25 * SAMPLE / n, 1) * (1 << 64)) - (1 << 63)
+    for rows in (usable.filter(hashed < bound), usable) if bound < 1 << 63 else (usable,):
+        sample = rows.orderBy(hashed, "vec_id", F.xxhash64("v")).limit(SAMPLE).select("v").toArrow()
+        if len(sample) == SAMPLE:
+            break
     x = _matrix(sample.column("v").combine_chunks()) if len(sample) else np.zeros((0, size))
     lists = max(1, min(n // LIST_SIZE, len(x) // SAMPLE_PER_LIST))
     # As large as the sample allows: SAMPLE / SAMPLE_PER_LIST points.
     centroids = spark.sparkContext.broadcast(learn(x, lists, float(reach), k))
+    # Vectors travel in the type that they came in.
+    vector = vectors.select(vector_column).schema[0].dataType
+    width, kind = (4, "float") if isinstance(vector.elementType, FloatType) else (8, "double")
 
-    def file(kind: str):
-        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, list] = {}
-
-            def block(at: int, entries: list) -> pa.RecordBatch:
-                ids, points = np.concatenate([e[0] for e in entries]), np.concatenate([e[1] for e in entries])
-                return pa.RecordBatch.from_arrays(
-                    [pa.array([at], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([points.tobytes()], pa.binary())],
-                    ["list", f"{kind}_ids", f"{kind}_points"],
-                )
-
-            for batch in batches:
-                ids, points = batch.column("vec_id").to_numpy().astype("<i8"), _matrix(batch.column("v"))
-                for start in range(0, len(ids), 1024):
-                    part = points[start : start + 1024]
-                    lifted = centroids.value.lifted(part) if kind == "base" else np.hstack([part, np.zeros((len(part), 1))])
-                    row, at = centroids.value.filed(lifted) if kind == "base" else centroids.value.read(_scaled(lifted, centroids.value.radius))
-                    order = np.argsort(at, kind="stable")
-                    row, at = row[order], at[order]
-                    for rows_of in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at)) + 1):
-                        entries = held.setdefault(int(at[rows_of[0]]), [])
-                        entries.append((ids[start + row[rows_of]], part[row[rows_of]]))
-                        if sum(len(e[0]) for e in entries) >= BLOCK_ROWS:
-                            yield block(int(at[rows_of[0]]), held.pop(int(at[rows_of[0]])))
-            for at, entries in held.items():
-                yield block(at, entries)
-
-        return rows
-
-    base = stored(usable.mapInArrow(file("base"), "list int, base_ids binary, base_points binary"))
-    asked = usable.filter(F.col("vec_id") % every == 0)
-    asked = stored(asked.mapInArrow(file("ask"), "list int, ask_ids binary, ask_points binary"))
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each query's k best of all that the task meets; what is not above the k-th best found so far is no result."""
-        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
-        queries, least = np.zeros(0, np.int64), np.zeros(0)
-        count = limit = 0
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, points = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"))
+            row, at = centroids.value.filed(centroids.value.lifted(points))
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(ids[row]), _column(points[row].astype(f"f{width}"))], ["list", "vec_id", "v"])
+
+    base = stored(usable.mapInArrow(file, f"list int, vec_id long, v array<{kind}>"))
+    counts = np.zeros(len(centroids.value.points), np.int64)
+    for row in base.groupBy("list").count().collect():
+        counts[row["list"]] = row["count"]
+    # Two slots a core, unless they would be short or above SLOT_BYTES.
+    even = counts.sum() // (2 * spark.sparkContext.defaultParallelism)
+    first, parts = _slots(counts, int(min(max(4 * LIST_SIZE, even), max(1, SLOT_BYTES // (width * size)))))
+    shares = -(-n_asked * width * size // ASK_BYTES) or 1
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, ask = np.frombuffer(row["base_ids"], "<i8"), np.frombuffer(row["ask_ids"], "<i8")
-                points = np.frombuffer(row["base_points"], np.float64).reshape(len(ids), size)
-                asks = np.frombuffer(row["ask_points"], np.float64).reshape(len(ask), size)
-                at = np.minimum(np.searchsorted(queries, ask), max(len(queries) - 1, 0))
-                known = np.where(queries[at] == ask, least[at], -np.inf) if len(queries) else np.full(len(ask), -np.inf)
-                held.append(_best_of(ask, asks, ids, points, known, k))
-                count += len(held[-1][0])
-                if count > limit + HELD:
-                    held = [_best(*map(np.concatenate, zip(*held, strict=True)), k)]
-                    count = limit = len(held[0][0])
-                    queries, first, found = np.unique(held[0][0], return_index=True, return_counts=True)
-                    least = np.where(found == k, held[0][2][first + found - 1], -np.inf)
-        query, vec, score = _best(*map(np.concatenate, zip(*held, strict=True)), k)
-        for at in range(0, len(query), 100_000):
-            some = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(query[some]), pa.array(vec[some]), pa.array(score[some])], ["query_id", "vec_id", "score"])
-
-    met = base.join(asked, "list").drop("list").mapInArrow(best, "query_id long, vec_id long, score double")
+            ids, share, points = batch.column("vec_id").to_numpy(), batch.column("share").to_numpy(), _matrix(batch.column("v"))
+            lifted = np.hstack([_scaled(points, centroids.value.radius), np.zeros((len(points), 1))])
+            read, points = centroids.value.read(lifted), points.astype(f"f{width}")
+            for slot in range(first[-1] + parts[-1]):
+                own = read[:, _lists(first, parts, slot)]
+                rows = np.flatnonzero(own.any(1))
+                if len(rows):
+                    bits = [x.tobytes() for x in np.packbits(own[rows], axis=1)]
+                    arrays = [pa.array(np.full(len(rows), slot, np.int32)), pa.array(share[rows]), pa.array(ids[rows]), _column(points[rows]), pa.array(bits, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, ["slot", "share", "query_id", "v", "lists"])
+
+    def of(per_list: np.ndarray) -> Column:
+        return F.get(F.split(F.lit(",".join(map(str, per_list))), ",").cast("array<int>"), F.col("list"))
+
+    number = F.monotonically_increasing_id()
+    asked = usable.filter(is_asked).withColumn("share", F.pmod(number, F.lit(shares)).cast("int"))
+    asked = asked.mapInArrow(ask, f"slot int, share int, query_id long, v array<{kind}>, lists binary")
+    base = base.withColumn("slot", (of(first) + F.pmod(number, of(parts))).cast("int"))
+    base = base.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+
+    def best(key: tuple, ask: pa.Table, base: pa.Table) -> pa.Table:
+        """Each query's k best of a slot; what is not above the k-th best found so far is no result."""
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if len(ask) and len(base):
+            lists = _lists(first, parts, key[0].as_py())
+            read = np.frombuffer(b"".join(ask.column("lists").to_pylist()), np.uint8).reshape(len(ask), -1)
+            read = np.unpackbits(read, axis=1, count=lists.stop - lists.start).astype(bool)
+            asks, points = (_matrix(t.column("v").combine_chunks()) for t in (ask, base))
+            ids, at = base.column("vec_id").to_numpy(), base.column("list").to_numpy()
+            queries, known_at = np.unique(ask.column("query_id").to_numpy(), return_inverse=True)
+            least = np.full(len(queries), -np.inf)
+            count = limit = 0
+            order = np.argsort(at, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(at[order])) + 1):
+                asking = np.flatnonzero(read[:, at[rows[0]] - lists.start])
+                for some, q in product(_cut(rows), _cut(asking)):
+                    held.append(_best_of(queries[known_at[q]], asks[q].astype(float), ids[some], points[some].astype(float), least[known_at[q]], k))
+                    count += len(held[-1][0])
+                    if count > limit + HELD:
+                        held = [_best(*map(np.concatenate, zip(*held, strict=True)), k)]
+                        count = limit = len(held[0][0])
+                        full, start, found = np.unique(held[0][0], return_index=True, return_counts=True)
+                        least[np.searchsorted(queries, full)] = np.where(found == k, held[0][2][start + found - 1], -np.inf)
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), _best(*map(np.concatenate, zip(*held, strict=True)), k), strict=True)))
+
+    by_slot = asked.groupBy("slot", "share").cogroup(base.groupBy("slot", "share"))
+    met = by_slot.applyInArrow(best, "query_id long, vec_id long, score double")
     pairs = met.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))  # lists overlap
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _lists(first: np.ndarray, parts: np.ndarray, slot: int) -> slice:
+    """The lists that have entries in a slot."""
+    return slice(int(np.searchsorted(first + parts - 1, slot)), int(np.searchsorted(first, slot, "right")))
+
+
+def _cut(rows: np.ndarray) -> list[np.ndarray]:
+    return [rows[at : at + BLOCK_ROWS] for at in range(0, len(rows), BLOCK_ROWS)]
+
+
 def _best_of(
     ask: np.ndarray, asks: np.ndarray, ids: np.ndarray, points: np.ndarray, known: np.ndarray, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -276,15 +349,18 @@ def _best_of(
 
     `known` is the k-th best score that each query has already, or minus infinity.
     """
-    # Not by matrix product, which may round the same pair of vectors in several ways.
-    scores = np.einsum("qd,nd->qn", asks, points)
-    scores[ask[:, None] == ids[None, :]] = -np.inf
+    # A matrix product may round the same pair of vectors in several ways, so it only tells which pairs come into question.
+    near = asks @ points.T
+    near[ask[:, None] == ids[None, :]] = -np.inf
+    slack = 4 * asks.shape[1] * np.finfo(float).eps * np.sqrt((asks**2).sum(1) * (points**2).sum(1).max())
     new = np.isneginf(known)
     if len(ids) > k and new.any() and len(np.unique(ids)) == len(ids):  # rows with one id count once
         known = known.copy()
-        known[new] = np.partition(scores[new], -k, axis=1)[:, -k]
-    q, v = np.nonzero((scores >= known[:, None]) & np.isfinite(scores))
-    return ask[q], ids[v], scores[q, v]
+        known[new] = np.partition(near[new], -k, axis=1)[:, -k] - slack[new]
+    q, v = np.nonzero((near >= (known - slack)[:, None]) & np.isfinite(near))
+    scores = _products(asks, q, points, v)
+    kept = (scores >= known[q]) & np.isfinite(scores)
+    return ask[q[kept]], ids[v[kept]], scores[kept]
 
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -304,6 +304,39 @@ def test_nearest_vectors(spark):
     assert neighbours.nearest_vectors(frame.limit(0)).count() == 0
 
 
+def test_a_search_among_many_centroids_takes_little_memory():
+    rng = np.random.default_rng(0)
+    points = rng.normal(size=(2400, 65))
+    centroids = neighbours.Centroids(points, neighbours._graph(points, rng), 20.0, prune=1.3)
+    x = rng.normal(size=(400, 64))
+    tracemalloc.start()
+    try:
+        centroids.filed(centroids.lifted(x))
+        read = centroids.read(np.hstack([x, np.zeros((400, 1))]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100 << 20
+    gaps = centroids.gaps(np.hstack([x, np.zeros((400, 1))]))
+    assert (read == (gaps <= 1.3 * gaps.min(1, keepdims=True))).mean() > 0.99
+
+
+def test_vectors_and_queries_go_to_pieces_of_bounded_size(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(1500, 8)).astype(np.float32)
+    x[200:900] = x[200]  # a list longer than a slot
+    rows = [(i, [float(v) for v in x[i]]) for i in range(1500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    whole = sorted(map(tuple, neighbours.nearest_vectors(frame, every=5).collect()))
+    monkeypatch.setattr(neighbours, "SLOT_BYTES", 100 * 32)
+    monkeypatch.setattr(neighbours, "ASK_BYTES", 50 * 32)
+    assert sorted(map(tuple, neighbours.nearest_vectors(frame, every=5).collect())) == whole
+    assert len(whole) == 300 * 20
+    first, parts = neighbours._slots(np.array([3, 0, 25, 4, 4, 4]), 10)
+    assert (first.tolist(), parts.tolist()) == ([0, 0, 1, 4, 4, 5], [1, 1, 3, 1, 1, 1])
+    assert [neighbours._lists(first, parts, slot) for slot in range(6)] == [slice(0, 2), slice(2, 3), slice(2, 3), slice(2, 3), slice(3, 5), slice(5, 6)]
+
+
 def frames(docs, **tables):
     """DuckDB over the given rows."""
     made = duckdb.connect()
